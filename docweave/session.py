@@ -20,6 +20,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     # Pages are large rows: keep Arrow batches into the one Python stage small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
