@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.functions import nodes as N
+from docweave.session import materialize
 
 EDGE_T = T.StructType(
     [
@@ -32,8 +33,10 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     A label cell (``td.hierarchy-label-cell``) names its node by its first
     ``a[href]``; its parent is the innermost enclosing label cell (position
     interval containment), its depth the number of enclosing label cells.
-    Cells deeper than ``max_depth`` are cut (0 = roots only), and a cell
-    without a link hides its whole subtree, as in the recursive walk.
+    Cells deeper than ``max_depth`` are cut (0 = roots only).  A cell with no
+    link of its own is named by the first link inside it (descendant
+    semantics); a cell with no link at all, and everything under it, is
+    skipped, as in the recursive walk.
     """
     nodes = F.col("nodes")
     table = N.find(nodes, lambda n: (n["tag"] == "table") & (n["id"] == "hrch")
@@ -108,6 +111,7 @@ def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int = 10) ->
     guard and a depth cap.  ``path`` is the array of names from the root; the
     pre-order output order is ``ORDER BY path`` (arrays compare element-wise,
     a prefix first)."""
+    flat = _edges_table(flat)
     return spark.sql(
         """
         WITH RECURSIVE walk(root, name, depth, path) AS (
@@ -124,8 +128,15 @@ def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int = 10) ->
     )
 
 
+def _edges_table(flat: DataFrame) -> DataFrame:
+    """The recursion re-reads its inputs on every step: give it a written
+    edge table, not the page-parsing lineage."""
+    return materialize(flat.select("name", "parent"))
+
+
 def hierarchy_closure(spark: SparkSession, flat: DataFrame, max_depth: int = 100) -> DataFrame:
     """H4: ancestor/descendant pairs ``(anc, name, depth)`` with ``depth ≥ 1``."""
+    flat = _edges_table(flat)
     return spark.sql(
         """
         WITH RECURSIVE clo(anc, name, depth, path) AS (
@@ -185,8 +196,10 @@ def organize_by_hierarchy(spark: SparkSession, entities: DataFrame, flat: DataFr
     entity fields.  ``ORDER BY segment, path, kind, ord`` is the output order;
     no dense rank is computed (that would need a single-task window).
     """
+    entities = materialize(entities.select("name", "entity_type", "navigation", "source_path", "line"))
+    flat = _edges_table(flat)
     classes, others = split_entities(entities)
-    walk = hierarchy_walk(spark, flat, max_depth)
+    walk = materialize(hierarchy_walk(spark, flat, max_depth))
     hier_names = flat.select("name").distinct()
     fields = ["name", "entity_type", "source_path"]
 

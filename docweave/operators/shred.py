@@ -218,7 +218,23 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
     return nodes, pa.array(errors, pa.string())
 
 
-def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+# The tokenizer is CPU-bound Python: give it at least this many tasks per core.
+TASKS_PER_CORE = 4
+
+
+def spread_for_python(df: DataFrame, tasks_per_core: int = TASKS_PER_CORE) -> DataFrame:
+    """Round-robin the rows over more partitions when the input has fewer than
+    ``tasks_per_core × defaultParallelism`` (e.g. pages rendered by a small
+    shuffle, or a few large parquet files).  Inputs that are already split
+    finely — any large file scan — are left alone, so at scale this adds no
+    shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None, spread: bool = True) -> DataFrame:
     """``df(keep..., html)`` → ``df(keep..., nodes, shred_error)``.
 
     Only the ``keep`` columns and the HTML cross into Python (column pruning
@@ -227,6 +243,8 @@ def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None)
     """
     keep = [c for c in (keep if keep is not None else df.columns) if c != html_col]
     src = df.select(*keep, html_col)
+    if spread:
+        src = spread_for_python(src)
     out_schema = T.StructType(
         [src.schema[c] for c in keep]
         + [T.StructField("nodes", NODES_TYPE), T.StructField("shred_error", T.StringType())]

@@ -54,4 +54,12 @@ def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpo
     """Run to completion (``availableNow``) and return the accumulated output."""
     q = stream_extract(spark, source_dir, out_path, checkpoint)
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    try:
+        return spark.read.parquet(out_path)
+    except Exception:  # nothing arrived yet
+        from pyspark.sql import types as T
+
+        from docweave.operators.extract import ENTITY_SCHEMA
+
+        schema = T.StructType([T.StructField("category", T.StringType())] + ENTITY_SCHEMA.fields)
+        return spark.createDataFrame([], schema)
