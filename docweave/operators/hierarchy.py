@@ -91,11 +91,11 @@ def hierarchy_children(flat: DataFrame) -> DataFrame:
 def children_lists(flat: DataFrame) -> DataFrame:
     """The reference's ``children`` array per node, for the NDJSON sink only
     (bounded by the widest fan-out of the tree)."""
-    kids = flat.filter(F.col("parent").isNotNull()).groupBy("parent").agg(
+    kids = flat.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("name")).agg(
         F.array_sort(F.collect_list("name")).alias("children")
     )
-    return flat.join(kids, flat["name"] == kids["parent"], "left").select(
-        flat["name"], flat["link"], flat["parent"], F.coalesce(kids["children"], F.array().cast("array<string>")).alias("children")
+    return flat.select("name", "link", "parent").join(kids, "name", "left").select(
+        "name", "link", "parent", F.coalesce("children", F.array().cast("array<string>")).alias("children")
     )
 
 

@@ -222,14 +222,25 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
 TASKS_PER_CORE = 4
 
 
+def _input_partitions(df: DataFrame) -> int:
+    """Partition count of ``df`` without running it.  Asking a DataFrame's RDD
+    would execute every shuffle stage under AQE, so when the physical plan
+    (built, not executed) has an exchange we bound the count by
+    ``spark.sql.shuffle.partitions``; a plain scan's split count is cheap."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.rdd.getNumPartitions()
+
+
 def spread_for_python(df: DataFrame, tasks_per_core: int = TASKS_PER_CORE) -> DataFrame:
     """Round-robin the rows over more partitions when the input has fewer than
-    ``tasks_per_core × defaultParallelism`` (e.g. pages rendered by a small
-    shuffle, or a few large parquet files).  Inputs that are already split
-    finely — any large file scan — are left alone, so at scale this adds no
-    shuffle."""
+    ``tasks_per_core × defaultParallelism`` (pages rendered by a small shuffle,
+    or a few large parquet files).  Inputs that are already split finely — any
+    large file scan, or a cluster-sized shuffle — are left alone, so at scale
+    this adds no shuffle."""
     target = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
-    if df.rdd.getNumPartitions() < target:
+    if _input_partitions(df) < target:
         return df.repartition(target)
     return df
 
