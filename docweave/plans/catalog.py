@@ -941,3 +941,39 @@ def q_stream_extract(spark, d):
     X.doc_pages(spark, d).repartition(8).write.parquet(src)
     out = run_incremental(spark, src, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
     return flat_entities(out)
+
+
+# ============================================================ S4, T2, H5
+@register("entity_pages", SCAN_SQL.replace("page_id\nFROM pages", "page_id, CAST(length(html) AS BIGINT) AS n_chars\nFROM pages"))
+def q_entity_pages(spark, d):
+    """The indexed pages with their decoded text (here: its length); an
+    unreadable page would carry a null text and drop to the dead letters."""
+    index = q_scan_categories(spark, d)
+    p = url_pages(spark, d).select("page_id", "html")
+    return index.join(p, "page_id").select("category", "source_path", "page_id",
+                                            F.length("html").cast("long").alias("n_chars"))
+
+
+@register("hier_order", with_ctes(X5_CTE) + """,
+walk AS (
+  SELECT name, [name] AS path FROM x5_nodes WHERE depth = 0
+  UNION ALL SELECT name, [parent, name] FROM x5_nodes WHERE depth = 1
+  UNION ALL SELECT s.name, [n.parent, n.name, s.name]
+  FROM x5_nodes s JOIN x5_nodes n ON n.depth = 1 AND s.depth = 2 AND s.parent = n.name)
+SELECT name, array_to_string(path, '/') AS path, CAST(row_number() OVER (ORDER BY path) - 1 AS BIGINT) AS preorder
+FROM walk""")
+def q_hier_order(spark, d):
+    """Depth-first pre-order position of every walk row (ORDER BY path;
+    a prefix sorts first), numbered without a single-task window."""
+    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d)).select("name", "path", F.lit(0).alias("_g"))
+    n = K.line_numbers(w, "_g", ["path"], out="preorder")
+    return n.select("name", F.array_join("path", "/").alias("path"), "preorder")
+
+
+@register("hier_attached", ORACLES["organize_by_hierarchy"].replace(
+    "\nUNION ALL\nSELECT 2, '', 0, c.name, 'class', c.source_path FROM cls c WHERE c.name NOT IN (SELECT name FROM hn)"
+    "\nUNION ALL\nSELECT 3, '', 1, o.name, o.entity_type, o.source_path FROM others o WHERE o.source_path NOT IN "
+    "(SELECT source_path FROM rel)", ""))
+def q_hier_attached(spark, d):
+    """H5: segment 1 only — per visited node its class row, then its related entities."""
+    return q_organize_by_hierarchy(spark, d).filter(F.col("segment") == 1)
