@@ -69,66 +69,62 @@ _ARROW_NODE = pa.struct(
 
 
 class _Shredder(HTMLParser):
-    """Builds the flat node table for one page."""
+    """Builds the flat node table for one page.
+
+    Each node is one tuple ``(parent, prev, tag, id, cls, href, txt)`` (its
+    position is its index); ``last`` is kept apart because it is set when the
+    element closes.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.pos: list[int] = []
+        self.rows: list[tuple] = []
         self.last: list[int] = []
-        self.parent: list[int] = []
-        self.prev: list[int] = []
-        self.tag: list[str] = []
-        self.ids: list[str | None] = []
-        self.cls: list[list[str] | None] = []
-        self.href: list[str | None] = []
-        self.txt: list[str | None] = []
         self.stack: list[int] = []        # open element positions
         self.stack_tags: list[str] = []
         self.prev_elem: list[int] = [-1]  # previous element sibling per level
         self.buf: list[str] = []
 
-    # -- helpers ---------------------------------------------------------
-    def _add(self, tag, id_, cls, href, txt) -> int:
-        p = len(self.tag)
-        self.pos.append(p)
-        self.last.append(p)
-        self.parent.append(self.stack[-1] if self.stack else -1)
-        self.prev.append(-1)
-        self.tag.append(tag)
-        self.ids.append(id_)
-        self.cls.append(cls)
-        self.href.append(href)
-        self.txt.append(txt)
-        return p
-
     def _flush(self) -> None:
-        if not self.buf:
+        buf = self.buf
+        if not buf:
             return
-        text = "".join(self.buf).strip()
+        text = "".join(buf).strip() if len(buf) > 1 else buf[0].strip()
         self.buf = []
         if text and not (self.stack_tags and self.stack_tags[-1] in RAW_TEXT_ELEMENTS):
-            self._add(TEXT, None, None, None, text)
+            rows = self.rows
+            self.last.append(len(rows))
+            rows.append((self.stack[-1] if self.stack else -1, -1, TEXT, None, None, None, text))
 
     def _close_top(self) -> None:
         p = self.stack.pop()
         self.stack_tags.pop()
         self.prev_elem.pop()
-        self.last[p] = len(self.tag) - 1
+        self.last[p] = len(self.rows) - 1
 
     # -- tokenizer callbacks ---------------------------------------------
     def handle_starttag(self, tag, attrs):
-        self._flush()
-        a = {}
+        if self.buf:
+            self._flush()
+        id_ = cls = href = None
         for k, v in attrs:
-            a[k] = "" if v is None else v
-        cls = a.get("class")
-        p = self._add(tag, a.get("id"), cls.split() if cls is not None else [], a.get("href"), None)
-        self.prev[p] = self.prev_elem[-1]
-        self.prev_elem[-1] = p
+            if k == "class":
+                cls = v
+            elif k == "id":
+                id_ = "" if v is None else v
+            elif k == "href":
+                href = "" if v is None else v
+        rows = self.rows
+        p = len(rows)
+        prev_elem = self.prev_elem
+        stack = self.stack
+        rows.append((stack[-1] if stack else -1, prev_elem[-1], tag, id_, cls.split() if cls else [], href, None))
+        self.last.append(p)
+        prev_elem[-1] = p
         if tag not in VOID_ELEMENTS:
-            self.stack.append(p)
+            stack.append(p)
             self.stack_tags.append(tag)
-            self.prev_elem.append(-1)
+            prev_elem.append(-1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -136,9 +132,14 @@ class _Shredder(HTMLParser):
             self._close_top()
 
     def handle_endtag(self, tag):
-        self._flush()
-        for i in range(len(self.stack_tags) - 1, -1, -1):
-            if self.stack_tags[i] == tag:
+        if self.buf:
+            self._flush()
+        tags = self.stack_tags
+        if tags and tags[-1] == tag:
+            self._close_top()
+            return
+        for i in range(len(tags) - 2, -1, -1):
+            if tags[i] == tag:
                 while len(self.stack) > i:
                     self._close_top()
                 return
@@ -165,19 +166,29 @@ class _Shredder(HTMLParser):
             self._close_top()
 
 
-def shred_html(html: str) -> dict:
-    """Tokenise one page; returns the column lists of its node table."""
+_COLS = ("pos", "last", "parent", "prev", "tag", "id", "cls", "href", "txt")
+
+
+def shred_page(html: str) -> tuple[list[tuple], list[int]]:
+    """Tokenise one page → (node tuples, last positions)."""
     s = _Shredder()
     s.feed(html)
     s.finish()
-    return {
-        "pos": s.pos, "last": s.last, "parent": s.parent, "prev": s.prev, "tag": s.tag,
-        "id": s.ids, "cls": s.cls, "href": s.href, "txt": s.txt,
-    }
+    return s.rows, s.last
+
+
+def shred_html(html: str) -> dict:
+    """Tokenise one page; returns the column lists of its node table."""
+    rows, last = shred_page(html)
+    cols = list(zip(*rows)) if rows else [()] * 7
+    return {"pos": list(range(len(rows))), "last": last, "parent": list(cols[0]), "prev": list(cols[1]),
+            "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": list(cols[6])}
 
 
 def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
-    cols = {k: [] for k in ("pos", "last", "parent", "prev", "tag", "id", "cls", "href", "txt")}
+    all_rows: list[tuple] = []
+    pos: list[int] = []
+    last: list[int] = []
     offsets = [0]
     valid = []
     errors = []
@@ -188,17 +199,21 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             offsets.append(offsets[-1])
             continue
         try:
-            page = shred_html(h)
+            rows, lst = shred_page(h)
         except Exception as e:  # a page that cannot be tokenised goes to the dead letters
             valid.append(False)
             errors.append(f"{type(e).__name__}: {e}")
             offsets.append(offsets[-1])
             continue
-        for k in cols:
-            cols[k].extend(page[k])
+        all_rows.extend(rows)
+        last.extend(lst)
+        pos.extend(range(len(rows)))
         valid.append(True)
         errors.append(None)
-        offsets.append(offsets[-1] + len(page["pos"]))
+        offsets.append(offsets[-1] + len(rows))
+    c = list(zip(*all_rows)) if all_rows else [()] * 7
+    cols = {"pos": pos, "last": last, "parent": c[0], "prev": c[1], "tag": c[2], "id": c[3], "cls": c[4],
+            "href": c[5], "txt": c[6]}
     struct = pa.StructArray.from_arrays(
         [
             pa.array(cols["pos"], pa.int32()),
