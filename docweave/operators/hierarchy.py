@@ -88,14 +88,15 @@ def hierarchy_children(flat: DataFrame) -> DataFrame:
     )
 
 
-def children_lists(flat: DataFrame) -> DataFrame:
-    """The reference's ``children`` array per node, for the NDJSON sink only
-    (bounded by the widest fan-out of the tree)."""
+def hierarchy_sink_rows(flat: DataFrame) -> DataFrame:
+    """K4 rows: ``(name, link, parent, depth, n_children)`` — the reference's
+    ``children[]`` list is carried as edges (each child row names its parent)
+    plus a count, so no parent's children are ever collected into one row."""
     kids = flat.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("name")).agg(
-        F.array_sort(F.collect_list("name")).alias("children")
+        F.count(F.lit(1)).alias("n_children")
     )
-    return flat.select("name", "link", "parent").join(kids, "name", "left").select(
-        "name", "link", "parent", F.coalesce("children", F.array().cast("array<string>")).alias("children")
+    return flat.select("name", "link", "parent", "depth").join(kids, "name", "left").select(
+        "name", "link", "parent", "depth", F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children")
     )
 
 

@@ -9,7 +9,7 @@ category.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: a heartbeat older than this is stale.
@@ -27,11 +27,15 @@ def _progress_aggs(ts: str, status: str, value: str) -> list[Column]:
 
 def category_progress(events: DataFrame, category: str = "event_type", ts: str = "ts", status: str = "user_id",
                       value: str = "event_id", stale_after: int = STALE_AFTER_SECONDS) -> DataFrame:
-    """Batch W1 with the as-of time = the latest heartbeat of any category."""
+    """Batch W1 with the as-of time = the latest heartbeat of any category.
+
+    The as-of time is the max over the per-category rows (one row per
+    category, so that last window has nothing to shuffle that grows with the
+    events)."""
     latest = events.groupBy(category).agg(*_progress_aggs(ts, status, value))
-    as_of = events.agg(F.max(F.col(ts)).alias("as_of"))
+    latest = latest.withColumn("as_of", F.max("heartbeat").over(Window.partitionBy()))
     age = (F.unix_micros(F.col("as_of").cast("timestamp")) - F.unix_micros(F.col("heartbeat").cast("timestamp"))) / 1_000_000
-    return latest.crossJoin(F.broadcast(as_of)).select(
+    return latest.select(
         F.col(category).alias("category"), "count", F.col("status").cast("string").alias("status"), "heartbeat",
         age.cast("double").alias("age_seconds"), (age > stale_after).alias("stale"),
     )
