@@ -233,6 +233,29 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
     return nodes, pa.array(errors, pa.string())
 
 
+# Bound on the HTML handled per output batch (rows and bytes).
+SLICE_ROWS = 256
+SLICE_BYTES = 8 << 20
+
+
+def _slices(batch: pa.RecordBatch, html_idx: int):
+    """Split an input batch into slices of ≤ SLICE_ROWS rows and, past the
+    first row, ≤ SLICE_BYTES of HTML."""
+    import pyarrow.compute as pc
+
+    n = batch.num_rows
+    if n == 0:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(html_idx)), 0).to_pylist()
+    start, acc = 0, 0
+    for i, sz in enumerate(sizes):
+        if i > start and (i - start >= SLICE_ROWS or acc + sz > SLICE_BYTES):
+            yield batch.slice(start, i - start)
+            start, acc = i, 0
+        acc += sz
+    yield batch.slice(start, n - start)
+
+
 # The tokenizer is CPU-bound Python: give it at least this many tasks per core.
 TASKS_PER_CORE = 4
 
@@ -277,10 +300,15 @@ def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None,
     )
     html_idx = len(keep)
 
+    names = [f.name for f in out_schema.fields]
+
     def run(batches):
         for b in batches:
-            nodes, errs = _shred_batch(b.column(html_idx).to_pylist())
-            arrays = [b.column(i) for i in range(len(keep))] + [nodes, errs]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_schema.fields])
+            # Node arrays are several times larger than the HTML: emit one
+            # output batch per slice of at most SLICE_BYTES of input.
+            for part in _slices(b, html_idx):
+                nodes, errs = _shred_batch(part.column(html_idx).to_pylist())
+                arrays = [part.column(i) for i in range(len(keep))] + [nodes, errs]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return src.mapInArrow(run, out_schema)
