@@ -1,141 +1,161 @@
-"""Selectors over the position-encoded ``nodes`` array, as Catalyst expressions.
-
-Every helper returns a ``Column`` built from higher-order functions
-(``filter``/``transform``/``slice``/``exists``), so selection runs JVM-side with
-no Python and no shuffle.  Scopes are always narrowed with ``slice`` to an
-element's descendants before filtering (linear per nesting level), never by
-filtering the whole page per cell.
-
-Conventions: an *element* is one struct of the array (or null when missing);
-a *scope* is an array of nodes.  ``pos`` is 0-based, ``slice`` is 1-based, so
-the descendants of ``e`` are ``slice(nodes, e.pos + 2, e.last - e.pos)``.
+"""Selectors over the position-encoded ``nodes`` array, as Spark SQL expressions.
+
+Every helper returns Spark SQL *expression text* built from higher-order
+functions (``filter``/``transform``/``slice``/``exists``); callers turn the
+finished expression into a Column with ``F.expr`` once.  Selection therefore
+runs JVM-side with no Python and no shuffle, and building a query costs one
+parser call per output column instead of thousands of gateway round trips.
+
+Scopes are always narrowed with ``slice`` to an element's descendants before
+filtering (linear per nesting level), never by filtering the whole page per
+cell.  An *element* expression evaluates to one node struct (or null when
+missing); a *scope* to an array of nodes.  ``pos`` is 0-based and ``slice``
+1-based, so the descendants of ``e`` are ``slice(nodes, e.pos + 2, e.last - e.pos)``.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TEXT = "#text"
+NODES = "nodes"
 
+_ids = itertools.count()
 
-def first(arr: Column) -> Column:
-    """First element, null on an empty or null array."""
-    return F.try_element_at(arr, F.lit(1))
 
+def fresh() -> str:
+    """A lambda variable name unique within the process (nested lambdas never shadow)."""
+    return f"lv{next(_ids)}"
 
-def last(arr: Column) -> Column:
-    return F.try_element_at(arr, F.lit(-1))
 
+def lit(s: str | None) -> str:
+    """A Spark SQL string literal."""
+    if s is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
-def descendants(nodes: Column, e: Column) -> Column:
-    """All nodes inside element ``e`` (null when ``e`` is null)."""
-    return F.when(e.isNotNull(), F.slice(nodes, e["pos"] + 2, e["last"] - e["pos"]))
+
+def col(sql: str) -> Column:
+    return F.expr(sql)
 
 
-def node_at(nodes: Column, pos: Column) -> Column:
-    return F.when(pos >= 0, F.try_element_at(nodes, pos + 1))
+def first(arr: str) -> str:
+    """First element, null on an empty or null array."""
+    return f"try_element_at({arr}, 1)"
 
 
-def tag_is(tag: str):
-    return lambda n: n["tag"] == F.lit(tag)
+def last(arr: str) -> str:
+    return f"try_element_at({arr}, -1)"
 
 
-def has_class(cls: str) -> Column:
-    return lambda n: F.array_contains(n["cls"], F.lit(cls))
+def descendants(nodes: str, e: str) -> str:
+    """All nodes inside element ``e`` (null when ``e`` is null)."""
+    return f"(CASE WHEN ({e}) IS NOT NULL THEN slice({nodes}, ({e}).pos + 2, ({e}).last - ({e}).pos) END)"
+
+
+def node_at(nodes: str, pos: str) -> str:
+    return f"(CASE WHEN ({pos}) >= 0 THEN try_element_at({nodes}, ({pos}) + 1) END)"
 
 
 def matcher(tag: str | None = None, id: str | None = None, cls: str | None = None, href: bool = False):
-    """A predicate like the CSS selector ``tag#id.cls[href]``."""
-
-    def pred(n: Column) -> Column:
-        conds = []
-        if tag is not None:
-            conds.append(n["tag"] == F.lit(tag))
-        else:
-            conds.append(n["tag"] != F.lit(TEXT))
+    """A predicate like the CSS selector ``tag#id.cls[href]`` (``v -> condition``)."""
+
+    def pred(v: str) -> str:
+        conds = [f"{v}.tag = {lit(tag)}" if tag is not None else f"{v}.tag <> {lit(TEXT)}"]
         if id is not None:
-            conds.append(n["id"] == F.lit(id))
+            conds.append(f"{v}.id = {lit(id)}")
         if cls is not None:
-            conds.append(F.coalesce(F.array_contains(n["cls"], F.lit(cls)), F.lit(False)))
+            conds.append(f"coalesce(array_contains({v}.cls, {lit(cls)}), false)")
         if href:
-            conds.append(n["href"].isNotNull())
-        out = conds[0]
-        for c in conds[1:]:
-            out = out & c
-        return out
+            conds.append(f"{v}.href IS NOT NULL")
+        return "(" + " AND ".join(conds) + ")"
 
     return pred
 
 
-def find_all(scope: Column, pred) -> Column:
-    return F.filter(scope, pred)
+def find_all(scope: str, pred) -> str:
+    v = fresh()
+    return f"filter({scope}, {v} -> {pred(v)})"
 
 
-def find(scope: Column, pred) -> Column:
+def find(scope: str, pred) -> str:
     """First match in document order (``css_first`` / ``find``)."""
-    return first(F.filter(scope, pred))
+    return first(find_all(scope, pred))
 
 
-def find_in(nodes: Column, e: Column, pred) -> Column:
+def find_in(nodes: str, e: str, pred) -> str:
     """First descendant of ``e`` matching ``pred``."""
     return find(descendants(nodes, e), pred)
 
 
-def find_all_in(nodes: Column, e: Column, pred) -> Column:
-    return F.filter(descendants(nodes, e), pred)
+def find_all_in(nodes: str, e: str, pred) -> str:
+    return find_all(descendants(nodes, e), pred)
 
 
-def exists(scope: Column, pred) -> Column:
-    return F.coalesce(F.exists(scope, pred), F.lit(False))
+def exists(scope: str, pred) -> str:
+    v = fresh()
+    return f"coalesce(exists({scope}, {v} -> {pred(v)}), false)"
 
 
-def texts(nodes: Column, e: Column) -> Column:
+def texts(nodes: str, e: str) -> str:
     """The stripped, non-empty text nodes inside ``e``."""
-    return F.transform(F.filter(descendants(nodes, e), tag_is(TEXT)), lambda t: t["txt"])
+    v, w = fresh(), fresh()
+    return f"transform(filter({descendants(nodes, e)}, {v} -> {v}.tag = {lit(TEXT)}), {w} -> {w}.txt)"
 
 
-def text(nodes: Column, e: Column, sep: str = "") -> Column:
+def text(nodes: str, e: str, sep: str = "") -> str:
     """E1 ``node_text``: text nodes stripped, empties dropped, joined by ``sep``;
     null when the element is missing."""
-    return F.when(e.isNotNull(), F.array_join(texts(nodes, e), sep))
+    return f"(CASE WHEN ({e}) IS NOT NULL THEN array_join({texts(nodes, e)}, {lit(sep)}) END)"
 
 
-def text_or(nodes: Column, e: Column, default: str = "") -> Column:
-    return F.coalesce(text(nodes, e), F.lit(default))
+def text_or(nodes: str, e: str, default: str = "") -> str:
+    return f"coalesce({text(nodes, e)}, {lit(default)})"
 
 
-def rows(nodes: Column, scope_elem: Column, row_cls: str = "normal-row") -> Column:
+def rows(nodes: str, scope_elem: str, row_cls: str = "normal-row") -> str:
     """``tr.<row_cls>`` descendants of an element (descendant semantics, so rows
     of nested tables are included, as a CSS ``tr`` selector does)."""
     return find_all_in(nodes, scope_elem, matcher("tr", cls=row_cls))
 
 
-def cells(nodes: Column, row: Column) -> Column:
+def cells(nodes: str, row: str) -> str:
     """The ``td`` descendants of a row."""
     return find_all_in(nodes, row, matcher("td"))
 
 
-def table_rows(nodes: Column, section: Column, first_table: bool, row_cls: str = "normal-row") -> Column:
+def table_rows(nodes: str, section: str, first_table: bool, row_cls: str = "normal-row") -> str:
     """Rows of a section: of its first ``table`` when ``first_table`` (generic
     extractor), otherwise of the whole section (class-detail parser)."""
     scope = find_in(nodes, section, matcher("table")) if first_table else section
     return rows(nodes, scope, row_cls)
 
 
-def row_cells(nodes: Column, section: Column, min_cells: int, first_table: bool = True,
-              exact: bool = False) -> Column:
+def row_cells(nodes: str, section: str, min_cells: int, first_table: bool = True, exact: bool = False) -> str:
     """``section_rows(id, min_cells)``: an array of cell arrays, keeping rows
     with at least (or exactly) ``min_cells`` cells."""
-    cell_lists = F.transform(table_rows(nodes, section, first_table), lambda r: cells(nodes, r))
-    if exact:
-        return F.filter(cell_lists, lambda cs: F.size(cs) == min_cells)
-    return F.filter(cell_lists, lambda cs: F.size(cs) >= min_cells)
+    r, cs = fresh(), fresh()
+    op = "=" if exact else ">="
+    return (f"filter(transform({table_rows(nodes, section, first_table)}, {r} -> {cells(nodes, r)}), "
+            f"{cs} -> size({cs}) {op} {min_cells})")
+
+
+def cell(cs: str, i: int) -> str:
+    return f"try_element_at({cs}, {i + 1})"
+
+
+def map_rows(arr: str, build) -> str:
+    """``transform(arr, v -> build(v))``."""
+    v = fresh()
+    return f"transform({arr}, {v} -> {build(v)})"
 
 
-def cell(cs: Column, i: int) -> Column:
-    return F.try_element_at(cs, F.lit(i + 1))
+def struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"{lit(k)}, {v}" for k, v in fields.items()) + ")"
 
 
-def prev_sibling(nodes: Column, e: Column) -> Column:
-    return node_at(nodes, e["prev"])
+def empty_array(elem_type: str) -> str:
+    return f"CAST(array() AS ARRAY<{elem_type}>)"

@@ -1,17 +1,19 @@
 """E1–E11 — the generic entity extractor, as projections over ``nodes``.
 
-One pass of ``select`` finds the page's anchor elements (first ``h1``, first
-``h2``, ``div.crumbs``, ``div#references`` …); a second builds the fields.
-All of it is narrow (no shuffle) and JVM-side.
+One ``select`` finds the page's anchor elements (first ``h1``, first ``h2``,
+``div.crumbs``, ``div#references`` …) once each; the next ones build the
+fields from them.  Everything is narrow (no shuffle) and JVM-side; the
+expressions are Spark SQL text from ``functions/nodes.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.functions import nodes as N
+from docweave.functions.nodes import NODES, lit
 
 VARIABLE_T = T.StructType([T.StructField(k, T.StringType()) for k in ("type", "name", "description")])
 OVERLOAD_T = T.StructType(
@@ -47,113 +49,96 @@ TYPE_KEYWORDS = [("class", ["class"]), ("function", ["function", "overload"]), (
 REFERENCE_KEYS = ["module", "header", "include"]
 
 
-def _nodes() -> Column:
-    return F.col("nodes")
-
-
-def entity_type_expr(nodes: Column, h1: Column) -> Column:
+def entity_type_expr(nodes: str, h1: str) -> str:
     """Keyword in the lower-cased first ``h1``; else by section present."""
-    t = F.lower(N.text(nodes, h1))
-    expr = None
-    for name, words in TYPE_KEYWORDS:
-        cond = None
-        for w in words:
-            c = t.contains(w)
-            cond = c if cond is None else (cond | c)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    t = f"lower({N.text(nodes, h1)})"
+    whens = " ".join(
+        f"WHEN {' OR '.join(f'contains({t}, {lit(w)})' for w in words)} THEN {lit(name)}" for name, words in TYPE_KEYWORDS
+    )
     fallback = (
-        F.when(N.exists(nodes, N.matcher("div", id="variables")), F.lit("class"))
-        .when(N.exists(nodes, N.matcher("div", cls="members")), F.lit("function"))
-        .when(N.exists(nodes, N.matcher("div", id="values")), F.lit("enum"))
-        .otherwise(F.lit("unknown"))
+        f"CASE WHEN {N.exists(nodes, N.matcher('div', id='variables'))} THEN 'class' "
+        f"WHEN {N.exists(nodes, N.matcher('div', cls='members'))} THEN 'function' "
+        f"WHEN {N.exists(nodes, N.matcher('div', id='values'))} THEN 'enum' ELSE 'unknown' END"
     )
-    return F.coalesce(F.when(h1.isNotNull(), expr), fallback)
+    return f"coalesce(CASE WHEN ({h1}) IS NOT NULL THEN CASE {whens} END END, {fallback})"
 
 
-def references_expr(nodes: Column, refs_div: Column, first_table: bool, exact_two: bool,
-                    missing_value: str | None) -> Column:
-    """E5: ``struct(module, header, include)`` from the reference rows.
+def reference_pairs_expr(nodes: str, refs_div: str, first_table: bool, exact_two: bool,
+                         missing_value: str | None) -> str:
+    """E5 part 1: one ``(kind, value)`` per reference row.
 
     Key = first ``p`` of cell 0, lower-cased ('' when there is none);
     value = first ``p`` of cell 1 (``missing_value`` when none).  The first
-    keyword contained in the key classifies the row; the last row of each
-    kind wins.
-    """
-    cell_lists = N.row_cells(nodes, refs_div, 2, first_table=first_table, exact=exact_two)
+    keyword contained in the key is the row's kind."""
 
     def kv(cs):
-        key = F.lower(N.text_or(nodes, N.find_in(nodes, N.cell(cs, 0), N.matcher("p")), ""))
+        key = f"lower({N.text_or(nodes, N.find_in(nodes, N.cell(cs, 0), N.matcher('p')), '')})"
         val = N.text(nodes, N.find_in(nodes, N.cell(cs, 1), N.matcher("p")))
         if missing_value is not None:
-            val = F.coalesce(val, F.lit(missing_value))
-        kind = None
-        for k in REFERENCE_KEYS:
-            kind = F.when(key.contains(k), F.lit(k)) if kind is None else kind.when(key.contains(k), F.lit(k))
-        return F.struct(kind.alias("kind"), val.alias("value"))
+            val = f"coalesce({val}, {lit(missing_value)})"
+        kind = "CASE " + " ".join(f"WHEN contains({key}, {lit(k)}) THEN {lit(k)}" for k in REFERENCE_KEYS) + " END"
+        return N.struct(kind=kind, value=val)
 
-    pairs = F.transform(cell_lists, kv)
+    return N.map_rows(N.row_cells(nodes, refs_div, 2, first_table=first_table, exact=exact_two), kv)
 
-    def of_kind(k):
-        return lambda p: p["kind"] == F.lit(k)
 
-    return F.struct(*[N.last(F.filter(pairs, of_kind(k)))["value"].alias(k) for k in REFERENCE_KEYS])
+def reference_field(pairs: str, kind: str) -> str:
+    """E5 part 2: the last row of a kind wins."""
+    v = N.fresh()
+    return f"{N.last(f'filter({pairs}, {v} -> {v}.kind = {lit(kind)})')}.value"
 
 
-def syntax_expr(nodes: Column, syntax_div: Column, sep: str) -> Column:
+def syntax_expr(nodes: str, syntax_div: str, sep: str) -> str:
     """``div#syntax`` → ``div.simplecode_api`` → first ``p``, texts joined by ``sep``."""
     api = N.find_in(nodes, syntax_div, N.matcher("div", cls="simplecode_api"))
     p = N.find_in(nodes, api, N.matcher("p"))
     return N.text(nodes, p, sep)
 
 
-def navigation_expr(nodes: Column, nav_div: Column) -> Column:
+def navigation_expr(nodes: str, nav_div: str) -> str:
     """Text of every ``a`` inside the crumbs element; ``[]`` when absent."""
     links = N.find_all_in(nodes, nav_div, N.matcher("a"))
-    return F.coalesce(F.transform(links, lambda a: N.text(nodes, a)), F.array().cast("array<string>"))
+    return f"coalesce({N.map_rows(links, lambda a: N.text(nodes, a))}, {N.empty_array('STRING')})"
 
 
-def variables_expr(nodes: Column, section: Column) -> Column:
+def variables_expr(nodes: str, section: str) -> str:
     """Rows with ≥3 cells of the first table → (type, name, description)."""
-    return F.transform(
+    return N.map_rows(
         N.row_cells(nodes, section, 3),
-        lambda cs: F.struct(
-            N.text(nodes, N.cell(cs, 0)).alias("type"),
-            N.text(nodes, N.cell(cs, 1)).alias("name"),
-            N.text(nodes, N.cell(cs, 2)).alias("description"),
-        ),
+        lambda cs: N.struct(type=N.text(nodes, N.cell(cs, 0)), name=N.text(nodes, N.cell(cs, 1)),
+                            description=N.text(nodes, N.cell(cs, 2))),
     )
 
 
-def overloads_expr(nodes: Column, section: Column) -> Column:
+def overloads_expr(nodes: str, section: str) -> str:
     """Rows with ≥4 cells; cell 0 ignored; the name cell's first ``a[href]``."""
 
     def one(cs):
         name_cell = N.cell(cs, 2)
         link = N.find_in(nodes, name_cell, N.matcher("a", href=True))
         args = N.find_in(nodes, name_cell, N.matcher("div", cls="name-cell-arguments"))
-        return F.struct(
-            N.text(nodes, N.cell(cs, 1)).alias("return_type"),
-            F.when(link.isNotNull(), N.text(nodes, link)).otherwise(N.text(nodes, name_cell)).alias("name"),
-            link["href"].alias("link"),
-            N.text(nodes, args).alias("arguments"),
-            N.text(nodes, N.cell(cs, 3)).alias("description"),
+        return N.struct(
+            return_type=N.text(nodes, N.cell(cs, 1)),
+            name=f"CASE WHEN ({link}) IS NOT NULL THEN {N.text(nodes, link)} ELSE {N.text(nodes, name_cell)} END",
+            link=f"({link}).href",
+            arguments=N.text(nodes, args),
+            description=N.text(nodes, N.cell(cs, 3)),
         )
 
-    return F.transform(N.row_cells(nodes, section, 4), one)
+    return N.map_rows(N.row_cells(nodes, section, 4), one)
 
 
-def values_expr(nodes: Column, section: Column) -> Column:
+def values_expr(nodes: str, section: str) -> str:
     """Rows with ≥2 cells → (name, description)."""
-    return F.transform(
+    return N.map_rows(
         N.row_cells(nodes, section, 2),
-        lambda cs: F.struct(N.text(nodes, N.cell(cs, 0)).alias("name"), N.text(nodes, N.cell(cs, 1)).alias("description")),
+        lambda cs: N.struct(name=N.text(nodes, N.cell(cs, 0)), description=N.text(nodes, N.cell(cs, 1))),
     )
 
 
 def with_anchors(df: DataFrame, anchors: dict) -> DataFrame:
     """Locate each anchor element once (one pass over ``nodes`` per anchor)."""
-    nodes = _nodes()
-    return df.select("*", *[N.find(nodes, pred).alias(name) for name, pred in anchors.items()])
+    return df.select("*", *[F.expr(N.find(NODES, pred)).alias(name) for name, pred in anchors.items()])
 
 
 GENERIC_ANCHORS = {
@@ -168,6 +153,10 @@ GENERIC_ANCHORS = {
     "_values": N.matcher("div", id="values"),
 }
 
+_VARIABLES_T = "STRUCT<type: STRING, name: STRING, description: STRING>"
+_OVERLOADS_T = "STRUCT<return_type: STRING, name: STRING, link: STRING, arguments: STRING, description: STRING>"
+_VALUES_T = "STRUCT<name: STRING, description: STRING>"
+
 
 def extract_entities(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Shredded pages ``(…, source_path, nodes)`` → superset entity rows.
@@ -176,27 +165,28 @@ def extract_entities(pages: DataFrame, keep: list[str] | None = None) -> DataFra
     pages (null otherwise, i.e. the key is absent), as the reference emits them.
     """
     keep = keep if keep is not None else [c for c in pages.columns if c not in ("nodes", "shred_error", "source_path")]
-    nodes = _nodes()
     a = with_anchors(pages.filter(F.col("nodes").isNotNull()), GENERIC_ANCHORS)
-    a = a.select(*keep, "source_path", "nodes", *GENERIC_ANCHORS.keys(),
-                 entity_type_expr(nodes, F.col("_h1")).alias("entity_type"))
-    refs = references_expr(nodes, F.col("_refs"), first_table=True, exact_two=True, missing_value=None)
-    et = F.col("entity_type")
+    a = a.select(
+        *keep, "source_path", "nodes", *GENERIC_ANCHORS.keys(),
+        F.expr(entity_type_expr(NODES, "_h1")).alias("entity_type"),
+        F.expr(reference_pairs_expr(NODES, "_refs", first_table=True, exact_two=True, missing_value=None)).alias("_pairs"),
+    )
+    e = "entity_type"
     out = a.select(
         *keep,
-        N.text(nodes, F.col("_h1")).alias("name"),
-        N.text(nodes, F.col("_h2")).alias("short_description"),
-        navigation_expr(nodes, F.col("_crumbs")).alias("navigation"),
-        refs.alias("_r"),
-        syntax_expr(nodes, F.col("_syntax"), "\n").alias("syntax"),
-        N.text(nodes, F.col("_descr")).alias("remarks"),
-        F.when(et == "class", F.coalesce(variables_expr(nodes, F.col("_vars")), F.array().cast(T.ArrayType(VARIABLE_T)))).alias("variables"),
-        F.when(et == "function", F.coalesce(overloads_expr(nodes, F.col("_members")), F.array().cast(T.ArrayType(OVERLOAD_T)))).alias("overloads"),
-        F.when(et == "enum", F.coalesce(values_expr(nodes, F.col("_values")), F.array().cast(T.ArrayType(VALUE_T)))).alias("values"),
-        et,
-        F.col("source_path"),
+        F.expr(N.text(NODES, "_h1")).alias("name"),
+        F.expr(N.text(NODES, "_h2")).alias("short_description"),
+        F.expr(navigation_expr(NODES, "_crumbs")).alias("navigation"),
+        *[F.expr(reference_field("_pairs", k)).alias(k) for k in REFERENCE_KEYS],
+        F.expr(syntax_expr(NODES, "_syntax", "\n")).alias("syntax"),
+        F.expr(N.text(NODES, "_descr")).alias("remarks"),
+        F.expr(f"CASE WHEN {e} = 'class' THEN coalesce({variables_expr(NODES, '_vars')}, "
+               f"{N.empty_array(_VARIABLES_T)}) END").alias("variables"),
+        F.expr(f"CASE WHEN {e} = 'function' THEN coalesce({overloads_expr(NODES, '_members')}, "
+               f"{N.empty_array(_OVERLOADS_T)}) END").alias("overloads"),
+        F.expr(f"CASE WHEN {e} = 'enum' THEN coalesce({values_expr(NODES, '_values')}, "
+               f"{N.empty_array(_VALUES_T)}) END").alias("values"),
+        e,
+        "source_path",
     )
-    return out.select(*keep, "name", "short_description", "navigation",
-                      F.col("_r.module").alias("module"), F.col("_r.header").alias("header"),
-                      F.col("_r.include").alias("include"), "syntax", "remarks", "variables", "overloads",
-                      "values", "entity_type", "source_path")
+    return out

@@ -15,16 +15,6 @@ from pyspark.sql import types as T
 from docweave.functions import nodes as N
 from docweave.session import materialize
 
-EDGE_T = T.StructType(
-    [
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("link", T.StringType()),
-        T.StructField("parent", T.StringType()),
-        T.StructField("depth", T.IntegerType()),
-        T.StructField("broken", T.BooleanType()),
-    ]
-)
 
 
 def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
@@ -38,32 +28,27 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     semantics); a cell with no link at all, and everything under it, is
     skipped, as in the recursive walk.
     """
-    nodes = F.col("nodes")
-    table = N.find(nodes, lambda n: (n["tag"] == "table") & (n["id"] == "hrch")
-                   & F.coalesce(F.array_contains(n["cls"], F.lit("hierarchy-table")), F.lit(False)))
+    nodes = N.NODES
+    table = N.find(nodes, lambda n: f"({n}.tag = 'table' AND {n}.id = 'hrch' AND "
+                                    f"coalesce(array_contains({n}.cls, 'hierarchy-table'), false))")
     cells = N.find_all_in(nodes, table, N.matcher("td", cls="hierarchy-label-cell"))
-    labeled = F.transform(
-        cells,
-        lambda c: F.struct(
-            c["pos"].alias("pos"), c["last"].alias("last"),
-            N.find_in(nodes, c, N.matcher("a", href=True)).alias("a"),
-        ),
-    )
+    labeled = N.map_rows(cells, lambda c: N.struct(pos=f"{c}.pos", last=f"{c}.last",
+                                                   a=N.find_in(nodes, c, N.matcher("a", href=True))))
 
     def with_parent(x):
-        enclosing = F.filter(labeled, lambda y: (y["pos"] < x["pos"]) & (x["pos"] <= y["last"]))
+        y, z = N.fresh(), N.fresh()
+        enclosing = f"filter(_labeled, {y} -> {y}.pos < {x}.pos AND {x}.pos <= {y}.last)"
         par = N.last(enclosing)
-        return F.struct(
-            x["pos"].alias("pos"),
-            N.text(nodes, x["a"]).alias("name"),
-            x["a"]["href"].alias("link"),
-            N.text(nodes, par["a"]).alias("parent"),
-            F.size(enclosing).alias("depth"),
-            F.exists(F.concat(enclosing, F.array(x)), lambda y: y["a"].isNull()).alias("broken"),
+        return N.struct(
+            pos=f"{x}.pos", name=N.text(nodes, f"{x}.a"), link=f"{x}.a.href",
+            parent=N.text(nodes, f"({par}).a"), depth=f"size({enclosing})",
+            broken=f"exists(concat({enclosing}, array({x})), {z} -> {z}.a IS NULL)",
         )
 
-    edges = pages.filter(F.col("nodes").isNotNull()).select(
-        "source_path", F.inline(F.coalesce(F.transform(labeled, with_parent), F.array().cast(T.ArrayType(EDGE_T))))
+    edge_t = "STRUCT<pos: INT, name: STRING, link: STRING, parent: STRING, depth: INT, broken: BOOLEAN>"
+    lab = pages.filter(F.col("nodes").isNotNull()).select("source_path", "nodes", F.expr(labeled).alias("_labeled"))
+    edges = lab.select(
+        "source_path", F.inline(F.expr(f"coalesce({N.map_rows('_labeled', with_parent)}, {N.empty_array(edge_t)})"))
     )
     edges = edges.filter(~F.col("broken")).drop("broken")
     if max_depth is not None:

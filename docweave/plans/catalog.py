@@ -201,8 +201,10 @@ def q_entities(spark, d):
 @register("page_nodes", "SELECT page_id, CAST(len(regexp_extract_all(html, '<[a-zA-Z]')) AS BIGINT) AS n_elements FROM pages")
 def q_page_nodes(spark, d):
     """E0 on real markup: element count per page."""
+    from docweave.functions import nodes as N
+
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
-    return sh.select("page_id", F.size(F.filter("nodes", lambda n: n["tag"] != "#text")).cast("long").alias("n_elements"))
+    return sh.select("page_id", F.expr(f"CAST(size({N.find_all(N.NODES, N.matcher())}) AS BIGINT)").alias("n_elements"))
 
 
 @register("page_titles", """
@@ -215,8 +217,7 @@ def q_page_titles(spark, d):
     from docweave.functions import nodes as N
 
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
-    nodes = F.col("nodes")
-    return sh.select("page_id", N.text(nodes, N.find(nodes, N.matcher("h1"))).alias("title"))
+    return sh.select("page_id", F.expr(N.text(N.NODES, N.find(N.NODES, N.matcher("h1")))).alias("title"))
 
 
 @register("nav_links", """
@@ -228,10 +229,9 @@ def q_nav_links(spark, d):
     from docweave.functions import nodes as N
 
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
-    nodes = F.col("nodes")
-    links = N.find_all_in(nodes, N.find(nodes, N.matcher("nav")), N.matcher("a", href=True))
-    good = F.filter(links, lambda a: (a["href"] != "") & ~F.startswith(a["href"], F.lit("#")))
-    return sh.select("page_id", F.coalesce(F.size(good), F.lit(0)).cast("long").alias("n_links"))
+    links = N.find_all_in(N.NODES, N.find(N.NODES, N.matcher("nav")), N.matcher("a", href=True))
+    good = N.find_all(links, lambda a: f"({a}.href <> '' AND NOT startswith({a}.href, '#'))")
+    return sh.select("page_id", F.expr(f"CAST(coalesce(size({good}), 0) AS BIGINT)").alias("n_links"))
 
 
 @register("entity_type", with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE) + """
