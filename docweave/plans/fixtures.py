@@ -25,16 +25,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The characters escaped in rendered text, in application order.
+HTML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
+
+
 def esc(c) -> Column:
-    """HTML-escape ``& < > "`` in a rendered value."""
-    c = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("string")
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    """HTML-escape ``& < > "`` in a rendered value (null renders as '')."""
+    if isinstance(c, str):
+        sql = f"coalesce(CAST(`{c}` AS STRING), '')"
+        for a, b in HTML_ESCAPES:
+            sql = f"replace({sql}, '{a}', '{b}')"
+        return F.expr(sql)
+    c = F.coalesce(c, F.lit("")).cast("string")
+    for a, b in HTML_ESCAPES:
         c = F.replace(c, F.lit(a), F.lit(b))
     return c
 
 
 def day(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd")
+    return F.expr(f"date_format(`{c}`, 'yyyy-MM-dd')")
 
 
 def paginate(members: DataFrame, key: str, row_id: Column, fragment: Column, order: list[Column],
