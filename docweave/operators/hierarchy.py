@@ -96,7 +96,9 @@ def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int = 10) ->
     """H3: pre-order walk from every root, one row per path (D6), with a cycle
     guard and a depth cap.  ``path`` is the array of names from the root; the
     pre-order output order is ``ORDER BY path`` (arrays compare element-wise,
-    a prefix first)."""
+    a prefix first).  ``LIMIT ALL`` lifts the session's recursion row cap
+    (``spark.sql.cteRecursionRowLimit``, 1M by default): a hierarchy at scale
+    has more classes than that; depth is bounded by ``max_depth`` instead."""
     flat = _edges_table(flat)
     return spark.sql(
         """
@@ -107,7 +109,7 @@ def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int = 10) ->
           FROM walk w JOIN {edges} e ON e.parent = w.name
           WHERE w.depth < {max_depth} AND NOT array_contains(w.path, e.name)
         )
-        SELECT root, name, depth, path FROM walk
+        SELECT root, name, depth, path FROM walk LIMIT ALL
         """,
         roots=hierarchy_roots(flat), edges=flat.filter(F.col("parent").isNotNull()).select("name", "parent"),
         max_depth=max_depth,
@@ -132,7 +134,7 @@ def hierarchy_closure(spark: SparkSession, flat: DataFrame, max_depth: int = 100
           FROM clo c JOIN {edges} e ON e.parent = c.name
           WHERE c.depth < {max_depth} AND NOT array_contains(c.path, e.name)
         )
-        SELECT anc, name, depth FROM clo
+        SELECT anc, name, depth FROM clo LIMIT ALL
         """,
         edges=flat.filter(F.col("parent").isNotNull()).select("name", "parent"), max_depth=max_depth,
     )

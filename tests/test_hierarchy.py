@@ -55,3 +55,15 @@ def test_organize_segments(spark):
     got = [(r.segment, "/".join(r.path), r.kind, r.name) for r in o]
     assert got == [(1, "A", 0, "A"), (1, "A", 1, "f"), (1, "A", 1, "f"), (1, "A/B", 0, "B"), (1, "A/B", 1, "f"),
                    (2, "", 0, "Lone"), (3, "", 1, "g")]
+
+
+def test_walk_not_capped_by_recursion_row_limit(spark):
+    chain = spark.range(0, 60).selectExpr("CAST(id AS STRING) AS name",
+                                          "CASE WHEN id > 0 THEN CAST(id - 1 AS STRING) END AS parent")
+    old = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "10")
+    try:
+        assert H.hierarchy_walk(spark, chain, max_depth=80).count() == 60
+        assert H.hierarchy_closure(spark, chain, max_depth=80).count() == 60 * 59 // 2
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", old)
