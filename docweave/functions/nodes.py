@@ -68,7 +68,7 @@ def matcher(tag: str | None = None, id: str | None = None, cls: str | None = Non
         if id is not None:
             conds.append(f"{v}.id = {lit(id)}")
         if cls is not None:
-            conds.append(f"coalesce(array_contains({v}.cls, {lit(cls)}), false)")
+            conds.append(f"instr({v}.cls, {lit(' ' + cls + ' ')}) > 0")
         if href:
             conds.append(f"{v}.href IS NOT NULL")
         return "(" + " AND ".join(conds) + ")"

@@ -29,8 +29,7 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     skipped, as in the recursive walk.
     """
     nodes = N.NODES
-    table = N.find(nodes, lambda n: f"({n}.tag = 'table' AND {n}.id = 'hrch' AND "
-                                    f"coalesce(array_contains({n}.cls, 'hierarchy-table'), false))")
+    table = N.find(nodes, N.matcher("table", id="hrch", cls="hierarchy-table"))
     cells = N.find_all_in(nodes, table, N.matcher("td", cls="hierarchy-label-cell"))
     labeled = N.map_rows(cells, lambda c: N.struct(pos=f"{c}.pos", last=f"{c}.last",
                                                    a=N.find_in(nodes, c, N.matcher("a", href=True))))

@@ -5,12 +5,14 @@ standard-library ``html.parser`` inside ``mapInArrow`` (narrow, no shuffle,
 Arrow batches in and out) and becomes one array column::
 
     nodes ARRAY<STRUCT<pos INT, last INT, parent INT, prev INT, tag STRING,
-                       id STRING, cls ARRAY<STRING>, href STRING, txt STRING>>
+                       id STRING, cls STRING, href STRING, txt STRING>>
 
 ``pos`` is the node's 0-based index in document order; an element's
 descendants are exactly the nodes ``pos+1 .. last``.  ``parent`` is the
 position of the enclosing element (-1 at the top) and ``prev`` the position of
-the previous *element* sibling (-1 if none).  Text nodes have tag ``#text``
+the previous *element* sibling (-1 if none).  ``cls`` holds the class tokens
+space-padded (``' a b '``), so a class test is ``instr(cls, ' a ') > 0`` — no
+nested array to convert per node.  Text nodes have tag ``#text``
 and carry the Unicode-stripped text in ``txt``; empty ones are dropped, as are
 script/style bodies and comments.  Every selector of the engine is then a
 Catalyst higher-order function over this array (see ``functions/nodes.py``).
@@ -37,7 +39,7 @@ NODE_TYPE = T.StructType(
         T.StructField("prev", T.IntegerType()),
         T.StructField("tag", T.StringType()),
         T.StructField("id", T.StringType()),
-        T.StructField("cls", T.ArrayType(T.StringType())),
+        T.StructField("cls", T.StringType()),
         T.StructField("href", T.StringType()),
         T.StructField("txt", T.StringType()),
     ]
@@ -61,7 +63,7 @@ _ARROW_NODE = pa.struct(
         ("prev", pa.int32()),
         ("tag", pa.string()),
         ("id", pa.string()),
-        ("cls", pa.list_(pa.string())),
+        ("cls", pa.string()),
         ("href", pa.string()),
         ("txt", pa.string()),
     ]
@@ -118,7 +120,8 @@ class _Shredder(HTMLParser):
         p = len(rows)
         prev_elem = self.prev_elem
         stack = self.stack
-        rows.append((stack[-1] if stack else -1, prev_elem[-1], tag, id_, cls.split() if cls else [], href, None))
+        rows.append((stack[-1] if stack else -1, prev_elem[-1], tag, id_, f" {' '.join(cls.split())} " if cls else " ",
+                     href, None))
         self.last.append(p)
         prev_elem[-1] = p
         if tag not in VOID_ELEMENTS:
@@ -222,7 +225,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             pa.array(cols["prev"], pa.int32()),
             pa.array(cols["tag"], pa.string()),
             pa.array(cols["id"], pa.string()),
-            pa.array(cols["cls"], pa.list_(pa.string())),
+            pa.array(cols["cls"], pa.string()),
             pa.array(cols["href"], pa.string()),
             pa.array(cols["txt"], pa.string()),
         ],

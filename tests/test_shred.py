@@ -9,7 +9,7 @@ def nodes(html):
 def test_intervals_and_text():
     ns = nodes("<div id='a' class='x y'><p>one <b>two</b></p>tail</div>")
     div = ns[0]
-    assert div["tag"] == "div" and div["id"] == "a" and div["cls"] == ["x", "y"]
+    assert div["tag"] == "div" and div["id"] == "a" and div["cls"] == " x y "
     assert div["last"] == len(ns) - 1
     texts = [n["txt"] for n in ns if n["tag"] == "#text"]
     assert texts == ["one", "two", "tail"]
