@@ -17,35 +17,69 @@ from docweave.session import materialize
 
 
 
+# Bounds of the linear parent walk: element levels between a label cell and
+# the label cell enclosing it (td > tr > table > td is 3, 4 with a tbody), and
+# label levels above a cell.
+ELEMENT_HOPS = 32
+LABEL_HOPS = 64
+
+
 def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     """``table.hierarchy-table#hrch`` → one row per label cell.
 
     A label cell (``td.hierarchy-label-cell``) names its node by its first
-    ``a[href]``; its parent is the innermost enclosing label cell (position
-    interval containment), its depth the number of enclosing label cells.
-    Cells deeper than ``max_depth`` are cut (0 = roots only).  A cell with no
-    link of its own is named by the first link inside it (descendant
-    semantics); a cell with no link at all, and everything under it, is
-    skipped, as in the recursive walk.
+    ``a[href]``; its parent is the innermost enclosing label cell and its
+    depth the number of enclosing label cells.  Cells deeper than
+    ``max_depth`` are cut (0 = roots only).  A cell with no link of its own is
+    named by the first link inside it (descendant semantics); a cell with no
+    link at all, and everything under it, is skipped, as in the recursive walk.
+
+    Linear per page: each cell follows ``parent`` pointers (at most
+    ``ELEMENT_HOPS`` element levels) to its nearest enclosing label cell, then
+    depth and the missing-link flag are found by hopping up the label tree
+    through a position → cell map (at most ``LABEL_HOPS`` levels).  A single
+    page holding a whole hierarchy of k classes therefore costs O(k · depth),
+    not O(k²).
     """
+    if max_depth is not None and max_depth > LABEL_HOPS:
+        raise ValueError(f"max_depth above {LABEL_HOPS} is not supported")
     nodes = N.NODES
     table = N.find(nodes, N.matcher("table", id="hrch", cls="hierarchy-table"))
     cells = N.find_all_in(nodes, table, N.matcher("td", cls="hierarchy-label-cell"))
-    labeled = N.map_rows(cells, lambda c: N.struct(pos=f"{c}.pos", last=f"{c}.last",
-                                                   a=N.find_in(nodes, c, N.matcher("a", href=True))))
+    is_label = N.matcher("td", cls="hierarchy-label-cell")
+
+    def nearest_label_above(c):
+        acc, i = N.fresh(), N.fresh()
+        at = N.node_at(nodes, acc)
+        step = f"CASE WHEN {acc} < 0 OR {is_label(at)} THEN {acc} ELSE ({at}).parent END"
+        return f"aggregate(sequence(1, {ELEMENT_HOPS}), {c}.parent, ({acc}, {i}) -> {step})"
+
+    def labeled_cell(c):
+        up = nearest_label_above(c)
+        return N.struct(pos=f"{c}.pos", up=f"CASE WHEN {N.node_at(nodes, up)} IS NOT NULL AND "
+                                            f"{is_label(N.node_at(nodes, up))} THEN {up} ELSE -1 END",
+                        a=N.find_in(nodes, c, N.matcher("a", href=True)))
+
+    labeled = N.map_rows(cells, labeled_cell)
+    by_pos = "map_from_arrays(transform(_labeled, lv_l -> lv_l.pos), _labeled)"
 
     def with_parent(x):
-        y, z = N.fresh(), N.fresh()
-        enclosing = f"filter(_labeled, {y} -> {y}.pos < {x}.pos AND {x}.pos <= {y}.last)"
-        par = N.last(enclosing)
+        acc, i = N.fresh(), N.fresh()
+        start = f"named_struct('cur', {x}.up, 'depth', 0, 'broken', {x}.a IS NULL)"
+        nxt = f"element_at(_by_pos, {acc}.cur)"
+        step = (f"CASE WHEN {acc}.cur < 0 THEN {acc} ELSE named_struct('cur', ({nxt}).up, 'depth', {acc}.depth + 1, "
+                f"'broken', {acc}.broken OR ({nxt}).a IS NULL) END")
+        walk = f"aggregate(sequence(1, {LABEL_HOPS}), {start}, ({acc}, {i}) -> {step})"
+        parent = f"CASE WHEN {x}.up >= 0 THEN element_at(_by_pos, {x}.up) END"
         return N.struct(
             pos=f"{x}.pos", name=N.text(nodes, f"{x}.a"), link=f"{x}.a.href",
-            parent=N.text(nodes, f"({par}).a"), depth=f"size({enclosing})",
-            broken=f"exists(concat({enclosing}, array({x})), {z} -> {z}.a IS NULL)",
+            parent=N.text(nodes, f"({parent}).a"), depth=f"({walk}).depth",
+            broken=f"({walk}).broken OR ({walk}).cur >= 0",
         )
 
     edge_t = "STRUCT<pos: INT, name: STRING, link: STRING, parent: STRING, depth: INT, broken: BOOLEAN>"
     lab = pages.filter(F.col("nodes").isNotNull()).select("source_path", "nodes", F.expr(labeled).alias("_labeled"))
+    lab = lab.select("source_path", "nodes", "_labeled", F.expr(by_pos).alias("_by_pos"))
     edges = lab.select(
         "source_path", F.inline(F.expr(f"coalesce({N.map_rows('_labeled', with_parent)}, {N.empty_array(edge_t)})"))
     )

@@ -67,3 +67,16 @@ def test_walk_not_capped_by_recursion_row_limit(spark):
         assert H.hierarchy_closure(spark, chain, max_depth=80).count() == 60 * 59 // 2
     finally:
         spark.conf.set("spark.sql.cteRecursionRowLimit", old)
+
+
+def test_single_large_hierarchy_page_is_linear(spark):
+    import time
+
+    kids = "".join(cell(f"C{i}", nested(*[cell(f"G{i}_{j}") for j in range(60)])) for i in range(50))
+    page = '<table class="hierarchy-table" id="hrch">' + cell("Root", nested(kids)) + "</table>"
+    t0 = time.time()
+    e = H.hierarchy_edges(page_df(spark, page), max_depth=10).collect()
+    assert time.time() - t0 < 60
+    assert len(e) == 1 + 50 + 50 * 60
+    by = {r.name: (r.parent, r.depth) for r in e}
+    assert by["Root"] == (None, 0) and by["C7"] == ("Root", 1) and by["G7_59"] == ("C7", 2)
