@@ -924,7 +924,7 @@ FROM events, a GROUP BY event_type""")
 def q_category_progress(spark, d):
     """W1 (batch form): latest count/status/heartbeat per category, stale after 30 s."""
     p = category_progress(tbl(spark, d, "events"))
-    hb = F.unix_micros(F.col("heartbeat").cast("timestamp"))
+    hb = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)")
     return p.select("category", "count", "status", hb.alias("heartbeat_us"),
                     (F.col("age_seconds") * 1_000_000).cast("long").alias("age_us"), "stale")
 

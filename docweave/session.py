@@ -70,3 +70,11 @@ def materialize(df):
     a frame feeds a recursive CTE or several consumers."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark, path: str) -> bool:
+    """Existence test on the cluster's file system (HDFS, object store, …),
+    not on the driver's local disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

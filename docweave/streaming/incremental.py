@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from docweave.operators.extract import extract_entities
 from docweave.operators.quality import only_new
 from docweave.operators.shred import shred
+from docweave.session import path_exists
 
 PAGE_SCHEMA = "category string, source_path string, html string"
 
@@ -25,11 +26,8 @@ def _process(out_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         pages = batch
-        try:
-            done = spark.read.parquet(out_path).select("source_path")
-            pages = only_new(batch, done)
-        except Exception:  # first batch: no output yet
-            pass
+        if path_exists(spark, out_path):  # skip pages extracted by an earlier run (J6)
+            pages = only_new(batch, spark.read.parquet(out_path).select("source_path"))
         ents = extract_entities(shred(pages, keep=["category", "source_path"]))
         ents.write.mode("append").parquet(out_path)
 
@@ -54,9 +52,9 @@ def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpo
     """Run to completion (``availableNow``) and return the accumulated output."""
     q = stream_extract(spark, source_dir, out_path, checkpoint)
     q.awaitTermination()
-    try:
+    if path_exists(spark, out_path):
         return spark.read.parquet(out_path)
-    except Exception:  # nothing arrived yet
+    else:  # nothing arrived yet
         from pyspark.sql import types as T
 
         from docweave.operators.extract import ENTITY_SCHEMA

@@ -34,7 +34,8 @@ def category_progress(events: DataFrame, category: str = "event_type", ts: str =
     events)."""
     latest = events.groupBy(category).agg(*_progress_aggs(ts, status, value))
     latest = latest.withColumn("as_of", F.max("heartbeat").over(Window.partitionBy()))
-    age = (F.unix_micros(F.col("as_of").cast("timestamp")) - F.unix_micros(F.col("heartbeat").cast("timestamp"))) / 1_000_000
+    # timestamp differences on the stored values: no session time zone involved
+    age = F.expr("timestampdiff(MICROSECOND, heartbeat, as_of)") / 1_000_000
     return latest.select(
         F.col(category).alias("category"), "count", F.col("status").cast("string").alias("status"), "heartbeat",
         age.cast("double").alias("age_seconds"), (age > stale_after).alias("stale"),

@@ -74,7 +74,14 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_session("local[8]")
+    if os.environ.get("DW_PLAIN_SESSION"):
+        # the driver's kind of session: none of our defaults, another time zone
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.session.timeZone", os.environ["DW_PLAIN_SESSION"]).getOrCreate())
+    else:
+        spark = get_session("local[8]")
     con = duck(sf_dir)
     qs, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
