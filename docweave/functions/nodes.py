@@ -16,6 +16,7 @@ missing); a *scope* to an array of nodes.  ``pos`` is 0-based and ``slice``
 from __future__ import annotations
 
 import itertools
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +43,20 @@ def col(sql: str) -> Column:
     return F.expr(sql)
 
 
+_SIMPLE = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*")
+
+
+def let(expr: str, body) -> str:
+    """Evaluate ``expr`` once and use it in ``body`` as a lambda variable
+    (``transform(array(expr), v -> body(v))[1]``).  SQL text would otherwise
+    repeat — and Spark re-evaluate — an element lookup at every use, and
+    common subexpressions are not shared inside lambda bodies."""
+    if _SIMPLE.fullmatch(expr):
+        return body(expr)
+    v = fresh()
+    return f"element_at(transform(array({expr}), {v} -> {body(v)}), 1)"
+
+
 def first(arr: str) -> str:
     """First element, null on an empty or null array."""
     return f"try_element_at({arr}, 1)"
@@ -53,7 +68,7 @@ def last(arr: str) -> str:
 
 def descendants(nodes: str, e: str) -> str:
     """All nodes inside element ``e`` (null when ``e`` is null)."""
-    return f"(CASE WHEN ({e}) IS NOT NULL THEN slice({nodes}, ({e}).pos + 2, ({e}).last - ({e}).pos) END)"
+    return let(e, lambda x: f"(CASE WHEN {x} IS NOT NULL THEN slice({nodes}, {x}.pos + 2, {x}.last - {x}.pos) END)")
 
 
 def node_at(nodes: str, pos: str) -> str:
@@ -109,7 +124,7 @@ def texts(nodes: str, e: str) -> str:
 def text(nodes: str, e: str, sep: str = "") -> str:
     """E1 ``node_text``: text nodes stripped, empties dropped, joined by ``sep``;
     null when the element is missing."""
-    return f"(CASE WHEN ({e}) IS NOT NULL THEN array_join({texts(nodes, e)}, {lit(sep)}) END)"
+    return let(e, lambda x: f"(CASE WHEN {x} IS NOT NULL THEN array_join({texts(nodes, x)}, {lit(sep)}) END)")
 
 
 def text_or(nodes: str, e: str, default: str = "") -> str:

@@ -114,16 +114,20 @@ def overloads_expr(nodes: str, section: str) -> str:
     """Rows with ≥4 cells; cell 0 ignored; the name cell's first ``a[href]``."""
 
     def one(cs):
-        name_cell = N.cell(cs, 2)
-        link = N.find_in(nodes, name_cell, N.matcher("a", href=True))
-        args = N.find_in(nodes, name_cell, N.matcher("div", cls="name-cell-arguments"))
-        return N.struct(
-            return_type=N.text(nodes, N.cell(cs, 1)),
-            name=f"CASE WHEN ({link}) IS NOT NULL THEN {N.text(nodes, link)} ELSE {N.text(nodes, name_cell)} END",
-            link=f"({link}).href",
-            arguments=N.text(nodes, args),
-            description=N.text(nodes, N.cell(cs, 3)),
-        )
+        def with_cell(name_cell):
+            def with_link(link):
+                args = N.find_in(nodes, name_cell, N.matcher("div", cls="name-cell-arguments"))
+                return N.struct(
+                    return_type=N.text(nodes, N.cell(cs, 1)),
+                    name=f"CASE WHEN {link} IS NOT NULL THEN {N.text(nodes, link)} ELSE {N.text(nodes, name_cell)} END",
+                    link=f"{link}.href",
+                    arguments=N.text(nodes, args),
+                    description=N.text(nodes, N.cell(cs, 3)),
+                )
+
+            return N.let(N.find_in(nodes, name_cell, N.matcher("a", href=True)), with_link)
+
+        return N.let(N.cell(cs, 2), with_cell)
 
     return N.map_rows(N.row_cells(nodes, section, 4), one)
 
