@@ -89,6 +89,14 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     return edges
 
 
+def hierarchy_pages(pages: DataFrame, all_pages: bool = False, root: str = "ClassHierarchy") -> DataFrame:
+    """The hierarchy page (``<root>/index.html``), or with ``all_pages``
+    every ``index.html`` under ``<root>/`` (one shard per page)."""
+    if all_pages:
+        return pages.filter(F.startswith("source_path", F.lit(root + "/")))
+    return pages.filter(F.col("source_path") == f"{root}/index.html")
+
+
 def hierarchy_flat(edges: DataFrame) -> DataFrame:
     """H1: one row per tree position ``(name, link, parent, depth)`` over all
     shards (a node repeated on several shard pages is one row)."""

@@ -520,9 +520,9 @@ FROM pages WHERE regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]+)', 1) NOT IN ('es
 def q_scan_categories(spark, d):
     """Pages per category (first url segment), excluded categories
     (trimmed, lower-cased, empties dropped) removed before anything else."""
-    excluded = {e.strip().lower() for e in [" ES ", "", "  "] if e.strip()}
-    p = url_pages(spark, d)
-    return p.filter(~F.col("category").isin(sorted(excluded))).select("category", "source_path", "page_id")
+    from docweave.sources.files import exclude_categories
+
+    return exclude_categories(url_pages(spark, d), [" ES ", "", "  "]).select("category", "source_path", "page_id")
 
 
 @register("safe_key", """

@@ -39,6 +39,8 @@ def category_progress(events: DataFrame, category: str = "event_type", ts: str =
     return latest.select(
         F.col(category).alias("category"), "count", F.col("status").cast("string").alias("status"), "heartbeat",
         age.cast("double").alias("age_seconds"), (age > stale_after).alias("stale"),
+        # a category that never reported shows '-'
+        F.when(F.col("heartbeat").isNull(), F.lit("-")).otherwise(F.col("heartbeat").cast("string")).alias("last_update"),
     )
 
 

@@ -71,3 +71,19 @@ def test_line_numbers_dense_per_group(spark):
         assert [l for _, l in mine] == list(range(len(mine)))
     pos = K.position_index(df, "category", order=["line_no"]).collect()
     assert len(pos) == 14
+
+
+def test_read_hierarchy_last_line_wins(spark):
+    d = tempfile.mkdtemp(prefix="dw-hier-", dir="/tmp")
+    with open(f"{d}/class_hierarchy.ndjson", "w") as f:
+        f.write(json.dumps({"name": "A", "link": "a1", "parent": None, "children": ["B"]}) + "\n")
+        f.write(json.dumps({"name": "B", "link": "b", "parent": "A", "children": []}) + "\n")
+        f.write(json.dumps({"name": "A", "link": "a2", "parent": None, "children": ["B", "C"]}) + "\n")
+    h = {r.name: r for r in S.read_hierarchy(spark, d).collect()}
+    assert h["A"].link == "a2" and h["A"].children == ["B", "C"] and h["B"].parent == "A"
+
+
+def test_exclusion_list_normalised(spark):
+    df = spark.createDataFrame([("Editor",), ("runtime",), ("plugins",)], "category string")
+    got = sorted(r[0] for r in S.exclude_categories(df, [" EDITOR ", "", "Plugins"]).collect())
+    assert got == ["runtime"]
