@@ -1003,3 +1003,23 @@ def q_hier_order(spark, d):
 def q_hier_attached(spark, d):
     """H5: segment 1 only — per visited node its class row, then its related entities."""
     return q_organize_by_hierarchy(spark, d).filter(F.col("segment") == 1)
+
+
+@register("category_progress_stream", """
+SELECT event_type AS category, CAST(count(*) AS BIGINT) AS count,
+       CAST(arg_max(user_id, (ts, event_id)) AS VARCHAR) AS status, epoch_us(max(ts)) AS heartbeat_us
+FROM events GROUP BY event_type""")
+def q_category_progress_stream(spark, d):
+    """W1 (streaming form): the events file read as a stream, aggregated per
+    category in complete mode with a checkpoint; equals the batch result."""
+    from docweave.session import ensure_checkpoint_dir
+    from docweave.streaming.progress import progress_to_table
+
+    base = os.path.join(ensure_checkpoint_dir(spark), "progress_stream", uuid.uuid4().hex)
+    events = tbl(spark, d, "events")
+    # a one-character class in the glob makes the single file a stream source
+    src = f"{d}/events.parque[t]"
+    out = progress_to_table(spark, src, events.schema, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
+    hb = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)")
+    return out.select(F.col("event_type").alias("category"), "count", F.col("status").cast("string").alias("status"),
+                      hb.alias("heartbeat_us"))

@@ -55,3 +55,20 @@ def progress_stream(spark, source_dir: str, schema, category: str = "event_type"
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     return w.start()
+
+
+def progress_to_table(spark, source_glob: str, schema, out_path: str, checkpoint: str, category: str = "event_type",
+                      ts: str = "ts", status: str = "user_id", value: str = "event_id"):
+    """Streaming W1 into a table: the complete per-category state is written
+    (overwrite) after every micro-batch; ``availableNow`` drains what is there
+    and stops.  The state store holds one row per category."""
+    stream = spark.readStream.schema(schema).parquet(source_glob)
+    agg = stream.groupBy(category).agg(*_progress_aggs(ts, status, value))
+
+    def write(batch, _batch_id):
+        batch.write.mode("overwrite").parquet(out_path)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out_path)
