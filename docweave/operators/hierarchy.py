@@ -41,7 +41,9 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     page holding a whole hierarchy of k classes therefore costs O(k · depth),
     not O(k²).
     """
-    if max_depth is not None and max_depth > LABEL_HOPS:
+    if max_depth is None:
+        max_depth = LABEL_HOPS
+    if max_depth > LABEL_HOPS:
         raise ValueError(f"max_depth above {LABEL_HOPS} is not supported")
     nodes = N.NODES
     table = N.find(nodes, N.matcher("table", id="hrch", cls="hierarchy-table"))
@@ -55,9 +57,13 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
         return f"aggregate(sequence(1, {ELEMENT_HOPS}), {c}.parent, ({acc}, {i}) -> {step})"
 
     def labeled_cell(c):
-        up = nearest_label_above(c)
-        return N.struct(pos=f"{c}.pos", up=f"CASE WHEN {N.node_at(nodes, up)} IS NOT NULL AND "
-                                            f"{is_label(N.node_at(nodes, up))} THEN {up} ELSE -1 END",
+        # up: position of the enclosing label cell; -1 at the top; -2 when the
+        # walk ran out of hops (pathological nesting: reported as broken)
+        def classify(up):
+            at = N.node_at(nodes, up)
+            return f"CASE WHEN {up} < 0 THEN -1 WHEN {is_label(at)} THEN {up} ELSE -2 END"
+
+        return N.struct(pos=f"{c}.pos", up=N.let(nearest_label_above(c), classify),
                         a=N.find_in(nodes, c, N.matcher("a", href=True)))
 
     labeled = N.map_rows(cells, labeled_cell)
@@ -65,10 +71,10 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
 
     def with_parent(x):
         acc, i = N.fresh(), N.fresh()
-        start = f"named_struct('cur', {x}.up, 'depth', 0, 'broken', {x}.a IS NULL)"
+        start = f"named_struct('cur', {x}.up, 'depth', 0, 'broken', {x}.a IS NULL OR {x}.up = -2)"
         nxt = f"element_at(_by_pos, {acc}.cur)"
         step = (f"CASE WHEN {acc}.cur < 0 THEN {acc} ELSE named_struct('cur', ({nxt}).up, 'depth', {acc}.depth + 1, "
-                f"'broken', {acc}.broken OR ({nxt}).a IS NULL) END")
+                f"'broken', {acc}.broken OR ({nxt}).a IS NULL OR ({nxt}).up = -2) END")
         walk = f"aggregate(sequence(1, {LABEL_HOPS}), {start}, ({acc}, {i}) -> {step})"
         parent = f"CASE WHEN {x}.up >= 0 THEN element_at(_by_pos, {x}.up) END"
         return N.struct(
