@@ -572,7 +572,7 @@ x6 AS (
 
 
 @register("read_entities_tolerant", with_ctes(X6_CTE) + """
-SELECT category, line_no, substr(text, 1, 40) AS name, entity_type, source_path FROM x6 WHERE NOT bad""")
+SELECT category, line_no, text AS name, entity_type, source_path FROM x6 WHERE NOT bad""")
 def q_read_entities_tolerant(spark, d):
     """Typed entities from NDJSON lines; malformed lines skipped, never fatal."""
     return C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "name", "entity_type", "source_path")
@@ -590,12 +590,12 @@ def q_dead_letters(spark, d):
 
 @register("sanitize_entities", with_ctes(X6_CTE) + f"""
 SELECT category, line_no,
-       {duck_clean('substr(text, 1, 40)')} AS name,
+       {duck_clean('text')} AS name,
        lang || ' doc ' || line_no AS short_description,
        CASE WHEN line_no % 10 = 2 THEN '' ELSE lang || '|' || source END AS navigation,
        CASE line_no % 10 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE {duck_clean('source')} END AS module,
        '' AS header, '' AS include, '' AS syntax,
-       CASE line_no % 10 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE {duck_clean('substr(text, 41, 60)')} END AS remarks,
+       CASE line_no % 10 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE source || ' ' || lang END AS remarks,
        entity_type, source_path
 FROM x6 WHERE NOT bad""")
 def q_sanitize_entities(spark, d):

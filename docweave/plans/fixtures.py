@@ -338,17 +338,17 @@ X6_CATEGORIES = ("developer", "runtime")
 def x6_entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NDJSON line per document: ``(category, line_no, value)``.
 
+    * ``name`` is the whole document text (multi-line, messy whitespace)
     * ``doc_id % 10 == 0``: keys ``module``/``remarks`` missing
     * ``doc_id % 10 == 1``: explicit nulls for ``module``/``remarks``
     * ``doc_id % 10 == 2``: ``navigation`` is a string
-    * ``doc_id % 17 == 0``: the line is truncated (invalid JSON)
+    * ``doc_id % 17 == 0``: the closing brace is missing (invalid JSON)
     * ``doc_id % 23 == 0``: empty ``source_path``
     * ``source_path`` = ``Docs/<md5(text)[0:12]>``: exact text copies collide
     * category: ``developer`` for lang en/de, else ``runtime``
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     i = F.col("doc_id")
-    name = F.substring(F.col("text"), 1, 40)
     sp = F.when(i % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("Docs/"), F.substring(F.md5(F.col("text")), 1, 12)))
     nav = F.when(i % 10 == 2, jstr(F.col("source"))).otherwise(
         F.concat(F.lit("["), jstr(F.col("lang")), F.lit(", "), jstr(F.col("source")), F.lit("]"))
@@ -357,16 +357,16 @@ def x6_entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kv = lambda k, v: F.concat(F.lit(f'"{k}": '), v)
     opt = lambda k, v: F.when(i % 10 == 0, F.lit(None)).when(i % 10 == 1, kv(k, F.lit("null"))).otherwise(kv(k, v))
     parts = F.array(
-        kv("name", jstr(name)),
+        kv("name", jstr(F.col("text"))),
         kv("short_description", jstr(F.concat(F.lit("  "), F.col("lang"), F.lit("\t doc  "), i.cast("string"), F.lit(" ")))),
         kv("navigation", nav),
         opt("module", jstr(F.col("source"))),
-        opt("remarks", jstr(F.substring(F.col("text"), 41, 60))),
+        opt("remarks", jstr(F.concat(F.col("source"), F.lit(" \n\t "), F.col("lang"), F.lit("\u2003")))),
         kv("entity_type", jstr(etype)),
         kv("source_path", jstr(sp)),
     )
-    line = F.concat(F.lit("{"), F.array_join(F.filter(parts, lambda x: x.isNotNull()), ", "), F.lit("}"))
-    line = F.when(i % 17 == 0, F.substring(line, 1, 25)).otherwise(line)
+    body = F.concat(F.lit("{"), F.array_join(F.filter(parts, lambda x: x.isNotNull()), ", "))
+    line = F.when(i % 17 == 0, body).otherwise(F.concat(body, F.lit("}")))
     cat = F.when(F.col("lang").isin("en", "de"), F.lit("developer")).otherwise(F.lit("runtime"))
     return d.select(cat.alias("category"), i.alias("line_no"), line.alias("value"))
 
