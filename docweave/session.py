@@ -58,12 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
-
-
 def materialize(df):
     """Cut lineage: write ``df`` once to the shared checkpoint folder and read
     it back (survives executor loss; never a machine-local cache).  Used where
