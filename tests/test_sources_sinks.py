@@ -30,6 +30,12 @@ def test_scan_lists_each_index_once_and_excludes(spark):
     assert got == [("developer", "A/B/index.html"), ("developer", "A/index.html"), ("runtime", "F/index.html")]
     pages = S.read_pages(spark, roots, exclude=["plugins"])
     assert sorted(r.html for r in pages.collect())[0].startswith("<h1>")
+    # a page that is not valid UTF-8 is read as null html (a dead letter downstream)
+    os.makedirs(f"{root}/Runtime/Bad")
+    with open(f"{root}/Runtime/Bad/index.html", "wb") as f:
+        f.write(b"<h1>\xff\xfe broken</h1>")
+    bad = S.read_pages(spark, roots).filter("source_path = 'Bad/index.html'").collect()
+    assert len(bad) == 1 and bad[0].html is None
 
 
 def test_page_index_round_trip(spark):
