@@ -123,7 +123,11 @@ def texts(nodes: str, e: str) -> str:
 
 def text(nodes: str, e: str, sep: str = "") -> str:
     """E1 ``node_text``: text nodes stripped, empties dropped, joined by ``sep``;
-    null when the element is missing."""
+    null when the element is missing.  With no separator, a short element's
+    text comes precomputed in ``txt`` (see ``shred.py``)."""
+    if sep == "":
+        return let(e, lambda x: f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x}.txt IS NOT NULL THEN {x}.txt "
+                                f"ELSE array_join({texts(nodes, x)}, '') END)")
     return let(e, lambda x: f"(CASE WHEN {x} IS NOT NULL THEN array_join({texts(nodes, x)}, {lit(sep)}) END)")
 
 

@@ -12,7 +12,10 @@ descendants are exactly the nodes ``pos+1 .. last``.  ``parent`` is the
 position of the enclosing element (-1 at the top) and ``prev`` the position of
 the previous *element* sibling (-1 if none).  ``cls`` holds the class tokens
 space-padded (``' a b '``), so a class test is ``instr(cls, ' a ') > 0`` — no
-nested array to convert per node.  Text nodes have tag ``#text``
+nested array to convert per node.  An element's ``txt`` holds its text (the
+stripped text nodes inside it, joined with nothing) when that is at most
+``TEXT_CACHE_CHARS`` long, else null; selectors read it directly and walk the
+text nodes only for longer elements.  Text nodes have tag ``#text``
 and carry the Unicode-stripped text in ``txt``; empty ones are dropped, as are
 script/style bodies and comments.  Every selector of the engine is then a
 Catalyst higher-order function over this array (see ``functions/nodes.py``).
@@ -70,18 +73,27 @@ _ARROW_NODE = pa.struct(
 )
 
 
+# Elements whose text is at most this long carry it in ``txt``.
+TEXT_CACHE_CHARS = 256
+
+
 class _Shredder(HTMLParser):
     """Builds the flat node table for one page.
 
-    Each node is one tuple ``(parent, prev, tag, id, cls, href, txt)`` (its
-    position is its index); ``last`` is kept apart because it is set when the
-    element closes.
+    Each node is one tuple ``(parent, prev, tag, id, cls, href)`` (its
+    position is its index); ``last`` and ``txt`` are kept apart because an
+    element's values are only known when it closes.  Text lengths are kept as
+    running sums, so an element's text length is known in O(1) at close.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[tuple] = []
         self.last: list[int] = []
+        self.txt: list[str | None] = []
+        self.texts: list[str] = []        # all text nodes so far
+        self.tcum: list[int] = [0]        # running text length
+        self.tstart: list[int] = []       # first text index per open element
         self.stack: list[int] = []        # open element positions
         self.stack_tags: list[str] = []
         self.prev_elem: list[int] = [-1]  # previous element sibling per level
@@ -96,13 +108,19 @@ class _Shredder(HTMLParser):
         if text and not (self.stack_tags and self.stack_tags[-1] in RAW_TEXT_ELEMENTS):
             rows = self.rows
             self.last.append(len(rows))
-            rows.append((self.stack[-1] if self.stack else -1, -1, TEXT, None, None, None, text))
+            rows.append((self.stack[-1] if self.stack else -1, -1, TEXT, None, None, None))
+            self.txt.append(text)
+            self.texts.append(text)
+            self.tcum.append(self.tcum[-1] + len(text))
 
     def _close_top(self) -> None:
         p = self.stack.pop()
         self.stack_tags.pop()
         self.prev_elem.pop()
         self.last[p] = len(self.rows) - 1
+        start = self.tstart.pop()
+        if self.tcum[-1] - self.tcum[start] <= TEXT_CACHE_CHARS:
+            self.txt[p] = "".join(self.texts[start:]) if start < len(self.texts) else ""
 
     # -- tokenizer callbacks ---------------------------------------------
     def handle_starttag(self, tag, attrs):
@@ -121,13 +139,17 @@ class _Shredder(HTMLParser):
         prev_elem = self.prev_elem
         stack = self.stack
         rows.append((stack[-1] if stack else -1, prev_elem[-1], tag, id_, f" {' '.join(cls.split())} " if cls else " ",
-                     href, None))
+                     href))
         self.last.append(p)
         prev_elem[-1] = p
-        if tag not in VOID_ELEMENTS:
+        if tag in VOID_ELEMENTS:
+            self.txt.append("")
+        else:
+            self.txt.append(None)
             stack.append(p)
             self.stack_tags.append(tag)
             prev_elem.append(-1)
+            self.tstart.append(len(self.texts))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -172,26 +194,27 @@ class _Shredder(HTMLParser):
 _COLS = ("pos", "last", "parent", "prev", "tag", "id", "cls", "href", "txt")
 
 
-def shred_page(html: str) -> tuple[list[tuple], list[int]]:
-    """Tokenise one page → (node tuples, last positions)."""
+def shred_page(html: str) -> tuple[list[tuple], list[int], list]:
+    """Tokenise one page → (node tuples, last positions, texts)."""
     s = _Shredder()
     s.feed(html)
     s.finish()
-    return s.rows, s.last
+    return s.rows, s.last, s.txt
 
 
 def shred_html(html: str) -> dict:
     """Tokenise one page; returns the column lists of its node table."""
-    rows, last = shred_page(html)
-    cols = list(zip(*rows)) if rows else [()] * 7
+    rows, last, txt = shred_page(html)
+    cols = list(zip(*rows)) if rows else [()] * 6
     return {"pos": list(range(len(rows))), "last": last, "parent": list(cols[0]), "prev": list(cols[1]),
-            "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": list(cols[6])}
+            "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": txt}
 
 
 def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
     all_rows: list[tuple] = []
     pos: list[int] = []
     last: list[int] = []
+    txt: list = []
     offsets = [0]
     valid = []
     errors = []
@@ -202,7 +225,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             offsets.append(offsets[-1])
             continue
         try:
-            rows, lst = shred_page(h)
+            rows, lst, tx = shred_page(h)
         except Exception as e:  # a page that cannot be tokenised goes to the dead letters
             valid.append(False)
             errors.append(f"{type(e).__name__}: {e}")
@@ -210,13 +233,14 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             continue
         all_rows.extend(rows)
         last.extend(lst)
+        txt.extend(tx)
         pos.extend(range(len(rows)))
         valid.append(True)
         errors.append(None)
         offsets.append(offsets[-1] + len(rows))
-    c = list(zip(*all_rows)) if all_rows else [()] * 7
+    c = list(zip(*all_rows)) if all_rows else [()] * 6
     cols = {"pos": pos, "last": last, "parent": c[0], "prev": c[1], "tag": c[2], "id": c[3], "cls": c[4],
-            "href": c[5], "txt": c[6]}
+            "href": c[5], "txt": txt}
     struct = pa.StructArray.from_arrays(
         [
             pa.array(cols["pos"], pa.int32()),

@@ -66,6 +66,7 @@ def test_shred_intervals_match_tree(t):
     for i, w in zip(els, want):
         got = [r["txt"][j] for j in range(i + 1, r["last"][i] + 1) if r["tag"][j] == "#text"]
         assert got == texts(w)
+        assert r["txt"][i] is None or r["txt"][i] == "".join(texts(w))
 
 
 def test_organize_covers_every_named_entity(spark):

@@ -55,3 +55,14 @@ def test_href_presence():
 def test_self_closing_non_void():
     ns = nodes("<div/><p>x</p>")
     assert ns[0]["last"] == 0 and ns[1]["parent"] == -1
+
+
+def test_element_text_cached_when_short():
+    from docweave.operators.shred import TEXT_CACHE_CHARS
+
+    long = "x" * (TEXT_CACHE_CHARS + 1)
+    ns = nodes(f"<div><p> a <b>b</b> </p><br><span>{long}</span><i></i></div>")
+    by_tag = {n["tag"]: n for n in ns if n["tag"] != "#text"}
+    assert by_tag["p"]["txt"] == "ab" and by_tag["b"]["txt"] == "b"
+    assert by_tag["br"]["txt"] == "" and by_tag["i"]["txt"] == ""
+    assert by_tag["span"]["txt"] is None and by_tag["div"]["txt"] is None
