@@ -28,12 +28,18 @@ whatever is still open closes at end of input.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The Arrow stage's code is shipped with the task (pickled by value), so
+# executors need only the standard library and pyarrow — not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_TYPE = T.StructType(
     [
         T.StructField("pos", T.IntegerType()),
