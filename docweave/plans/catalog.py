@@ -1029,3 +1029,34 @@ def q_category_progress_stream(spark, d):
     hb = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)")
     return out.select(F.col("event_type").alias("category"), "count", F.col("status").cast("string").alias("status"),
                       hb.alias("heartbeat_us"))
+
+
+CYCLIC_EDGES_SQL = """
+e AS (
+  SELECT r.r_name AS parent, n.n_name AS name FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+  UNION ALL
+  SELECT a.n_name, b.n_name FROM nation a JOIN nation b ON b.n_nationkey = (a.n_nationkey + 1) % 25)"""
+
+
+@register("hierarchy_walk_cyclic", "WITH RECURSIVE " + CYCLIC_EDGES_SQL.strip() + """,
+walk(root, name, depth, path) AS (
+  SELECT r_name, r_name, 0, [r_name] FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)
+  UNION ALL
+  SELECT w.root, e.name, w.depth + 1, list_append(w.path, e.name)
+  FROM walk w JOIN e ON e.parent = w.name
+  WHERE w.depth < 10 AND NOT list_contains(w.path, e.name))
+SELECT root, name, CAST(depth AS BIGINT) AS depth, array_to_string(path, '/') AS path FROM walk""")
+def q_hierarchy_walk_cyclic(spark, d):
+    """H3 / D6 on a graph with cycles and two-parent nodes: regions → nations
+    plus a successor ring over the nations.  One row per path, cycle guard,
+    depth cap 10."""
+    nation, region = tbl(spark, d, "nation"), tbl(spark, d, "region")
+    tree = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        F.col("n_name").alias("name"), F.col("r_name").alias("parent"))
+    a, b = nation.alias("a"), nation.alias("b")
+    ring = a.join(b, F.col("b.n_nationkey") == F.pmod(F.col("a.n_nationkey") + 1, F.lit(25))).select(
+        F.col("b.n_name").alias("name"), F.col("a.n_name").alias("parent"))
+    roots = region.join(nation, region["r_regionkey"] == nation["n_regionkey"], "left_semi").select(
+        F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"))
+    w = H.hierarchy_walk(spark, tree.unionByName(ring).unionByName(roots), max_depth=10)
+    return w.select("root", "name", F.col("depth").cast("long").alias("depth"), F.array_join("path", "/").alias("path"))
