@@ -1060,3 +1060,10 @@ def q_hierarchy_walk_cyclic(spark, d):
         F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"))
     w = H.hierarchy_walk(spark, tree.unionByName(ring).unionByName(roots), max_depth=10)
     return w.select("root", "name", F.col("depth").cast("long").alias("depth"), F.array_join("path", "/").alias("path"))
+
+
+@register("hierarchy_depth_zero", with_ctes(X5_CTE) + """
+SELECT name, link FROM x5_nodes WHERE depth = 0""")
+def q_hierarchy_depth_zero(spark, d):
+    """H2 at max_depth 0: the parse stops at the roots."""
+    return hierarchy_flat(spark, d, max_depth=0).select("name", "link")
