@@ -21,6 +21,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docweave.functions.markup import ROW_CLASS
+
 TEXT = "#text"
 NODES = "nodes"
 
@@ -135,7 +137,7 @@ def text_or(nodes: str, e: str, default: str = "") -> str:
     return f"coalesce({text(nodes, e)}, {lit(default)})"
 
 
-def rows(nodes: str, scope_elem: str, row_cls: str = "normal-row") -> str:
+def rows(nodes: str, scope_elem: str, row_cls: str = ROW_CLASS) -> str:
     """``tr.<row_cls>`` descendants of an element (descendant semantics, so rows
     of nested tables are included, as a CSS ``tr`` selector does)."""
     return find_all_in(nodes, scope_elem, matcher("tr", cls=row_cls))
@@ -146,7 +148,7 @@ def cells(nodes: str, row: str) -> str:
     return find_all_in(nodes, row, matcher("td"))
 
 
-def table_rows(nodes: str, section: str, first_table: bool, row_cls: str = "normal-row") -> str:
+def table_rows(nodes: str, section: str, first_table: bool, row_cls: str = ROW_CLASS) -> str:
     """Rows of a section: of its first ``table`` when ``first_table`` (generic
     extractor), otherwise of the whole section (class-detail parser)."""
     scope = find_in(nodes, section, matcher("table")) if first_table else section

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.functions import markup as M
 from docweave.functions import nodes as N
 from docweave.functions.nodes import NODES, lit
 
@@ -56,9 +57,9 @@ def entity_type_expr(nodes: str, h1: str) -> str:
         f"WHEN {' OR '.join(f'contains({t}, {lit(w)})' for w in words)} THEN {lit(name)}" for name, words in TYPE_KEYWORDS
     )
     fallback = (
-        f"CASE WHEN {N.exists(nodes, N.matcher('div', id='variables'))} THEN 'class' "
-        f"WHEN {N.exists(nodes, N.matcher('div', cls='members'))} THEN 'function' "
-        f"WHEN {N.exists(nodes, N.matcher('div', id='values'))} THEN 'enum' ELSE 'unknown' END"
+        f"CASE WHEN {N.exists(nodes, N.matcher('div', id=M.VARIABLES_ID))} THEN 'class' "
+        f"WHEN {N.exists(nodes, N.matcher('div', cls=M.MEMBERS_CLASS))} THEN 'function' "
+        f"WHEN {N.exists(nodes, N.matcher('div', id=M.VALUES_ID))} THEN 'enum' ELSE 'unknown' END"
     )
     return f"coalesce(CASE WHEN ({h1}) IS NOT NULL THEN CASE {whens} END END, {fallback})"
 
@@ -90,7 +91,7 @@ def reference_field(pairs: str, kind: str) -> str:
 
 def syntax_expr(nodes: str, syntax_div: str, sep: str) -> str:
     """``div#syntax`` → ``div.simplecode_api`` → first ``p``, texts joined by ``sep``."""
-    api = N.find_in(nodes, syntax_div, N.matcher("div", cls="simplecode_api"))
+    api = N.find_in(nodes, syntax_div, N.matcher("div", cls=M.SYNTAX_BLOCK_CLASS))
     p = N.find_in(nodes, api, N.matcher("p"))
     return N.text(nodes, p, sep)
 
@@ -116,7 +117,7 @@ def overloads_expr(nodes: str, section: str) -> str:
     def one(cs):
         def with_cell(name_cell):
             def with_link(link):
-                args = N.find_in(nodes, name_cell, N.matcher("div", cls="name-cell-arguments"))
+                args = N.find_in(nodes, name_cell, N.matcher("div", cls=M.ARGUMENTS_CLASS))
                 return N.struct(
                     return_type=N.text(nodes, N.cell(cs, 1)),
                     name=f"CASE WHEN {link} IS NOT NULL THEN {N.text(nodes, link)} ELSE {N.text(nodes, name_cell)} END",
@@ -146,15 +147,15 @@ def with_anchors(df: DataFrame, anchors: dict) -> DataFrame:
 
 
 GENERIC_ANCHORS = {
-    "_h1": N.matcher("h1"),
-    "_h2": N.matcher("h2"),
-    "_crumbs": N.matcher("div", cls="crumbs"),
-    "_refs": N.matcher("div", id="references"),
-    "_syntax": N.matcher("div", id="syntax"),
-    "_descr": N.matcher("div", id="description"),
-    "_vars": N.matcher("div", id="variables"),
-    "_members": N.matcher("div", cls="members"),
-    "_values": N.matcher("div", id="values"),
+    "_h1": N.matcher(M.TITLE_TAG),
+    "_h2": N.matcher(M.SUBTITLE_TAG),
+    "_crumbs": N.matcher("div", cls=M.CRUMBS_CLASS),
+    "_refs": N.matcher("div", id=M.REFERENCES_ID),
+    "_syntax": N.matcher("div", id=M.SYNTAX_ID),
+    "_descr": N.matcher("div", id=M.DESCRIPTION_ID),
+    "_vars": N.matcher("div", id=M.VARIABLES_ID),
+    "_members": N.matcher("div", cls=M.MEMBERS_CLASS),
+    "_values": N.matcher("div", id=M.VALUES_ID),
 }
 
 _VARIABLES_T = "STRUCT<type: STRING, name: STRING, description: STRING>"

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.functions import markup as M
 from docweave.functions import nodes as N
 from docweave.session import materialize
 
@@ -46,9 +47,9 @@ def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
     if max_depth > LABEL_HOPS:
         raise ValueError(f"max_depth above {LABEL_HOPS} is not supported")
     nodes = N.NODES
-    table = N.find(nodes, N.matcher("table", id="hrch", cls="hierarchy-table"))
-    cells = N.find_all_in(nodes, table, N.matcher("td", cls="hierarchy-label-cell"))
-    is_label = N.matcher("td", cls="hierarchy-label-cell")
+    table = N.find(nodes, N.matcher("table", id=M.HIERARCHY_TABLE_ID, cls=M.HIERARCHY_TABLE_CLASS))
+    cells = N.find_all_in(nodes, table, N.matcher("td", cls=M.HIERARCHY_LABEL_CLASS))
+    is_label = N.matcher("td", cls=M.HIERARCHY_LABEL_CLASS)
 
     def nearest_label_above(c):
         acc, i = N.fresh(), N.fresh()
