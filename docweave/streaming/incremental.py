@@ -21,15 +21,29 @@ from docweave.session import path_exists
 
 PAGE_SCHEMA = "category string, source_path string, html string"
 
+# The output is partitioned by a hash bucket of the page key, so the
+# skip-existing check of a micro-batch reads only the buckets its own pages
+# fall into (partition pruning), not the whole output.
+KEY_BUCKETS = 64
+
+
+def key_bucket(path_col: str = "source_path"):
+    from docweave.functions.text import safe_key
+
+    return F.pmod(F.xxhash64(safe_key(F.col(path_col))), F.lit(KEY_BUCKETS)).cast("int")
+
 
 def _process(out_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        pages = batch
+        pages = batch.withColumn("key_bucket", key_bucket())
         if path_exists(spark, out_path):  # skip pages extracted by an earlier run (J6)
-            pages = only_new(batch, spark.read.parquet(out_path).select("source_path"))
-        ents = extract_entities(shred(pages, keep=["category", "source_path"]))
-        ents.write.mode("append").parquet(out_path)
+            buckets = [r[0] for r in pages.select("key_bucket").distinct().collect()]  # ≤ KEY_BUCKETS values
+            done = spark.read.parquet(out_path).filter(F.col("key_bucket").isin(buckets)).select("source_path")
+            pages = only_new(pages, done)
+        ents = extract_entities(shred(pages, keep=["category", "source_path", "key_bucket"]))
+        # one file per bucket per micro-batch (the batch is bounded by maxFilesPerTrigger)
+        ents.repartition("key_bucket").write.mode("append").partitionBy("key_bucket").parquet(out_path)
 
     return run
 
@@ -53,7 +67,7 @@ def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpo
     q = stream_extract(spark, source_dir, out_path, checkpoint)
     q.awaitTermination()
     if path_exists(spark, out_path):
-        return spark.read.parquet(out_path)
+        return spark.read.parquet(out_path).drop("key_bucket")
     else:  # nothing arrived yet
         from pyspark.sql import types as T
 
