@@ -970,7 +970,7 @@ def q_stream_extract(spark, d):
 
     base = os.path.join(ensure_checkpoint_dir(spark), "stream_extract", uuid.uuid4().hex)
     src = os.path.join(base, "pages")
-    X.doc_pages(spark, d).repartition(8).write.parquet(src)
+    X.doc_pages(spark, d).write.parquet(src)  # as many files as the render produces
     out = run_incremental(spark, src, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
     return flat_entities(out)
 
