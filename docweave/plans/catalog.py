@@ -241,8 +241,8 @@ def q_page_nodes(spark, d):
 
 @register("page_titles", """
 SELECT page_id,
-  replace(replace(replace(replace(trim(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)),
-    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS title
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)),
+    '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g') AS title
 FROM pages""")
 def q_page_titles(spark, d):
     """E3 on real markup: text of the first h1."""
