@@ -40,3 +40,11 @@ def test_sanitize_missing_vs_null(spark):
     assert got[None]["navigation"] == [] and got[None]["source_path"] == ""
     errs = C.sanitize_errors(p).collect()[0]
     assert errs.n_lines == 4 and errs.n_errors == 1
+
+
+def test_sample_returns_what_exists_when_fewer_than_k(spark):
+    from docweave.operators.quality import sample_records
+
+    df = spark.createDataFrame([(1, "a" * 600), (2, "b"), (3, "c")], "doc_id long, text string")
+    got = sorted((r.doc_id, len(r.snippet)) for r in sample_records(df, "doc_id", "text", k=10).collect())
+    assert got == [(1, 500), (2, 1), (3, 1)]
