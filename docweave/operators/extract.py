@@ -50,16 +50,17 @@ TYPE_KEYWORDS = [("class", ["class"]), ("function", ["function", "overload"]), (
 REFERENCE_KEYS = ["module", "header", "include"]
 
 
-def entity_type_expr(nodes: str, h1: str) -> str:
-    """Keyword in the lower-cased first ``h1``; else by section present."""
+def entity_type_expr(nodes: str, h1: str, variables: str, members: str, values: str) -> str:
+    """Keyword in the lower-cased first ``h1``; else by the section present
+    (``variables``/``members``/``values`` are the already-located anchors, so
+    a section test is a null check, not another pass over the page)."""
     t = f"lower({N.text(nodes, h1)})"
     whens = " ".join(
         f"WHEN {' OR '.join(f'contains({t}, {lit(w)})' for w in words)} THEN {lit(name)}" for name, words in TYPE_KEYWORDS
     )
     fallback = (
-        f"CASE WHEN {N.exists(nodes, N.matcher('div', id=M.VARIABLES_ID))} THEN 'class' "
-        f"WHEN {N.exists(nodes, N.matcher('div', cls=M.MEMBERS_CLASS))} THEN 'function' "
-        f"WHEN {N.exists(nodes, N.matcher('div', id=M.VALUES_ID))} THEN 'enum' ELSE 'unknown' END"
+        f"CASE WHEN {variables} IS NOT NULL THEN 'class' WHEN {members} IS NOT NULL THEN 'function' "
+        f"WHEN {values} IS NOT NULL THEN 'enum' ELSE 'unknown' END"
     )
     return f"coalesce(CASE WHEN ({h1}) IS NOT NULL THEN CASE {whens} END END, {fallback})"
 
@@ -179,7 +180,7 @@ def extract_entities(pages: DataFrame, keep: list[str] | None = None) -> DataFra
     a = with_anchors(pages.filter(F.col("nodes").isNotNull()), GENERIC_ANCHORS)
     a = a.select(
         *keep, "source_path", "nodes", *GENERIC_ANCHORS.keys(),
-        F.expr(entity_type_expr(NODES, "_h1")).alias("entity_type"),
+        F.expr(entity_type_expr(NODES, "_h1", "_vars", "_members", "_values")).alias("entity_type"),
         F.expr(reference_pairs_expr(NODES, "_refs", first_table=True, exact_two=True, missing_value=None)).alias("_pairs"),
     )
     e = "entity_type"
