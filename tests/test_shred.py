@@ -66,3 +66,26 @@ def test_element_text_cached_when_short():
     assert by_tag["p"]["txt"] == "ab" and by_tag["b"]["txt"] == "b"
     assert by_tag["br"]["txt"] == "" and by_tag["i"]["txt"] == ""
     assert by_tag["span"]["txt"] is None and by_tag["div"]["txt"] is None
+
+
+def test_spread_only_when_input_is_coarse(spark):
+    import tempfile
+
+    from docweave.operators.shred import spread_for_python
+
+    target = spark.sparkContext.defaultParallelism * 4
+    d = tempfile.mkdtemp(prefix="dw-spread-", dir="/tmp")
+    spark.range(0, 10 * target).repartition(2 * target).selectExpr("CAST(id AS STRING) AS html").write.parquet(f"{d}/t")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        fine = spark.read.parquet(f"{d}/t")  # one split per file: finely split already
+        assert fine.rdd.getNumPartitions() >= target
+        assert "Exchange" not in spread_for_python(fine)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    coarse = spark.range(0, 100).groupBy("id").count()  # a shuffle: bounded by shuffle.partitions (8)
+    spread = spread_for_python(coarse)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in spread
