@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docweave.llm import pii, url_filters
+from docweave.llm import pii, url_filters, warc
 
 QUERIES = {
     "op3_pii": pii.q_op3,
+    "op4_warc": warc.q_op4,
     "op9_url_filters": url_filters.q_op9,
 }
 

@@ -43,6 +43,16 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def open_store(uri: str):
+    """The Arrow file system and path of a Hadoop-style uri, inside a task."""
+    import re
+
+    from pyarrow import fs
+
+    uri = re.sub(r"^file:/+", "file:///", uri)
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def spread(df: DataFrame, tasks_per_core: int = 2) -> DataFrame:
     """Give a CPU-bound narrow stage enough tasks when the scan has few."""
     target = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
