@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweave.llm import pii, url_filters, warc
+from docweave.llm import byte_bpe, pii, url_filters, warc
 
 QUERIES = {
     "op3_pii": pii.q_op3,
     "op4_warc": warc.q_op4,
+    "op6_byte_bpe": byte_bpe.q_op6,
     "op9_url_filters": url_filters.q_op9,
 }
 
