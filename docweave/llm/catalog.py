@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, pii, url_filters, warc
+from docweave.llm import byte_bpe, language_id, pii, url_filters, warc
 
 QUERIES = {
+    "op2_language_id": language_id.q_op2,
     "op3_pii": pii.q_op3,
     "op4_warc": warc.q_op4,
     "op6_byte_bpe": byte_bpe.q_op6,
