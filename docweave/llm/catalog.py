@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, language_id, pii, url_filters, warc
+from docweave.llm import byte_bpe, decontaminate, language_id, pii, quality, url_filters, warc
 
 QUERIES = {
     "op2_language_id": language_id.q_op2,
     "op3_pii": pii.q_op3,
     "op4_warc": warc.q_op4,
+    "op5_quality": quality.q_op5,
     "op6_byte_bpe": byte_bpe.q_op6,
+    "op8_decontaminate": decontaminate.q_op8,
     "op9_url_filters": url_filters.q_op9,
 }
 
