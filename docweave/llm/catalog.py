@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, decontaminate, language_id, pii, quality, url_filters, warc
+from docweave.llm import byte_bpe, decontaminate, language_id, minhash_forest, pii, quality, url_filters, warc
 
 QUERIES = {
     "op2_language_id": language_id.q_op2,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_byte_bpe": byte_bpe.q_op6,
     "op8_decontaminate": decontaminate.q_op8,
     "op9_url_filters": url_filters.q_op9,
+    "op10_minhash_forest": minhash_forest.q_op10,
 }
 
 ORACLES = {

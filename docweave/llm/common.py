@@ -43,6 +43,28 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def bitmap(df: DataFrame, hash_col: str, bits: int):
+    """A bit for the first ``bits`` bits of every hash, as numpy bytes.  At most
+    2^(bits - 3) small rows reach the driver, whatever the size of ``df``; the
+    fuller it gets, the more it lets pass, but it never misses."""
+    import numpy as np
+
+    top = F.shiftrightunsigned(hash_col, 64 - bits)
+    rows = (df.select(F.shiftright(top, 3).cast("int").alias("byte"), F.expr(f"shiftleft(1, cast(shiftrightunsigned(`{hash_col}`, {64 - bits}) & 7 AS int))").alias("bit"))
+            .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    out[rows["byte"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint8)
+    return out
+
+
+def in_bitmap(found, hashes):
+    """Whether each (unsigned 64-bit) hash's bit is set."""
+    import numpy as np
+
+    bit = (hashes >> np.uint64(64 - (len(found) * 8).bit_length() + 1)).astype(np.int64)
+    return ((found[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
+
+
 def open_store(uri: str):
     """The Arrow file system and path of a Hadoop-style uri, inside a task."""
     import re

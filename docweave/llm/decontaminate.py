@@ -92,14 +92,7 @@ def benchmark_seeds(bench: DataFrame, id_col: str, text_col: str) -> tuple[DataF
 
 
 def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """A bit for the first BITMAP_BITS bits of every seed's hash: at most
-    2^(BITMAP_BITS - 3) bytes reach the driver."""
-    top = F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int")
-    rows = (seeds.select(F.shiftright(top, 3).alias("byte"), F.expr(f"cast(shiftleft(1, cast(shiftrightunsigned(hash, {64 - BITMAP_BITS}) & 7 AS int)) AS int)").alias("bit"))
-            .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
-    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    out[rows["byte"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint8)
-    return out
+    return common.bitmap(seeds, "hash", BITMAP_BITS)
 
 
 def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray):
@@ -109,8 +102,7 @@ def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray):
     owner_end = np.repeat(first[1:], np.diff(first))
     for mask, picks in enumerate(MASKS):
         h = seed_hashes(hashes, mask)
-        bit = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-        hit = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+        hit = np.flatnonzero(common.in_bitmap(bitmap, h))
         hit = hit[hit + picks[-1] < owner_end[hit]]
         at.append(hit)
         seed.append(h[hit])
