@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, decontaminate, language_id, minhash_forest, pii, quality, url_filters, warc
+from docweave.llm import byte_bpe, cap_filters, decontaminate, language_id, minhash_forest, pii, quality, url_filters, warc
 
 QUERIES = {
     "op2_language_id": language_id.q_op2,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_warc": warc.q_op4,
     "op5_quality": quality.q_op5,
     "op6_byte_bpe": byte_bpe.q_op6,
+    "op7_cap_filters": cap_filters.q_op7,
     "op8_decontaminate": decontaminate.q_op8,
     "op9_url_filters": url_filters.q_op9,
     "op10_minhash_forest": minhash_forest.q_op10,
