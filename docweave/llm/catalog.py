@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, cap_filters, decontaminate, language_id, minhash_forest, pii, quality, url_filters, warc
+from docweave.llm import byte_bpe, cap_filters, decontaminate, language_id, minhash_forest, pii, quality, token_files, url_filters, warc
 
 QUERIES = {
+    "op1_token_files": token_files.q_op1,
     "op2_language_id": language_id.q_op2,
     "op3_pii": pii.q_op3,
     "op4_warc": warc.q_op4,

@@ -158,24 +158,26 @@ def leaks(scanned: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-               keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its ``keep`` columns) with ``contaminated`` and ``bench_items``, the ids of the items
-    whose passages the text holds (columns of these names are replaced, others
-    stay).
+               keep: list[str] | None = None, out: tuple[str, str] = ("contaminated", "bench_items")) -> DataFrame:
+    """``docs`` (or its ``keep`` columns) with ``contaminated`` and
+    ``bench_items``, the ids of the items whose passages the text holds, under
+    the names ``out`` (columns of these names are replaced, others stay).
 
     Null and empty texts and items hold nothing; items with fewer than
     SHORTEST_ITEM tokens are left out; items of equal tokens count as the one of
     the smallest id; rows that repeat are judged each, with or without an id.
     """
-    docs = docs.drop("contaminated", "bench_items")
+    docs = docs.drop(*out)
     keep = docs.columns if keep is None else keep
     items, seeds = benchmark_seeds(bench, item_col, item_text_col)
     scanned = common.written(scan(docs, text_col, seed_bitmap(seeds), keep), "bench-scan")
+    none = F.expr("cast(array() AS array<bigint>)")
     # Most rows have no stretch and need no join.
-    clean = scanned.where("__row IS NULL").drop("__row", "__stretches").withColumn("bench_items", F.expr("cast(array() AS array<bigint>)"))
-    rest = (scanned.where("__row IS NOT NULL").drop("__stretches").join(leaks(scanned, items, seeds), "__row", "left").drop("__row")
-            .withColumn("bench_items", F.coalesce("bench_items", F.expr("cast(array() AS array<bigint>)"))))
-    return clean.unionByName(rest).select(*keep, (F.size("bench_items") > 0).alias("contaminated"), "bench_items")
+    clean = scanned.where("__row IS NULL").drop("__row", "__stretches").withColumn(out[1], none)
+    found = leaks(scanned, items, seeds).withColumnRenamed("bench_items", out[1])
+    rest = scanned.where("__row IS NOT NULL").drop("__stretches").join(found, "__row", "left").drop("__row")
+    rest = rest.withColumn(out[1], F.coalesce(out[1], none))
+    return clean.unionByName(rest).select(*keep, (F.size(out[1]) > 0).alias(out[0]), out[1])
 
 
 def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:

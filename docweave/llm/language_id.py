@@ -214,17 +214,18 @@ def score_texts(model: Model | None, texts: list[str | None]) -> tuple[list[str]
     return langs, scores, ~some | (scores < model.least_score) | (mean[:, -1] > model.most_unseen)
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (columns of these
-    names are replaced, others stay).
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text",
+             out: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``rejected``, under the names
+    ``out`` (columns of these names are replaced, others stay).
 
     A text that is null or has no letter is ``und`` with score 0, rejected.
     Without a model (no labelled row) every text is.  The whole text counts,
     however long; texts that repeat get equal answers; rows need no id.
     """
-    docs = docs.drop("lang_pred", "score", "rejected")
-    at, names = docs.columns.index(text_col), [*docs.columns, "lang_pred", "score", "rejected"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["lang_pred string", "score double", "rejected boolean"])
+    docs = docs.drop(*out)
+    at, names = docs.columns.index(text_col), [*docs.columns, *out]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{n}` {t}" for n, t in zip(out, ("string", "double", "boolean"), strict=True)])
 
     def run(batches):
         for batch in batches:
