@@ -1,21 +1,71 @@
-"""A corpus pipeline over ``documents``: the stages are written as Parquet and
-read again, each works on all that its predecessor kept."""
+"""A corpus pipeline over ``documents``.
+
+Each stage is written as Parquet and read again as the next one's input, and
+works on all that its predecessor kept.  All but the last return the columns of
+their input.  Rows without an id pass the near-duplicate stage; rows that repeat
+an id count there as one document.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docweave.llm import byte_bpe, common, decontaminate, language_id, minhash_forest, pii
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told go."""
+    model = language_id.train(docs)
+    names = ("__lang", "__lang_score", "__lang_rejected")
+    return language_id.identify(common.spread(docs), model, out=names).where(f"NOT {names[2]}").select(*docs.columns)
+
 
-from docweave.llm import common, pii
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, 0.8) the document of
+    the smallest id stays."""
+    groups = minhash_forest.near_duplicates(docs)
+    kept = groups.where("kept").select("doc_id").distinct()
+    # One row per id: the join has dealt the rows by id already.
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    names = ("__leak", "__leak_items")
+    found = decontaminate.find_leaks(common.spread(docs), common.table(spark, sf_dir, "benchmark"), out=names)
+    return found.where(f"NOT {names[0]}").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by the name of its kind."""
-    return pii.redact(docs).select(docs.columns)
+    """Personal data is replaced by the name of its kind; ``n_chars`` follows."""
+    out = pii.redact(docs.withColumn("__before", F.col("text")))
+    if "n_chars" in docs.columns:
+        same = F.col("text").eqNullSafe(F.col("__before"))
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text, and whether they decode to it."""
+    vocab = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.encode(docs, vocab, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(coded, vocab, out_col="__decoded")
+    whole = F.col("__decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("decodes"))
 
 
-STAGES = [("personal data", personal_data)]
+STAGES = [
+    ("language", language),
+    ("near duplicates", near_duplicates),
+    ("benchmark leaks", benchmark_leaks),
+    ("personal data", personal_data),
+    ("token ids", token_ids),
+]
 
-#: SQL can't express language identification and the other learned or hashed stages.
+#: SQL can't express the learned and hashed stages.
 ORACLE_SQL = None
 
 
