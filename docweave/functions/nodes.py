@@ -18,7 +18,7 @@ from __future__ import annotations
 import itertools
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.markup import ROW_CLASS
@@ -180,3 +180,12 @@ def struct(**fields: str) -> str:
 
 def empty_array(elem_type: str) -> str:
     return f"CAST(array() AS ARRAY<{elem_type}>)"
+
+
+def explode_rows(df: DataFrame, keep: list, rows: Column | str, fields: list[str] | None = None) -> DataFrame:
+    """One row per struct of an array, its fields (or ``fields`` by position)
+    after the ``keep`` columns.  The outer explode with a filter evaluates the
+    array once, where the inner one also tests its size."""
+    out = df.select(*keep, F.explode_outer(rows).alias("__r")).filter(F.col("__r").isNotNull())
+    names = [f.name for f in out.schema["__r"].dataType.fields]
+    return out.select(*out.columns[:-1], *[F.col(f"__r.{n}").alias(m) for n, m in zip(names, fields or names)])

@@ -8,92 +8,45 @@ a recursive CTE (``WITH RECURSIVE``; Spark ≥ 4.1) — never a driver-side walk
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docweave.functions import markup as M
 from docweave.functions import nodes as N
 from docweave.session import materialize
 
 
-
-# Bounds of the linear parent walk: element levels between a label cell and
-# the label cell enclosing it (td > tr > table > td is 3, 4 with a tbody), and
-# label levels above a cell.
-ELEMENT_HOPS = 32
-LABEL_HOPS = 64
-
-
 def hierarchy_edges(pages: DataFrame, max_depth: int | None = 10) -> DataFrame:
-    """``table.hierarchy-table#hrch`` → one row per label cell.
+    """``table.hierarchy-table#hrch`` → one row per label cell
+    ``(source_path, pos, name, link, parent, depth)``.
 
     A label cell (``td.hierarchy-label-cell``) names its node by its first
     ``a[href]``; its parent is the innermost enclosing label cell and its
     depth the number of enclosing label cells.  Cells deeper than
-    ``max_depth`` are cut (0 = roots only).  A cell with no link of its own is
-    named by the first link inside it (descendant semantics); a cell with no
-    link at all, and everything under it, is skipped, as in the recursive walk.
-
-    Linear per page: each cell follows ``parent`` pointers (at most
-    ``ELEMENT_HOPS`` element levels) to its nearest enclosing label cell, then
-    depth and the missing-link flag are found by hopping up the label tree
-    through a position → cell map (at most ``LABEL_HOPS`` levels).  A single
-    page holding a whole hierarchy of k classes therefore costs O(k · depth),
-    not O(k²).
+    ``max_depth`` are cut (0 = roots only, None = no limit).  A cell with no
+    link of its own is named by the first link inside it (descendant
+    semantics); a cell with no link at all, and so everything under it, is
+    skipped, as in the recursive walk.
+
+    Linear in the page at any depth: the shredder gives every label cell its
+    enclosing cell, depth and first link, cells become rows, and a row finds its
+    parent's name by a join on (page, position).
     """
-    if max_depth is None:
-        max_depth = LABEL_HOPS
-    if max_depth > LABEL_HOPS:
-        raise ValueError(f"max_depth above {LABEL_HOPS} is not supported")
     nodes = N.NODES
     table = N.find(nodes, N.matcher("table", id=M.HIERARCHY_TABLE_ID, cls=M.HIERARCHY_TABLE_CLASS))
-    cells = N.find_all_in(nodes, table, N.matcher("td", cls=M.HIERARCHY_LABEL_CLASS))
-    is_label = N.matcher("td", cls=M.HIERARCHY_LABEL_CLASS)
-
-    def nearest_label_above(c):
-        acc, i = N.fresh(), N.fresh()
-        at = N.node_at(nodes, acc)
-        step = f"CASE WHEN {acc} < 0 OR {is_label(at)} THEN {acc} ELSE ({at}).parent END"
-        return f"aggregate(sequence(1, {ELEMENT_HOPS}), {c}.parent, ({acc}, {i}) -> {step})"
-
-    def labeled_cell(c):
-        # up: position of the enclosing label cell; -1 at the top; -2 when the
-        # walk ran out of hops (pathological nesting: reported as broken)
-        def classify(up):
-            at = N.node_at(nodes, up)
-            return f"CASE WHEN {up} < 0 THEN -1 WHEN {is_label(at)} THEN {up} ELSE -2 END"
-
-        return N.struct(pos=f"{c}.pos", up=N.let(nearest_label_above(c), classify),
-                        a=N.find_in(nodes, c, N.matcher("a", href=True)))
-
-    labeled = N.map_rows(cells, labeled_cell)
-    by_pos = "map_from_arrays(transform(_labeled, lv_l -> lv_l.pos), _labeled)"
-
-    def with_parent(x):
-        acc, i = N.fresh(), N.fresh()
-        start = f"named_struct('cur', {x}.up, 'depth', 0, 'broken', {x}.a IS NULL OR {x}.up = -2)"
-        nxt = f"element_at(_by_pos, {acc}.cur)"
-        step = (f"CASE WHEN {acc}.cur < 0 THEN {acc} ELSE named_struct('cur', ({nxt}).up, 'depth', {acc}.depth + 1, "
-                f"'broken', {acc}.broken OR ({nxt}).a IS NULL OR ({nxt}).up = -2) END")
-        walk = f"aggregate(sequence(1, {LABEL_HOPS}), {start}, ({acc}, {i}) -> {step})"
-        parent = f"CASE WHEN {x}.up >= 0 THEN element_at(_by_pos, {x}.up) END"
-        return N.struct(
-            pos=f"{x}.pos", name=N.text(nodes, f"{x}.a"), link=f"{x}.a.href",
-            parent=N.text(nodes, f"({parent}).a"), depth=f"({walk}).depth",
-            broken=f"({walk}).broken OR ({walk}).cur >= 0",
-        )
-
-    edge_t = "STRUCT<pos: INT, name: STRING, link: STRING, parent: STRING, depth: INT, broken: BOOLEAN>"
-    lab = pages.filter(F.col("nodes").isNotNull()).select("source_path", "nodes", F.expr(labeled).alias("_labeled"))
-    lab = lab.select("source_path", "nodes", "_labeled", F.expr(by_pos).alias("_by_pos"))
-    edges = lab.select(
-        "source_path", F.inline(F.expr(f"coalesce({N.map_rows('_labeled', with_parent)}, {N.empty_array(edge_t)})"))
-    )
-    edges = edges.filter(~F.col("broken")).drop("broken")
+    cells = N.find_all(N.descendants(nodes, table), lambda v: f"{v}.lnk IS NOT NULL")
+    rows = N.map_rows(cells, lambda c: N.let(N.node_at(nodes, f"{c}.lnk"), lambda a: N.struct(
+        pos=f"{c}.pos", up=f"{c}.up", depth=f"{c}.lvl", name=N.text(nodes, a), link=f"{a}.href")))
+    cell = (pages.filter(F.col("nodes").isNotNull()).select("source_path", F.explode_outer(F.expr(rows)).alias("_c"))
+            .filter(F.col("_c").isNotNull()).select("source_path", "_c.*"))
     if max_depth is not None:
-        edges = edges.filter(F.col("depth") <= max_depth)
-    return edges
+        cell = cell.filter(F.col("depth") <= max_depth)
+    # Written: both sides of the join read the pages once.
+    cell = materialize(cell)
+    above = cell.select("source_path", F.col("pos").alias("up"), F.col("name").alias("parent"))
+    return cell.join(above, ["source_path", "up"], "left").select("source_path", "pos", "name", "link", "parent", "depth")
 
 
 def hierarchy_pages(pages: DataFrame, all_pages: bool = False, root: str = "ClassHierarchy") -> DataFrame:
@@ -105,31 +58,40 @@ def hierarchy_pages(pages: DataFrame, all_pages: bool = False, root: str = "Clas
 
 
 def hierarchy_flat(edges: DataFrame) -> DataFrame:
-    """H1: one row per tree position ``(name, link, parent, depth)`` over all
-    shards (a node repeated on several shard pages is one row)."""
+    """H1: one row per tree position ``(name, link, parent, depth, ord)`` over
+    all shards (a node repeated on several shard pages is one row).  ``ord`` is
+    its first place ``(source_path, pos)``: siblings and roots follow each other
+    in that order."""
+    place = F.struct("source_path", "pos")
     return edges.groupBy("name", "parent").agg(
-        F.min_by("link", F.struct("source_path", "pos")).alias("link"), F.min("depth").alias("depth")
+        F.min_by("link", place).alias("link"), F.min("depth").alias("depth"), F.min(place).alias("ord")
     )
 
 
 def hierarchy_children(flat: DataFrame) -> DataFrame:
-    """A3: per parent — number of children and the first/last child by name
-    (partial aggregates; no child list is collected, so a parent with millions
-    of children costs no more than any other group)."""
+    """A3: per parent — number of children and its first and last child in
+    document order (partial aggregates; no child list is collected, so a parent
+    with millions of children costs no more than any other group)."""
     return flat.filter(F.col("parent").isNotNull()).groupBy("parent").agg(
-        F.count(F.lit(1)).alias("n_children"), F.min("name").alias("first_child"), F.max("name").alias("last_child")
+        F.count(F.lit(1)).alias("n_children"), F.min_by("name", "ord").alias("first_child"), F.max_by("name", "ord").alias("last_child")
     )
 
 
+def hierarchy_child_rows(flat: DataFrame) -> DataFrame:
+    """A3 as rows ``(parent, ord, name)``: a parent's children in document order
+    are its rows by ``ord``."""
+    return flat.filter(F.col("parent").isNotNull()).select("parent", "ord", "name")
+
+
 def hierarchy_sink_rows(flat: DataFrame) -> DataFrame:
-    """K4 rows: ``(name, link, parent, depth, n_children)`` — the reference's
-    ``children[]`` list is carried as edges (each child row names its parent)
-    plus a count, so no parent's children are ever collected into one row."""
+    """K4 rows: ``(name, link, parent, depth, ord, n_children)`` — a ``children[]``
+    list is carried as rows (each child row names its parent and its place) plus
+    a count, so no parent's children are ever collected into one row."""
     kids = flat.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("name")).agg(
         F.count(F.lit(1)).alias("n_children")
     )
-    return flat.select("name", "link", "parent", "depth").join(kids, "name", "left").select(
-        "name", "link", "parent", "depth", F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children")
+    return flat.select("name", "link", "parent", "depth", "ord").join(kids, "name", "left").select(
+        "name", "link", "parent", "depth", "ord", F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children")
     )
 
 
@@ -140,52 +102,68 @@ def hierarchy_roots(flat: DataFrame) -> DataFrame:
     return names.join(kids, "name", "left_anti")
 
 
-def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int = 10) -> DataFrame:
-    """H3: pre-order walk from every root, one row per path (D6), with a cycle
-    guard and a depth cap.  ``path`` is the array of names from the root; the
-    pre-order output order is ``ORDER BY path`` (arrays compare element-wise,
-    a prefix first).  ``LIMIT ALL`` lifts the session's recursion row cap
-    (``spark.sql.cteRecursionRowLimit``, 1M by default): a hierarchy at scale
-    has more classes than that; depth is bounded by ``max_depth`` instead."""
-    flat = _edges_table(flat)
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(root, name, depth, path) AS (
-          SELECT r.name, r.name, 0, array(r.name) FROM {roots} r
-          UNION ALL
-          SELECT w.root, e.name, w.depth + 1, concat(w.path, array(e.name))
-          FROM walk w JOIN {edges} e ON e.parent = w.name
-          WHERE w.depth < {max_depth} AND NOT array_contains(w.path, e.name)
-        )
-        SELECT root, name, depth, path FROM walk LIMIT ALL
-        """,
-        roots=hierarchy_roots(flat), edges=flat.filter(F.col("parent").isNotNull()).select("name", "parent"),
-        max_depth=max_depth,
-    )
+@contextmanager
+def _unlimited_recursion(spark: SparkSession):
+    """Lift the session's cap on recursion levels while a walk runs; a walk ends
+    by its cycle guard, not by a number of levels."""
+    key = "spark.sql.cteRecursionLevelLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def _edges_table(flat: DataFrame) -> DataFrame:
-    """The recursion re-reads its inputs on every step: give it a written
-    edge table, not the page-parsing lineage."""
-    return materialize(flat.select("name", "parent"))
-
-
-def hierarchy_closure(spark: SparkSession, flat: DataFrame, max_depth: int = 100) -> DataFrame:
-    """H4: ancestor/descendant pairs ``(anc, name, depth)`` with ``depth ≥ 1``."""
-    flat = _edges_table(flat)
-    return spark.sql(
-        """
-        WITH RECURSIVE clo(anc, name, depth, path) AS (
-          SELECT e.parent, e.name, 1, array(e.parent, e.name) FROM {edges} e
-          UNION ALL
-          SELECT c.anc, e.name, c.depth + 1, concat(c.path, array(e.name))
-          FROM clo c JOIN {edges} e ON e.parent = c.name
-          WHERE c.depth < {max_depth} AND NOT array_contains(c.path, e.name)
-        )
-        SELECT anc, name, depth FROM clo LIMIT ALL
-        """,
-        edges=flat.filter(F.col("parent").isNotNull()).select("name", "parent"), max_depth=max_depth,
-    )
+def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """H3: pre-order walk from every root, one row per path (D6), with a cycle
+    guard and, only if asked, a depth limit.  ``path`` is the array of names
+    from the root and ``places`` the array of their places; the output order is
+    ``ORDER BY places`` (arrays compare element-wise, a prefix first), which is
+    the pages' own order.  ``flat`` without ``ord`` is ordered by name.
+
+    Run at once and written: the recursion re-reads its inputs at every step.
+    ``LIMIT ALL`` lifts the session's cap on recursion rows.
+    """
+    if "ord" not in flat.columns:
+        flat = flat.withColumn("ord", F.struct(F.col("name").alias("source_path"), F.lit(0).alias("pos")))
+    flat = materialize(flat.select("name", "parent", "ord"))
+    first = flat.groupBy("name").agg(F.min("ord").alias("ord"))
+    deeper = "true" if max_depth is None else f"w.depth < {int(max_depth)}"
+    with _unlimited_recursion(spark):
+        return materialize(spark.sql(
+            f"""
+            WITH RECURSIVE walk(root, name, depth, path, places) AS (
+              SELECT r.name, r.name, 0, array(r.name), array(r.ord) FROM {{roots}} r
+              UNION ALL
+              SELECT w.root, e.name, w.depth + 1, concat(w.path, array(e.name)), concat(w.places, array(e.ord))
+              FROM walk w JOIN {{edges}} e ON e.parent = w.name
+              WHERE {deeper} AND NOT array_contains(w.path, e.name)
+            )
+            SELECT root, name, depth, path, places FROM walk LIMIT ALL
+            """,
+            roots=materialize(hierarchy_roots(flat).join(first, "name")),
+            edges=materialize(flat.filter(F.col("parent").isNotNull())),
+        ))
+
+
+def hierarchy_closure(spark: SparkSession, flat: DataFrame) -> DataFrame:
+    """H4: every ancestor/descendant pair once, ``(anc, name, depth)`` with the
+    shortest distance ``depth ≥ 1``; a name is no ancestor of its own.
+
+    Level by level: the pairs found last are extended by one edge and those
+    known already drop out, so the rows are pairs, not paths, and cycles end by
+    themselves.  Each level is written.
+    """
+    edges = materialize(flat.filter(F.col("parent").isNotNull() & (F.col("parent") != F.col("name"))).select("name", "parent").distinct())
+    known = last = materialize(edges.select(F.col("parent").alias("anc"), "name", F.lit(1).alias("depth")))
+    while not last.isEmpty():
+        longer = (last.join(edges.select(F.col("parent").alias("name"), F.col("name").alias("_n")), "name")
+                  .select("anc", F.col("_n").alias("name"), (F.col("depth") + 1).alias("depth"))
+                  .filter(F.col("anc") != F.col("name")).distinct())
+        last = materialize(longer.join(known.select("anc", "name"), ["anc", "name"], "left_anti"))
+        known = known.unionByName(last)
+    return known
 
 
 # --------------------------------------------------------------------------
@@ -221,43 +199,39 @@ def related_counts(related: DataFrame) -> DataFrame:
     return related.groupBy("class_name").agg(F.count(F.lit(1)).alias("n_related"))
 
 
-def organize_by_hierarchy(spark: SparkSession, entities: DataFrame, flat: DataFrame, max_depth: int = 10) -> DataFrame:
+def organize_by_hierarchy(spark: SparkSession, entities: DataFrame, flat: DataFrame, max_depth: int | None = None) -> DataFrame:
     """H8: hierarchy-ordered output as rows with an explicit sort key.
 
     ``entities`` needs ``name, entity_type, navigation, source_path, line``
-    (``line`` = input order).  Output columns: ``segment`` (1 = walk, 2 =
-    classes never reached, 3 = other entities attached to no class),
-    ``path`` (walk path, ``[]`` outside segment 1), ``kind`` (0 = the class
-    row, 1 = a related entity), ``ord`` (input order inside a group), then the
-    entity fields.  ``ORDER BY segment, path, kind, ord`` is the output order;
-    no dense rank is computed (that would need a single-task window).
+    (``line`` = input order, unique); all its other columns are carried to the
+    output.  Output: ``segment`` (1 = walk, 2 = classes the walk never reached,
+    3 = other entities that the walk did not write), ``path`` and ``places`` (of
+    the walk, ``[]`` outside segment 1), ``kind`` (0 = the class row, 1 = a
+    related entity), ``ord`` (input order inside a group), then the whole
+    entity.  ``ORDER BY segment, places, kind, ord`` is the output order; no
+    dense rank is computed (that would need a single-task window).
+
+    The placement is worked out on narrow rows (name, type, crumbs, line); the
+    records join at the end.  A class whose ancestors form a ring without a root
+    is never reached: it goes to segment 2 and what is attached to such classes
+    only goes to segment 3, so that nothing is lost.
     """
-    entities = materialize(entities.select("name", "entity_type", "navigation", "source_path", "line"))
-    flat = _edges_table(flat)
-    classes, others = split_entities(entities)
-    walk = materialize(hierarchy_walk(spark, flat, max_depth))
-    hier_names = flat.select("name").distinct()
-    fields = ["name", "entity_type", "source_path"]
+    entities = materialize(entities)
+    narrow = entities.select("name", "entity_type", "navigation", "line")
+    classes, others = split_entities(narrow)
+    walk = hierarchy_walk(spark, flat, max_depth)
+    visited = walk.select("name").distinct()
+    key = lambda segment, kind, ord_: [F.lit(segment).alias("segment"), F.lit(kind).alias("kind"), ord_.alias("ord"), F.col("line").alias("_line")]
 
     # H5: per visited node, the class row then its related entities.
-    cls_rows = walk.join(classes, "name").select(
-        F.lit(1).alias("segment"), "path", F.lit(0).alias("kind"), F.col("line").alias("ord"), *fields
-    )
-    rel = related_entities(others, hier_names)
-    rel_rows = walk.join(rel.withColumnRenamed("name", "ent_name"), walk["name"] == rel["class_name"]).select(
-        F.lit(1).alias("segment"), "path", F.lit(1).alias("kind"), F.col("line").alias("ord"),
-        F.col("ent_name").alias("name"), "entity_type", "source_path",
-    )
-    # Classes not written by the walk, in first-seen order.
-    visited = walk.select("name").distinct()
-    unreached = classes.join(visited, "name", "left_anti").select(
-        F.lit(2).alias("segment"), F.array().cast("array<string>").alias("path"), F.lit(0).alias("kind"),
-        F.col("first_line").alias("ord"), *fields,
-    )
-    # Other entities attached to no class, in input order.
-    attached = rel.select("line").distinct()
-    loose = others.join(attached, "line", "left_anti").select(
-        F.lit(3).alias("segment"), F.array().cast("array<string>").alias("path"), F.lit(1).alias("kind"),
-        F.col("line").alias("ord"), *fields,
-    )
-    return cls_rows.unionByName(rel_rows).unionByName(unreached).unionByName(loose)
+    rel = related_entities(others, visited)
+    in_walk = walk.select("name", "path", "places")
+    placed = in_walk.join(classes.select("name", "line"), "name").select(*key(1, 0, F.col("line")), "path", "places").unionByName(
+        in_walk.join(rel.select(F.col("class_name").alias("name"), "line"), "name").select(*key(1, 1, F.col("line")), "path", "places"))
+    # Classes not written by the walk, in first-seen order; H7 / J5: other entities it did not write, in input order.
+    loose = classes.join(visited, "name", "left_anti").select(*key(2, 0, F.col("first_line"))).unionByName(
+        others.join(rel.select("line").distinct(), "line", "left_anti").select(*key(3, 1, F.col("line"))))
+    types = {f.name: f.dataType for f in in_walk.schema}
+    placed = placed.unionByName(loose.select("*", *[F.array().cast(types[c]).alias(c) for c in ("path", "places")]))
+    record = entities.withColumnRenamed("line", "_line")
+    return placed.join(record, "_line").select("segment", "path", "places", "kind", "ord", *[c for c in entities.columns if c != "line"])

@@ -5,7 +5,8 @@ standard-library ``html.parser`` inside ``mapInArrow`` (narrow, no shuffle,
 Arrow batches in and out) and becomes one array column::
 
     nodes ARRAY<STRUCT<pos INT, last INT, parent INT, prev INT, tag STRING,
-                       id STRING, cls STRING, href STRING, txt STRING>>
+                       id STRING, cls STRING, href STRING, txt STRING,
+                       up INT, lvl INT, lnk INT>>
 
 ``pos`` is the node's 0-based index in document order; an element's
 descendants are exactly the nodes ``pos+1 .. last``.  ``parent`` is the
@@ -17,7 +18,11 @@ stripped text nodes inside it, joined with nothing) when that is at most
 ``TEXT_CACHE_CHARS`` long, else null; selectors read it directly and walk the
 text nodes only for longer elements.  Text nodes have tag ``#text``
 and carry the Unicode-stripped text in ``txt``; empty ones are dropped, as are
-script/style bodies and comments.  Every selector of the engine is then a
+script/style bodies and comments.  The label cells of a class hierarchy carry
+what only the stack of open elements knows cheaply: ``up`` is the position of
+the label cell that encloses them (-1 if none), ``lvl`` how many enclose them
+and ``lnk`` the position of the first linked anchor inside (null if none); all
+three are null for other nodes.  Every selector of the engine is then a
 Catalyst higher-order function over this array (see ``functions/nodes.py``).
 
 Tree-building rules (those of a non-correcting stdlib tokenizer): void elements
@@ -36,6 +41,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from docweave.functions.markup import HIERARCHY_LABEL_CLASS
+
 # The Arrow stage's code is shipped with the task (pickled by value), so
 # executors need only the standard library and pyarrow — not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,6 +58,9 @@ NODE_TYPE = T.StructType(
         T.StructField("cls", T.StringType()),
         T.StructField("href", T.StringType()),
         T.StructField("txt", T.StringType()),
+        T.StructField("up", T.IntegerType()),
+        T.StructField("lvl", T.IntegerType()),
+        T.StructField("lnk", T.IntegerType()),
     ]
 )
 NODES_TYPE = T.ArrayType(NODE_TYPE)
@@ -75,6 +85,9 @@ _ARROW_NODE = pa.struct(
         ("cls", pa.string()),
         ("href", pa.string()),
         ("txt", pa.string()),
+        ("up", pa.int32()),
+        ("lvl", pa.int32()),
+        ("lnk", pa.int32()),
     ]
 )
 
@@ -104,6 +117,8 @@ class _Shredder(HTMLParser):
         self.stack_tags: list[str] = []
         self.prev_elem: list[int] = [-1]  # previous element sibling per level
         self.buf: list[str] = []
+        self.labels: dict[int, list] = {}  # label cell → [up, lvl, lnk]
+        self.open_labels: list[int] = []
 
     def _flush(self) -> None:
         buf = self.buf
@@ -121,6 +136,8 @@ class _Shredder(HTMLParser):
 
     def _close_top(self) -> None:
         p = self.stack.pop()
+        if self.open_labels and self.open_labels[-1] == p:
+            self.open_labels.pop()
         self.stack_tags.pop()
         self.prev_elem.pop()
         self.last[p] = len(self.rows) - 1
@@ -148,6 +165,15 @@ class _Shredder(HTMLParser):
                      href))
         self.last.append(p)
         prev_elem[-1] = p
+        if tag == "td" and cls and HIERARCHY_LABEL_CLASS in cls.split():
+            self.labels[p] = [self.open_labels[-1] if self.open_labels else -1, len(self.open_labels), None]
+            self.open_labels.append(p)
+        elif tag == "a" and href is not None:
+            # a cell that has its first link passed it to all cells around it
+            for label in reversed(self.open_labels):
+                if self.labels[label][2] is not None:
+                    break
+                self.labels[label][2] = p
         if tag in VOID_ELEMENTS:
             self.txt.append("")
         else:
@@ -197,23 +223,21 @@ class _Shredder(HTMLParser):
             self._close_top()
 
 
-_COLS = ("pos", "last", "parent", "prev", "tag", "id", "cls", "href", "txt")
-
-
-def shred_page(html: str) -> tuple[list[tuple], list[int], list]:
-    """Tokenise one page → (node tuples, last positions, texts)."""
+def shred_page(html: str) -> tuple[list[tuple], list[int], list, dict[int, list]]:
+    """Tokenise one page → (node tuples, last positions, texts, label cells)."""
     s = _Shredder()
     s.feed(html)
     s.finish()
-    return s.rows, s.last, s.txt
+    return s.rows, s.last, s.txt, s.labels
 
 
 def shred_html(html: str) -> dict:
     """Tokenise one page; returns the column lists of its node table."""
-    rows, last, txt = shred_page(html)
+    rows, last, txt, labels = shred_page(html)
     cols = list(zip(*rows)) if rows else [()] * 6
     return {"pos": list(range(len(rows))), "last": last, "parent": list(cols[0]), "prev": list(cols[1]),
-            "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": txt}
+            "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": txt,
+            **{k: [labels[i][j] if i in labels else None for i in range(len(rows))] for j, k in enumerate(("up", "lvl", "lnk"))}}
 
 
 def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
@@ -221,6 +245,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
     pos: list[int] = []
     last: list[int] = []
     txt: list = []
+    label_cols: list[list] = [[], [], []]
     offsets = [0]
     valid = []
     errors = []
@@ -231,7 +256,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             offsets.append(offsets[-1])
             continue
         try:
-            rows, lst, tx = shred_page(h)
+            rows, lst, tx, labels = shred_page(h)
         except Exception as e:  # a page that cannot be tokenised goes to the dead letters
             valid.append(False)
             errors.append(f"{type(e).__name__}: {e}")
@@ -241,6 +266,10 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
         last.extend(lst)
         txt.extend(tx)
         pos.extend(range(len(rows)))
+        for j, col in enumerate(label_cols):
+            col.extend([None] * len(rows))
+            for at, values in labels.items():
+                col[at - len(rows)] = values[j]
         valid.append(True)
         errors.append(None)
         offsets.append(offsets[-1] + len(rows))
@@ -258,6 +287,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             pa.array(cols["cls"], pa.string()),
             pa.array(cols["href"], pa.string()),
             pa.array(cols["txt"], pa.string()),
+            *(pa.array(col, pa.int32()) for col in label_cols),
         ],
         fields=list(_ARROW_NODE),
     )

@@ -21,9 +21,11 @@ from docweave.operators import details as D
 from docweave.operators import hierarchy as H
 from docweave.operators import links as L
 from docweave.operators import quality as Q
+from docweave.functions import nodes as N
 from docweave.operators.extract import extract_entities
 from docweave.operators.shred import shred
 from docweave.plans import fixtures as X
+from docweave.session import ensure_checkpoint_dir, materialize
 from docweave.sources import sinks as K
 from docweave.streaming.progress import category_progress
 
@@ -51,28 +53,31 @@ def shredded(pages: DataFrame) -> DataFrame:
 
 
 # Shredded fixture page sets, parsed once per (application, tables, set) and
-# kept as checkpointed tables in the shared checkpoint folder: the parse is
-# the expensive step and several queries read the same node table (the
-# reference likewise writes its parsed records once and re-reads them).
+# kept as Parquet tables in the shared checkpoint folder, in a folder per
+# category: the parse is the expensive step and several queries read the same
+# node table, each only its categories and columns.
 _PARSED: dict[tuple, DataFrame] = {}
 # The generic-extractor page sets and their (distinct) categories: they are
 # rendered and parsed as one job, then each is a category filter.
 DOC_SETS = {"x1_class_pages": "developer", "x2_function_pages": "runtime", "x3_enum_pages": "plugins",
-            "x7_hierarchy_class_pages": "editor"}
+            "x7_hierarchy_class_pages": "editor", "x8_tier_pages": "tiers"}
 
 
-def _materialized(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    from docweave.session import materialize
-
+def _materialized(spark: SparkSession, d: str, name: str, build, partition_by=None) -> DataFrame:
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _PARSED:
-        _PARSED[key] = materialize(build())
+        _PARSED[key] = materialize(build(), partition_by)
     return _PARSED[key]
 
 
+def forget_parsed() -> None:
+    """Drop the session's parsed pages, so that the next query parses again."""
+    _PARSED.clear()
+
+
 def doc_nodes(spark, d) -> DataFrame:
-    """X1 ∪ X2 ∪ X3 ∪ X7, shredded (one job, checkpointed once per session)."""
-    return _materialized(spark, d, "doc_pages", lambda: shredded(X.doc_pages(spark, d)))
+    """X1 ∪ X2 ∪ X3 ∪ X7 ∪ X8, shredded (one job, written once per session)."""
+    return _materialized(spark, d, "doc_pages", lambda: shredded(X.doc_pages(spark, d)), ["category"])
 
 
 def parsed(spark: SparkSession, d: str, fixture: str) -> DataFrame:
@@ -95,11 +100,11 @@ def flat_entities(ents: DataFrame) -> DataFrame:
 
 
 def x6_parsed(spark, d) -> DataFrame:
-    """X6 entity lines, parsed once per session (checkpointed)."""
+    """X6 entity lines, parsed once per session (written)."""
     return _materialized(spark, d, "x6_parsed", lambda: C.parse_entity_lines(X.x6_entity_lines(spark, d)))
 
 
-def hierarchy_flat(spark, d, max_depth=10) -> DataFrame:
+def hierarchy_flat(spark, d, max_depth: int | None = 10) -> DataFrame:
     return H.hierarchy_flat(H.hierarchy_edges(parsed(spark, d, "x5_hierarchy_pages"), max_depth))
 
 
@@ -129,7 +134,8 @@ x1 AS (
 
 X2_CTE = """
 x2_li AS (
-  SELECT l.*, l_linenumber % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / 256.0) AS BIGINT)) AS chunk
+  SELECT l.*, CAST('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 8) AS BIGINT)
+         % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / 256.0) AS BIGINT)) AS chunk
   FROM lineitem l),
 x2_cnt AS (SELECT l_orderkey, chunk, count(*) AS n FROM x2_li GROUP BY l_orderkey, chunk),
 x2 AS (
@@ -161,6 +167,11 @@ x7 AS (
     UNION ALL SELECT n_name, 'N', CAST(n_nationkey AS BIGINT) FROM nation
     UNION ALL SELECT s_name, 'S', CAST(s_suppkey AS BIGINT) FROM supplier))"""
 
+X8_CTE = """
+x8 AS (
+  SELECT DISTINCT c_mktsegment AS seg, CASE WHEN c_nationkey % 5 = 0 THEN 'Nowhere' ELSE 'Tier' || c_nationkey END AS crumb,
+         'Tiers/' || c_nationkey || '/' || c_mktsegment || '/index.html' AS source_path FROM customer)"""
+
 X4_CTE = """
 x4_p AS (
   SELECT p.*, p_partkey % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY p_brand) / 256.0) AS BIGINT)) AS chunk
@@ -179,23 +190,42 @@ X5_CTE = """
 x5_s AS (
   SELECT s.*, s_suppkey % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY s_nationkey) / 256.0) AS BIGINT)) AS chunk
   FROM supplier s),
-x5_nodes AS (
-  SELECT DISTINCT r.r_name AS name, '../R/' || r.r_regionkey AS link, CAST(NULL AS VARCHAR) AS parent, 0 AS depth
-  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+x5_pg AS (
+  SELECT nk, 'ClassHierarchy/' || nk || CASE WHEN chunk > 0 THEN '.' || chunk ELSE '' END || '/index.html' AS source_path, chunk
+  FROM (SELECT DISTINCT s_nationkey AS nk, chunk FROM x5_s
+        UNION ALL SELECT n_nationkey, 0 FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier))),
+x5_cells AS (
+  SELECT p.source_path, 0 AS place, r.r_name AS name, '../R/' || r.r_regionkey AS link, CAST(NULL AS VARCHAR) AS parent, 0 AS depth
+  FROM x5_pg p JOIN nation n ON n.n_nationkey = p.nk JOIN region r ON r.r_regionkey = n.n_regionkey
+  UNION ALL
+  SELECT p.source_path, 1, n.n_name, '../N/' || n.n_nationkey, r.r_name, 1
+  FROM x5_pg p JOIN nation n ON n.n_nationkey = p.nk JOIN region r ON r.r_regionkey = n.n_regionkey
+  UNION ALL
+  SELECT p.source_path, 2 + s_suppkey, s.s_name, '../S/' || s.s_suppkey, n.n_name, 2
+  FROM x5_s s JOIN x5_pg p ON p.nk = s.s_nationkey AND p.chunk = s.chunk
+  JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
   UNION ALL
-  SELECT n.n_name, '../N/' || n.n_nationkey, r.r_name, 1
-  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+  SELECT 'ClassHierarchy/chain/index.html', n_nationkey, 'Tier' || n_nationkey, '../T/' || n_nationkey,
+         CASE WHEN n_nationkey > 0 THEN 'Tier' || (n_nationkey - 1) END, n_nationkey FROM nation),
+x5_all AS (
+  SELECT name, parent, min(link) AS link, min(depth) AS depth, min(source_path || '|' || lpad(CAST(place AS VARCHAR), 12, '0')) AS ord
+  FROM x5_cells GROUP BY name, parent),
+x5_nodes AS (SELECT * FROM x5_all WHERE depth <= 10)"""
+#: Every node under every path from a root, with the places along it (``x5_all`` may be cut to ``x5_nodes``).
+WALK_CTE = """
+walk(root, name, depth, path, places) AS (
+  SELECT name, name, 0, [name], [ord] FROM x5_all WHERE parent IS NULL
   UNION ALL
-  SELECT s.s_name, '../S/' || s.s_suppkey, n.n_name, 2
-  FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey)"""
+  SELECT w.root, n.name, w.depth + 1, list_append(w.path, n.name), list_append(w.places, n.ord)
+  FROM walk w JOIN x5_all n ON n.parent = w.name)"""
 
 
 def with_ctes(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes)
+    return "WITH RECURSIVE " + ",".join(ctes)
 
 
 # ============================================================ E0–E11 (generic)
-ENTITIES_SQL = with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE) + """
+ENTITIES_SQL = with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE, X8_CTE) + """
 SELECT 'developer' AS category, source_path, 'class' AS entity_type,
        CASE WHEN p_partkey % 7 = 0 THEN p_name ELSE 'class ' || p_name END AS name,
        p_type || ' part of size ' || p_size AS short_description,
@@ -221,6 +251,9 @@ FROM x3
 UNION ALL
 SELECT 'editor', source_path, 'class', nm, NULL, '', NULL, NULL, NULL, NULL, NULL, CAST(1 AS BIGINT)
 FROM x7
+UNION ALL
+SELECT 'tiers', source_path, 'function', 'function ' || seg, NULL, crumb, NULL, NULL, NULL, NULL, NULL, CAST(0 AS BIGINT)
+FROM x8
 """
 
 
@@ -233,8 +266,6 @@ def q_entities(spark, d):
 @register("page_nodes", "SELECT page_id, CAST(len(regexp_extract_all(html, '<[a-zA-Z]')) AS BIGINT) AS n_elements FROM pages")
 def q_page_nodes(spark, d):
     """E0 on real markup: element count per page."""
-    from docweave.functions import nodes as N
-
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
     return sh.select("page_id", F.expr(f"CAST(size({N.find_all(N.NODES, N.matcher())}) AS BIGINT)").alias("n_elements"))
 
@@ -246,8 +277,6 @@ SELECT page_id,
 FROM pages""")
 def q_page_titles(spark, d):
     """E3 on real markup: text of the first h1."""
-    from docweave.functions import nodes as N
-
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
     return sh.select("page_id", F.expr(N.text(N.NODES, N.find(N.NODES, N.matcher("h1")))).alias("title"))
 
@@ -258,20 +287,19 @@ SELECT page_id, CAST(len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</na
 FROM pages""")
 def q_nav_links(spark, d):
     """Links inside the first ``nav`` with a non-empty href not starting with '#'."""
-    from docweave.functions import nodes as N
-
     sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
     links = N.find_all_in(N.NODES, N.find(N.NODES, N.matcher("nav")), N.matcher("a", href=True))
     good = N.find_all(links, lambda a: f"({a}.href <> '' AND NOT startswith({a}.href, '#'))")
     return sh.select("page_id", F.expr(f"CAST(coalesce(size({good}), 0) AS BIGINT)").alias("n_links"))
 
 
-@register("entity_type", with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE) + """
+@register("entity_type", with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE, X8_CTE) + """
 SELECT category, entity_type, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT 'developer' AS category, 'class' AS entity_type FROM x1
   UNION ALL SELECT 'runtime', 'function' FROM x2
   UNION ALL SELECT 'plugins', 'enum' FROM x3
   UNION ALL SELECT 'editor', 'class' FROM x7
+  UNION ALL SELECT 'tiers', 'function' FROM x8
   UNION ALL SELECT 'web', 'unknown' FROM pages) GROUP BY ALL""")
 def q_entity_type(spark, d):
     """Entity types per category, over the rendered pages and the raw ``pages``."""
@@ -294,8 +322,8 @@ SELECT source_path, CAST(pos AS BIGINT) AS pos, crumb FROM (
   SELECT source_path, 2, nat FROM x1)""")
 def q_breadcrumbs(spark, d):
     """One row per crumb with its position."""
-    return _x1_entities(spark, d).select("source_path", F.posexplode("navigation").alias("pos", "crumb")).select(
-        "source_path", F.col("pos").cast("long").alias("pos"), "crumb")
+    crumbs = F.transform("navigation", lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("crumb")))
+    return N.explode_rows(_x1_entities(spark, d), ["source_path"], crumbs)
 
 
 @register("entity_references", with_ctes(X1_CTE) + """
@@ -331,7 +359,7 @@ SELECT CASE WHEN p_partkey % 7 = 0 THEN p_name ELSE 'class ' || p_name END AS na
 FROM part JOIN lineitem ON l_partkey = p_partkey""")
 def q_class_variables(spark, d):
     """Member variables (rows with ≥3 cells) of class pages."""
-    return _x1_entities(spark, d).select("name", F.inline("variables").alias("var_type", "var_name", "var_description"))
+    return N.explode_rows(_x1_entities(spark, d), ["name"], "variables", ["var_type", "var_name", "var_description"])
 
 
 @register("function_overloads", """
@@ -349,7 +377,7 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
 def q_function_overloads(spark, d):
     """Overload rows (≥4 cells) of function pages."""
     e = extract_entities(parsed(spark, d, "x2_function_pages"))
-    return e.select("name", F.inline("overloads").alias("return_type", "overload_name", "link", "arguments", "description"))
+    return N.explode_rows(e, ["name"], "overloads", ["return_type", "overload_name", "link", "arguments", "description"])
 
 
 @register("enum_values", """
@@ -359,7 +387,7 @@ FROM nation JOIN customer ON c_nationkey = n_nationkey""")
 def q_enum_values(spark, d):
     """Enum values (rows with ≥2 cells)."""
     e = extract_entities(parsed(spark, d, "x3_enum_pages"))
-    return e.select("name", F.inline("values").alias("value_name", "value_description"))
+    return N.explode_rows(e, ["name"], "values", ["value_name", "value_description"])
 
 
 # ============================================================ E12–E17 (specialised)
@@ -395,28 +423,23 @@ SELECT 'Part/' || p_partkey || '/index.html' AS source_path, section, m_type, m_
   UNION ALL SELECT p_partkey, 'constants', NULL, 'SIZE', CAST(p_size AS VARCHAR), NULL FROM part)""")
 def q_class_members(spark, d):
     """Variables / constructors / functions / constants of class pages."""
-    det = _x1c_detail(spark, d)
-    v = det.select("source_path", F.lit("variables").alias("section"), F.inline("variables")).select(
-        "source_path", "section", F.col("type").alias("m_type"), F.col("name").alias("m_name"),
-        F.col("description").alias("m_description"), "specifiers")
-    parts = [v]
-    for sec in ("constructors", "functions"):
-        parts.append(det.select("source_path", F.lit(sec).alias("section"), F.inline(sec)).select(
-            "source_path", "section", F.col("type").alias("m_type"), F.col("name").alias("m_name"),
-            F.col("description").alias("m_description"), F.lit(None).cast("string").alias("specifiers")))
-    parts.append(det.select("source_path", F.lit("constants").alias("section"), F.inline("constants")).select(
-        "source_path", "section", F.lit(None).cast("string").alias("m_type"), F.col("name").alias("m_name"),
-        F.col("description").alias("m_description"), F.lit(None).cast("string").alias("specifiers")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    none = F.lit(None).cast("string")
+
+    def section(name, m_type="type", specifiers=None):
+        return F.transform(name, lambda m: F.struct(
+            F.lit(name).alias("section"), (m[m_type] if m_type else none).alias("m_type"), m["name"].alias("m_name"),
+            m["description"].alias("m_description"), (m[specifiers] if specifiers else none).alias("specifiers")))
+
+    members = F.concat(section("variables", specifiers="specifiers"), section("constructors"), section("functions"),
+                       section("constants", m_type=None))
+    return N.explode_rows(_x1c_detail(spark, d), ["source_path"], members)
 
 
 @register("class_see_also", "SELECT 'Part/' || p_partkey || '/index.html' AS source_path, '../Part/' || (p_partkey + 1) AS href FROM part")
 def q_class_see_also(spark, d):
     """Hrefs of linked anchors in ``div#seealso``."""
-    return _x1c_detail(spark, d).select("source_path", F.explode("see_also").alias("href"))
+    hrefs = F.transform("see_also", lambda h: F.struct(h.alias("href")))
+    return N.explode_rows(_x1c_detail(spark, d), ["source_path"], hrefs)
 
 
 VALUE_DETAIL_SQL = with_ctes(X3_CTE) + """
@@ -564,15 +587,15 @@ def q_clean_text(spark, d):
 @register("dedupe_documents", "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY text")
 def q_dedupe_documents(spark, d):
     """A1 on documents: one row per exact text, the first doc_id wins."""
-    docs = tbl(spark, d, "documents").select("doc_id", "text")
-    return C.dedupe(docs, key=["text"], order=[F.col("doc_id")]).select("doc_id", F.md5("text").alias("text_md5"))
+    docs = tbl(spark, d, "documents").select("doc_id", F.md5("text").alias("text_md5"))
+    return C.dedupe(docs, key=["text_md5"], order=[F.col("doc_id")]).select("doc_id", "text_md5")
 
 
 X6_CTE = """
 x6 AS (
   SELECT doc_id AS line_no, CASE WHEN lang IN ('en', 'de') THEN 'developer' ELSE 'runtime' END AS category,
          doc_id % 17 = 0 AS bad, lang, source, text,
-         CASE WHEN doc_id % 23 = 0 THEN '' ELSE 'Docs/' || substr(md5(text), 1, 12) END AS source_path,
+         CASE WHEN doc_id % 23 = 0 THEN '' ELSE 'Docs/' || md5(text) END AS source_path,
          CASE doc_id % 3 WHEN 0 THEN 'class' WHEN 1 THEN 'function' ELSE 'enum' END AS entity_type
   FROM documents)"""
 
@@ -584,11 +607,15 @@ def q_read_entities_tolerant(spark, d):
     return C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "name", "entity_type", "source_path")
 
 
-@register("dead_letters", with_ctes(X6_CTE) + "SELECT category, line_no, 'malformed JSON line' AS error FROM x6 WHERE bad")
+@register("dead_letters", with_ctes(X6_CTE) + """
+SELECT category, line_no, 'malformed JSON line' AS error FROM x6 WHERE bad
+UNION ALL SELECT 'web', page_id, 'no content' FROM pages WHERE url LIKE '%#top'""")
 def q_dead_letters(spark, d):
     """Q5: which line failed and why (shredder errors and bad JSON lines)."""
     bad_json = C.bad_lines(x6_parsed(spark, d)).select("category", "line_no", "error")
-    bad_pages = shred(tbl(spark, d, "pages").select(F.lit("web").alias("category"), F.col("page_id").alias("line_no"), "html"),
+    # pages addressed by a fragment count as fetched without content
+    html = F.when(~F.endswith("url", F.lit("#top")), F.col("html"))
+    bad_pages = shred(tbl(spark, d, "pages").select(F.lit("web").alias("category"), F.col("page_id").alias("line_no"), html.alias("html")),
                       keep=["category", "line_no"])
     bad_pages = bad_pages.filter(F.col("shred_error").isNotNull()).select("category", "line_no", F.col("shred_error").alias("error"))
     return Q.dead_letters(bad_json, bad_pages)
@@ -628,7 +655,7 @@ FROM x6 WHERE NOT bad AND source_path <> '' GROUP BY source_path"""
 @register("dedupe_entities", DEDUPE_SQL)
 def q_dedupe_entities(spark, d):
     """A1 + P5: one entity per source_path, first by (category precedence, line)."""
-    good = C.good_entities(x6_parsed(spark, d)).withColumnRenamed("line_no", "line")
+    good = C.good_entities(x6_parsed(spark, d)).select("source_path", "category", F.col("line_no").alias("line"))
     return C.dedupe(good, key=["source_path"]).select("source_path", "category", F.col("line").alias("line_no"))
 
 
@@ -693,22 +720,8 @@ def q_sample_records(spark, d):
 
 
 # ============================================================ hierarchy
-@register("hierarchy_edges", with_ctes(X5_CTE) + """,
-pg AS (
-  SELECT DISTINCT s_nationkey AS nk, chunk FROM x5_s
-  UNION ALL SELECT n_nationkey, 0 FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)),
-pgs AS (SELECT nk, chunk, 'ClassHierarchy/' || nk || CASE WHEN chunk > 0 THEN '.' || chunk ELSE '' END || '/index.html'
-        AS source_path FROM pg)
-SELECT p.source_path, r.r_name AS name, '../R/' || r.r_regionkey AS link, CAST(NULL AS VARCHAR) AS parent,
-       CAST(0 AS BIGINT) AS depth
-FROM pgs p JOIN nation n ON n.n_nationkey = p.nk JOIN region r ON r.r_regionkey = n.n_regionkey
-UNION ALL
-SELECT p.source_path, n.n_name, '../N/' || n.n_nationkey, r.r_name, 1
-FROM pgs p JOIN nation n ON n.n_nationkey = p.nk JOIN region r ON r.r_regionkey = n.n_regionkey
-UNION ALL
-SELECT p.source_path, s.s_name, '../S/' || s.s_suppkey, n.n_name, 2
-FROM x5_s s JOIN pgs p ON p.nk = s.s_nationkey AND p.chunk = s.chunk
-JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey""")
+@register("hierarchy_edges", with_ctes(X5_CTE) + """
+SELECT source_path, name, link, parent, CAST(depth AS BIGINT) AS depth FROM x5_cells WHERE depth <= 10""")
 def q_hierarchy_edges(spark, d):
     """One row per label cell of each hierarchy page (each shard page
     repeats the region and nation rows above its suppliers)."""
@@ -716,6 +729,13 @@ def q_hierarchy_edges(spark, d):
     return e.select("source_path", "name", "link", "parent", F.col("depth").cast("long").alias("depth"))
 
 
+@register("hierarchy_deep", with_ctes(X5_CTE) + """
+SELECT name, parent, CAST(depth AS BIGINT) AS depth FROM x5_all""")
+def q_hierarchy_deep(spark, d):
+    """E18 without a depth limit."""
+    return hierarchy_flat(spark, d, None).select("name", "parent", F.col("depth").cast("long").alias("depth"))
+
+
 @register("hierarchy_flat", with_ctes(X5_CTE) + "SELECT name, link, parent, CAST(depth AS BIGINT) AS depth FROM x5_nodes")
 def q_hierarchy_flat(spark, d):
     """H1: the tree as one row per position (all shards merged)."""
@@ -731,39 +751,43 @@ def q_hierarchy_depth(spark, d):
 
 
 @register("hierarchy_children", with_ctes(X5_CTE) + """
-SELECT parent, CAST(count(*) AS BIGINT) AS n_children, min(name) AS first_child, max(name) AS last_child
+SELECT parent, CAST(count(*) AS BIGINT) AS n_children, arg_min(name, ord) AS first_child, arg_max(name, ord) AS last_child
 FROM x5_nodes WHERE parent IS NOT NULL GROUP BY parent""")
 def q_hierarchy_children(spark, d):
-    """A3: fan-out per parent with its first and last child."""
+    """A3: fan-out per parent with its first and last child in document order."""
     return H.hierarchy_children(hierarchy_flat(spark, d))
 
 
+@register("hierarchy_child_rows", with_ctes(X5_CTE) + """
+SELECT parent, name, CAST(row_number() OVER (PARTITION BY parent ORDER BY ord) - 1 AS BIGINT) AS nth
+FROM x5_all WHERE parent IS NOT NULL""")
+def q_hierarchy_child_rows(spark, d):
+    """A3/H1: the children of every parent in document order, numbered without a
+    window over a parent's children."""
+    rows = H.hierarchy_child_rows(hierarchy_flat(spark, d, None))
+    return K.line_numbers(rows, "parent", ["ord"], out="nth").select("parent", "name", "nth")
+
+
 @register("hierarchy_roots", with_ctes(X5_CTE) + "SELECT name FROM x5_nodes WHERE depth = 0")
 def q_hierarchy_roots(spark, d):
     """Names that are nobody's child."""
     return H.hierarchy_roots(hierarchy_flat(spark, d))
 
 
-@register("hierarchy_walk", with_ctes(X5_CTE) + """
-SELECT r.name AS root, r.name AS name, CAST(0 AS BIGINT) AS depth, r.name AS path FROM x5_nodes r WHERE r.depth = 0
-UNION ALL
-SELECT n.parent, n.name, 1, n.parent || '/' || n.name FROM x5_nodes n WHERE n.depth = 1
-UNION ALL
-SELECT n.parent, s.name, 2, n.parent || '/' || n.name || '/' || s.name
-FROM x5_nodes s JOIN x5_nodes n ON n.depth = 1 AND s.depth = 2 AND s.parent = n.name""")
+@register("hierarchy_walk", with_ctes(X5_CTE, WALK_CTE) + """
+SELECT root, name, CAST(depth AS BIGINT) AS depth, array_to_string(path, '/') AS path FROM walk""")
 def q_hierarchy_walk(spark, d):
     """H3: pre-order walk from every root (recursive CTE), path as text."""
-    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d))
+    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d, None))
     return w.select("root", "name", F.col("depth").cast("long").alias("depth"), F.array_join("path", "/").alias("path"))
 
 
-@register("hierarchy_closure", with_ctes(X5_CTE) + """
-SELECT n.parent AS anc, n.name, CAST(1 AS BIGINT) AS depth FROM x5_nodes n WHERE n.parent IS NOT NULL
-UNION ALL
-SELECT n.parent, s.name, 2 FROM x5_nodes s JOIN x5_nodes n ON n.depth = 1 AND s.depth = 2 AND s.parent = n.name""")
+@register("hierarchy_closure", with_ctes(X5_CTE, WALK_CTE) + """
+SELECT anc, name, CAST(min(len(path) - i) AS BIGINT) AS depth
+FROM (SELECT name, path, unnest(path) AS anc, generate_subscripts(path, 1) AS i FROM walk) WHERE i < len(path) GROUP BY anc, name""")
 def q_hierarchy_closure(spark, d):
     """H4: every ancestor/descendant pair with its distance."""
-    c = H.hierarchy_closure(spark, hierarchy_flat(spark, d))
+    c = H.hierarchy_closure(spark, hierarchy_flat(spark, d, None))
     return c.select("anc", "name", F.col("depth").cast("long").alias("depth"))
 
 
@@ -771,11 +795,11 @@ def q_hierarchy_closure(spark, d):
 def _organize_inputs(spark, d):
     ents = doc_entities(spark, d).withColumn(
         "line", F.struct(C.category_rank(F.col("category")).alias("c"), F.col("source_path").alias("p")))
-    return ents, hierarchy_flat(spark, d)
+    return ents, hierarchy_flat(spark, d, None)
 
 
-RELATED_SQL = with_ctes(X2_CTE, X3_CTE, X5_CTE) + """,
-hn AS (SELECT DISTINCT name FROM x5_nodes),
+RELATED_SQL = with_ctes(X2_CTE, X3_CTE, X5_CTE, X8_CTE) + """,
+hn AS (SELECT DISTINCT name FROM x5_all),
 rel AS (
   SELECT nat AS class_name, source_path, 'function' AS entity_type,
          CASE WHEN o_orderkey % 2 = 0 THEN 'function Order' || o_orderkey ELSE 'Order' || o_orderkey || ' overloads' END AS name,
@@ -786,7 +810,9 @@ rel AS (
   FROM x3 WHERE reg IN (SELECT name FROM hn)
   UNION ALL
   SELECT n_name, source_path, 'enum', CASE WHEN n_nationkey % 2 = 0 THEN 'enum ' || n_name ELSE n_name END, 1, 2
-  FROM x3 WHERE n_name IN (SELECT name FROM hn))"""
+  FROM x3 WHERE n_name IN (SELECT name FROM hn)
+  UNION ALL
+  SELECT crumb, source_path, 'function', 'function ' || seg, 0, 4 FROM x8 WHERE crumb IN (SELECT name FROM hn))"""
 
 
 @register("related_entities", RELATED_SQL + " SELECT class_name, source_path, CAST(nav_pos AS BIGINT) AS nav_pos FROM rel")
@@ -816,7 +842,7 @@ cls AS (
 CLASSES_SQL = with_ctes(X1_CTE, X7_CTE, X5_CTE, CLS_CTE)
 
 
-@register("hier_classes", CLASSES_SQL + " SELECT name, source_path FROM cls WHERE name IN (SELECT name FROM x5_nodes)")
+@register("hier_classes", CLASSES_SQL + " SELECT name, source_path FROM cls WHERE name IN (SELECT name FROM x5_all)")
 def q_hier_classes(spark, d):
     """Hierarchy nodes ⋈ their class entity (after last-wins by name)."""
     ents, flat = _organize_inputs(spark, d)
@@ -824,7 +850,7 @@ def q_hier_classes(spark, d):
     return classes.join(flat.select("name").distinct(), "name").select("name", "source_path")
 
 
-@register("hier_unattached_classes", CLASSES_SQL + " SELECT name, source_path FROM cls WHERE name NOT IN (SELECT name FROM x5_nodes)")
+@register("hier_unattached_classes", CLASSES_SQL + " SELECT name, source_path FROM cls WHERE name NOT IN (SELECT name FROM x5_all)")
 def q_hier_unattached_classes(spark, d):
     """Classes the walk never reaches."""
     ents, flat = _organize_inputs(spark, d)
@@ -833,7 +859,7 @@ def q_hier_unattached_classes(spark, d):
 
 
 @register("hier_unattached_other", RELATED_SQL + """,
-others AS (SELECT source_path FROM x2 UNION ALL SELECT source_path FROM x3)
+others AS (SELECT source_path FROM x2 UNION ALL SELECT source_path FROM x3 UNION ALL SELECT source_path FROM x8)
 SELECT source_path FROM others WHERE source_path NOT IN (SELECT source_path FROM rel)""")
 def q_hier_unattached_other(spark, d):
     """Non-class entities attached to no class."""
@@ -843,56 +869,64 @@ def q_hier_unattached_other(spark, d):
     return others.select("source_path").join(attached, "source_path", "left_anti")
 
 
-@register("organize_by_hierarchy", with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE, X5_CTE, CLS_CTE) + """,
-hn AS (SELECT DISTINCT name FROM x5_nodes),
-walk AS (
-  SELECT name, name AS path FROM x5_nodes WHERE depth = 0
-  UNION ALL SELECT name, parent || '/' || name FROM x5_nodes WHERE depth = 1
-  UNION ALL SELECT s.name, n.parent || '/' || n.name || '/' || s.name
-  FROM x5_nodes s JOIN x5_nodes n ON n.depth = 1 AND s.depth = 2 AND s.parent = n.name),
-rel AS (
-  SELECT nat AS class_name, source_path, 'function' AS entity_type,
-         CASE WHEN o_orderkey % 2 = 0 THEN 'function Order' || o_orderkey ELSE 'Order' || o_orderkey || ' overloads' END AS name
-  FROM x2 WHERE nat IN (SELECT name FROM hn)
+ORGANIZE_SQL = with_ctes(X1_CTE, X2_CTE, X3_CTE, X7_CTE, X8_CTE, X5_CTE, WALK_CTE, CLS_CTE) + """,
+ent AS (""" + ENTITIES_SQL[ENTITIES_SQL.index("SELECT 'developer' AS category"):] + """),
+crumbs AS (SELECT source_path, unnest(string_split(navigation, ' > ')) AS crumb FROM ent WHERE entity_type <> 'class'),
+rel AS (SELECT crumb, source_path FROM crumbs WHERE crumb IN (SELECT name FROM walk)),
+placed AS (
+  SELECT 1 AS segment, array_to_string(w.path, '/') AS path, array_to_string(w.places, '/') AS places, 0 AS kind, c.source_path
+  FROM walk w JOIN cls c ON c.name = w.name
   UNION ALL
-  SELECT reg, source_path, 'enum', CASE WHEN n_nationkey % 2 = 0 THEN 'enum ' || n_name ELSE n_name END
-  FROM x3 WHERE reg IN (SELECT name FROM hn)
+  SELECT 1, array_to_string(w.path, '/'), array_to_string(w.places, '/'), 1, r.source_path FROM walk w JOIN rel r ON r.crumb = w.name
   UNION ALL
-  SELECT n_name, source_path, 'enum', CASE WHEN n_nationkey % 2 = 0 THEN 'enum ' || n_name ELSE n_name END
-  FROM x3 WHERE n_name IN (SELECT name FROM hn)),
-others AS (
-  SELECT source_path, 'function' AS entity_type,
-         CASE WHEN o_orderkey % 2 = 0 THEN 'function Order' || o_orderkey ELSE 'Order' || o_orderkey || ' overloads' END AS name
-  FROM x2
-  UNION ALL SELECT source_path, 'enum', CASE WHEN n_nationkey % 2 = 0 THEN 'enum ' || n_name ELSE n_name END FROM x3)
-SELECT CAST(1 AS BIGINT) AS segment, w.path, CAST(0 AS BIGINT) AS kind, c.name, 'class' AS entity_type, c.source_path
-FROM walk w JOIN cls c ON c.name = w.name
-UNION ALL
-SELECT 1, w.path, 1, r.name, r.entity_type, r.source_path FROM walk w JOIN rel r ON r.class_name = w.name
-UNION ALL
-SELECT 2, '', 0, c.name, 'class', c.source_path FROM cls c WHERE c.name NOT IN (SELECT name FROM hn)
-UNION ALL
-SELECT 3, '', 1, o.name, o.entity_type, o.source_path FROM others o WHERE o.source_path NOT IN (SELECT source_path FROM rel)""")
-def q_organize_by_hierarchy(spark, d):
-    """H8: the hierarchy-ordered output; ``ORDER BY segment, path, kind, ord``
-    is the write order (the sort key is kept as columns)."""
+  SELECT 2, '', '', 0, source_path FROM cls WHERE name NOT IN (SELECT name FROM walk)
+  UNION ALL
+  SELECT 3, '', '', 1, source_path FROM ent WHERE entity_type <> 'class' AND source_path NOT IN (SELECT source_path FROM rel))
+SELECT CAST(segment AS BIGINT) AS segment, path, CAST(kind AS BIGINT) AS kind, ent.* EXCLUDE (n_members, category)
+FROM placed JOIN ent USING (source_path)"""
+
+
+def _organized(spark, d):
     ents, flat = _organize_inputs(spark, d)
-    o = H.organize_by_hierarchy(spark, ents, flat)
+    fields = C.SANITIZED_FIELDS
+    return H.organize_by_hierarchy(spark, ents.select(*fields, "line"), flat), fields
+
+
+@register("organize_by_hierarchy", ORGANIZE_SQL)
+def q_organize_by_hierarchy(spark, d):
+    """H8: the hierarchy-ordered output with the whole record;
+    ``ORDER BY segment, places, kind, ord`` is the write order."""
+    o, fields = _organized(spark, d)
     return o.select(F.col("segment").cast("long").alias("segment"), F.array_join("path", "/").alias("path"),
-                    F.col("kind").cast("long").alias("kind"), "name", "entity_type", "source_path")
+                    F.col("kind").cast("long").alias("kind"),
+                    *[F.array_join(f, " > ").alias(f) if f == "navigation" else f for f in fields])
+
+
+@register("organize_order", ORGANIZE_SQL[:ORGANIZE_SQL.rindex("SELECT CAST(segment")] + """
+SELECT CAST(row_number() OVER (ORDER BY segment, places, kind, CASE WHEN segment = 2 THEN f.c ELSE e.c END,
+                               CASE WHEN segment = 2 THEN f.source_path ELSE e.source_path END) - 1 AS BIGINT) AS nth, e.source_path
+FROM placed JOIN (SELECT source_path, name, CASE category WHEN 'editor' THEN 0 WHEN 'developer' THEN 1 WHEN 'plugins' THEN 2
+                  WHEN 'runtime' THEN 3 ELSE 4 END AS c FROM ent) e USING (source_path)
+LEFT JOIN (SELECT name, min(struct_pack(c := CASE category WHEN 'editor' THEN 0 WHEN 'developer' THEN 1 ELSE 2 END,
+                  source_path := source_path)) AS f FROM ent WHERE entity_type = 'class' GROUP BY name) USING (name)""")
+def q_organize_order(spark, d):
+    """The line on which each record of the hierarchical output is written."""
+    o, _ = _organized(spark, d)
+    rows = o.select(F.lit(0).alias("_g"), "segment", "places", "kind", "ord", "source_path")
+    return K.line_numbers(rows, "_g", ["segment", "places", "kind", "ord"], out="nth").select("nth", "source_path")
 
 
 # ============================================================ quality on tables
 @register("manifest_missing", """
 WITH exp AS (SELECT DISTINCT source AS folder, CAST(doc_id AS VARCHAR) AS file FROM documents),
-act AS (SELECT DISTINCT 'src' || (doc_id % 20) AS folder, CAST(doc_id AS VARCHAR) AS file FROM labels),
+act AS (SELECT DISTINCT 'src' || ((doc_id + quality) % 20) AS folder, CAST(doc_id AS VARCHAR) AS file FROM labels),
 pf AS (SELECT DISTINCT folder FROM act)
 SELECT DISTINCT folder, CAST(NULL AS VARCHAR) AS file, 'missing folder' AS issue FROM exp WHERE folder NOT IN (SELECT folder FROM pf)
 UNION ALL
 SELECT folder, file, 'missing file' FROM exp e
 WHERE folder IN (SELECT folder FROM pf) AND NOT EXISTS (SELECT 1 FROM act a WHERE a.folder = e.folder AND a.file = e.file)""")
 def q_manifest_missing(spark, d):
-    """Q1: expected (source folder, doc) vs present (labelled docs filed by id)."""
+    """Q1: expected (source folder, doc) vs present (labelled docs, some filed in the next folder)."""
     exp, act = _manifest(spark, d)
     return Q.manifest_missing(exp, act)
 
@@ -900,14 +934,14 @@ def q_manifest_missing(spark, d):
 def _manifest(spark, d):
     exp = tbl(spark, d, "documents").select(F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("file")).distinct()
     act = tbl(spark, d, "labels").select(
-        F.concat(F.lit("src"), F.pmod("doc_id", F.lit(20)).cast("string")).alias("folder"),
+        F.concat(F.lit("src"), F.pmod(F.col("doc_id") + F.col("quality"), F.lit(20)).cast("string")).alias("folder"),
         F.col("doc_id").cast("string").alias("file")).distinct()
     return exp, act
 
 
 @register("manifest_misplaced", """
 WITH exp AS (SELECT DISTINCT source AS folder, CAST(doc_id AS VARCHAR) AS file FROM documents),
-act AS (SELECT DISTINCT 'src' || (doc_id % 20) AS folder, CAST(doc_id AS VARCHAR) AS file FROM labels)
+act AS (SELECT DISTINCT 'src' || ((doc_id + quality) % 20) AS folder, CAST(doc_id AS VARCHAR) AS file FROM labels)
 SELECT folder, file, 'misplaced file' AS issue FROM act a
 WHERE folder IN (SELECT folder FROM exp) AND NOT EXISTS (SELECT 1 FROM exp e WHERE e.folder = a.folder AND e.file = a.file)""")
 def q_manifest_misplaced(spark, d):
@@ -965,7 +999,6 @@ def q_category_progress(spark, d):
 def q_stream_extract(spark, d):
     """The flagship extraction run incrementally (file stream, availableNow,
     checkpointed); must equal the batch result."""
-    from docweave.session import ensure_checkpoint_dir
     from docweave.streaming.incremental import run_incremental
 
     base = os.path.join(ensure_checkpoint_dir(spark), "stream_extract", uuid.uuid4().hex)
@@ -980,32 +1013,24 @@ def q_stream_extract(spark, d):
 def q_entity_pages(spark, d):
     """The indexed pages with their decoded text (here: its length); an
     unreadable page would carry a null text and drop to the dead letters."""
-    index = q_scan_categories(spark, d)
-    p = url_pages(spark, d).select("page_id", "html")
-    return index.join(p, "page_id").select("category", "source_path", "page_id",
-                                            F.length("html").cast("long").alias("n_chars"))
-
-
-@register("hier_order", with_ctes(X5_CTE) + """,
-walk AS (
-  SELECT name, [name] AS path FROM x5_nodes WHERE depth = 0
-  UNION ALL SELECT name, [parent, name] FROM x5_nodes WHERE depth = 1
-  UNION ALL SELECT s.name, [n.parent, n.name, s.name]
-  FROM x5_nodes s JOIN x5_nodes n ON n.depth = 1 AND s.depth = 2 AND s.parent = n.name)
-SELECT name, array_to_string(path, '/') AS path, CAST(row_number() OVER (ORDER BY path) - 1 AS BIGINT) AS preorder
+    from docweave.sources.files import exclude_categories
+
+    pages = exclude_categories(url_pages(spark, d), [" ES ", "", "  "])
+    return pages.select("category", "source_path", "page_id", F.length("html").cast("long").alias("n_chars"))
+
+
+@register("hier_order", with_ctes(X5_CTE, WALK_CTE) + """
+SELECT name, array_to_string(path, '/') AS path, CAST(row_number() OVER (ORDER BY places) - 1 AS BIGINT) AS preorder
 FROM walk""")
 def q_hier_order(spark, d):
-    """Depth-first pre-order position of every walk row (ORDER BY path;
-    a prefix sorts first), numbered without a single-task window."""
-    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d)).select("name", "path", F.lit(0).alias("_g"))
-    n = K.line_numbers(w, "_g", ["path"], out="preorder")
+    """Depth-first pre-order position of every walk row in document order,
+    numbered without a single-task window."""
+    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d, None)).select("name", "path", "places", F.lit(0).alias("_g"))
+    n = K.line_numbers(w, "_g", ["places"], out="preorder")
     return n.select("name", F.array_join("path", "/").alias("path"), "preorder")
 
 
-@register("hier_attached", ORACLES["organize_by_hierarchy"].replace(
-    "\nUNION ALL\nSELECT 2, '', 0, c.name, 'class', c.source_path FROM cls c WHERE c.name NOT IN (SELECT name FROM hn)"
-    "\nUNION ALL\nSELECT 3, '', 1, o.name, o.entity_type, o.source_path FROM others o WHERE o.source_path NOT IN "
-    "(SELECT source_path FROM rel)", ""))
+@register("hier_attached", ORGANIZE_SQL + " WHERE segment = 1")
 def q_hier_attached(spark, d):
     """H5: segment 1 only — per visited node its class row, then its related entities."""
     return q_organize_by_hierarchy(spark, d).filter(F.col("segment") == 1)
@@ -1018,7 +1043,6 @@ FROM events GROUP BY event_type""")
 def q_category_progress_stream(spark, d):
     """W1 (streaming form): the events file read as a stream, aggregated per
     category in complete mode with a checkpoint; equals the batch result."""
-    from docweave.session import ensure_checkpoint_dir
     from docweave.streaming.progress import progress_to_table
 
     base = os.path.join(ensure_checkpoint_dir(spark), "progress_stream", uuid.uuid4().hex)
@@ -1044,12 +1068,12 @@ walk(root, name, depth, path) AS (
   UNION ALL
   SELECT w.root, e.name, w.depth + 1, list_append(w.path, e.name)
   FROM walk w JOIN e ON e.parent = w.name
-  WHERE w.depth < 10 AND NOT list_contains(w.path, e.name))
+  WHERE w.depth < 8 AND NOT list_contains(w.path, e.name))
 SELECT root, name, CAST(depth AS BIGINT) AS depth, array_to_string(path, '/') AS path FROM walk""")
 def q_hierarchy_walk_cyclic(spark, d):
     """H3 / D6 on a graph with cycles and two-parent nodes: regions → nations
     plus a successor ring over the nations.  One row per path, cycle guard,
-    depth cap 10."""
+    a depth limit of 8 as asked."""
     nation, region = tbl(spark, d, "nation"), tbl(spark, d, "region")
     tree = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("n_name").alias("name"), F.col("r_name").alias("parent"))
@@ -1058,7 +1082,7 @@ def q_hierarchy_walk_cyclic(spark, d):
         F.col("b.n_name").alias("name"), F.col("a.n_name").alias("parent"))
     roots = region.join(nation, region["r_regionkey"] == nation["n_regionkey"], "left_semi").select(
         F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"))
-    w = H.hierarchy_walk(spark, tree.unionByName(ring).unionByName(roots), max_depth=10)
+    w = H.hierarchy_walk(spark, tree.unionByName(ring).unionByName(roots), max_depth=8)
     return w.select("root", "name", F.col("depth").cast("long").alias("depth"), F.array_join("path", "/").alias("path"))
 
 

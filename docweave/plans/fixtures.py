@@ -4,13 +4,13 @@ Pages are built with Spark SQL string functions, so the fixture grows with the
 tables and is rendered in parallel.  The oracle never reads this HTML: it
 computes the expected rows straight from the base tables.
 
-Member tables are *paginated* so that no page (and no ``collect_list`` group)
-grows with the data: an entity with ``n`` member rows gets
-``ceil(n / ROWS_PER_PAGE)`` pages and row ``r`` lands on page
-``pmod(row_id(r), pages)``.  Counting is a partial aggregate and the
-``(key, chunk)`` grouping is salted, so a hot key (one part holding a third of
-all lineitems) is spread over many tasks instead of one.  Continuation pages
-get the path suffix ``.<chunk>``.
+Member tables are *paginated* (sharding of the fixture only) so that no page
+(and no ``collect_list`` group) grows with the data: an entity with ``n`` member
+rows gets ``ceil(n / ROWS_PER_PAGE)`` pages and row ``r`` lands on page
+``pmod(row_id(r), pages)``.  Counting is a partial aggregate, and the members are
+dealt by ``(key, chunk)`` before they are gathered, so a hot key (one part
+holding a third of all lineitems) is spread over many tasks instead of one.
+Continuation pages get the path suffix ``.<chunk>``.
 """
 
 from __future__ import annotations
@@ -46,6 +46,11 @@ def day(c: str) -> Column:
     return F.expr(f"date_format(`{c}`, 'yyyy-MM-dd')")
 
 
+def row_hash(c: Column) -> Column:
+    """The first 32 bits of the md5 of a row's key."""
+    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+
+
 def paginate(members: DataFrame, key: str, row_id: Column, fragment: Column, order: list[Column],
              rows_per_page: int = ROWS_PER_PAGE) -> DataFrame:
     """Member rows → ``(key, chunk, body)``: the ordered HTML of each page chunk."""
@@ -56,7 +61,9 @@ def paginate(members: DataFrame, key: str, row_id: Column, fragment: Column, ord
         F.pmod(row_id.cast("long"), pages).alias("chunk"),
         F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], fragment.alias("frag")).alias("_r"),
     )
-    return m.groupBy(key, "chunk").agg(
+    # Dealt by both: the join above leaves the rows dealt by the key alone, which
+    # would satisfy the aggregate and put a hot key into one task.
+    return m.repartition(key, "chunk").groupBy(key, "chunk").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("_r")), lambda r: r["frag"]), "").alias("body")
     )
 
@@ -148,7 +155,7 @@ def x2_function_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</td><td>"), name_cell, F.lit("</td><td>"), day("l_shipdate"), F.lit("</td></tr>\n"),
     )
     bodies = paginate(
-        li.withColumn("o_orderkey", F.col("l_orderkey")), "o_orderkey", F.col("l_linenumber"), frag,
+        li.withColumn("o_orderkey", F.col("l_orderkey")), "o_orderkey", row_hash(F.concat_ws("-", "l_orderkey", "l_linenumber")), frag,
         [F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_quantity"), F.col("l_shipdate")],
     )
     o = orders.join(cust, orders["o_custkey"] == cust["c_custkey"], "left").join(
@@ -302,7 +309,20 @@ def x5_hierarchy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</table></td></tr>\n</table></td></tr>\n</table></body></html>"),
     )
     path = F.concat(F.lit("ClassHierarchy/"), F.col("n_nationkey").cast("string"), suffix(), F.lit("/index.html"))
-    return n.select(*page_frame("hierarchy", path, html))
+    return n.select(*page_frame("hierarchy", path, html)).unionByName(x5_chain_page(spark, sf_dir))
+
+
+def x5_chain_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain as deep as there are nations, ``Tier0 → Tier1 → …``, on one page."""
+    cell = F.concat(F.lit('<tr><td class="hierarchy-label-cell"><a href="../T/'), F.col("n_nationkey").cast("string"),
+                    F.lit('">Tier'), F.col("n_nationkey").cast("string"), F.lit("</a><table>"))
+    # nation is a fixed 25-row dimension (TPC-H): one page of 25 nested cells.
+    cells = table(spark, sf_dir, "nation").select(F.struct("n_nationkey", cell.alias("c")).alias("r")).agg(
+        F.array_sort(F.collect_list("r")).alias("rs"))
+    html = F.concat(
+        F.lit('<html><body><table class="hierarchy-table" id="hrch">'), F.array_join(F.transform("rs", lambda r: r["c"]), ""),
+        F.expr("repeat('</table></td></tr>', size(rs))"), F.lit("</table></body></html>"))
+    return cells.select(*page_frame("hierarchy", F.lit("ClassHierarchy/chain/index.html"), html))
 
 
 # --------------------------------------------------------------------------
@@ -323,6 +343,21 @@ def x7_hierarchy_class_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allc.select(*page_frame("editor", path, html))
 
 
+# --------------------------------------------------------------------------
+# Pages whose crumbs name a deep class, or none
+# --------------------------------------------------------------------------
+def x8_tier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function page per nation and market segment of its customers; the crumb
+    is the nation's ``Tier`` class, or ``Nowhere`` for every fifth nation."""
+    cust = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    k = F.col("c_nationkey")
+    crumb = F.when(k % 5 == 0, F.lit("Nowhere")).otherwise(F.concat(F.lit("Tier"), k.cast("string")))
+    html = F.concat(F.lit('<html><body><div class="crumbs"><a href="#">'), crumb, F.lit("</a></div><h1>function "), esc("c_mktsegment"),
+                    F.lit("</h1></body></html>"))
+    path = F.concat(F.lit("Tiers/"), k.cast("string"), F.lit("/"), F.col("c_mktsegment"), F.lit("/index.html"))
+    return cust.select(*page_frame("tiers", path, html))
+
+
 # --------------------------------------------------------------------------
 # Raw entity lines (JSON text) built from documents
 # --------------------------------------------------------------------------
@@ -344,12 +379,12 @@ def x6_entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``doc_id % 10 == 2``: ``navigation`` is a string
     * ``doc_id % 17 == 0``: the closing brace is missing (invalid JSON)
     * ``doc_id % 23 == 0``: empty ``source_path``
-    * ``source_path`` = ``Docs/<md5(text)[0:12]>``: exact text copies collide
+    * ``source_path`` = ``Docs/<md5(text)>``: exact text copies collide
     * category: ``developer`` for lang en/de, else ``runtime``
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     i = F.col("doc_id")
-    sp = F.when(i % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("Docs/"), F.substring(F.md5(F.col("text")), 1, 12)))
+    sp = F.when(i % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("Docs/"), F.md5(F.col("text"))))
     nav = F.when(i % 10 == 2, jstr(F.col("source"))).otherwise(
         F.concat(F.lit("["), jstr(F.col("lang")), F.lit(", "), jstr(F.col("source")), F.lit("]"))
     )
@@ -372,10 +407,11 @@ def x6_entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1 ∪ X2 ∪ X3 ∪ X7: the pages the generic extractor runs on."""
+    """X1 ∪ X2 ∪ X3 ∪ X7 ∪ X8: the pages the generic extractor runs on."""
     return (
         x1_class_pages(spark, sf_dir)
         .unionByName(x2_function_pages(spark, sf_dir))
         .unionByName(x3_enum_pages(spark, sf_dir))
         .unionByName(x7_hierarchy_class_pages(spark, sf_dir))
+        .unionByName(x8_tier_pages(spark, sf_dir))
     )
