@@ -1,10 +1,9 @@
 """A1, A2, P2–P5, S8 core — dedupe, last-wins, tolerant parsing, sanitize.
 
-Both "keep one row per key" operators are aggregates (``min_by``/``max_by``
-over a struct of the row), not windows: Spark runs them as a partial
-(map-side) + final aggregate, so a key that holds a third of all rows is
-collapsed on every mapper before the shuffle instead of landing whole on one
-reducer, and nothing is sorted.
+Both "keep one row per key" operators work in two passes: a narrow one over a
+digest of the key and the order fields (a partial and a final aggregate, so a
+key that holds a third of all rows is collapsed on every mapper), then a
+hash semi-join that keeps the winning rows.  Whole rows are never sorted.
 """
 
 from __future__ import annotations
@@ -33,11 +32,24 @@ def non_empty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def dedupe(df: DataFrame, key: list[str] | tuple[str, ...] = ("source_path",), order: list[Column] | None = None) -> DataFrame:
+def _winners(df: DataFrame, key: list[str], order: list[Column], best, unique_order: bool) -> DataFrame:
+    """The rows of ``df`` whose order fields are ``best`` (min or max) of their key."""
+    digest = F.md5(F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)])))
+    # One plain field aggregates by hashing; a struct is sorted, but only these narrow rows.
+    rank = order[0] if len(order) == 1 else F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    ranked = df.withColumn("__k", digest).withColumn("__o", rank)
+    first = ranked.groupBy("__k").agg(best("__o").alias("__b")).withColumnRenamed("__k", "__key").hint("shuffle_hash")
+    kept = ranked.join(first, (F.col("__k") == F.col("__key")) & F.col("__o").eqNullSafe(F.col("__b")), "left_semi").drop("__o")
+    return (kept if unique_order else kept.dropDuplicates(["__k"])).drop("__k")
+
+
+def dedupe(df: DataFrame, key: list[str] | tuple[str, ...] = ("source_path",), order: list[Column] | None = None,
+           unique_order: bool = False) -> DataFrame:
     """A1: one row per key, the first in ``order`` wins; empty keys dropped.
 
     ``order`` defaults to ``(category precedence, line)`` when the frame has
-    those columns.
+    those columns.  ``unique_order`` states that no two rows of a key are equal
+    in ``order`` (line numbers), which spares a last pass.
     """
     key = list(key)
     if order is None:
@@ -46,25 +58,17 @@ def dedupe(df: DataFrame, key: list[str] | tuple[str, ...] = ("source_path",), o
             order.append(category_rank(F.col("category")))
         if "line" in df.columns:
             order.append(F.col("line"))
-    cols = df.columns
-    keep = df
+    types = dict(df.dtypes)
     for k in key:
-        keep = keep.filter(non_empty(F.col(k)) if dict(df.dtypes)[k] == "string" else F.col(k).isNotNull())
-    ranked = keep.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)],
-                         F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)]).alias("__ord"),
-                         F.struct(*cols).alias("__row"))
-    agg = ranked.groupBy(*[f"__k{i}" for i in range(len(key))]).agg(F.min_by("__row", "__ord").alias("__row"))
-    return agg.select("__row.*")
-
-
-def last_wins(df: DataFrame, key: str, order: Column | str) -> DataFrame:
-    """A2: dict-overwrite semantics — per key, the row latest in ``order``."""
-    order = F.col(order) if isinstance(order, str) else order
-    return (
-        df.select(F.col(key).alias("__k"), order.alias("__ord"), F.struct(*df.columns).alias("__row"))
-        .groupBy("__k").agg(F.max_by("__row", "__ord").alias("__row"))
-        .select("__row.*")
-    )
+        df = df.filter(non_empty(F.col(k)) if types[k] == "string" else F.col(k).isNotNull())
+    if not order:
+        return df.dropDuplicates(key)
+    return _winners(df, key, order, F.min, unique_order)
+
+
+def last_wins(df: DataFrame, key: str, order: Column | str, unique_order: bool = False) -> DataFrame:
+    """A2: dict-overwrite semantics — per key (null is a key), the row latest in ``order``."""
+    return _winners(df, [key], [F.col(order) if isinstance(order, str) else order], F.max, unique_order)
 
 
 def parse_entity_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:

@@ -562,12 +562,19 @@ def q_safe_key(spark, d):
     return tbl(spark, d, "pages").select("page_id", TX.safe_key(F.col("url")).alias("safe_key"))
 
 
-@register("incremental_pages", "SELECT page_id, url FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels)")
+URL_CATEGORY = "regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]+)', 1)"
+
+
+@register("incremental_pages", f"""
+WITH p AS (SELECT page_id, url, {URL_CATEGORY} AS category FROM pages),
+done AS (SELECT category, url FROM p WHERE page_id IN (SELECT doc_id FROM labels))
+SELECT page_id, category, url FROM p WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.category = p.category AND d.url = p.url)""")
 def q_incremental_pages(spark, d):
-    """Pages whose output already exists (here: the labelled ones) are skipped."""
-    pages = tbl(spark, d, "pages").select("page_id", F.col("url").alias("source_path"))
+    """Pages whose output already exists (here: the labelled ones) are
+    skipped, by their exact category and path."""
+    pages = url_pages(spark, d).select("page_id", "category", F.col("url").alias("source_path"))
     done = pages.join(tbl(spark, d, "labels").select(F.col("doc_id").alias("page_id")), "page_id", "left_semi")
-    return Q.only_new(pages, done).select("page_id", F.col("source_path").alias("url"))
+    return Q.only_new(pages, done).select("page_id", "category", F.col("source_path").alias("url"))
 
 
 # ============================================================ curation on documents / X6
@@ -588,7 +595,7 @@ def q_clean_text(spark, d):
 def q_dedupe_documents(spark, d):
     """A1 on documents: one row per exact text, the first doc_id wins."""
     docs = tbl(spark, d, "documents").select("doc_id", F.md5("text").alias("text_md5"))
-    return C.dedupe(docs, key=["text_md5"], order=[F.col("doc_id")]).select("doc_id", "text_md5")
+    return C.dedupe(docs, key=["text_md5"], order=[F.col("doc_id")], unique_order=True).select("doc_id", "text_md5")
 
 
 X6_CTE = """
@@ -656,7 +663,7 @@ FROM x6 WHERE NOT bad AND source_path <> '' GROUP BY source_path"""
 def q_dedupe_entities(spark, d):
     """A1 + P5: one entity per source_path, first by (category precedence, line)."""
     good = C.good_entities(x6_parsed(spark, d)).select("source_path", "category", F.col("line_no").alias("line"))
-    return C.dedupe(good, key=["source_path"]).select("source_path", "category", F.col("line").alias("line_no"))
+    return C.dedupe(good, key=["source_path"], unique_order=True).select("source_path", "category", F.col("line").alias("line_no"))
 
 
 @register("position_index", with_ctes(X6_CTE) + """
@@ -681,10 +688,13 @@ def q_resume_from_line(spark, d):
 
 
 @register("dataset_counts", with_ctes(X6_CTE) + """
-SELECT category, CAST(count(*) AS BIGINT) AS n_records FROM x6 GROUP BY ROLLUP (category)""")
+SELECT category, 'part-' || (line_no % 7) AS file, CAST(count(*) AS BIGINT) AS n_records,
+       CAST(count(DISTINCT category || (line_no % 7)) AS BIGINT) AS n_files
+FROM x6 GROUP BY ROLLUP (category, 'part-' || (line_no % 7))""")
 def q_dataset_counts(spark, d):
-    """A4: records per category file plus the grand total (null category)."""
-    return Q.record_counts(X.x6_entity_lines(spark, d), "category")
+    """A4: records per file, per category and in all (null keys), and the number of files."""
+    lines = X.x6_entity_lines(spark, d).withColumn("file", F.concat(F.lit("part-"), F.pmod("line_no", F.lit(7)).cast("string")))
+    return Q.record_counts(lines, "category", "file")
 
 
 @register("run_metrics", with_ctes(X6_CTE) + """
@@ -709,13 +719,15 @@ GROUP BY name""")
 def q_class_last_wins(spark, d):
     """A2: per class name, the last entity (in output order) wins."""
     e = _x1_entities(spark, d).filter(F.col("entity_type") == "class").select("name", "source_path")
-    return C.last_wins(e, "name", "source_path")
+    return C.last_wins(e, "name", "source_path", unique_order=True)
 
 
 @register("sample_records", """
-SELECT doc_id, substr(text, 1, 500) AS snippet FROM documents ORDER BY md5('42:' || doc_id) LIMIT 10""")
+SELECT doc_id + 1 AS line_no, substr(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), 1, 500) AS snippet
+FROM documents ORDER BY md5('42:' || doc_id) LIMIT 10""")
 def q_sample_records(spark, d):
-    """10 records by a seeded hash, cut to 500 characters."""
+    """10 lines by a seeded hash, numbered from 1, stripped and cut to 500
+    characters (the table's ids are its line numbers from 0)."""
     return Q.sample_records(tbl(spark, d, "documents"), "doc_id", "text", k=10, seed=42, width=500)
 
 
@@ -980,31 +992,65 @@ def q_folder_counts(spark, d):
     return Q.folder_counts(files, folders)
 
 
-@register("category_progress", """
-WITH a AS (SELECT max(ts) AS as_of FROM events)
-SELECT event_type AS category, CAST(count(*) AS BIGINT) AS count,
-       CAST(arg_max(user_id, (ts, event_id)) AS VARCHAR) AS status, epoch_us(max(ts)) AS heartbeat_us,
-       CAST(epoch_us(any_value(a.as_of)) - epoch_us(max(ts)) AS BIGINT) AS age_us,
-       epoch_us(any_value(a.as_of)) - epoch_us(max(ts)) > 30000000 AS stale
-FROM events, a GROUP BY event_type""")
-def q_category_progress(spark, d):
-    """W1 (batch form): latest count/status/heartbeat per category, stale after 30 s."""
-    p = category_progress(tbl(spark, d, "events"))
-    hb = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)")
-    return p.select("category", "count", "status", hb.alias("heartbeat_us"),
-                    (F.col("age_seconds") * 1_000_000).cast("long").alias("age_us"), "stale")
+# events as progress reports: every third has no status; one category never reports
+REPORTS_SQL = """
+r AS (SELECT event_type AS category, ts, event_id, user_id AS count,
+             CASE WHEN event_id % 3 <> 0 THEN 'Extracting ' || user_id END AS status FROM events),
+cats AS (SELECT DISTINCT event_type AS category FROM events UNION SELECT 'archive'),
+latest AS (
+  SELECT category, arg_max(count, (ts, event_id)) AS count, arg_max(status, (ts, event_id)) FILTER (WHERE status IS NOT NULL) AS status,
+         max(ts) AS heartbeat FROM r GROUP BY category)"""
+
+
+def _reports(events: DataFrame) -> DataFrame:
+    status = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("Extracting "), F.col("user_id").cast("string")))
+    return events.select(F.col("event_type").alias("category"), "ts", "event_id", F.col("user_id").alias("count"), status.alias("status"))
+
+
+def _categories(spark, d) -> DataFrame:
+    never = spark.range(1).select(F.lit("archive").alias("category"))
+    return tbl(spark, d, "events").select(F.col("event_type").alias("category")).distinct().unionByName(never)
+
 
+HEARTBEAT_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)"
 
-@register("stream_extract", ENTITIES_SQL)
+
+@register("category_progress", "WITH " + REPORTS_SQL.strip() + """,
+a AS (SELECT max(heartbeat) AS as_of FROM latest)
+SELECT c.category, coalesce(l.count, 0) AS count, coalesce(l.status, 'Idle') AS status, epoch_us(l.heartbeat) AS heartbeat_us,
+       CAST(epoch_us(a.as_of) - epoch_us(l.heartbeat) AS BIGINT) AS age_us,
+       coalesce(epoch_us(a.as_of) - epoch_us(l.heartbeat) > 30000000, false) AS stale,
+       coalesce(strftime(l.heartbeat, '%Y-%m-%d %H:%M:%S'), '-') AS last_update
+FROM cats c LEFT JOIN latest l USING (category), a""")
+def q_category_progress(spark, d):
+    """W1 (batch form): latest count, last given status and heartbeat of every
+    listed category, stale after 30 s."""
+    p = category_progress(_reports(tbl(spark, d, "events")), _categories(spark, d))
+    return p.select("category", "count", "status", F.expr(HEARTBEAT_US).alias("heartbeat_us"),
+                    (F.col("age_seconds") * 1_000_000).cast("long").alias("age_us"), "stale", "last_update")
+
+
+@register("stream_extract", "WITH RECURSIVE e AS (" + ENTITIES_SQL + """)
+SELECT * FROM e
+UNION ALL SELECT 'mirror', source_path, entity_type, name, short_description, navigation, module, header, include, syntax, remarks, n_members
+FROM e WHERE category = 'editor'
+UNION ALL SELECT 'mirror', replace(source_path, '/', '__'), entity_type, name, short_description, navigation, module, header, include, syntax,
+       remarks, n_members FROM e WHERE category = 'editor'""")
 def q_stream_extract(spark, d):
     """The flagship extraction run incrementally (file stream, availableNow,
-    checkpointed); must equal the batch result."""
+    checkpointed, several micro-batches); must equal the batch result.  Some
+    pages arrive twice, some paths occur in two categories, and some paths are
+    equal but for ``/`` and ``__``."""
     from docweave.streaming.incremental import run_incremental
 
     base = os.path.join(ensure_checkpoint_dir(spark), "stream_extract", uuid.uuid4().hex)
     src = os.path.join(base, "pages")
-    X.doc_pages(spark, d).write.parquet(src)  # as many files as the render produces
-    out = run_incremental(spark, src, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
+    nodes = X.x7_hierarchy_class_pages(spark, d)
+    mirror = nodes.withColumn("category", F.lit("mirror"))
+    for part in (X.doc_pages(spark, d), nodes, mirror, mirror.withColumn("source_path", F.replace("source_path", F.lit("/"), F.lit("__")))):
+        part.write.mode("append").parquet(src)
+    files = spark.read.parquet(src).select(F.input_file_name().alias("f")).distinct().count()
+    out = run_incremental(spark, src, os.path.join(base, "out"), os.path.join(base, "checkpoint"), max(1, files // 3))
     return flat_entities(out)
 
 
@@ -1036,10 +1082,8 @@ def q_hier_attached(spark, d):
     return q_organize_by_hierarchy(spark, d).filter(F.col("segment") == 1)
 
 
-@register("category_progress_stream", """
-SELECT event_type AS category, CAST(count(*) AS BIGINT) AS count,
-       CAST(arg_max(user_id, (ts, event_id)) AS VARCHAR) AS status, epoch_us(max(ts)) AS heartbeat_us
-FROM events GROUP BY event_type""")
+@register("category_progress_stream", "WITH " + REPORTS_SQL.strip() + """
+SELECT category, count, status, epoch_us(heartbeat) AS heartbeat_us FROM latest""")
 def q_category_progress_stream(spark, d):
     """W1 (streaming form): the events file read as a stream, aggregated per
     category in complete mode with a checkpoint; equals the batch result."""
@@ -1049,10 +1093,8 @@ def q_category_progress_stream(spark, d):
     events = tbl(spark, d, "events")
     # a one-character class in the glob makes the single file a stream source
     src = f"{d}/events.parque[t]"
-    out = progress_to_table(spark, src, events.schema, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
-    hb = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', heartbeat)")
-    return out.select(F.col("event_type").alias("category"), "count", F.col("status").cast("string").alias("status"),
-                      hb.alias("heartbeat_us"))
+    out = progress_to_table(spark, src, events.schema, os.path.join(base, "out"), os.path.join(base, "checkpoint"), _reports)
+    return out.select("category", "count", "status", F.expr(HEARTBEAT_US).alias("heartbeat_us"))
 
 
 CYCLIC_EDGES_SQL = """
@@ -1091,3 +1133,108 @@ SELECT name, link FROM x5_nodes WHERE depth = 0""")
 def q_hierarchy_depth_zero(spark, d):
     """H2 at max_depth 0: the parse stops at the roots."""
     return hierarchy_flat(spark, d, max_depth=0).select("name", "link")
+
+
+# ============================================================ round trips through files
+def _scratch(spark, what: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), what, uuid.uuid4().hex)
+
+
+TREE_SQL = f"""
+SELECT {URL_CATEGORY} AS category, 'P' || page_id || '/index.html' AS source_path, md5(html) AS html_md5 FROM pages
+WHERE {URL_CATEGORY} <> 'es'"""
+
+
+def _page_tree(spark, d) -> tuple[str, DataFrame]:
+    """``pages`` written as a tree of ``<category>/P<id>/index.html`` files."""
+    root = _scratch(spark, "tree")
+    pages = url_pages(spark, d).select("category", F.concat(F.lit("P"), F.col("page_id").cast("string"), F.lit("/index.html")).alias("source_path"), "html")
+    K.write_page_tree(pages, root)
+    return root, pages
+
+
+@register("page_tree", TREE_SQL)
+def q_page_tree(spark, d):
+    """A page tree written to files, listed per category
+    without the excluded one, and read."""
+    from docweave.sources.files import read_pages
+
+    root, _ = _page_tree(spark, d)
+    cats = {c: f"{root}/{c}" for c in ("en", "fr", "de", "es")}
+    return read_pages(spark, cats, exclude=[" ES "]).select("category", "source_path", F.md5("html").alias("html_md5"))
+
+
+@register("page_index_file", TREE_SQL.replace(", md5(html) AS html_md5", ""))
+def q_page_index_file(spark, d):
+    """K1, S3: the page index written as JSON string lines and read back."""
+    from docweave.sources.files import page_index_lines, read_page_index, scan_pages
+
+    root, _ = _page_tree(spark, d)
+    path = _scratch(spark, "index")
+    listing = scan_pages(spark, {c: f"{root}/{c}" for c in ("en", "fr", "de", "es")}, exclude=["es"])
+    page_index_lines(listing, keep=["category"]).write.partitionBy("category").text(path)
+    return read_page_index(spark, path, keep=["category"]).select("category", "source_path")
+
+
+@register("entity_files", with_ctes(X6_CTE) + """
+SELECT category, source_path, CAST(max(line_no) AS BIGINT) AS line_no, true AS found FROM x6 WHERE NOT bad GROUP BY category, source_path""")
+def q_entity_files(spark, d):
+    """Entities written in input order, and each position
+    looked up in the written files."""
+    good = C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "source_path", "name")
+    path = _scratch(spark, "entities")
+    K.write_sorted_ndjson(good, path, ["line_no"], ["category"])
+    at = K.written_positions(spark, path)
+    lines = spark.read.text(path).select(
+        "category", "value", F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0).alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"),
+        F.concat_ws("/", "category", F.col("_metadata.file_name")).alias("_file"))
+    numbered = K.line_numbers(lines, "_file", ["_at"]).select(
+        "category", "file", "line", F.get_json_object("value", "$.source_path").alias("there"), F.get_json_object("value", "$.line_no").cast("long").alias("line_no"))
+    return at.join(numbered, ["category", "file", "line"], "left").select(
+        "category", "source_path", "line_no", (F.col("there") == F.col("source_path")).alias("found"))
+
+
+@register("hierarchy_file", with_ctes(X5_CTE) + """
+SELECT n.name, n.link, n.parent, CAST(n.depth AS BIGINT) AS depth,
+       CAST(row_number() OVER (ORDER BY n.ord, n.name) - 1 AS BIGINT) AS nth FROM x5_all n""")
+def q_hierarchy_file(spark, d):
+    """The hierarchy written with its order and read back."""
+    from docweave.sources.files import read_hierarchy
+
+    path = _scratch(spark, "hierarchy")
+    K.write_ndjson(H.hierarchy_sink_rows(hierarchy_flat(spark, d, None)), path)
+    back = read_hierarchy(spark, path).withColumn("_g", F.lit(0))
+    return K.line_numbers(back, "_g", ["ord", "name"], out="nth").select("name", "link", "parent", F.col("depth").cast("long").alias("depth"), "nth")
+
+
+@register("run_pipeline_files", with_ctes(X3_CTE, X7_CTE, X8_CTE, X5_CTE, WALK_CTE) + """,
+ent AS (
+  SELECT 'editor' AS category, source_path, nm AS name, 'class' AS entity_type, [] AS crumbs FROM x7
+  UNION ALL SELECT 'runtime', source_path, 'function ' || seg, 'function', [crumb] FROM x8
+  UNION ALL SELECT 'plugins', source_path, CASE WHEN n_nationkey % 2 = 0 THEN 'enum ' || n_name ELSE n_name END, 'enum', [reg, n_name] FROM x3),
+rel AS (SELECT c.crumb, e.source_path FROM ent e, unnest(e.crumbs) c(crumb) WHERE e.entity_type <> 'class' AND c.crumb IN (SELECT name FROM walk))
+SELECT 1 AS segment, array_to_string(w.path, '/') AS path, e.name, e.source_path FROM walk w JOIN ent e ON e.entity_type = 'class' AND e.name = w.name
+UNION ALL
+SELECT 1, array_to_string(w.path, '/'), e.name, e.source_path FROM walk w JOIN rel r ON r.crumb = w.name JOIN ent e ON e.source_path = r.source_path
+UNION ALL
+SELECT 2, '', name, source_path FROM ent WHERE entity_type = 'class' AND name NOT IN (SELECT name FROM walk)
+UNION ALL
+SELECT 3, '', name, source_path FROM ent WHERE entity_type <> 'class' AND source_path NOT IN (SELECT source_path FROM rel)""")
+def q_run_pipeline_files(spark, d):
+    """The whole pipeline over a tree of files; its hierarchical
+    output."""
+    from docweave.plans.pipeline import PipelineConfig, run_pipeline
+
+    root, out = _scratch(spark, "api"), _scratch(spark, "out")
+    pages = (X.x7_hierarchy_class_pages(spark, d).withColumn("category", F.lit("Editor"))
+             .unionByName(X.x8_tier_pages(spark, d).withColumn("category", F.lit("Runtime")))
+             .unionByName(X.x3_enum_pages(spark, d).withColumn("category", F.lit("Plugins")))
+             .unionByName(X.x5_hierarchy_pages(spark, d).select(
+                 F.lit("ClassHierarchy").alias("category"), F.expr("substring(source_path, 16)").alias("source_path"), "html")))
+    K.write_page_tree(pages, root)
+    report = run_pipeline(spark, PipelineConfig(api_root=root, out=out, exclude=("developer",), max_depth=None, extra={"all_hierarchies": True}))
+    if report["skipped"]:
+        raise RuntimeError(f"skipped: {report['skipped']}")
+    rows = spark.read.schema("segment int, path array<string>, name string, source_path string").json(os.path.join(out, "hierarchical"))
+    return rows.select("segment", F.array_join("path", "/").alias("path"), "name", "source_path")

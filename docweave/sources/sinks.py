@@ -11,17 +11,25 @@ the sorted frame with ``checkpoint()`` in the shared checkpoint folder (so
 partition ids are stable and a lost executor does not re-sort), count rows per
 (sorted partition, category) — a table as small as the number of partitions —
 turn those counts into start offsets, and add each row's index inside its
-partition.  Every step is partition-parallel; the only broadcast is the offset
-table, whose size is bounded by the partition count.
+partition.  Every step is partition-parallel; Spark broadcasts the offset table
+only if it measures it as small.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.session import ensure_checkpoint_dir
 
+# The tree writer's code is shipped with the task (pickled by value).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _LOCAL_MASK = (1 << 33) - 1
 
 
@@ -33,6 +41,52 @@ def write_ndjson(df: DataFrame, path: str, partition_by: list[str] | None = None
     w.json(path)
 
 
+def write_page_tree(pages: DataFrame, root: str) -> int:
+    """Write ``(category, source_path, html)`` rows as files
+    ``<root>/<category>/<source_path>``, by the tasks that hold them (``root`` on
+    a file system that all share); the number of files.  A task that runs again
+    writes the same files."""
+
+    def run(batches):
+        for batch in batches:
+            store, base = open_store(root)
+            for category, path, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = f"{base}/{category}/{path}"
+                store.create_dir(at.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(at, compression=None) as f:
+                    f.write((html or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], names=["n"])
+
+    rows = pages.select("category", "source_path", "html").mapInArrow(run, "n long")
+    return rows.agg(F.sum("n")).first()[0] or 0
+
+
+def open_store(uri: str):
+    """The Arrow file system and path of a Hadoop-style uri, inside a task."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", re.sub(r"^(file:)?/+", "file:///", uri)))
+
+
+def write_sorted_ndjson(df: DataFrame, path: str, order: list[str], partition_by: list[str]) -> None:
+    """NDJSON whose lines follow ``order`` inside each partition, over as
+    many files as the range sort has tasks (their names sort in that order)."""
+    by = [*partition_by, *order]
+    write_ndjson(df.repartitionByRange(*by).sortWithinPartitions(*by), path, partition_by)
+
+
+def written_positions(spark, path: str, group: str = "category", key: str = "source_path") -> DataFrame:
+    """K6: where each record was written, ``(group, key, file, line)`` with the
+    0-based line in its file, read back from the files themselves; of a key
+    written more than once the last place."""
+    lines = spark.read.text(path).select(
+        group, F.get_json_object("value", f"$.{key}").alias(key), F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0).alias("file"),
+        F.concat_ws("/", group, F.col("_metadata.file_name")).alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+    numbered = line_numbers(lines, "_file", ["_at"])
+    return numbered.groupBy(group, key).agg(F.max(F.struct("file", "line")).alias("p")).select(group, key, "p.file", "p.line")
+
+
 def line_numbers(df: DataFrame, group: str, order: list[Column | str], out: str = "line") -> DataFrame:
     """Dense 0-based ordinal of each row inside its ``group``, by ``order``."""
     spark = df.sparkSession
@@ -50,7 +104,7 @@ def line_numbers(df: DataFrame, group: str, order: list[Column | str], out: str
     # first row index (inside the partition) of each group in each partition
     firsts = sorted_df.groupBy("_pid", group).agg(F.min(F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))).alias("_first"))
     offsets = offsets.join(firsts, ["_pid", group])
-    joined = sorted_df.join(F.broadcast(offsets), ["_pid", group])
+    joined = sorted_df.join(offsets, ["_pid", group])
     local = F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) - F.col("_first")
     return joined.withColumn(out, (F.col("_start") + local).cast("long")).drop("_mid", "_pid", "_start", "_first")
 

@@ -1,10 +1,13 @@
 """W2 — incremental extraction with Structured Streaming.
 
 New page files (parquet ``(category, source_path, html)``) arriving in a
-folder are shredded and extracted per micro-batch and appended to the entity
-table; the checkpoint records which files were processed, so a stopped run
-resumes where it left off (the reference's resume offset, K7) and a page
-already extracted is skipped (J6) by an anti join against the output.
+folder are shredded and extracted per micro-batch and added to the entity
+table.  The checkpoint records which files were processed, so a stopped run
+resumes where it left off (the reference's resume offset, K7).  A page already
+extracted is skipped (J6) by a stateful dedupe on the exact ``(category,
+source_path)``: one rule within a micro-batch and across all of them, whatever
+their size, and the output is never read again.  The state holds the keys alone;
+at scale keep it in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
 ``trigger(availableNow=True)`` processes everything present and stops, which
 makes the incremental run comparable to one batch run.
 """
@@ -12,48 +15,32 @@ makes the incremental run comparable to one batch run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docweave.operators.extract import extract_entities
-from docweave.operators.quality import only_new
+from docweave.operators.extract import ENTITY_SCHEMA, extract_entities
 from docweave.operators.shred import shred
 from docweave.session import path_exists
 
 PAGE_SCHEMA = "category string, source_path string, html string"
-
-# The output is partitioned by a hash bucket of the page key, so the
-# skip-existing check of a micro-batch reads only the buckets its own pages
-# fall into (partition pruning), not the whole output.
-KEY_BUCKETS = 64
-
-
-def key_bucket(path_col: str = "source_path"):
-    from docweave.functions.text import safe_key
-
-    return F.pmod(F.xxhash64(safe_key(F.col(path_col))), F.lit(KEY_BUCKETS)).cast("int")
+PAGE_KEY = ["category", "source_path"]
 
 
 def _process(out_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        pages = batch.withColumn("key_bucket", key_bucket())
-        if path_exists(spark, out_path):  # skip pages extracted by an earlier run (J6)
-            buckets = [r[0] for r in pages.select("key_bucket").distinct().collect()]  # ≤ KEY_BUCKETS values
-            done = spark.read.parquet(out_path).filter(F.col("key_bucket").isin(buckets)).select("source_path")
-            pages = only_new(pages, done)
-        ents = extract_entities(shred(pages, keep=["category", "source_path", "key_bucket"]))
-        # one file per bucket per micro-batch (the batch is bounded by maxFilesPerTrigger)
-        ents.repartition("key_bucket").write.mode("append").partitionBy("key_bucket").parquet(out_path)
+        ents = extract_entities(shred(batch, keep=PAGE_KEY))
+        # A folder per micro-batch: a batch that runs again replaces its own rows.
+        ents.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     return run
 
 
-def stream_extract(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str,
-                   files_per_trigger: int = 64):
-    """Start the incremental extraction; returns the ``StreamingQuery``."""
-    pages = (
-        spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
-    )
+def stream_extract(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, files_per_trigger: int | None = None):
+    """Start the incremental extraction; returns the ``StreamingQuery``.
+    ``files_per_trigger`` bounds a micro-batch and does not change the result."""
+    reader = spark.readStream.schema(PAGE_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    pages = reader.parquet(source_dir).dropDuplicates(PAGE_KEY)
     return (
         pages.writeStream.foreachBatch(_process(out_path))
         .option("checkpointLocation", checkpoint)
@@ -62,16 +49,12 @@ def stream_extract(spark: SparkSession, source_dir: str, out_path: str, checkpoi
     )
 
 
-def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str) -> DataFrame:
+def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str,
+                    files_per_trigger: int | None = None) -> DataFrame:
     """Run to completion (``availableNow``) and return the accumulated output."""
-    q = stream_extract(spark, source_dir, out_path, checkpoint)
-    q.awaitTermination()
+    stream_extract(spark, source_dir, out_path, checkpoint, files_per_trigger).awaitTermination()
+    schema = T.StructType([T.StructField("category", T.StringType())] + ENTITY_SCHEMA.fields)
     if path_exists(spark, out_path):
-        return spark.read.parquet(out_path).drop("key_bucket")
-    else:  # nothing arrived yet
-        from pyspark.sql import types as T
-
-        from docweave.operators.extract import ENTITY_SCHEMA
-
-        schema = T.StructType([T.StructField("category", T.StringType())] + ENTITY_SCHEMA.fields)
-        return spark.createDataFrame([], schema)
+        out = spark.read.option("basePath", out_path).parquet(f"{out_path}/batch=*")
+        return out.drop("batch")
+    return spark.createDataFrame([], schema)  # nothing arrived yet

@@ -81,12 +81,35 @@ def test_line_numbers_dense_per_group(spark):
 
 def test_read_hierarchy_last_line_wins(spark):
     d = tempfile.mkdtemp(prefix="dw-hier-", dir="/tmp")
+    place = lambda n: {"source_path": "h", "pos": n}
     with open(f"{d}/class_hierarchy.ndjson", "w") as f:
-        f.write(json.dumps({"name": "A", "link": "a1", "parent": None, "children": ["B"]}) + "\n")
-        f.write(json.dumps({"name": "B", "link": "b", "parent": "A", "children": []}) + "\n")
-        f.write(json.dumps({"name": "A", "link": "a2", "parent": None, "children": ["B", "C"]}) + "\n")
+        f.write(json.dumps({"name": "A", "link": "a1", "parent": None, "depth": 0, "ord": place(1)}) + "\n")
+        f.write(json.dumps({"name": "B", "link": "b", "parent": "A", "depth": 1, "ord": place(2)}) + "\n")
+        f.write("broken\n")
+        f.write(json.dumps({"name": "A", "link": "a2", "parent": None, "depth": 0, "ord": place(3)}) + "\n")
     h = {r.name: r for r in S.read_hierarchy(spark, d).collect()}
-    assert h["A"].link == "a2" and h["A"].children == ["B", "C"] and h["B"].parent == "A"
+    assert h["A"].link == "a2" and h["A"].ord.pos == 3 and h["B"].parent == "A" and len(h) == 2
+
+
+def test_positions_address_the_written_lines(spark):
+    d = tempfile.mkdtemp(prefix="dw-pos-", dir="/tmp")
+    rows = [("x", p) for p in "KMQZAB"] + [("y", "A"), ("y", "A"), ("y", "C")]
+    K.write_sorted_ndjson(spark.createDataFrame(rows, "category string, source_path string").repartition(4), f"{d}/out", ["source_path"], ["category"])
+    at = K.written_positions(spark, f"{d}/out").collect()
+    assert len(at) == 8
+    for r in at:
+        with open(f"{d}/out/category={r.category}/{r.file}", encoding="utf-8") as f:
+            lines = f.read().splitlines()
+        assert json.loads(lines[r.line])["source_path"] == r.source_path
+        assert [json.loads(x)["source_path"] for x in lines] == sorted(json.loads(x)["source_path"] for x in lines)
+
+
+def test_page_tree_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="dw-tree-", dir="/tmp")
+    pages = spark.createDataFrame([("c", "a/index.html", "é<h1>"), ("c", "b/c/index.html", "<p>x")], "category string, source_path string, html string")
+    assert K.write_page_tree(pages, d) == 2
+    got = sorted(tuple(r) for r in S.read_pages(spark, {"c": f"{d}/c"}).collect())
+    assert got == [("c", "a/index.html", "é<h1>"), ("c", "b/c/index.html", "<p>x")]
 
 
 def test_exclusion_list_normalised(spark):

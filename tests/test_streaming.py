@@ -2,6 +2,8 @@ import os
 import tempfile
 import time
 
+from pyspark.sql import functions as F
+
 from docweave.operators.extract import extract_entities
 from docweave.operators.shred import shred
 from docweave.streaming.incremental import run_incremental
@@ -22,9 +24,31 @@ def test_incremental_equals_batch_and_resumes(spark):
     assert sorted(r.source_path for r in out.collect()) == sorted(r.source_path for r in batch.collect())
 
 
+def test_incremental_result_does_not_depend_on_the_batch_size(spark):
+    base = tempfile.mkdtemp(prefix="dw-stream-", dir="/tmp")
+    rows = [("d", "X/index.html"), ("r", "X/index.html"), ("d", "a/b"), ("d", "a__b"), ("d", "X/index.html"), ("d", "Y"), ("d", "a/b")]
+    for i, (c, p) in enumerate(rows):
+        spark.createDataFrame([(c, p, f"<h1>class {c}{p}</h1>")], "category string, source_path string, html string").coalesce(1).write.mode("append").parquet(f"{base}/src")
+    want = sorted(set(rows))
+    for n in (1, 3, None):
+        out = run_incremental(spark, f"{base}/src", f"{base}/out{n}", f"{base}/ckpt{n}", n)
+        assert sorted((r.category, r.source_path) for r in out.collect()) == want
+    assert len([x for x in os.listdir(f"{base}/out1") if x.startswith("batch=")]) >= 3
+
+
+def test_progress_semantics(spark):
+    ev = spark.createDataFrame([("a", 1, 5, "Extracting", 0), ("a", 2, 9, None, 1), ("b", 40, None, None, 2), ("a", 2, 7, None, 0)],
+                               "category string, t int, count long, status string, event_id long")
+    ev = ev.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    cats = spark.createDataFrame([("a",), ("b",), ("c",)], "category string")
+    got = {r.category: (r["count"], r.status, r.stale, r.last_update) for r in category_progress(ev, cats).collect()}
+    assert got == {"a": (9, "Extracting", True, "1970-01-01 00:00:02"), "b": (0, "Idle", False, "1970-01-01 00:00:40"), "c": (0, "Idle", False, "-")}
+
+
 def test_progress_batch_and_stream(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    batch = {r.category: r for r in category_progress(ev).collect()}
+    cats = ev.select(F.col("event_type").alias("category")).distinct()
+    batch = {r.category: r for r in category_progress(ev, cats, category="event_type", status="user_id", count="value").collect()}
     d = tempfile.mkdtemp(prefix="dw-prog-", dir="/tmp")
     ev.write.parquet(f"{d}/in")
     q = progress_stream(spark, f"{d}/in", ev.schema, query_name="progress_test", checkpoint=f"{d}/ck")
