@@ -11,9 +11,9 @@ at the cuts is compared in a second, small step.
 
 Candidates whose sketches (a byte of each of SKETCH hashes) tell them apart are
 dropped; the rest is confirmed on the full sets, made again from the texts of
-the classes concerned.  First come the candidates of FIRST_TREES trees, then
-those of the others that are not yet in one component: a group of n copies
-costs about n confirmations.
+the classes concerned.  First come next neighbours in FIRST_TREES trees, then
+all candidates of the other trees that the first round has not put into one
+component: a group of n copies costs about n confirmations.
 """
 
 from __future__ import annotations
@@ -113,25 +113,27 @@ def describe(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     return common.written(src.mapInArrow(run, f"id {kind}, n long, key binary, signature binary, sketch binary"), "signatures")
 
 
-_ROW = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("tree", pa.int32()), ("path", pa.binary()), ("key", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())])
+_COLUMNS = ["tree", "path", "key", "n", "part", "sketch"]
+_ROW = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("tree", pa.int32()), ("path", pa.binary()), ("key", pa.binary()), ("n", pa.int64()),
+                  ("part", pa.int64()), ("sketch", pa.binary())])
 
 
-def _neighbours(tree, path, key, n, sketch, share: float):
+def _neighbours(tree, path, key, n, part, sketch, share: float, reach: int):
     """``(i, j)`` index arrays of the candidates among sorted rows."""
     found_i, found_j = [], []
     same_so_far = None
-    for step in range(1, REACH + 1):
+    for step in range(1, reach + 1):
         if len(tree) <= step:
             break
         i, j = np.arange(len(tree) - step), np.arange(step, len(tree))
-        ok = (tree[i] == tree[j]) & (path[i, :4 * LEAST_PREFIX] == path[j, :4 * LEAST_PREFIX]).all(1)
-        if not ok.any():
-            break
+        near = (tree[i] == tree[j]) & (path[i, :4 * LEAST_PREFIX] == path[j, :4 * LEAST_PREFIX]).all(1)
+        joined = part[i] == part[j]
+        ok = near & ~joined
         agree = np.zeros(len(i), np.int64)
         agree[ok] = (sketch[i[ok]] == sketch[j[ok]]).sum(1)
-        pick = ok & (agree >= SKETCH_LEAST) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])) & (key[i] != key[j]).any(1)
+        pick = ok & (agree >= SKETCH_LEAST) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]))
         if step == 1:
-            link = ok & (agree >= SKETCH_SAME)
+            link = near & (joined | (agree >= SKETCH_SAME))
             same_so_far = link
         else:
             # Along a row of near-equal neighbours the links between neighbours do.
@@ -146,15 +148,16 @@ def _neighbours(tree, path, key, n, sketch, share: float):
 def _columns(table: pa.Table):
     """Numpy forms of sorted rows."""
     fixed = lambda c, w: np.frombuffer(b"".join(table[c].to_pylist()), np.uint8).reshape(-1, w)
-    return (table["tree"].to_numpy(), fixed("path", 4 * DEPTH), fixed("key", 16), table["n"].to_numpy(), fixed("sketch", SKETCH))
+    return (table["tree"].to_numpy(), fixed("path", 4 * DEPTH), fixed("key", 16), table["n"].to_numpy(), table["part"].to_numpy(), fixed("sketch", SKETCH))
 
 
-def candidates(classes: DataFrame, share: float) -> DataFrame:
-    """``(a, b, tree)``: pairs of class keys to confirm, with the first tree that has them."""
-    trees = classes.select("key", "n", "sketch", F.posexplode(F.array(*[F.substring("signature", 1 + t * 4 * DEPTH, 4 * DEPTH) for t in range(TREES)])).alias("tree", "path"))
+def candidates(classes: DataFrame, share: float, trees: range, reach: int) -> DataFrame:
+    """``(a, b)``: pairs of class keys to confirm, neighbours up to ``reach``
+    places apart in one of the trees and of different ``part``."""
+    paths = F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("signature", 1 + t * 4 * DEPTH, 4 * DEPTH).alias("path")) for t in trees])
+    rows = classes.select("key", "n", "part", "sketch", F.explode(paths).alias("t")).select("t.tree", "t.path", "key", "n", "part", "sketch")
     parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.sparkSession.sparkContext.defaultParallelism * 2)
     order = ["tree", "path", "key"]
-    columns = ["tree", "path", "key", "n", "sketch"]
 
     def scan(edges: bool):
         def run(batches):
@@ -166,13 +169,14 @@ def candidates(classes: DataFrame, share: float) -> DataFrame:
                 old = 0
                 if last is not None:
                     table, old = pa.concat_tables([last, table]).combine_chunks(), len(last)
-                i, j = _neighbours(*_columns(table), share)
+                i, j = _neighbours(*_columns(table), share, reach)
                 new = j >= old
                 i, j = i[new], j[new]
                 key = table["key"]
                 out = {"a": key.take(pa.array(i)), "b": key.take(pa.array(j)), "tree": table["tree"].take(pa.array(i))}
                 none = pa.nulls(len(i), pa.binary())
-                yield from pa.table([out["a"], out["b"], out["tree"], none, none, pa.nulls(len(i), pa.int64()), none], schema=_ROW).to_batches()
+                number = pa.nulls(len(i), pa.int64())
+                yield from pa.table([out["a"], out["b"], out["tree"], none, none, number, number, none], schema=_ROW).to_batches()
                 if edges and head:
                     yield from _edge(table.slice(0, REACH))
                     head = False
@@ -184,18 +188,16 @@ def candidates(classes: DataFrame, share: float) -> DataFrame:
 
     def _edge(rows: pa.Table):
         none = pa.nulls(len(rows), pa.binary())
-        return pa.table([none, none, *(rows[c] for c in columns)], schema=_ROW).combine_chunks().to_batches()
+        return pa.table([none, none, *(rows[c] for c in _COLUMNS)], schema=_ROW).combine_chunks().to_batches()
 
-    schema = "a binary, b binary, tree int, path binary, key binary, n long, sketch binary"
+    schema = "a binary, b binary, tree int, path binary, key binary, n long, part long, sketch binary"
     # The key is part of the order, so that classes with one signature are cut too.
-    ranged = trees.select(*columns).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = rows.select(*_COLUMNS).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     first = common.written(ranged.mapInArrow(scan(True), schema), "forest")
     # At most 2 x REACH rows per task.
-    cuts = first.where("a IS NULL").select(*columns).distinct().repartition(1).sortWithinPartitions(*order)
-    pairs = first.where("a IS NOT NULL").select("a", "b", "tree").unionByName(
-        cuts.mapInArrow(scan(False), schema).select("a", "b", "tree"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "tree")
-    return common.written(pairs.groupBy("a", "b").agg(F.min("tree").alias("tree")), "candidates")
+    cuts = first.where("a IS NULL").select(*_COLUMNS).distinct().repartition(1).sortWithinPartitions(*order)
+    pairs = first.where("a IS NOT NULL").select("a", "b").unionByName(cuts.mapInArrow(scan(False), schema).select("a", "b"))
+    return common.written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -245,21 +247,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = common.written(solid.groupBy("key").agg(F.min("id").alias("rep")), "classes")
     # One row per class, the first; rows that repeat it are equal.
     firsts = solid.dropDuplicates(["id", "key"]).join(classes.withColumnRenamed("rep", "id"), ["id", "key"], "left_semi")
-    pairs = candidates(firsts.select("key", "n", "signature", "sketch"), similarity)
-    named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key")
-    sets = sets_of(docs, id_col, text_col, width, common.written(named.select("rep", "key"), "wanted"))
+    firsts = common.written(firsts.select("id", "key", "n", "signature", "sketch"), "firsts")
 
-    def with_reps(links):
-        return (links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("u")), "a")
-                .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("v")), "b"))
+    def confirmed(pairs):
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key")
+        sets = sets_of(docs, id_col, text_col, width, common.written(wanted.select("rep", "key"), "wanted"))
+        return (confirm(pairs, sets, similarity).join(classes.select(F.col("key").alias("a"), F.col("rep").alias("u")), "a")
+                .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("v")), "b").select("u", "v"))
 
-    links = with_reps(confirm(pairs.where(F.col("tree") < FIRST_TREES), sets, similarity)).select("u", "v")
+    links = confirmed(candidates(firsts.withColumn("part", F.xxhash64("key")), similarity, range(FIRST_TREES), 1))
     parts = common.written(components(links), "components")
-    later = with_reps(pairs.where(F.col("tree") >= FIRST_TREES))
-    for x in "uv":
-        named = parts.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
-        later = later.join(named, x, "left").withColumn(f"of_{x}", F.coalesce(f"of_{x}", x))
-    more = with_reps(confirm(later.where("of_u <> of_v").select("a", "b"), sets, similarity)).select("u", "v")
+    placed = firsts.join(parts, "id", "left").withColumn("part", F.xxhash64(F.coalesce("component", "id")))
+    more = confirmed(candidates(placed, similarity, range(FIRST_TREES, TREES), REACH))
     # Ids that occur in several classes tie these together.
     tied = solid.join(classes, "key").where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")).distinct()
     repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.count_distinct("key").alias("n")).where("n > 1").select(F.col("id").alias("u"))
