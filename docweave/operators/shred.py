@@ -319,44 +319,25 @@ def _slices(batch: pa.RecordBatch, html_idx: int):
     yield batch.slice(start, n - start)
 
 
-# The tokenizer is CPU-bound Python: give it at least this many tasks per core.
+# The tokenizer is CPU-bound Python: where a caller asks for it, the input is
+# dealt over this many tasks per core.
 TASKS_PER_CORE = 4
 
 
-def _input_partitions(df: DataFrame) -> int:
-    """Partition count of ``df`` without running it.  Asking a DataFrame's RDD
-    would execute every shuffle stage under AQE, so when the physical plan
-    (built, not executed) has an exchange we bound the count by
-    ``spark.sql.shuffle.partitions``; a plain scan's split count is cheap."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.rdd.getNumPartitions()
-
-
-def spread_for_python(df: DataFrame, tasks_per_core: int = TASKS_PER_CORE) -> DataFrame:
-    """Round-robin the rows over more partitions when the input has fewer than
-    ``tasks_per_core × defaultParallelism`` (pages rendered by a small shuffle,
-    or a few large parquet files).  Inputs that are already split finely — any
-    large file scan, or a cluster-sized shuffle — are left alone, so at scale
-    this adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
-    if _input_partitions(df) < target:
-        return df.repartition(target)
-    return df
-
-
-def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None, spread: bool = True) -> DataFrame:
+def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None, spread: bool = False) -> DataFrame:
     """``df(keep..., html)`` → ``df(keep..., nodes, shred_error)``.
 
     Only the ``keep`` columns and the HTML cross into Python (column pruning
     does not reach through the Arrow stage, so callers select first).  Filters
     must also be applied *before* this call; Catalyst cannot push them through.
+    The stage is narrow.  ``spread`` deals the pages anew first, for inputs that
+    come in few partitions (one file, rendered fixtures); files at scale come
+    in enough splits.
     """
     keep = [c for c in (keep if keep is not None else df.columns) if c != html_col]
     src = df.select(*keep, html_col)
     if spread:
-        src = spread_for_python(src)
+        src = src.repartition(src.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE)
     out_schema = T.StructType(
         [src.schema[c] for c in keep]
         + [T.StructField("nodes", NODES_TYPE), T.StructField("shred_error", T.StringType())]

@@ -49,7 +49,8 @@ def tbl(spark, d, name):
 
 # ---------------------------------------------------------------- shared frames
 def shredded(pages: DataFrame) -> DataFrame:
-    return shred(pages, keep=["category", "source_path"])
+    """Rendered pages, or those of one small file: few partitions, so dealt anew."""
+    return shred(pages, keep=["category", "source_path"], spread=True)
 
 
 # Shredded fixture page sets, parsed once per (application, tables, set) and
@@ -266,7 +267,7 @@ def q_entities(spark, d):
 @register("page_nodes", "SELECT page_id, CAST(len(regexp_extract_all(html, '<[a-zA-Z]')) AS BIGINT) AS n_elements FROM pages")
 def q_page_nodes(spark, d):
     """E0 on real markup: element count per page."""
-    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
+    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"], spread=True)
     return sh.select("page_id", F.expr(f"CAST(size({N.find_all(N.NODES, N.matcher())}) AS BIGINT)").alias("n_elements"))
 
 
@@ -277,7 +278,7 @@ SELECT page_id,
 FROM pages""")
 def q_page_titles(spark, d):
     """E3 on real markup: text of the first h1."""
-    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
+    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"], spread=True)
     return sh.select("page_id", F.expr(N.text(N.NODES, N.find(N.NODES, N.matcher("h1")))).alias("title"))
 
 
@@ -287,7 +288,7 @@ SELECT page_id, CAST(len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</na
 FROM pages""")
 def q_nav_links(spark, d):
     """Links inside the first ``nav`` with a non-empty href not starting with '#'."""
-    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"])
+    sh = shred(tbl(spark, d, "pages").select("page_id", "html"), keep=["page_id"], spread=True)
     links = N.find_all_in(N.NODES, N.find(N.NODES, N.matcher("nav")), N.matcher("a", href=True))
     good = N.find_all(links, lambda a: f"({a}.href <> '' AND NOT startswith({a}.href, '#'))")
     return sh.select("page_id", F.expr(f"CAST(coalesce(size({good}), 0) AS BIGINT)").alias("n_links"))
@@ -306,7 +307,7 @@ def q_entity_type(spark, d):
     ents = doc_entities(spark, d).select("category", "entity_type")
     web = extract_entities(
         shred(tbl(spark, d, "pages").select(F.lit("web").alias("category"), F.col("url").alias("source_path"), "html"),
-              keep=["category", "source_path"])
+              keep=["category", "source_path"], spread=True)
     ).select("category", "entity_type")
     return ents.unionByName(web).groupBy("category", "entity_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -623,7 +624,7 @@ def q_dead_letters(spark, d):
     # pages addressed by a fragment count as fetched without content
     html = F.when(~F.endswith("url", F.lit("#top")), F.col("html"))
     bad_pages = shred(tbl(spark, d, "pages").select(F.lit("web").alias("category"), F.col("page_id").alias("line_no"), html.alias("html")),
-                      keep=["category", "line_no"])
+                      keep=["category", "line_no"], spread=True)
     bad_pages = bad_pages.filter(F.col("shred_error").isNotNull()).select("category", "line_no", F.col("shred_error").alias("error"))
     return Q.dead_letters(bad_json, bad_pages)
 

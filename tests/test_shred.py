@@ -68,24 +68,30 @@ def test_element_text_cached_when_short():
     assert by_tag["span"]["txt"] is None and by_tag["div"]["txt"] is None
 
 
-def test_spread_only_when_input_is_coarse(spark):
-    import tempfile
-
-    from docweave.operators.shred import spread_for_python
-
-    target = spark.sparkContext.defaultParallelism * 4
-    d = tempfile.mkdtemp(prefix="dw-spread-", dir="/tmp")
-    spark.range(0, 10 * target).repartition(2 * target).selectExpr("CAST(id AS STRING) AS html").write.parquet(f"{d}/t")
-    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        fine = spark.read.parquet(f"{d}/t")  # one split per file: finely split already
-        assert fine.rdd.getNumPartitions() >= target
-        assert "Exchange" not in spread_for_python(fine)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    coarse = spark.range(0, 100).groupBy("id").count()  # a shuffle: bounded by shuffle.partitions (8)
-    spread = spread_for_python(coarse)._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in spread
+def test_spread_only_when_asked(spark):
+    from docweave.operators.shred import shred
+
+    df = spark.range(0, 100).selectExpr("CAST(id AS STRING) AS html")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(shred(df)) and "RoundRobinPartitioning" in plan(shred(df, spread=True))
+
+
+def test_selected_text_is_equal_on_both_sides_of_the_cache_limit(spark):
+    from pyspark.sql import functions as F
+
+    from docweave.functions import nodes as N
+    from docweave.operators.shred import TEXT_CACHE_CHARS, shred
+
+    sizes = [TEXT_CACHE_CHARS - 1, TEXT_CACHE_CHARS, TEXT_CACHE_CHARS + 1]
+    df = spark.createDataFrame([(n, f"<p>{'a' * (n - 2)}<b> bc </b></p>") for n in sizes], "n int, html string")
+    got = shred(df, keep=["n"]).select("n", F.expr(N.text(N.NODES, N.find(N.NODES, N.matcher("p")))).alias("t")).collect()
+    assert {r.n: r.t for r in got} == {n: "a" * (n - 2) + "bc" for n in sizes}
+
+
+def test_label_cells_know_their_place():
+    cell = '<td class="hierarchy-label-cell x">'
+    r = shred_html(f"<table><tr>{cell}<table><tr>{cell}<a>no</a><a href=x>l</a></td></tr></table></td>{cell}none</td><td>plain</td></tr></table>")
+    at = [i for i, u in enumerate(r["up"]) if u is not None]
+    assert [(r["up"][i], r["lvl"][i]) for i in at] == [(-1, 0), (at[0], 1), (-1, 0)]
+    link = r["href"].index("x")
+    assert [r["lnk"][i] for i in at] == [link, link, None]
