@@ -4,8 +4,9 @@ The large star links every larger neighbour of a node to the smallest of its
 neighbourhood, the small star every smaller neighbour and the node itself; the
 number of rounds grows with the logarithm of the longest chain.  Both are a
 minimum per node (pre-aggregated) and a join, so no node's neighbours are ever
-gathered, and a hub's rows may be split over tasks.  Each round is written to
-the shared folder.
+gathered.  The minima are written before the join: both its sides then come
+straight from a shuffle, which lets Spark split a hub's rows over tasks.  Each
+round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ MOST_ROUNDS = 60
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = common.written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = common.written(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -48,7 +49,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        now = common.written(_small_star(_large_star(now)), "links")
+        now = common.written(_small_star(common.written(_large_star(now), "links")), "links")
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
