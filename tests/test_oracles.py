@@ -5,9 +5,10 @@ from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry
+from docweave.plans import catalog
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in catalog.QUERIES}
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
