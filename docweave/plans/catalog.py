@@ -170,7 +170,7 @@ x7 AS (
 
 X8_CTE = """
 x8 AS (
-  SELECT DISTINCT c_mktsegment AS seg, CASE WHEN c_nationkey % 5 = 0 THEN 'Nowhere' ELSE 'Tier' || c_nationkey END AS crumb,
+  SELECT DISTINCT c_mktsegment AS seg, CASE WHEN c_nationkey % 5 = 0 THEN 'Nowhere' ELSE 'Tier' || (c_nationkey % 13) END AS crumb,
          'Tiers/' || c_nationkey || '/' || c_mktsegment || '/index.html' AS source_path FROM customer)"""
 
 X4_CTE = """
@@ -207,7 +207,7 @@ x5_cells AS (
   JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
   UNION ALL
   SELECT 'ClassHierarchy/chain/index.html', n_nationkey, 'Tier' || n_nationkey, '../T/' || n_nationkey,
-         CASE WHEN n_nationkey > 0 THEN 'Tier' || (n_nationkey - 1) END, n_nationkey FROM nation),
+         CASE WHEN n_nationkey > 0 THEN 'Tier' || (n_nationkey - 1) END, n_nationkey FROM nation WHERE n_nationkey < 13),
 x5_all AS (
   SELECT name, parent, min(link) AS link, min(depth) AS depth, min(source_path || '|' || lpad(CAST(place AS VARCHAR), 12, '0')) AS ord
   FROM x5_cells GROUP BY name, parent),

@@ -312,12 +312,16 @@ def x5_hierarchy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(*page_frame("hierarchy", path, html)).unionByName(x5_chain_page(spark, sf_dir))
 
 
+TIERS = 13
+
+
 def x5_chain_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A chain as deep as there are nations, ``Tier0 → Tier1 → …``, on one page."""
+    """A chain ``Tier0 → Tier1 → …`` of the first nations, on one page: deeper
+    than the parse's usual limit of 10."""
     cell = F.concat(F.lit('<tr><td class="hierarchy-label-cell"><a href="../T/'), F.col("n_nationkey").cast("string"),
                     F.lit('">Tier'), F.col("n_nationkey").cast("string"), F.lit("</a><table>"))
-    # nation is a fixed 25-row dimension (TPC-H): one page of 25 nested cells.
-    cells = table(spark, sf_dir, "nation").select(F.struct("n_nationkey", cell.alias("c")).alias("r")).agg(
+    # nation is a fixed 25-row dimension (TPC-H): one page of nested cells.
+    cells = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < TIERS).select(F.struct("n_nationkey", cell.alias("c")).alias("r")).agg(
         F.array_sort(F.collect_list("r")).alias("rs"))
     html = F.concat(
         F.lit('<html><body><table class="hierarchy-table" id="hrch">'), F.array_join(F.transform("rs", lambda r: r["c"]), ""),
@@ -351,7 +355,7 @@ def x8_tier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     is the nation's ``Tier`` class, or ``Nowhere`` for every fifth nation."""
     cust = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
     k = F.col("c_nationkey")
-    crumb = F.when(k % 5 == 0, F.lit("Nowhere")).otherwise(F.concat(F.lit("Tier"), k.cast("string")))
+    crumb = F.when(k % 5 == 0, F.lit("Nowhere")).otherwise(F.concat(F.lit("Tier"), (k % TIERS).cast("string")))
     html = F.concat(F.lit('<html><body><div class="crumbs"><a href="#">'), crumb, F.lit("</a></div><h1>function "), esc("c_mktsegment"),
                     F.lit("</h1></body></html>"))
     path = F.concat(F.lit("Tiers/"), k.cast("string"), F.lit("/"), F.col("c_mktsegment"), F.lit("/index.html"))
