@@ -8,11 +8,14 @@ Per id, the contexts of one and of two ids before each predict an id (the last
 one that followed it, with a confidence).  Whether the order-2 prediction, the
 order-1 prediction or neither comes true is coded with frequencies mixed from
 two adaptive statistics, by the predictions' confidence and by what came true of
-late.  Neither: the id is spelled in nibbles by adaptive order-0 frequencies.
+late.  Neither: the id is coded by its order-0 frequency among all sequences that
+are coded together, which precedes them as a table.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
 from docweave.llm import common
@@ -21,12 +24,43 @@ U = np.uint64
 #: The coder emits words of 16 bits from a 64-bit interval that stays above 2^32.
 TOP, BOTTOM = U(1) << U(48), U(1) << U(32)
 #: Entries per order and lane of the prediction tables.
-SLOT_BITS = 12
+SLOT_BITS = 10
 MOST_CONFIDENCE = 3
 #: What an event adds to its frequency, and the sum at which frequencies are halved.
 STEP, LIMIT = 32, 8000
-#: Contexts of the fourth nibble and beyond are hashed to so many.
-DEEP = 256
+#: Order-0 frequencies sum to 2^this at least; two bits more than the ids need.
+LEAST_SCALE = 16
+
+
+class Order0:
+    """Frequencies of ids, as shares of 2^bits."""
+
+    def __init__(self, ids: np.ndarray, freq: np.ndarray):
+        self.ids, self.freq = ids.astype(np.uint32), freq.astype(np.uint32)
+        self.bits = int(self.freq.sum(dtype=np.uint64)).bit_length() - 1
+        ends = np.cumsum(self.freq, dtype=np.uint64)
+        top = int(self.ids[-1]) + 1 if len(ids) else 0
+        self.start_of, self.freq_of = np.zeros(top, U), np.zeros(top, U)
+        self.start_of[self.ids], self.freq_of[self.ids] = ends - self.freq, self.freq
+        self.id_at = np.repeat(self.ids, self.freq)
+
+    @classmethod
+    def count(cls, ids: np.ndarray) -> Order0:
+        found, counts = np.unique(ids, return_counts=True)
+        if not len(found):
+            return cls(found, counts)
+        scale = 1 << max(LEAST_SCALE, len(found).bit_length() + 2)
+        freq = 1 + (counts * (scale - len(found))) // counts.sum()
+        freq[counts.argmax()] += scale - freq.sum()
+        return cls(found, freq)
+
+    def pack(self) -> bytes:
+        return zlib.compress(np.diff(self.ids, prepend=np.uint32(0)).astype("<u4").tobytes() + self.freq.astype("<u4").tobytes())
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Order0:
+        both = np.frombuffer(zlib.decompress(data), "<u4").reshape(2, -1)
+        return cls(np.cumsum(both[0], dtype=np.uint32), both[1])
 
 
 class _Coder:
@@ -34,10 +68,12 @@ class _Coder:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, ~U(0), U)
 
     def _narrow(self, at, start, freq, part) -> np.ndarray:
-        """Narrow the intervals of the lanes ``at``; those whose top word is settled."""
+        """Narrow the intervals of the lanes ``at`` (indices or a slice from the
+        first); the lanes whose top word is settled."""
         low, size = self.low[at] + start * part, part * freq
         self.low[at], self.range[at] = low, size
-        return ((low ^ (low + size)) < TOP) | (size < BOTTOM)
+        ready = np.flatnonzero(((low ^ (low + size)) < TOP) | (size < BOTTOM))
+        return ready if isinstance(at, slice) else at[ready]
 
     def _shift(self, at) -> tuple[np.ndarray, np.ndarray]:
         """Drop the top word of the lanes ``at``; it, and which lanes have another."""
@@ -55,8 +91,8 @@ class Encoder(_Coder):
         super().__init__(lanes)
         self.at, self.words = [], []
 
-    def code(self, at, start, freq, total) -> None:
-        ready = at[self._narrow(at, start, freq, self.range[at] // total)]
+    def code(self, at, start, freq, part) -> None:
+        ready = self._narrow(at, start, freq, part)
         while len(ready):
             word, more = self._shift(ready)
             self.at.append(ready)
@@ -91,13 +127,12 @@ class Decoder(_Coder):
         self.value[at] = (self.value[at] << U(16)) | self.words[where]
         self.next[at] += 1
 
-    def target(self, at, total) -> np.ndarray:
+    def target(self, at, part, most) -> np.ndarray:
         """The frequency into which each lane's value falls."""
-        self.part = self.range[at] // total
-        return np.minimum((self.value[at] - self.low[at]) // self.part, total - U(1))
+        return np.minimum((self.value[at] - self.low[at]) // part, most)
 
-    def code(self, at, start, freq, total) -> None:
-        ready = at[self._narrow(at, start, freq, self.part)]
+    def code(self, at, start, freq, part) -> None:
+        ready = self._narrow(at, start, freq, part)
         while len(ready):
             _, more = self._shift(ready)
             self._pull(ready)
@@ -121,19 +156,11 @@ class _Outcomes:
             self.total[big] = rows.sum(1)
 
 
-#: What an event adds to the running sums of a context's frequencies, by nibble.
-_RISE = (np.arange(16)[None, :] >= np.arange(16)[:, None]).astype(np.uint16) * STEP
-
-
 class _Model:
-    def __init__(self, lanes: int, bits: int):
-        self.nibbles = (bits + 3) // 4
+    def __init__(self, lanes: int):
         self.slots = [np.zeros(lanes << SLOT_BITS, np.uint32) for _ in range(2)]
         #: By both confidences and agreement, and by the last outcomes.
         self.by_confidence, self.by_recent = _Outcomes(lanes * 32), _Outcomes(lanes * 27)
-        #: Running sums of the nibbles' frequencies: 1, 16, 256 contexts, then DEEP each.
-        self.contexts = np.cumsum([0] + [min(16**k, DEEP) for k in range(self.nibbles)])
-        self.spell = np.tile(np.arange(1, 17, dtype=np.uint16), (lanes * int(self.contexts[-1]), 1))
 
 
 def _outcomes(coder, model, at, recent, ctx, wanted):
@@ -143,51 +170,38 @@ def _outcomes(coder, model, at, recent, ctx, wanted):
     f0 = a.each.take(a3) + b.each.take(b3)
     f01 = f0 + a.each.take(a3 + 1) + b.each.take(b3 + 1)
     total = (a.total.take(ctx) + b.total.take(recent)).astype(U)
+    part = coder.range[at] // total
     if wanted is None:
-        t = coder.target(at, total)
+        t = coder.target(at, part, total - U(1))
         wanted = (t >= f0).astype(np.int64)
         wanted += t >= f01
     a3 += wanted
     b3 += wanted
     old_a, old_b = a.each.take(a3), b.each.take(b3)
     start = np.where(wanted == 0, np.uint32(0), np.where(wanted == 1, f0, f01))
-    coder.code(at, start.astype(U), (old_a + old_b).astype(U), total)
+    coder.code(at, start.astype(U), (old_a + old_b).astype(U), part)
     a.add(ctx, a3, old_a)
     b.add(recent, b3, old_b)
     return wanted
 
 
-def _spelled(coder, model, at, ids):
-    """Code the ids of the lanes ``at`` nibble by nibble, highest first."""
-    out = np.zeros(len(at), np.uint32)
-    base = at * int(model.contexts[-1])
-    pick = np.arange(0, 16 * len(at), 16)
-    for k in range(model.nibbles):
-        ctx = out if k < 3 else (out * np.uint32(0x9E3779B1)) >> np.uint32(24)
-        row = base + int(model.contexts[k]) + ctx.astype(np.int64)
-        sums = model.spell.take(row, axis=0)
-        total = sums[:, 15].astype(U)
-        if ids is None:
-            nibble = (sums > coder.target(at, total).astype(np.uint16)[:, None]).argmax(1)
-        else:
-            nibble = ((ids >> np.uint32(4 * (model.nibbles - 1 - k))) & np.uint32(15)).astype(np.int64)
-        flat = sums.ravel()
-        start = np.where(nibble > 0, flat.take(pick + np.maximum(nibble - 1, 0)), np.uint16(0)).astype(U)
-        coder.code(at, start, flat.take(pick + nibble).astype(U) - start, total)
-        out = (out << np.uint32(4)) | nibble.astype(np.uint32)
-        sums += _RISE.take(nibble, axis=0)
-        model.spell[row] = sums
-        if sums[:, 15].max() > LIMIT:
-            big = np.flatnonzero(sums[:, 15] > LIMIT)
-            each = np.diff(sums[big], axis=1, prepend=np.uint16(0))
-            model.spell[row[big]] = np.cumsum((each + 1) >> 1, axis=1, dtype=np.uint16)
-    return out
+def _plain(coder, order0: Order0, at, ids):
+    """Code the ids of the lanes ``at`` by their order-0 frequencies."""
+    part = coder.range[at] >> U(order0.bits)
+    if ids is None:
+        ids = order0.id_at.take(coder.target(at, part, U((1 << order0.bits) - 1)).astype(np.int64))
+    coder.code(at, order0.start_of.take(ids), order0.freq_of.take(ids), part)
+    return ids
+
 
+#: The last three outcomes after one more.
+_NEXT_RECENT = np.arange(81) % 27
 
-def _run(coder, lengths: np.ndarray, bits: int, ids: np.ndarray | None) -> np.ndarray:
+
+def _run(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) -> np.ndarray:
     """Code all steps of lanes whose lengths fall; the ids, a row per step."""
     lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
-    model = _Model(lanes, bits)
+    model = _Model(lanes)
     out = np.zeros((steps, lanes), np.uint32) if ids is None else ids
     one, two, recent = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
@@ -205,14 +219,14 @@ def _run(coder, lengths: np.ndarray, bits: int, ids: np.ndarray | None) -> np.nd
         if ids is not None:
             now = ids[step, :n]
             wanted = np.where((now == id2) & (c2 > 0), 0, np.where((now == id1) & (c1 > 0), 1, 2))
-        wanted = _outcomes(coder, model, at, at * 27 + recent[:n], ctx, wanted)
+        wanted = _outcomes(coder, model, slice(0, n), at * 27 + recent[:n], ctx, wanted)
         miss = np.flatnonzero(wanted == 2)
         if ids is None:
             now = np.where(wanted == 0, id2, id1)
         if len(miss):
-            spelled = _spelled(coder, model, miss, None if ids is None else now[miss])
+            plain = _plain(coder, order0, miss, None if ids is None else now[miss])
             if ids is None:
-                now[miss] = spelled
+                now[miss] = plain
         if ids is None:
             out[step, :n] = now
         for slots, h, e, guess, c in ((model.slots[0], h1, e1, id1, c1), (model.slots[1], h2, e2, id2, c2)):
@@ -221,36 +235,37 @@ def _run(coder, lengths: np.ndarray, bits: int, ids: np.ndarray | None) -> np.nd
             slots[h] = np.where(right, e + (c < MOST_CONFIDENCE), np.where(c > 1, e - np.uint32(1), (now << np.uint32(2)) | np.uint32(1)))
         two[:n] = p1
         one[:n] = now
-        recent[:n] = (recent[:n] * 3 + wanted) % 27
+        recent[:n] = _NEXT_RECENT.take(recent[:n] * 3 + wanted)
     return out
 
 
-def encode(blocks: list[np.ndarray], bits: int) -> list[bytes]:
-    """Each block of ids (below 2^bits, at most 2^24) on its own."""
-    if not blocks:
-        return []
+def encode(blocks: list[np.ndarray]) -> tuple[bytes, list[bytes]]:
+    """The order-0 table of the blocks of ids (below 2^30), and each block coded."""
     lengths = np.array([len(b) for b in blocks], np.int64)
     order = np.argsort(-lengths, kind="stable")
+    order0 = Order0.count(np.concatenate([*blocks, np.zeros(0, np.uint32)]))
+    if not len(blocks) or not lengths.max():
+        return order0.pack(), [b""] * len(blocks)
     ids = np.zeros((int(lengths.max()), len(blocks)), np.uint32)
     for lane, i in enumerate(order):
         ids[:lengths[i], lane] = blocks[i]
     coder = Encoder(len(blocks))
-    _run(coder, lengths[order], bits, ids)
+    _run(coder, lengths[order], order0, ids)
     coded, out = coder.finish(), [b""] * len(blocks)
     for lane, i in enumerate(order):
         out[i] = coded[lane] if lengths[i] else b""
-    return out
+    return order0.pack(), out
 
 
-def decode(data: list[bytes], lengths: list[int], bits: int) -> list[np.ndarray]:
-    """The blocks of the given lengths."""
-    if not data:
-        return []
+def decode(table: bytes, data: list[bytes], lengths: list[int]) -> list[np.ndarray]:
+    """The blocks of the given lengths, any of those coded with the table."""
+    out = [np.zeros(0, np.uint32)] * len(data)
     lengths = np.asarray(lengths, np.int64)
+    if not len(data) or not lengths.max():
+        return out
     order = np.argsort(-lengths, kind="stable")
     with np.errstate(divide="ignore"):
-        ids = _run(Decoder([data[i] for i in order]), lengths[order], bits, None)
-    out = [np.zeros(0, np.uint32)] * len(data)
+        ids = _run(Decoder([data[i] for i in order]), lengths[order], Order0.unpack(table), None)
     columns = np.ascontiguousarray(ids.T)
     for lane, i in enumerate(order):
         out[i] = columns[lane, :lengths[i]]

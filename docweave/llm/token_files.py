@@ -2,10 +2,11 @@
 
 A file holds the documents of one range of ids, in order:
 
-* ``MAGIC``, then u32 bits per id;
-* blocks of BLOCK_IDS ids (the last has fewer) that run on across documents:
-  u32 ids, u32 bytes, u32 crc32 of the ids as little-endian u32, coded bytes.
-  Each block starts its model and its coder anew;
+* ``MAGIC``;
+* groups of up to LANES blocks: u32 blocks, u32 bytes of the order-0 table, the
+  table, then the blocks of BLOCK_IDS ids (the last has fewer), which run on
+  across documents: u32 ids, u32 bytes, u32 crc32 of the ids as little-endian
+  u32, coded bytes.  Each block starts its model and its coder anew;
 * the documents' table, zlib-packed: a byte per document that tells whether it
   has an id, the ids as i64, their lengths as i64;
 * u64 where the table begins, u32 its bytes, u32 its crc32, u32 documents,
@@ -33,11 +34,12 @@ from pyspark.sql.window import Window
 from docweave.llm import common, range_coder, textarrays
 
 MAGIC = b"DWTOKEN1"
-BLOCK_IDS = 4096
+BLOCK_IDS = 1024
 #: Blocks coded side by side; bounds a task's memory.
-LANES = 1024
+LANES = 4096
 #: Bytes of text tokenized at a time, and different words a worker remembers.
 SLICE_BYTES = 4 << 20
+LEARN_WORDS = 50_000
 CACHE_WORDS = 600_000
 END_ID = 1
 
@@ -50,16 +52,17 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+    def _learn(self, words: pa.Array) -> None:
+        ids = []
+        for a in range(0, len(words), LEARN_WORDS):
+            ids += [e.ids for e in self.tokenizer.encode_batch(words.slice(a, LEARN_WORDS).to_pylist(), add_special_tokens=False)]
+        self.known = pa.concat_arrays([self.known, words])
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
         self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(counts.sum()))])
@@ -72,12 +75,14 @@ class Words:
         solid = data[~textarrays.SPACE[data]]
         words = pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n)])), pa.py_buffer(np.ascontiguousarray(solid))])
         coded = pc.dictionary_encode(words)
-        different = coded.dictionary.to_pylist()
-        if len(self.known) + len(different) > CACHE_WORDS:
-            self.forget()
-        if new := [w for w in different if w not in self.known]:
-            self._learn(new)
-        at = np.fromiter((self.known[w] for w in different), np.int64, len(different))[coded.indices.to_numpy()] if len(n) else np.zeros(0, np.int64)
+        number = pc.index_in(coded.dictionary, value_set=self.known)
+        if number.null_count:
+            if len(self.known) + number.null_count > CACHE_WORDS:
+                self.forget()
+                number = pc.index_in(coded.dictionary, value_set=self.known)
+            self._learn(coded.dictionary.filter(pc.is_null(number)))
+            number = pc.index_in(coded.dictionary, value_set=self.known)
+        at = number.to_numpy().astype(np.int64)[coded.indices.to_numpy()] if len(n) else np.zeros(0, np.int64)
         counts = self.starts[at + 1] - self.starts[at]
         sums = np.concatenate([[0], np.cumsum(counts)])
         ids = self.flat[np.arange(sums[-1]) + np.repeat(self.starts[at] - sums[:-1], counts)]
@@ -99,11 +104,11 @@ def _crc(ids: np.ndarray, before: int = 0) -> int:
 class Writer:
     """One file; texts' ids are added in order."""
 
-    def __init__(self, out, bits: int):
-        self.out, self.bits = out, bits
+    def __init__(self, out):
+        self.out = out
         self.size, self.ids, self.waiting, self.held = 0, 0, [], 0
         self.docs: list = []
-        self._put(MAGIC + struct.pack("<I", bits))
+        self._put(MAGIC)
 
     def _put(self, data: bytes) -> None:
         self.out.write(data)
@@ -124,7 +129,11 @@ class Writer:
         now, rest = ids[:most], ids[most:]
         self.waiting, self.held = [rest], len(rest)
         blocks = [now[a:a + BLOCK_IDS] for a in range(0, len(now), BLOCK_IDS)]
-        for block, data in zip(blocks, range_coder.encode(blocks, self.bits), strict=True):
+        if not blocks:
+            return
+        table, coded = range_coder.encode(blocks)
+        self._put(struct.pack("<II", len(blocks), len(table)) + table)
+        for block, data in zip(blocks, coded, strict=True):
             self._put(struct.pack("<III", len(block), len(data), _crc(block)) + data)
 
     def close(self) -> None:
@@ -153,20 +162,26 @@ def read_file(file, size: int):
     table = zlib.decompress(table)
     known, doc_ids, lengths = np.frombuffer(table, np.uint8, n), np.frombuffer(table, "<i8", n, n), np.frombuffer(table, "<i8", n, 9 * n)
     file.seek(0)
-    head = file.read(len(MAGIC) + 4)
-    if head[:len(MAGIC)] != MAGIC:
+    if file.read(len(MAGIC)) != MAGIC:
         raise ValueError("not a token file")
-    bits, offset = struct.unpack_from("<I", head, len(MAGIC))[0], len(head)
+    offset = len(MAGIC)
     doc, left = 0, int(lengths[0]) if n else 0
     while offset < at:
         data, counts, crcs, first = [], [], [], offset
-        while offset < at and len(data) < LANES:
+        blocks, table_size = struct.unpack("<II", file.read(8))
+        order0 = file.read(table_size)
+        offset += 8 + table_size
+        if blocks > LANES or offset > at:
+            raise ValueError(f"the group after byte {first} is damaged")
+        for _ in range(blocks):
             count, size_, crc = struct.unpack("<III", file.read(12))
+            if count > BLOCK_IDS or size_ > 8 * BLOCK_IDS + 64:
+                raise ValueError(f"the group after byte {first} is damaged")
             data.append(file.read(size_))
             counts.append(count)
             crcs.append(crc)
             offset += 12 + size_
-        for i, (block, crc) in enumerate(zip(range_coder.decode(data, counts, bits), crcs, strict=True)):
+        for i, (block, crc) in enumerate(zip(range_coder.decode(order0, data, counts), crcs, strict=True)):
             if _crc(block) != crc:
                 raise ValueError(f"block {i} after byte {first} is damaged")
             a = 0
@@ -204,7 +219,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
                     path = f"{folder}/{uuid.uuid4().hex}.tokens"
                     store, local = common.open_store(path)
                     store.create_dir(local.rpartition("/")[0], recursive=True)
-                    writer = Writer(store.open_output_stream(local, compression=None), use.bits)
+                    writer = Writer(store.open_output_stream(local, compression=None))
                 ids, counts = use.encode(batch.column(1).slice(a, b - a))
                 ends = np.cumsum(counts)
                 writer.add(batch.column(0).slice(a, b - a).to_pylist(), np.insert(ids, ends, end_id), counts + 1)

@@ -64,19 +64,20 @@ def test_coder_round_trip(bits):
     top = 2**bits
     blocks = [np.zeros(0, np.uint32), rng.integers(0, top, 900, dtype=np.uint32), np.full(3000, top - 1, np.uint32), np.arange(50, dtype=np.uint32) % top,
               (rng.zipf(1.3, 2500) % top).astype(np.uint32), np.tile(rng.integers(0, top, 7, dtype=np.uint32), 300)]
-    coded = range_coder.encode(blocks, bits)
-    back = range_coder.decode(coded, [len(b) for b in blocks], bits)
+    table, coded = range_coder.encode(blocks)
+    back = range_coder.decode(table, coded, [len(b) for b in blocks])
     assert all((a == b).all() and len(a) == len(b) for a, b in zip(blocks, back, strict=True))
-    assert len(coded[2]) < 300 and len(coded[5]) < 2 * 300 * 7 * bits / 8 / 4 + 200
-    # Blocks do not depend on each other.
-    assert range_coder.encode([blocks[4]], bits) == [coded[4]]
-    assert (range_coder.decode([coded[1]], [900], bits)[0] == blocks[1]).all()
+    assert len(coded[2]) < 300 and len(coded[5]) < 400
+    # Given the table, blocks do not depend on each other.
+    for i in (1, 4):
+        assert (range_coder.decode(table, [coded[i]], [len(blocks[i])])[0] == blocks[i]).all()
+    assert range_coder.decode(*range_coder.encode([]), []) == []
 
 
 def test_natural_ids_shrink(tok):
     ids = np.array([i for r in read("/root/testdata/sf0.001", "documents") for i in tok.encode(r["text"], add_special_tokens=False).ids], np.uint32)
-    blocks = [ids[a:a + 4096] for a in range(0, len(ids), 4096)]
-    assert sum(map(len, range_coder.encode(blocks, 16))) < 0.65 * 2 * len(ids)
+    table, coded = range_coder.encode([ids[a:a + 4096] for a in range(0, len(ids), 4096)])
+    assert len(table) + sum(map(len, coded)) < 0.55 * 2 * len(ids)
 
 
 class _Out(io.BytesIO):
@@ -86,7 +87,7 @@ class _Out(io.BytesIO):
 
 def test_damage_is_found():
     out = _Out()
-    writer = token_files.Writer(out, 16)
+    writer = token_files.Writer(out)
     lengths = np.array([9000, 1, 500])
     writer.add([5, None, 7], np.arange(lengths.sum(), dtype=np.uint32) % 500, lengths)
     writer.close()
@@ -94,12 +95,13 @@ def test_damage_is_found():
     docs = list(token_files.read_file(io.BytesIO(data), len(data)))
     assert [d for d, _, done in docs if done] == [5, None, 7] and sum(len(p) for _, p, _ in docs) == lengths.sum()
     want, found = [(d, p.tolist()) for d, p, _ in docs], 0
-    for at in range(0, len(data), 701):
+    places = range(0, len(data), 89)
+    for at in places:
         bad = bytearray(data)
         bad[at] ^= 0x55
         try:
             # A change in the last bytes of a block's coder may not matter.
             assert [(d, p.tolist()) for d, p, _ in token_files.read_file(io.BytesIO(bytes(bad)), len(bad))] == want
-        except (ValueError, struct.error):
+        except (ValueError, IndexError, struct.error, zlib.error):
             found += 1
-    assert found > 5
+    assert len(places) > 30 and found > 0.8 * len(places)
