@@ -8,8 +8,9 @@ minimum rank, until no word has a pair.  The words' ids are then put back in the
 documents' order.  Decoding joins tokens with the vocabulary and aggregates the
 pieces in order.
 
-Memory per task: a slice of at most SLICE_WORDS words (or one document), and a
-cache of at most CACHE_WORDS words that a worker keeps between its tasks.
+Memory per task: a slice of at most SLICE_WORDS words (or one document), of whose
+new words at most LEARN_WORDS at a time go to DuckDB, and a cache of at most
+CACHE_WORDS words, as Arrow and numpy arrays, that a worker keeps between tasks.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ from pyspark.sql import functions as F
 from docweave.llm import common
 
 #: Words (with repeats) that a task handles at a time.
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 500_000
+#: Different words encoded by one query.
+LEARN_WORDS = 20_000
 #: Different words a worker remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 600_000
-DUCKDB_MEMORY = "300MB"
+DUCKDB_MEMORY = "200MB"
 
 ENCODE = """
 WITH RECURSIVE t(word, pos, tok, live) AS (
@@ -74,7 +77,7 @@ class Codec:
 
         self.ranks = load_ranks(path)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "allocator_flush_threshold": "8MB"})
         cut = [(self.ranks.get(t[:i]), self.ranks.get(t[i:]), r) for t, r in self.ranks.items() for i in range(1, len(t))]
         cut = [x for x in cut if x[0] is not None and x[1] is not None]
         self._table("merges", {k: pa.array([x[i] for x in cut], pa.int32()) for i, k in enumerate(("a", "b", "rank"))})
@@ -90,11 +93,18 @@ class Codec:
         self.db.unregister("new_rows")
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.flat = [np.zeros(1, np.int64)], []
+        self.known = pa.array([], pa.string())
+        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: pa.Array) -> None:
         """Encode words and remember them under the next numbers."""
+        parts = [self._encode_words(words.slice(a, LEARN_WORDS).to_pylist()) for a in range(0, len(words), LEARN_WORDS)]
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([c for c, _ in parts]))])
+        self.flat = np.concatenate([self.flat, *(f for _, f in parts)])
+        self.known = pa.concat_arrays([self.known, words])
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids."""
         raw = [w.encode() for w in words]
         whole = np.array([self.ranks.get(b, -1) for b in raw], np.int64)
         sizes = np.array([len(b) for b in raw], np.int64)
@@ -105,28 +115,26 @@ class Codec:
         init = pa.table({"word": np.repeat(rest, n).astype(np.int32), "tok": self.byte_ids[joined],
                          "pos": (np.arange(len(joined)) - np.repeat(first, n)).astype(np.int32)})
         self.db.register("init", init)
-        out = self.db.execute(ENCODE).to_arrow_table()
+        out = self.db.sql(ENCODE).to_arrow_table()
         self.db.unregister("init")
         word = np.concatenate([out["word"].to_numpy().astype(np.int64), np.flatnonzero(whole >= 0)])
         tok = np.concatenate([out["tok"].to_numpy(), whole[whole >= 0].astype(np.int32)])
-        order = np.argsort(word, kind="stable")
-        base, counts = len(self.known), np.bincount(word, minlength=len(words))
-        self.known.update(zip(words, range(base, base + len(words)), strict=True))
-        self.starts.append(self.starts[-1][-1] + np.cumsum(counts))
-        self.flat.append(tok[order])
+        return np.bincount(word, minlength=len(words)), tok[np.argsort(word, kind="stable")]
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in order, and how many each word has."""
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         coded = pc.dictionary_encode(words)
-        different = coded.dictionary.to_pylist()
-        if len(self.known) + len(different) > CACHE_WORDS:
-            self.forget()
-        if new := [w for w in different if w not in self.known]:
-            self._learn(new)
-            self.starts, self.flat = [np.concatenate(self.starts)], [np.concatenate(self.flat)]
-        number = np.fromiter((self.known[w] for w in different), np.int64, len(different))
-        starts, flat = self.starts[0], self.flat[0] if self.flat else np.zeros(0, np.int32)
-        at = number[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        number = pc.index_in(coded.dictionary, value_set=self.known)
+        if number.null_count:
+            if len(self.known) + number.null_count > CACHE_WORDS:
+                self.forget()
+                number = pc.index_in(coded.dictionary, value_set=self.known)
+            self._learn(coded.dictionary.filter(pc.is_null(number)))
+            number = pc.index_in(coded.dictionary, value_set=self.known)
+        starts, flat = self.starts, self.flat
+        at = number.to_numpy().astype(np.int64)[coded.indices.to_numpy()]
         counts = starts[at + 1] - starts[at]
         before = np.cumsum(counts) - counts
         ids = flat[np.arange(counts.sum()) + np.repeat(starts[at] - before, counts)]
@@ -151,7 +159,7 @@ class Codec:
         start = np.cumsum(lengths) - lengths
         self.db.register("rows", pa.table({"run": np.repeat(np.arange(len(keys), dtype=np.int32), lengths), "id": flat,
                                            "pos": (np.arange(len(flat)) - np.repeat(start, lengths)).astype(np.int32)}))
-        out = self.db.execute(DECODE).to_arrow_table()
+        out = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("rows")
         pieces = pa.array([t.encode("latin-1") for t in out["text"].to_pylist()], pa.large_binary()).take(coded.indices)
         data = np.frombuffer(pieces.buffers()[2], np.uint8) if pieces.buffers()[2] else np.zeros(0, np.uint8)
@@ -193,6 +201,7 @@ def _id_lists(path: str, lists):
         ids, counts = use.encode(part.flatten())
         ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes[a:b])]
         yield (a, b), ids, ends
+    common.give_back()
 
 
 def _keep_schema(df: DataFrame, *extra: str) -> str:
@@ -205,7 +214,7 @@ def encode(docs: DataFrame, vocab: str, pattern: str, text_col: str = "text", id
     tokens; null and empty texts have none.  A column of that name is replaced,
     all others stay; rows that repeat are encoded each."""
     docs = docs.drop(ids_col)
-    src = common.spread(docs).withColumn("__words", split_words(F.col(text_col), pattern))
+    src = docs.withColumn("__words", split_words(F.col(text_col), pattern))
 
     def run(batches):
         for batch in batches:
@@ -240,7 +249,7 @@ def decode(rows: DataFrame, vocab: str, ids_col: str = "ids", out_col: str = "de
 def digests(docs: DataFrame, vocab: str, pattern: str, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, n_tokens, ids_sha256, decoded_sha256)``: every text encoded and
     the ids decoded again in the same task."""
-    src = common.spread(docs.select(key, text_col)).select(F.col(key).alias("key"), split_words(F.col(text_col), pattern).alias("words"))
+    src = docs.select(key, text_col).select(F.col(key).alias("key"), split_words(F.col(text_col), pattern).alias("words"))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -261,7 +270,8 @@ def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     import public_tokenizers as public
 
-    return digests(common.table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    docs = common.spread(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digests(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
 common.by_value(__name__)

@@ -75,8 +75,34 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
 
 
+#: Rows of an Arrow batch: texts are large rows, and a batch is held several
+#: times on its way between the JVM and Python.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send at most ARROW_ROWS rows at a time to Python; a
+    smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
+def give_back() -> None:
+    """Return freed memory to the system; for tasks, whose worker stays on."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def spread(df: DataFrame, tasks_per_core: int = 2) -> DataFrame:
-    """Give a CPU-bound narrow stage enough tasks when the scan has few."""
+    """Give a CPU-bound narrow stage enough tasks when ``df``, a plain scan of a
+    table, has few splits.  For queries; operators take their input as it comes."""
     target = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 

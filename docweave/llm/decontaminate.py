@@ -138,6 +138,7 @@ def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str]) ->
                     found.setdefault(int(r), []).append({"tokens": hashes[x:y].view(np.int64), "hashes": seed.view(np.int64), "offsets": (where - x).astype(np.int32)})
                 rows = pa.array([f"{stamp}-{i}" if i in found else None for i in range(len(part))], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), rows, pa.array([found.get(i) for i in range(len(part))], pa.list_(stretch))], names=names)
+        common.give_back()
 
     return docs.mapInArrow(run, schema)
 

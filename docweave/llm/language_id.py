@@ -43,7 +43,7 @@ REJECT_SHARE = 0.002
 REJECT_SCORE = 0.5
 UNSEEN_LEAST = 0.5
 NGRAMS = (1, 2, 3, 4)
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 UNDETERMINED = "und"
 
 
@@ -124,7 +124,8 @@ def training_bags(docs: DataFrame, usable: Column) -> list:
     last = rows.select("rank").orderBy("rank").limit(TRAIN_ROWS).agg(F.max("rank")).first()[0]
     if last is None:
         return []
-    sample = rows.where(F.col("rank") <= last).limit(TRAIN_ROWS)
+    # The limit gathers the sample in one partition; it is dealt out again.
+    sample = rows.where(F.col("rank") <= last).limit(TRAIN_ROWS).repartition(docs.sparkSession.sparkContext.defaultParallelism * 2)
 
     def run(batches):
         for batch in batches:
@@ -235,6 +236,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text",
                 langs, scores, rejected = score_texts(model, part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores), pa.array(rejected)],
                                                  names=names)
+        common.give_back()
 
     return docs.mapInArrow(run, schema)
 

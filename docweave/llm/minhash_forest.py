@@ -92,7 +92,7 @@ def _high(h: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """``(id, n, key, signature, sketch)`` per row; the last three are null for empty sets."""
-    src = common.spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -109,6 +109,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                         rows[0][i], rows[1][i], rows[2][i] = set_key(sets[i]), whole[j].tobytes(), low[j].tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                                                   *(pa.array(r, pa.binary()) for r in rows)], names=["id", "n", "key", "signature", "sketch"])
+        common.give_back()
 
     return common.written(src.mapInArrow(run, f"id {kind}, n long, key binary, signature binary, sketch binary"), "signatures")
 
@@ -206,7 +207,7 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, wanted: Dat
     kind = docs.schema[id_col].dataType.simpleString()
     hashed = F.xxhash64("id")
     bits = common.bitmap(wanted.select(F.col("rep").alias("id")).select(hashed.alias("hash")), "hash", BITMAP_BITS)
-    src = common.spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "text", hashed.alias("hash"))
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", "text", hashed.alias("hash"))
 
     def run(batches):
         for batch in batches:
@@ -217,6 +218,7 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, wanted: Dat
                 sets = text_sets(batch.column(1).slice(a, b - a), width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([set_key(s) for s in sets], pa.binary()),
                                                   pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "key", "items"])
+        common.give_back()
 
     found = src.mapInArrow(run, f"id {kind}, key binary, items array<bigint>")
     return common.written(found.join(wanted.withColumnRenamed("rep", "id"), ["id", "key"], "left_semi")
@@ -274,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with similar sets of two-word shingles."""
-    return near_duplicates(common.table(spark, sf_dir, "documents"), width=2)
+    return near_duplicates(common.spread(common.table(spark, sf_dir, "documents").select("doc_id", "text")), width=2)
 
 
 common.by_value(__name__)
