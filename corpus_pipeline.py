@@ -17,6 +17,7 @@ from docweave.llm import byte_bpe, common, decontaminate, language_id, minhash_f
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go."""
+    common.small_batches(spark)
     model = language_id.train(docs)
     names = ("__lang", "__lang_score", "__lang_rejected")
     return language_id.identify(common.spread(docs), model, out=names).where(f"NOT {names[2]}").select(*docs.columns)
@@ -25,7 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document of
     the smallest id stays."""
-    groups = minhash_forest.near_duplicates(docs)
+    common.small_batches(spark)
+    groups = minhash_forest.near_duplicates(common.spread(docs.select("doc_id", "text")))
     kept = groups.where("kept").select("doc_id").distinct()
     # One row per id: the join has dealt the rows by id already.
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -34,6 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
+    common.small_batches(spark)
     names = ("__leak", "__leak_items")
     found = decontaminate.find_leaks(common.spread(docs), common.table(spark, sf_dir, "benchmark"), out=names)
     return found.where(f"NOT {names[0]}").select(*docs.columns)
@@ -50,8 +53,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether they decode to it."""
+    common.small_batches(spark)
     vocab = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.encode(docs, vocab, public_tokenizers.PATTERN)
+    coded = byte_bpe.encode(common.spread(docs), vocab, public_tokenizers.PATTERN)
     back = byte_bpe.decode(coded, vocab, out_col="__decoded")
     whole = F.col("__decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("decodes"))
