@@ -12,14 +12,19 @@ at the cuts is compared in a second, small step.
 Candidates whose sketches (a byte of each of SKETCH hashes) tell them apart are
 dropped; the rest is confirmed on the full sets, made again from the texts of
 the classes concerned.  First come next neighbours in FIRST_TREES trees, then
-all candidates of the other trees that the first round has not put into one
-component: a group of n copies costs about n confirmations.
+all candidates up to REACH places on in all trees that the first round has not
+put into one component: a group of n copies costs about n confirmations.  A
+region where more than REACH + 1 classes share a prefix is then dealt in blocks,
+and every two blocks are compared whole by their sketches; few candidates are
+written to be confirmed, of many only those links are that their sets confirm.
+So every two classes with a common prefix in some tree are compared.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +35,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 TREES, DEPTH = 16, 10
 LEAST_PREFIX = 3
-#: Places after a class in a tree's order that are compared.
+#: Places after a class in a tree's order that are compared; regions of more are compared in blocks.
 REACH = 8
+#: Mean rows of a block.
+BLOCK = 1000
+#: Candidates a row up to which two blocks' are written; of more, their sets are compared in place.
+FEW = 4
+#: Shingles whose occurrences are multiplied at a time.
+COLUMNS = 4096
 SKETCH = 48
 #: Sketches of sets this similar agree in fewer bytes once in ten thousand.
 SKETCH_LEAST = 28
@@ -234,6 +245,152 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return common.written(both.where(f"100L * common >= {percent}L * (size(x) + size(y) - common)").select("a", "b"), "confirmed")
 
 
+def _prefixes(trees: range):
+    """Column: the prefixes of a signature, one after another."""
+    return F.concat(*[F.substring("signature", 1 + t * 4 * DEPTH, 4 * LEAST_PREFIX) for t in trees])
+
+
+def _units(batches):
+    """One table for each unit, of batches sorted by ``unit``."""
+    last = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if last is not None:
+            table = pa.concat_tables([last, table])
+        if not len(table):
+            continue
+        unit = table["unit"].combine_chunks()
+        cuts = np.flatnonzero(pc.not_equal(unit.slice(1), unit.slice(0, len(unit) - 1)).to_numpy(zero_copy_only=False)) + 1
+        bounds = [0, *cuts.tolist()]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield table.slice(a, b - a)
+        last = table.slice(bounds[-1])
+    if last is not None:
+        yield last
+
+
+def _sides(table: pa.Table):
+    """Row numbers of the two blocks, and which pairs are of different parts; a
+    block with itself has each pair once."""
+    side, part = table["side"].to_numpy(), table["part"].to_numpy()
+    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if len(y):
+        return x, y, part[x][:, None] != part[y]
+    return x, x, np.triu(part[x][:, None] != part[x], 1)
+
+
+def _alike(table: pa.Table, share: float):
+    """``(i, j)``: rows of different parts whose sketches don't tell them apart."""
+    x, y, ok = _sides(table)
+    n, sketch = table["n"].to_numpy(), np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+    ok &= np.minimum(n[x][:, None], n[y]) >= share * np.maximum(n[x][:, None], n[y])
+    if len(x) * len(y) < 4096:
+        agree = (sketch[x][:, None, :] == sketch[y]).sum(2)
+    else:
+        agree, left, right = np.zeros(ok.shape, np.uint8), sketch[x].T.copy(), sketch[y].T.copy()
+        for a, b in zip(left, right, strict=True):
+            agree += a[:, None] == b
+    i, j = np.nonzero(ok & (agree >= SKETCH_LEAST))
+    return x[i], y[j]
+
+
+def _in_common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sizes of the intersections of the sets ``x`` with the sets ``y``."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count[at] > 1)
+    shared = shared[np.argsort(at[shared], kind="stable")]
+    owner, at = owner[shared], np.unique(at[shared], return_inverse=True)[1]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for begin in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [begin, begin + COLUMNS])
+        holds = np.zeros((len(sets), COLUMNS), np.float32)
+        holds[owner[a:b], at[a:b] - begin] = 1
+        out += holds[x] @ holds[y].T
+    return out.astype(np.int64)
+
+
+def _links(table: pa.Table, percent: int):
+    """``(i, j)``: links that tie together all that the similar pairs of a unit
+    do.  A pair counts in the first tree in which its prefixes are the same."""
+    x, y, ok = _sides(table)
+    prefix = np.frombuffer(b"".join(table["prefixes"].to_pylist()), np.uint32).reshape(-1, TREES, LEAST_PREFIX)
+    for t in range(table["tree"][0].as_py()):
+        same = np.ones(ok.shape, bool)
+        for k in range(LEAST_PREFIX):
+            same &= prefix[x, t, k][:, None] == prefix[y, t, k]
+        ok &= ~same
+    if not ok.any():
+        return
+    sets = [s.values.to_numpy() for s in table["items"]]
+    n = np.array([len(s) for s in sets])
+    both = _in_common(sets, x, y)
+    ok &= 100 * both >= percent * (n[x][:, None] + n[y] - both)
+    label = table["part"].to_numpy().copy()
+    for a in np.flatnonzero(ok.any(1)):
+        i, js = x[a], y[ok[a]]
+        others, first = np.unique(label[js], return_index=True)
+        fresh = others != label[i]
+        if fresh.any():
+            yield from ((i, j) for j in js[first[fresh]])
+            label[np.isin(label, others[fresh])] = label[i]
+
+
+def crowded(classes: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """``(a, b)``: pairs to confirm of the regions with more classes than the
+    scans reach, and ``(unit, tree, key, part, side)`` of the blocks with too
+    many pairs to write them."""
+    paths = F.array(*[F.struct(F.lit(t).alias("tree"), _prefixes(range(t, t + 1)).alias("prefix")) for t in range(TREES)])
+    rows = classes.select("key", "n", "part", "sketch", F.explode(paths).alias("t")).select("t.tree", "t.prefix", "key", "n", "part", "sketch")
+    # Written before the join, so that a large region's rows can be split.
+    regions = rows.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
+    regions = common.written(regions.where(f"size > {REACH + 1} AND low < high").select(
+        "tree", "prefix", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "regions")
+    dealt = rows.join(regions, ["tree", "prefix"]).withColumn("block", F.expr("cast(pmod(xxhash64(key), blocks) AS int)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    unit = F.concat_ws("-", "tree", F.hex("prefix"), F.least("block", "other"), F.greatest("block", "other"))
+    dealt = dealt.select(unit.alias("unit"), "tree", "key", "n", "part", "sketch", F.expr("IF(block > other, 1, 0)").alias("side"))
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.sparkSession.sparkContext.defaultParallelism * 2)
+    fields = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("unit", pa.string()), ("tree", pa.int32()), ("key", pa.binary()),
+                        ("part", pa.int64()), ("side", pa.int32())])
+
+    def run(batches):
+        for table in _units(batches):
+            i, j = _alike(table, share)
+            if len(i) <= FEW * len(table):
+                pairs = [table["key"].take(pa.array(k)).cast(pa.binary()) for k in (i, j)]
+                empty = [pa.nulls(len(i), f.type) for f in list(fields)[2:]]
+            else:
+                some = table.take(pa.array(np.union1d(i, j)))
+                pairs = [pa.nulls(len(some), pa.binary())] * 2
+                empty = [some[c] for c in fields.names[2:]]
+            yield from pa.table([*pairs, *empty], schema=fields).to_batches()
+        common.give_back()
+
+    out = dealt.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(
+        run, "a binary, b binary, unit string, tree int, key binary, part long, side int")
+    out = common.written(out, "crowded")
+    pairs = out.where("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return common.written(pairs, "candidates"), out.where("unit IS NOT NULL").drop("a", "b")
+
+
+def crowded_links(crowds: DataFrame, classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: links among the rows of ``crowds``, compared by their full sets."""
+    percent = round(100 * similarity)
+    rows = crowds.join(classes.select("key", _prefixes(range(TREES)).alias("prefixes")), "key").join(sets, "key")
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.sparkSession.sparkContext.defaultParallelism * 2)
+
+    def run(batches):
+        for table in _units(batches):
+            found = np.array(list(_links(table, percent)), np.int64).reshape(-1, 2)
+            keys = [table["key"].take(pa.array(k)) for k in found.T]
+            yield from pa.table(keys, names=["a", "b"]).to_batches()
+        common.give_back()
+
+    rows = rows.select("unit", "tree", "key", "part", "side", "prefixes", "items").repartition(parts, "unit").sortWithinPartitions("unit")
+    return common.written(rows.mapInArrow(run, "a binary, b binary"), "crowded-links")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                     similarity: float = SIMILARITY) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` per row of ``docs``.
@@ -251,16 +408,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = solid.dropDuplicates(["id", "key"]).join(classes.withColumnRenamed("rep", "id"), ["id", "key"], "left_semi")
     firsts = common.written(firsts.select("id", "key", "n", "signature", "sketch"), "firsts")
 
-    def confirmed(pairs):
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key")
-        sets = sets_of(docs, id_col, text_col, width, common.written(wanted.select("rep", "key"), "wanted"))
-        return (confirm(pairs, sets, similarity).join(classes.select(F.col("key").alias("a"), F.col("rep").alias("u")), "a")
+    def wanted_sets(keys):
+        return sets_of(docs, id_col, text_col, width, common.written(keys.distinct().join(classes, "key").select("rep", "key"), "wanted"))
+
+    def named_links(pairs):
+        return (pairs.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("u")), "a")
                 .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("v")), "b").select("u", "v"))
 
+    def confirmed(pairs):
+        return named_links(confirm(pairs, wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("key"))), similarity))
+
+    def placed():
+        return firsts.join(parts, "id", "left").withColumn("part", F.xxhash64(F.coalesce("component", "id")))
+
+    def joined(links):
+        return common.written(components(parts.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(links)), "components")
+
     links = confirmed(candidates(firsts.withColumn("part", F.xxhash64("key")), similarity, range(FIRST_TREES), 1))
     parts = common.written(components(links), "components")
-    placed = firsts.join(parts, "id", "left").withColumn("part", F.xxhash64(F.coalesce("component", "id")))
-    more = confirmed(candidates(placed, similarity, range(FIRST_TREES, TREES), REACH))
+    parts = joined(confirmed(candidates(placed(), similarity, range(TREES), REACH)))
+    pairs, crowds = crowded(placed(), similarity)
+    more = links.limit(0)
+    if not pairs.isEmpty():
+        more = more.unionByName(confirmed(pairs))
+    if not crowds.isEmpty():
+        sets = wanted_sets(crowds.select("key"))
+        more = more.unionByName(named_links(crowded_links(crowds, firsts, sets, similarity)))
     # Ids that occur in several classes tie these together.
     tied = solid.join(classes, "key").where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")).distinct()
     repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.count_distinct("key").alias("n")).where("n > 1").select(F.col("id").alias("u"))

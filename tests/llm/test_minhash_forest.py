@@ -73,6 +73,36 @@ def test_groups_and_odd_rows(spark, width):
     assert got(mf.near_duplicates(df, width=width)) == brute(rows, width)
 
 
+def family(rng, n, planted, width, words=600, changes=23, same=8):
+    """Texts of similarity 0.73 to 0.79 with each other, and pairs of them above 0.8."""
+    step = 2 / width
+    changes, same = round(changes * step), round(same * step)
+    base = np.array([f"w{i}" for i in range(words)], object)
+
+    def variant(at, tag):
+        w = base.copy()
+        w[at] = [f"{tag}x{i}" for i in at]
+        return " ".join(w)
+
+    out = [variant(rng.choice(words, changes, replace=False), f"t{k}") for k in range(n)]
+    for k in range(planted):
+        at = rng.choice(words, 2 * changes - same, replace=False)
+        a, b = at[:changes], at[changes - same:]
+        left, right = base.copy(), base.copy()
+        left[a], right[b] = [f"p{k}x{i}" for i in a], [f"p{k}x{i}" if i in a else f"q{k}x{i}" for i in b]
+        out += [" ".join(left), " ".join(right)]
+    return [out[i] for i in rng.permutation(len(out))]
+
+
+@pytest.mark.parametrize(("width", "block"), [(2, 1000), (2, 60)])
+def test_pairs_in_a_crowded_region(spark, monkeypatch, width, block):
+    monkeypatch.setattr(mf, "BLOCK", block)
+    rows = list(enumerate(family(np.random.default_rng(11), 300, 60, width)))
+    want = brute(rows, width)
+    assert 50 < sum(not w[3] for w in want) < 100
+    assert got(mf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width)) == want
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert mf.near_duplicates(df).count() == 0
