@@ -32,8 +32,10 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    # two letters, two check digits, 11 to 30 more, in groups or not
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # two letters, two check digits, 11 to 30 more, in groups or not: the first group is the
+    # longest such run, which words in capitals may lengthen; only the letters are consumed,
+    # so that each beginning is proposed
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])))[A-Z]{2}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 
@@ -59,6 +61,12 @@ DENIAL_MALUS = 0.3
 #: Added kinds need this score; base kinds stay whatever their score.
 THRESHOLD = 0.5
 
+#: Lengths of registered IBANs, which decide where several beginnings of a run are valid.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 "
+    "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
+    "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 TN24 TR26 UA29 VA22 VG24 XK20")
+
 #: Matches per block of the running sums.
 BLOCK = 256
 
@@ -93,16 +101,31 @@ def _starts(gaps: str, matches: str) -> str:
           s -> s.out))))[0])[0])[0]"""
 
 
+def _iban(run: str) -> str:
+    """SQL: the valid beginning of a run that ends with a group, of registered
+    length or else the longest; null if there is none."""
+    part = f"substring({run}, 1, n)"
+    ends = f"filter(sequence(15, length({run})), n -> substring({run}, n + 1, 1) IN ('', ' ') AND {_VALID['iban'].format(m=part)})"
+    known = f"contains('{IBAN_LENGTHS}', concat(substring({run}, 1, 2), length(replace({part}, ' ', ''))))"
+    return f"substring({run}, 1, array_max(transform({ends}, n -> named_struct('known', {known}, 'n', n))).n)"
+
+
 def _proposals(text: str, kind: str) -> tuple[str, str]:
     """SQL: the matches of a kind, and its confirmed spans given ``__pii_m_<kind>``."""
     pattern = PATTERNS[kind].replace("'", "''")
     need = f"contains({text}, '{NEEDS[kind]}')" if kind in NEEDS else "true"
-    matches = f"IF({need}, regexp_extract_all({text}, r'{pattern}', 0), cast(array() AS array<string>))"
+    matches = f"IF({need}, regexp_extract_all({text}, r'{pattern}', {int(kind == 'iban')}), cast(array() AS array<string>))"
     m = f"__pii_m_{kind}"
+    gaps = f"split({text}, r'{pattern}', -1)"
+    if kind == "iban":
+        matches = f"transform({matches}, m -> coalesce({_iban('m')}, m))"
+        starts = _starts(gaps, f"transform({m}, m -> substring(m, 1, 2))")
+    else:
+        starts = _starts(gaps, m)
     # Most texts have no match and most matches are no card: positions only where one is valid.
     spans = f"""
     IF(exists({m}, m -> {_VALID[kind].format(m="m")}),
-       filter(zip_with({m}, {_starts(f"split({text}, r'{pattern}', -1)", m)},
+       filter(zip_with({m}, {starts},
                        (m, at) -> named_struct('kind', '{kind}', 'start', at, 'end', at + length(m), 'value', m)),
               x -> {_VALID[kind].format(m="x.value")}),
        cast(array() AS array<struct<kind:string,start:int,end:int,value:string>>))"""

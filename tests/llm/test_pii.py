@@ -94,3 +94,12 @@ def test_empty_table_clashing_names_and_repeats(spark):
     assert out.columns == ["doc_id", "text", "kind", "start", "pii_spans"] and out.count() == 2
     assert pii.redact(df).select("text").collect()[0][0] == "[EMAIL]"
     assert pii.find_pii(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("after", ["", " Please", " BIC COBADEFFXXX", " COBADEFF", " 12345 67", " GB82 WEST 1234 5698 7654 32", " I am", ".", "\nNO12"])
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"])
+def test_iban_before_capitals_and_digits(spark, iban, after):
+    text = f"REF AB12 {iban}{after}"
+    spans = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first()["pii_spans"]
+    found = [text[s["start"]:s["end"]] for s in spans if s["kind"] == "iban"]
+    assert found == [iban] + ["GB82 WEST 1234 5698 7654 32"] * ("GB82" in after)
