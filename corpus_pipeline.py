@@ -38,7 +38,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold a passage of the benchmark go."""
     common.small_batches(spark)
     names = ("__leak", "__leak_items")
-    found = decontaminate.find_leaks(common.spread(docs), common.table(spark, sf_dir, "benchmark"), out=names)
+    found = decontaminate.find_leaks(common.spread(docs), common.table(spark, sf_dir, "benchmark"), out=names, short=True)
     return found.where(f"NOT {names[0]}").select(*docs.columns)
 
 

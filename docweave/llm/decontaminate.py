@@ -31,8 +31,9 @@ from docweave.llm import common, textarrays
 MASKS = [(0, 1, 2, 3, 4), (0, 3, 4, 5, 6), (0, 2, 4, 5, 7), (0, 1, 2, 4, 5)]
 MIN_OVERLAP = 13
 MIN_SHARE = 0.8
-#: Items with fewer tokens are too common to prove a leak and are left out.
+#: Items with fewer tokens count only as whole, exact token sequences, if at all (``short``).
 SHORTEST_ITEM = 8
+WHOLE = [tuple(range(n)) for n in range(1, SHORTEST_ITEM)]
 BITMAP_BITS = 24
 #: Hits further apart than this belong to different stretches.
 REACH = MIN_OVERLAP
@@ -52,7 +53,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def seed_hashes(hashes: np.ndarray, mask: int) -> np.ndarray:
     """The mask's hash at every position from which it fits."""
-    picks = MASKS[mask]
+    picks = (MASKS + WHOLE)[mask]
     n = max(0, len(hashes) - picks[-1])
     h = np.full(n, mask + 1, np.uint64)
     for k in picks:
@@ -64,13 +65,14 @@ def _needed(length: int) -> int:
     return math.ceil(MIN_SHARE * length - 1e-9)
 
 
-def benchmark_seeds(bench: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def benchmark_seeds(bench: DataFrame, id_col: str, text_col: str, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(item, item_tokens)`` and ``(hash, item, at)``, written."""
+    fewest = 1 if short else SHORTEST_ITEM
 
     def run(batches):
         for batch in batches:
             hashes, first = tokens(batch.column(1))
-            rows = [hashes[a:b].view(np.int64) if b - a >= SHORTEST_ITEM else None for a, b in zip(first[:-1], first[1:], strict=True)]
+            rows = [hashes[a:b].view(np.int64) if b - a >= fewest else None for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["item", "item_tokens"])
 
     items = bench.select(id_col, text_col).mapInArrow(run, "item long, item_tokens array<long>").where("item_tokens IS NOT NULL")
@@ -82,7 +84,7 @@ def benchmark_seeds(bench: DataFrame, id_col: str, text_col: str) -> tuple[DataF
         for batch in batches:
             for key, row in zip(batch.column(0), batch.column(1), strict=True):
                 hashes = row.values.to_numpy().view(np.uint64)
-                for mask in range(len(MASKS)):
+                for mask in range(len(MASKS)) if len(hashes) >= SHORTEST_ITEM else [len(MASKS) + len(hashes) - 1]:
                     h = seed_hashes(hashes, mask)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), key.as_py()), pa.int64()),
                                                       pa.array(np.arange(len(h), dtype=np.int32))], names=["hash", "item_key", "at"])
@@ -95,12 +97,13 @@ def seed_bitmap(seeds: DataFrame) -> np.ndarray:
     return common.bitmap(seeds, "hash", BITMAP_BITS)
 
 
-def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray):
+def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray, masks: list[int]):
     """``(row, token from, token to, seeds)`` of stretches around seeds whose bit
     is set; positions count from the batch's first token."""
     at, seed = [], []
     owner_end = np.repeat(first[1:], np.diff(first))
-    for mask, picks in enumerate(MASKS):
+    for mask in masks:
+        picks = (MASKS + WHOLE)[mask]
         h = seed_hashes(hashes, mask)
         hit = np.flatnonzero(common.in_bitmap(bitmap, h))
         hit = hit[hit + picks[-1] < owner_end[hit]]
@@ -118,9 +121,10 @@ def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray):
         yield r, max(first[r], at[a] - REACH), min(first[r + 1], at[b - 1] + MASKS[-1][-1] + MASKS[2][-1] + REACH), (seed[a:b], at[a:b])
 
 
-def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str]) -> DataFrame:
+def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str], lengths: list[int] = ()) -> DataFrame:
     """The ``keep`` columns of ``docs`` with ``__row`` (a name for rows that have
-    stretches, else null) and ``__stretches``."""
+    stretches, else null) and ``__stretches``; ``lengths`` are those of the short items."""
+    masks = [*range(len(MASKS)), *(len(MASKS) + n - 1 for n in lengths)]
     names = [*keep, "__row", "__stretches"]
     at, kept = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     stretch = pa.struct([("tokens", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int32()))])
@@ -134,7 +138,7 @@ def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str]) ->
                 part = batch.slice(a, b - a)
                 hashes, first = tokens(part.column(at))
                 stamp, found = uuid.uuid4().hex, {}
-                for r, x, y, (seed, where) in _stretches(hashes, first, bitmap):
+                for r, x, y, (seed, where) in _stretches(hashes, first, bitmap, masks):
                     found.setdefault(int(r), []).append({"tokens": hashes[x:y].view(np.int64), "hashes": seed.view(np.int64), "offsets": (where - x).astype(np.int32)})
                 rows = pa.array([f"{stamp}-{i}" if i in found else None for i in range(len(part))], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), rows, pa.array([found.get(i) for i in range(len(part))], pa.list_(stretch))], names=names)
@@ -153,25 +157,28 @@ def leaks(scanned: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
                .join(items, "item_key")
                .withColumn("agree", F.expr("transform(item_tokens, (t, i) -> IF(i + shift >= 0 AND i + shift < size(tokens) AND get(tokens, i + shift) = t, 1, 0))"))
                .withColumn("need", F.expr(f"least(size(item_tokens), {MIN_OVERLAP})")))
-    least = "CASE need " + " ".join(f"WHEN {n} THEN {_needed(n)}" for n in range(SHORTEST_ITEM, MIN_OVERLAP + 1)) + " END"
+    least = "CASE need " + " ".join(f"WHEN {n} THEN {n if n < SHORTEST_ITEM else _needed(n)}" for n in range(1, MIN_OVERLAP + 1)) + " END"
     good = f"exists(sequence(1, size(agree) - need + 1), i -> aggregate(slice(agree, i, need), 0, (a, x) -> a + x) >= {least})"
     return aligned.where(good).groupBy("__row").agg(F.array_sort(F.collect_set("item")).alias("bench_items"))
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-               keep: list[str] | None = None, out: tuple[str, str] = ("contaminated", "bench_items")) -> DataFrame:
+               keep: list[str] | None = None, out: tuple[str, str] = ("contaminated", "bench_items"), short: bool = False) -> DataFrame:
     """``docs`` (or its ``keep`` columns) with ``contaminated`` and
     ``bench_items``, the ids of the items whose passages the text holds, under
     the names ``out`` (columns of these names are replaced, others stay).
 
     Null and empty texts and items hold nothing; items with fewer than
-    SHORTEST_ITEM tokens are left out; items of equal tokens count as the one of
+    SHORTEST_ITEM tokens are left out unless ``short``, when their whole token
+    sequence must occur exactly; items of equal tokens count as the one of
     the smallest id; rows that repeat are judged each, with or without an id.
     """
     docs = docs.drop(*out)
     keep = docs.columns if keep is None else keep
-    items, seeds = benchmark_seeds(bench, item_col, item_text_col)
-    scanned = common.written(scan(docs, text_col, seed_bitmap(seeds), keep), "bench-scan")
+    items, seeds = benchmark_seeds(bench, item_col, item_text_col, short)
+    sizes = items.select(F.size("item_tokens").alias("n")).where(f"n < {SHORTEST_ITEM}").distinct()
+    lengths = sorted(x["n"] for x in sizes.collect())
+    scanned = common.written(scan(docs, text_col, seed_bitmap(seeds), keep, lengths), "bench-scan")
     none = F.expr("cast(array() AS array<bigint>)")
     # Most rows have no stretch and need no join.
     clean = scanned.where("__row IS NULL").drop("__row", "__stretches").withColumn(out[1], none)
@@ -184,7 +191,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_c
 def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each document holds a benchmark passage, and of which items."""
     docs = common.spread(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return find_leaks(docs, common.table(spark, sf_dir, "benchmark"), keep=["doc_id"]).select(
+    return find_leaks(docs, common.table(spark, sf_dir, "benchmark"), keep=["doc_id"], short=True).select(
         "doc_id", "contaminated", F.concat_ws(",", F.expr("transform(bench_items, x -> cast(x AS string))")).alias("items"))
 
 

@@ -85,3 +85,12 @@ def test_scan_keeps_few_rows(spark):
     docs = common.table(spark, d, "documents").select("doc_id", "text")
     scanned = dec.scan(docs, "text", dec.seed_bitmap(seeds), ["doc_id"])
     assert scanned.where("__row IS NOT NULL").count() < 0.4 * docs.count()
+
+
+def test_short_items_count_whole(spark):
+    bench = spark.createDataFrame([(1, "What is Rust?"), (2, "why"), (3, " ".join("abcdefg")), (4, " ".join(f"beta{i}" for i in range(9))), (5, "")], "item_id long, text string")
+    texts = ["x what IS rust y", "what is", "what is old rust", "why", "whyever", "z a b c d e f g", "a b c d e f", "what is rust? why", None, "",
+             "q " + " ".join("zzz" if i == 4 else f"beta{i}" for i in range(9))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["bench_items"] for r in dec.find_leaks(df, bench, short=True).collect()}
+    assert got == dict(enumerate([[1], [], [], [2], [], [3], [], [1, 2], [], [], [4]]))
