@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from docweave.llm import byte_bpe, cap_filters, decontaminate, language_id, minhash_forest, pii, quality, token_files, url_filters, warc
+from docweave.llm import (
+    alignment,
+    byte_bpe,
+    cap_filters,
+    decontaminate,
+    fingerprints,
+    language_id,
+    minhash_forest,
+    pii,
+    quality,
+    token_files,
+    url_filters,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_token_files": token_files.q_op1,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.q_op8,
     "op9_url_filters": url_filters.q_op9,
     "op10_minhash_forest": minhash_forest.q_op10,
+    "op11_fingerprints": fingerprints.q_op11,
+    "op12_whitening": whitening.q_op12,
+    "op13_alignment": alignment.q_op13,
 }
 
 ORACLES = {

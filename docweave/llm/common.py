@@ -37,6 +37,24 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def ddl(df: DataFrame, *extra: str) -> str:
+    """DDL of the columns of ``df``, then ``extra``."""
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + list(extra))
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    """Tasks for a shuffle whose count is given: the session's own, or two a core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 2)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """The fold that no model learns from: crc32 of the id's text mod 5 is 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

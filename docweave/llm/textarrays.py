@@ -69,15 +69,43 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(out)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Fixed ranges of code points of scripts written without spaces: Thai and Lao,
+#: Myanmar, Khmer, CJK radicals to ideographs with kana, compatibility
+#: ideographs, and the supplementary ideographic planes.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
+
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and byte lengths of the characters of scripts without spaces."""
+    lead = np.flatnonzero(data >= 0xE0)
+    lead = lead[lead + np.where(data[lead] >= 0xF0, 3, 2) < len(data)]
+    size = np.where(data[lead] >= 0xF0, 4, 3)
+    low = lambda k: (data[lead + k] & 0x3F).astype(np.int64)
+    point = ((data[lead] & 0x0F).astype(np.int64) << 12) | (low(1) << 6) | low(2)
+    four = size == 4
+    if four.any():
+        wide = lead[four]
+        point[four] = ((data[wide] & 7).astype(np.int64) << 18) | ((data[wide + 1] & 0x3F).astype(np.int64) << 12) | (
+            (data[wide + 2] & 0x3F).astype(np.int64) << 6) | (data[wide + 3] & 0x3F)
+    found = np.zeros(len(lead), bool)
+    for a, b in UNSPACED:
+        found |= (point >= a) & (point <= b)
+    return lead[found], size[found]
+
+
+def words(data: np.ndarray, offsets: np.ndarray, cut_scripts: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the number of the first word of each
-    text (one more than texts)."""
+    text (one more than texts).  With ``cut_scripts``, characters of scripts
+    without spaces are words of their own."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
     solid = ~SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
+    if cut_scripts:
+        at, size = unspaced(data)
+        edge[at] = edge[at + size] = True
     before, after = np.empty_like(solid), np.empty_like(solid)
     before[0], before[1:] = True, ~solid[:-1]
     after[-1], after[:-1] = True, ~solid[1:]
