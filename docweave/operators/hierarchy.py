@@ -2,19 +2,19 @@
 
 The hierarchy may be split over many pages (one per shard); each page yields
 edges by position intervals, edges from all pages are unioned and
-de-duplicated, and every graph operator after that is a join, an aggregate or
-a recursive CTE (``WITH RECURSIVE``; Spark ≥ 4.1) — never a driver-side walk.
+de-duplicated, and every graph operator after that is joins and aggregates in
+rounds that grow with the logarithm of the depth (``operators/forest.py``).
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.functions import markup as M
 from docweave.functions import nodes as N
+from docweave.operators import forest
+from docweave.operators.skew import salted_join
 from docweave.session import materialize
 
 
@@ -102,68 +102,28 @@ def hierarchy_roots(flat: DataFrame) -> DataFrame:
     return names.join(kids, "name", "left_anti")
 
 
-@contextmanager
-def _unlimited_recursion(spark: SparkSession):
-    """Lift the session's cap on recursion levels while a walk runs; a walk ends
-    by its cycle guard, not by a number of levels."""
-    key = "spark.sql.cteRecursionLevelLimit"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int | None = None) -> DataFrame:
+def hierarchy_walk(spark: SparkSession, flat: DataFrame, max_depth: int | None = None, paths: bool = True) -> DataFrame:
     """H3: pre-order walk from every root, one row per path (D6), with a cycle
-    guard and, only if asked, a depth limit.  ``path`` is the array of names
-    from the root and ``places`` the array of their places; the output order is
-    ``ORDER BY places`` (arrays compare element-wise, a prefix first), which is
-    the pages' own order.  ``flat`` without ``ord`` is ordered by name.
-
-    Run at once and written: the recursion re-reads its inputs at every step.
-    ``LIMIT ALL`` lifts the session's cap on recursion rows.
+    guard and, only if asked, a depth limit: ``(root, name, depth, places, size)``
+    and, with ``paths``, ``path``, the array of names from the root.
+
+    ``places`` is the row's pre-order number, after those of the nodes with
+    several parents above it, where the walk enters their part again; ``ORDER BY
+    places`` is the pages' own order.  ``size`` is the number of rows that the
+    row's subtree has in its part.  ``flat`` without ``ord`` is ordered by name.
+    Rounds grow with the logarithm of the depth (``operators/forest.py``).
     """
     if "ord" not in flat.columns:
         flat = flat.withColumn("ord", F.struct(F.col("name").alias("source_path"), F.lit(0).alias("pos")))
     flat = materialize(flat.select("name", "parent", "ord"))
-    first = flat.groupBy("name").agg(F.min("ord").alias("ord"))
-    deeper = "true" if max_depth is None else f"w.depth < {int(max_depth)}"
-    with _unlimited_recursion(spark):
-        return materialize(spark.sql(
-            f"""
-            WITH RECURSIVE walk(root, name, depth, path, places) AS (
-              SELECT r.name, r.name, 0, array(r.name), array(r.ord) FROM {{roots}} r
-              UNION ALL
-              SELECT w.root, e.name, w.depth + 1, concat(w.path, array(e.name)), concat(w.places, array(e.ord))
-              FROM walk w JOIN {{edges}} e ON e.parent = w.name
-              WHERE {deeper} AND NOT array_contains(w.path, e.name)
-            )
-            SELECT root, name, depth, path, places FROM walk LIMIT ALL
-            """,
-            roots=materialize(hierarchy_roots(flat).join(first, "name")),
-            edges=materialize(flat.filter(F.col("parent").isNotNull())),
-        ))
+    return forest.walk(flat, hierarchy_roots(flat), max_depth, paths)
 
 
 def hierarchy_closure(spark: SparkSession, flat: DataFrame) -> DataFrame:
     """H4: every ancestor/descendant pair once, ``(anc, name, depth)`` with the
-    shortest distance ``depth ≥ 1``; a name is no ancestor of its own.
-
-    Level by level: the pairs found last are extended by one edge and those
-    known already drop out, so the rows are pairs, not paths, and cycles end by
-    themselves.  Each level is written.
-    """
-    edges = materialize(flat.filter(F.col("parent").isNotNull() & (F.col("parent") != F.col("name"))).select("name", "parent").distinct())
-    known = last = materialize(edges.select(F.col("parent").alias("anc"), "name", F.lit(1).alias("depth")))
-    while not last.isEmpty():
-        longer = (last.join(edges.select(F.col("parent").alias("name"), F.col("name").alias("_n")), "name")
-                  .select("anc", F.col("_n").alias("name"), (F.col("depth") + 1).alias("depth"))
-                  .filter(F.col("anc") != F.col("name")).distinct())
-        last = materialize(longer.join(known.select("anc", "name"), ["anc", "name"], "left_anti"))
-        known = known.unionByName(last)
-    return known
+    shortest distance ``depth ≥ 1``; a name is no ancestor of its own.  Distances
+    double from round to round; cycles end by themselves."""
+    return forest.closure(flat)
 
 
 # --------------------------------------------------------------------------
@@ -183,15 +143,19 @@ def split_entities(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, others
 
 
+def entity_crumbs(others: DataFrame) -> DataFrame:
+    """Each entity × each of its crumbs, ``(…, nav_pos, crumb)``, written: the
+    hot crumbs are counted before the rows are joined.  Crumbs are bounded per
+    entity, so the explode is narrow."""
+    return materialize(others.select("*", F.posexplode("navigation").alias("nav_pos", "crumb")))
+
+
 def related_entities(others: DataFrame, class_names: DataFrame) -> DataFrame:
     """Each non-class entity × each crumb equal to a hierarchy class name
-    (a crumb repeated on one page attaches twice).  Crumbs are bounded per
-    entity, so the explode is narrow; the join is a plain equi-join that AQE
-    may broadcast or skew-split (popular crumbs are hot keys)."""
-    crumbs = others.select("*", F.posexplode("navigation").alias("nav_pos", "crumb"))
-    return crumbs.join(class_names.select(F.col("name").alias("crumb")).distinct(), "crumb").withColumnRenamed(
-        "crumb", "class_name"
-    )
+    (a crumb repeated on one page attaches twice).  Popular crumbs are hot keys:
+    they are measured and salted by the entity."""
+    names = class_names.select(F.col("name").alias("crumb")).distinct()
+    return salted_join(entity_crumbs(others), names, "crumb", ["source_path", "nav_pos"], "left_semi").withColumnRenamed("crumb", "class_name")
 
 
 def related_counts(related: DataFrame) -> DataFrame:
@@ -219,15 +183,16 @@ def organize_by_hierarchy(spark: SparkSession, entities: DataFrame, flat: DataFr
     entities = materialize(entities)
     narrow = entities.select("name", "entity_type", "navigation", "line")
     classes, others = split_entities(narrow)
-    walk = hierarchy_walk(spark, flat, max_depth)
+    walk = materialize(hierarchy_walk(spark, flat, max_depth))
     visited = walk.select("name").distinct()
     key = lambda segment, kind, ord_: [F.lit(segment).alias("segment"), F.lit(kind).alias("kind"), ord_.alias("ord"), F.col("line").alias("_line")]
 
-    # H5: per visited node, the class row then its related entities.
-    rel = related_entities(others, visited)
+    # H5: per visited node, the class row then its related entities; hot crumbs are salted.
     in_walk = walk.select("name", "path", "places")
+    rel = materialize(salted_join(entity_crumbs(others.select("navigation", "line")).drop("navigation"), in_walk.withColumnRenamed("name", "crumb"),
+                                  "crumb", ["line", "nav_pos"]))
     placed = in_walk.join(classes.select("name", "line"), "name").select(*key(1, 0, F.col("line")), "path", "places").unionByName(
-        in_walk.join(rel.select(F.col("class_name").alias("name"), "line"), "name").select(*key(1, 1, F.col("line")), "path", "places"))
+        rel.select(*key(1, 1, F.col("line")), "path", "places"))
     # Classes not written by the walk, in first-seen order; H7 / J5: other entities it did not write, in input order.
     loose = classes.join(visited, "name", "left_anti").select(*key(2, 0, F.col("first_line"))).unionByName(
         others.join(rel.select("line").distinct(), "line", "left_anti").select(*key(3, 1, F.col("line"))))

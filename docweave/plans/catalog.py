@@ -795,6 +795,17 @@ def q_hierarchy_walk(spark, d):
     return w.select("root", "name", F.col("depth").cast("long").alias("depth"), F.array_join("path", "/").alias("path"))
 
 
+@register("hierarchy_intervals", with_ctes(X5_CTE, WALK_CTE) + """,
+numbered AS (SELECT name, path, row_number() OVER (ORDER BY places) AS pre FROM walk)
+SELECT a.name, CAST(a.pre AS BIGINT) AS pre, CAST(count(*) AS BIGINT) AS size
+FROM numbered a JOIN numbered b ON b.path[1:len(a.path)] = a.path GROUP BY a.name, a.path, a.pre""")
+def q_hierarchy_intervals(spark, d):
+    """Every node's pre-order number and its subtree's size; a node lies
+    below another where its number is in the other's interval.  No path is built."""
+    w = H.hierarchy_walk(spark, hierarchy_flat(spark, d, None), paths=False)
+    return w.select("name", F.col("places")[0].alias("pre"), "size")
+
+
 @register("hierarchy_closure", with_ctes(X5_CTE, WALK_CTE) + """
 SELECT anc, name, CAST(min(len(path) - i) AS BIGINT) AS depth
 FROM (SELECT name, path, unnest(path) AS anc, generate_subscripts(path, 1) AS i FROM walk) WHERE i < len(path) GROUP BY anc, name""")
@@ -806,9 +817,10 @@ def q_hierarchy_closure(spark, d):
 
 # --- organise by hierarchy (J3–J5, H5–H8) ---------------------------------
 def _organize_inputs(spark, d):
-    ents = doc_entities(spark, d).withColumn(
-        "line", F.struct(C.category_rank(F.col("category")).alias("c"), F.col("source_path").alias("p")))
-    return ents, hierarchy_flat(spark, d, None)
+    """The entities with their line, and the tree; extracted once per session (written)."""
+    ents = _materialized(spark, d, "organize_entities", lambda: doc_entities(spark, d).withColumn(
+        "line", F.struct(C.category_rank(F.col("category")).alias("c"), F.col("source_path").alias("p"))).select(*C.SANITIZED_FIELDS, "line"))
+    return ents, _materialized(spark, d, "organize_tree", lambda: hierarchy_flat(spark, d, None))
 
 
 RELATED_SQL = with_ctes(X2_CTE, X3_CTE, X5_CTE, X8_CTE) + """,
@@ -900,9 +912,9 @@ FROM placed JOIN ent USING (source_path)"""
 
 
 def _organized(spark, d):
+    """H8's rows, worked out once per session (written)."""
     ents, flat = _organize_inputs(spark, d)
-    fields = C.SANITIZED_FIELDS
-    return H.organize_by_hierarchy(spark, ents.select(*fields, "line"), flat), fields
+    return _materialized(spark, d, "organized", lambda: H.organize_by_hierarchy(spark, ents, flat)), C.SANITIZED_FIELDS
 
 
 @register("organize_by_hierarchy", ORGANIZE_SQL)

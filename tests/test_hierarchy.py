@@ -1,7 +1,11 @@
+import random
+
+import pytest
 from conftest import page_df
 from pyspark.sql import functions as F
 
 from docweave.operators import hierarchy as H
+from docweave.session import materialize
 
 
 def cell(name, inner=""):
@@ -121,3 +125,68 @@ def test_edges_cost_grows_with_the_page(spark):
     assert len(e) == 1 + 50 + 50 * 60
     by = {r.name: (r.parent, r.depth) for r in e}
     assert by["Root"] == (None, 0) and by["C7"] == ("Root", 1) and by["G7_59"] == ("C7", 2)
+
+
+def brute_walk(rows, max_depth=None):
+    """Recursive pre-order walk; siblings by name."""
+    kids = {}
+    for name, parent in rows:
+        if parent is not None:
+            kids.setdefault(parent, set()).add(name)
+    children = {n for n, p in rows if p is not None}
+    out = []
+
+    def go(path):
+        out.append(tuple(path))
+        if max_depth is None or len(path) <= max_depth:
+            for k in sorted(kids.get(path[-1], ())):
+                if k not in path:
+                    go([*path, k])
+
+    for root in sorted({n for n, _ in rows} - children):
+        go([root])
+    return out
+
+
+@pytest.mark.parametrize(("seed", "depth"), [(1, None), (2, 4)])
+def test_walk_of_random_graphs(spark, seed, depth):
+    """Several roots, two-parent nodes, rings reached and not reached, self-loops, repeated rows."""
+    rng = random.Random(seed)
+    rows = [(f"t{i}", f"t{rng.randrange(i)}" if i > 2 else None) for i in range(60)] + [(f"x{i}", f"t{rng.randrange(60)}") for i in range(4)]
+    rows += [("x0", "t3"), ("x1", "x0"), ("x2", "x1"), ("x0", "x2"), ("y", "x1"), ("self", "self"), ("r1", "r2"), ("r2", "r1"), ("below", "r1"), rows[5]]
+    flat = spark.createDataFrame(rows, "name string, parent string")
+    got = H.hierarchy_walk(spark, flat, depth).orderBy("places").collect()
+    assert [tuple(r.path) for r in got] == brute_walk(rows, depth)
+    assert all(r.root == r.path[0] and r.name == r.path[-1] and r.depth == len(r.path) - 1 for r in got)
+    dist = {}
+    kids = {(p, n) for n, p in rows if p and p != n}
+    for a in {n for pair in kids for n in pair}:
+        level, seen, d = {a}, {a}, 0
+        while level:
+            d, level = d + 1, {n for p, n in kids if p in level} - seen
+            seen |= level
+            dist |= {(a, n): d for n in level}
+    assert {(r.anc, r.name): r.depth for r in H.hierarchy_closure(spark, flat).collect()} == dist
+
+
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    """1,000 levels: ten rounds of doubling, two passes; a row carries numbers only."""
+    from docweave.operators import forest
+
+    calls = []
+    monkeypatch.setattr(forest, "materialize", lambda df: calls.append(1) or materialize(df))
+    chain = spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS name", "CASE WHEN id > 0 THEN CAST(id - 1 AS STRING) END AS parent")
+    rows = H.hierarchy_walk(spark, chain, paths=False).collect()
+    assert {(int(r.name), r.depth, tuple(r.places), r.size) for r in rows} == {(i, i, (i + 1,), 1000 - i) for i in range(1000)}
+    assert len(calls) <= 2 * 11 + 6
+    calls.clear()
+    assert H.hierarchy_closure(spark, chain.filter("CAST(name AS INT) < 100")).count() == 99 * 100 // 2
+    assert len(calls) <= 9
+
+
+def test_intervals_tell_descendants(spark):
+    rows = [(f"t{i}", f"t{(i - 1) // 3}" if i else None) for i in range(40)]
+    got = {r.name: r for r in H.hierarchy_walk(spark, spark.createDataFrame(rows, "name string, parent string")).collect()}
+    for a in got.values():
+        low = a.places[0]
+        assert {b.name for b in got.values() if low <= b.places[0] < low + a.size} == {b.name for b in got.values() if a.name in b.path}
