@@ -9,8 +9,9 @@ documents' order.  Decoding joins tokens with the vocabulary and aggregates the
 pieces in order.
 
 Memory per task: a slice of at most SLICE_WORDS words (or one document), of whose
-new words at most LEARN_WORDS at a time go to DuckDB, and a cache of at most
-CACHE_WORDS words, as Arrow and numpy arrays, that a worker keeps between tasks.
+new words at most LEARN_WORDS at a time go to DuckDB, and caches of at most
+CACHE_WORDS words to encode and as many runs to decode, each of CACHE_BYTES at
+most (or one slice's), as Arrow and numpy arrays, that a worker keeps between tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ SLICE_WORDS = 500_000
 LEARN_WORDS = 20_000
 #: Different words a worker remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 600_000
+CACHE_BYTES = 12 << 20
 DUCKDB_MEMORY = "200MB"
 
 ENCODE = """
@@ -95,6 +97,7 @@ class Codec:
     def forget(self) -> None:
         self.known = pa.array([], pa.string())
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.runs = self.texts = pa.array([], pa.large_binary())
 
     def _learn(self, words: pa.Array) -> None:
         """Encode words and remember them under the next numbers."""
@@ -128,8 +131,9 @@ class Codec:
         coded = pc.dictionary_encode(words)
         number = pc.index_in(coded.dictionary, value_set=self.known)
         if number.null_count:
-            if len(self.known) + number.null_count > CACHE_WORDS:
-                self.forget()
+            if len(self.known) + number.null_count > CACHE_WORDS or self.known.nbytes > CACHE_BYTES:
+                self.known = pa.array([], pa.string())
+                self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
                 number = pc.index_in(coded.dictionary, value_set=self.known)
             self._learn(coded.dictionary.filter(pc.is_null(number)))
             number = pc.index_in(coded.dictionary, value_set=self.known)
@@ -140,9 +144,20 @@ class Codec:
         ids = flat[np.arange(counts.sum()) + np.repeat(starts[at] - before, counts)]
         return ids, counts
 
+    def _decode_runs(self, runs: pa.Array) -> pa.Array:
+        """The bytes of each run of little-endian ids."""
+        lengths = pc.binary_length(runs).to_numpy() // 4
+        flat = np.frombuffer(b"".join(runs.to_pylist()), "<i4")
+        start = np.cumsum(lengths) - lengths
+        self.db.register("rows", pa.table({"run": np.repeat(np.arange(len(runs), dtype=np.int32), lengths), "id": flat,
+                                           "pos": (np.arange(len(flat)) - np.repeat(start, lengths)).astype(np.int32)}))
+        out = self.db.sql(DECODE).to_arrow_table()
+        self.db.unregister("rows")
+        return pa.array([t.encode("latin-1") for t in out["text"].to_pylist()], pa.large_binary())
+
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
         """The bytes of id sequences that end at ``ends``.  Each is cut into runs
-        before ids that begin with white space; different runs are decoded once."""
+        before ids that begin with white space; new runs are decoded, and remembered."""
         if not len(ids):
             return [b""] * len(ends)
         cuts = np.zeros(len(ids), bool)
@@ -153,15 +168,16 @@ class Codec:
         runs = pa.Array.from_buffers(pa.large_binary(), len(first), [
             None, pa.py_buffer((np.append(first, len(ids)) * 4).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(ids, "<i4"))])
         coded = pc.dictionary_encode(runs)
-        keys = coded.dictionary
-        lengths = pc.binary_length(keys).to_numpy() // 4
-        flat = np.frombuffer(b"".join(keys.to_pylist()), "<i4")
-        start = np.cumsum(lengths) - lengths
-        self.db.register("rows", pa.table({"run": np.repeat(np.arange(len(keys), dtype=np.int32), lengths), "id": flat,
-                                           "pos": (np.arange(len(flat)) - np.repeat(start, lengths)).astype(np.int32)}))
-        out = self.db.sql(DECODE).to_arrow_table()
-        self.db.unregister("rows")
-        pieces = pa.array([t.encode("latin-1") for t in out["text"].to_pylist()], pa.large_binary()).take(coded.indices)
+        number = pc.index_in(coded.dictionary, value_set=self.runs)
+        if number.null_count:
+            if len(self.runs) + number.null_count > CACHE_WORDS or self.runs.nbytes > CACHE_BYTES:
+                self.runs = self.texts = pa.array([], pa.large_binary())
+                number = pc.index_in(coded.dictionary, value_set=self.runs)
+            fresh = coded.dictionary.filter(pc.is_null(number))
+            self.texts = pa.concat_arrays([self.texts, self._decode_runs(fresh)])
+            self.runs = pa.concat_arrays([self.runs, fresh])
+            number = pc.index_in(coded.dictionary, value_set=self.runs)
+        pieces = self.texts.take(number.take(coded.indices))
         data = np.frombuffer(pieces.buffers()[2], np.uint8) if pieces.buffers()[2] else np.zeros(0, np.uint8)
         offsets = np.frombuffer(pieces.buffers()[1], np.int64)[:len(first) + 1]
         at = offsets[np.searchsorted(first, np.concatenate([[0], ends]))]
@@ -204,26 +220,41 @@ def _id_lists(path: str, lists):
     common.give_back()
 
 
-def _keep_schema(df: DataFrame, *extra: str) -> str:
-    """DDL of the columns of ``df``, then ``extra``."""
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + list(extra))
-
-
 def encode(docs: DataFrame, vocab: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col``, the ids of the whole text without special
     tokens; null and empty texts have none.  A column of that name is replaced,
     all others stay; rows that repeat are encoded each."""
-    docs = docs.drop(ids_col)
-    src = docs.withColumn("__words", split_words(F.col(text_col), pattern))
+    return _encoded(docs, vocab, pattern, text_col, ids_col, None)
+
+
+def round_trip(docs: DataFrame, vocab: str, pattern: str, text_col: str = "text", ids_col: str = "ids", whole_col: str = "decodes") -> DataFrame:
+    """``docs`` with ``ids_col`` as ``encode`` gives it and ``whole_col``, whether
+    these ids decode to the text, both in one stage; columns of these names are
+    replaced, all others stay."""
+    return _encoded(docs, vocab, pattern, text_col, ids_col, whole_col)
+
+
+def _encoded(docs: DataFrame, vocab: str, pattern: str, text_col: str, ids_col: str, whole_col: str | None) -> DataFrame:
+    text, words = common.free_name(docs, "text_"), common.free_name(docs, "words_")
+    src = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(words, split_words(F.col(text_col), pattern))
+    # The new columns may replace any of the old ones, the text too.
+    kept = [c for c in docs.columns if c not in (ids_col, whole_col)]
+    extra = [f"`{ids_col}` array<int>"] + ([f"`{whole_col}` boolean"] if whole_col else [])
+    src = src.select(*kept, words, *([text] if whole_col else []))
 
     def run(batches):
         for batch in batches:
-            rest = pa.Table.from_batches([batch]).drop_columns(["__words"])
-            for (a, b), ids, ends in _id_lists(vocab, batch.column("__words")):
+            rest = pa.Table.from_batches([batch]).select(kept)
+            for (a, b), ids, ends in _id_lists(vocab, batch.column(len(kept))):
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
-                yield from rest.slice(a, b - a).append_column(ids_col, lists).combine_chunks().to_batches()
+                out = rest.slice(a, b - a).append_column(ids_col, lists)
+                if whole_col:
+                    texts = batch.column(len(kept) + 1).slice(a, b - a).to_pylist()
+                    back = codec(vocab).decode(ids, ends)
+                    out = out.append_column(whole_col, pa.array([x == t.encode() for x, t in zip(back, texts, strict=True)], pa.bool_()))
+                yield from out.combine_chunks().to_batches()
 
-    return src.mapInArrow(run, _keep_schema(docs, f"`{ids_col}` array<int>"))
+    return src.mapInArrow(run, common.ddl(docs.select(*kept), *extra))
 
 
 def decode(rows: DataFrame, vocab: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -243,7 +274,7 @@ def decode(rows: DataFrame, vocab: str, ids_col: str = "ids", out_col: str = "de
                 data = codec(vocab).decode(ids, np.cumsum(sizes[a:b]))
                 yield from table.slice(a, b - a).append_column(out_col, pa.array(data, pa.binary())).combine_chunks().to_batches()
 
-    return rows.mapInArrow(run, _keep_schema(rows, f"`{out_col}` binary"))
+    return rows.mapInArrow(run, common.ddl(rows, f"`{out_col}` binary"))
 
 
 def digests(docs: DataFrame, vocab: str, pattern: str, key: str = "doc_id", text_col: str = "text") -> DataFrame:

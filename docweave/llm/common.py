@@ -45,6 +45,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, with underscores before it until no column of ``df`` begins so."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def ddl(df: DataFrame, *extra: str) -> str:
     """DDL of the columns of ``df``, then ``extra``."""
     return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + list(extra))

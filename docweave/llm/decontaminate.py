@@ -1,9 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Tokens are runs of letters and digits in lower case.  A fixed mask picks WEIGHT
+Tokens are runs of letters and digits in lower case; a character of a script
+without spaces is a token of its own.  A fixed mask picks WEIGHT
 of a few neighbouring tokens and ignores those between, so a hash of the picked
 ones survives a substitution in an ignored place.  The masks together hit every
-stretch of MIN_OVERLAP tokens of which MIN_SHARE agree (a test tries them all).
+stretch of MIN_OVERLAP tokens, and every whole item of SHORTEST_ITEM tokens or
+more, of which MIN_SHARE agree (a test tries them all).
 
 Training texts are scanned once.  A bitmap of the benchmark's seed hashes, of
 fixed size whatever the benchmark's, drops most seeds; stretches with the others
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from docweave.llm import common, textarrays
 
 #: Offsets of the tokens that a mask picks.
-MASKS = [(0, 1, 2, 3, 4), (0, 3, 4, 5, 6), (0, 2, 4, 5, 7), (0, 1, 2, 4, 5)]
+MASKS = [(0, 1, 2, 3, 4), (0, 3, 4, 5, 6), (0, 2, 4, 5, 7), (0, 1, 2, 4, 6)]
 MIN_OVERLAP = 13
 MIN_SHARE = 0.8
 #: Items with fewer tokens count only as whole, exact token sequences, if at all (``short``).
@@ -47,7 +49,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, and the number of the first one of each text."""
     data, offsets = textarrays.text_bytes(pc.utf8_lower(texts))
     spaced = np.where(PART[data], np.uint8(32), data)
-    starts, ends, first = textarrays.words(spaced, offsets)
+    starts, ends, first = textarrays.words(spaced, offsets, cut_scripts=True)
     return textarrays.hash_runs(data, starts, ends), first
 
 
@@ -122,14 +124,15 @@ def _stretches(hashes: np.ndarray, first: np.ndarray, bitmap: np.ndarray, masks:
 
 
 def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str], lengths: list[int] = ()) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with ``__row`` (a name for rows that have
-    stretches, else null) and ``__stretches``; ``lengths`` are those of the short items."""
+    """The ``keep`` columns of ``docs``, numbered ``c0``, ``c1``, … so that no name
+    clashes, with ``row`` (a name for rows that have stretches, else null) and
+    ``stretches``; ``lengths`` are those of the short items."""
     masks = [*range(len(MASKS)), *(len(MASKS) + n - 1 for n in lengths)]
-    names = [*keep, "__row", "__stretches"]
+    names = [*(f"c{i}" for i in range(len(keep))), "row", "stretches"]
     at, kept = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     stretch = pa.struct([("tokens", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int32()))])
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-                       + ["__row string", "__stretches array<struct<tokens:array<long>,hashes:array<long>,offsets:array<int>>>"])
+    schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+                       + ["row string", "stretches array<struct<tokens:array<long>,hashes:array<long>,offsets:array<int>>>"])
 
     def run(batches):
         for batch in batches:
@@ -148,18 +151,18 @@ def scan(docs: DataFrame, text_col: str, bitmap: np.ndarray, keep: list[str], le
 
 
 def leaks(scanned: DataFrame, items: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``(__row, bench_items)`` of the rows that hold benchmark passages."""
-    stretches = scanned.where("__row IS NOT NULL").select("__row", F.posexplode("__stretches").alias("n", "s"))
-    kept = stretches.select("__row", "n", F.expr("explode(zip_with(s.hashes, s.offsets, (h, o) -> named_struct('hash', h, 'offset', o)))").alias("x")).select(
-        "__row", "n", F.col("x.hash").alias("hash"), F.col("x.offset").alias("offset"))
-    hits = kept.join(seeds, "hash").select("__row", "n", "item_key", (F.col("offset") - F.col("at")).alias("shift")).distinct()
-    aligned = (hits.join(stretches.select("__row", "n", F.col("s.tokens").alias("tokens")), ["__row", "n"])
+    """``(row, bench_items)`` of the rows that hold benchmark passages."""
+    stretches = scanned.where("row IS NOT NULL").select("row", F.posexplode("stretches").alias("n", "s"))
+    kept = stretches.select("row", "n", F.expr("explode(zip_with(s.hashes, s.offsets, (h, o) -> named_struct('hash', h, 'offset', o)))").alias("x")).select(
+        "row", "n", F.col("x.hash").alias("hash"), F.col("x.offset").alias("offset"))
+    hits = kept.join(seeds, "hash").select("row", "n", "item_key", (F.col("offset") - F.col("at")).alias("shift")).distinct()
+    aligned = (hits.join(stretches.select("row", "n", F.col("s.tokens").alias("tokens")), ["row", "n"])
                .join(items, "item_key")
                .withColumn("agree", F.expr("transform(item_tokens, (t, i) -> IF(i + shift >= 0 AND i + shift < size(tokens) AND get(tokens, i + shift) = t, 1, 0))"))
                .withColumn("need", F.expr(f"least(size(item_tokens), {MIN_OVERLAP})")))
     least = "CASE need " + " ".join(f"WHEN {n} THEN {n if n < SHORTEST_ITEM else _needed(n)}" for n in range(1, MIN_OVERLAP + 1)) + " END"
     good = f"exists(sequence(1, size(agree) - need + 1), i -> aggregate(slice(agree, i, need), 0, (a, x) -> a + x) >= {least})"
-    return aligned.where(good).groupBy("__row").agg(F.array_sort(F.collect_set("item")).alias("bench_items"))
+    return aligned.where(good).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("bench_items"))
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -181,11 +184,10 @@ def find_leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_c
     scanned = common.written(scan(docs, text_col, seed_bitmap(seeds), keep, lengths), "bench-scan")
     none = F.expr("cast(array() AS array<bigint>)")
     # Most rows have no stretch and need no join.
-    clean = scanned.where("__row IS NULL").drop("__row", "__stretches").withColumn(out[1], none)
-    found = leaks(scanned, items, seeds).withColumnRenamed("bench_items", out[1])
-    rest = scanned.where("__row IS NOT NULL").drop("__stretches").join(found, "__row", "left").drop("__row")
-    rest = rest.withColumn(out[1], F.coalesce(out[1], none))
-    return clean.unionByName(rest).select(*keep, (F.size(out[1]) > 0).alias(out[0]), out[1])
+    clean = scanned.where("row IS NULL").drop("row", "stretches").withColumn("bench_items", none)
+    rest = scanned.where("row IS NOT NULL").drop("stretches").join(leaks(scanned, items, seeds), "row", "left").drop("row")
+    both = clean.unionByName(rest.withColumn("bench_items", F.coalesce("bench_items", none)))
+    return both.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], (F.size("bench_items") > 0).alias(out[0]), F.col("bench_items").alias(out[1]))
 
 
 def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,12 +110,11 @@ def _iban(run: str) -> str:
     return f"substring({run}, 1, array_max(transform({ends}, n -> named_struct('known', {known}, 'n', n))).n)"
 
 
-def _proposals(text: str, kind: str) -> tuple[str, str]:
-    """SQL: the matches of a kind, and its confirmed spans given ``__pii_m_<kind>``."""
+def _proposals(text: str, kind: str, m: str) -> tuple[str, str]:
+    """SQL: the matches of a kind, and its confirmed spans given the matches as column ``m``."""
     pattern = PATTERNS[kind].replace("'", "''")
     need = f"contains({text}, '{NEEDS[kind]}')" if kind in NEEDS else "true"
     matches = f"IF({need}, regexp_extract_all({text}, r'{pattern}', {int(kind == 'iban')}), cast(array() AS array<string>))"
-    m = f"__pii_m_{kind}"
     gaps = f"split({text}, r'{pattern}', -1)"
     if kind == "iban":
         matches = f"transform({matches}, m -> coalesce({_iban('m')}, m))"
@@ -153,10 +152,11 @@ def find_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_span
     columns stay, whatever their names.
     """
     text = f"coalesce(`{text_col}`, '')"
-    found = docs.drop(spans_col).withColumns({f"__pii_m_{k}": F.expr(_proposals(text, k)[0]) for k in KINDS})
-    found = found.withColumns({f"__pii_s_{k}": F.expr(_proposals(text, k)[1]) for k in KINDS})
-    all_spans = "concat(" + ", ".join(_scored(text, k, f"__pii_s_{k}") for k in KINDS) + ")"
-    return found.withColumn(spans_col, F.expr(all_spans)).drop(*[f"__pii_{p}_{k}" for p in "ms" for k in KINDS])
+    own = common.free_prefix(docs, "pii_of_")
+    found = docs.drop(spans_col).withColumns({f"{own}m_{k}": F.expr(_proposals(text, k, f"{own}m_{k}")[0]) for k in KINDS})
+    found = found.withColumns({f"{own}s_{k}": F.expr(_proposals(text, k, f"{own}m_{k}")[1]) for k in KINDS})
+    all_spans = "concat(" + ", ".join(_scored(text, k, f"{own}s_{k}") for k in KINDS) + ")"
+    return found.withColumn(spans_col, F.expr(all_spans)).drop(*[f"{own}{p}_{k}" for p in "ms" for k in KINDS])
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -165,23 +165,25 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Overlapping spans become one, named after the first.  A null text stays
     null.  All columns stay; the text only changes where there is a span.
     """
-    found = find_pii(docs, text_col, "__pii_spans")
+    own = common.free_prefix(docs, "pii_in_")
+    all_spans, cover = f"{own}spans", f"{own}cover"
+    found = find_pii(docs, text_col, all_spans)
     # Cover: spans by start, each merged into the one before if they overlap.
-    merged = F.expr("""aggregate(
-        array_sort(transform(__pii_spans, x -> named_struct('start', x.start, 'end', x.end, 'kind', upper(x.kind)))),
+    merged = F.expr(f"""aggregate(
+        array_sort(transform({all_spans}, x -> named_struct('start', x.start, 'end', x.end, 'kind', upper(x.kind)))),
         cast(array() AS array<struct<start:int,end:int,kind:string>>),
         (acc, x) -> IF(size(acc) > 0 AND x.start < element_at(acc, -1).end,
            concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start,
               'end', greatest(element_at(acc, -1).end, x.end), 'kind', element_at(acc, -1).kind))),
            concat(acc, array(x))))""")
     pieces = F.expr(f"""concat(
-        array_join(transform(__pii_cover, (x, i) -> concat(
-            substring(`{text_col}`, IF(i = 0, 0, __pii_cover[i - 1].end) + 1, x.start - IF(i = 0, 0, __pii_cover[i - 1].end)),
+        array_join(transform({cover}, (x, i) -> concat(
+            substring(`{text_col}`, IF(i = 0, 0, {cover}[i - 1].end) + 1, x.start - IF(i = 0, 0, {cover}[i - 1].end)),
             '[', x.kind, ']')), ''),
-        substring(`{text_col}`, element_at(__pii_cover, -1).end + 1))""")
-    return (found.withColumn("__pii_cover", merged)
-            .withColumn(text_col, F.when(F.size("__pii_cover") > 0, pieces).otherwise(F.col(text_col)))
-            .drop("__pii_spans", "__pii_cover"))
+        substring(`{text_col}`, element_at({cover}, -1).end + 1))""")
+    return (found.withColumn(cover, merged)
+            .withColumn(text_col, F.when(F.size(cover) > 0, pieces).otherwise(F.col(text_col)))
+            .drop(all_spans, cover))
 
 
 def q_op3(spark: SparkSession, sf_dir: str) -> DataFrame:

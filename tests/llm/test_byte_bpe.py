@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers as public
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from docweave.llm import byte_bpe
 from tests.llm.brute import read
@@ -36,15 +37,20 @@ ODD = [None, "", " ", "  ", "a", "aaaaaaaaaaaaaaaa" * 50, "it's we'll I'D", "  t
 
 
 def test_odd_texts(spark, tik):
-    df = spark.createDataFrame([(i, t, "w") for i, t in enumerate(ODD)] + [(None, "dup", "w")] * 2, "doc_id long, text string, __word string")
+    df = spark.createDataFrame([(i, t, "w") for i, t in enumerate(ODD)] + [(None, "dup", "w")] * 2, "doc_id long, text string, words_ string")
     out = byte_bpe.decode(byte_bpe.encode(df, VOCAB, public.PATTERN), VOCAB)
-    assert out.columns == ["doc_id", "text", "__word", "ids", "decoded"]
+    assert out.columns == ["doc_id", "text", "words_", "ids", "decoded"]
     rows = out.collect()
     assert len(rows) == len(ODD) + 2
     for r in rows:
         assert r["ids"] == tik.encode_ordinary(r["text"] or ""), r["text"]
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
     assert byte_bpe.encode(df.limit(0), VOCAB, public.PATTERN).count() == 0
+    clash = df.withColumnsRenamed({"doc_id": "text_", "words_": "__words"}).withColumn("ids", F.lit("old"))
+    both = byte_bpe.round_trip(clash, VOCAB, public.PATTERN)
+    assert both.columns == ["text_", "text", "__words", "ids", "decodes"]
+    assert sorted((r["ids"] for r in both.collect() if r["decodes"])) == sorted(r["ids"] for r in rows)
+    assert byte_bpe.encode(df, VOCAB, public.PATTERN, ids_col="text").columns == ["doc_id", "words_", "text"]
 
 
 def test_decode_of_any_ids(spark, tik):

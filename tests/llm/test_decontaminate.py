@@ -10,8 +10,12 @@ from docweave.llm import decontaminate as dec
 from tests.llm.brute import read
 
 
+#: Scripts without spaces: each character is a token.
+SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+
+
 def toks(text):
-    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+    return re.findall(f"[{SINGLE}]|(?:(?![{SINGLE}])[a-z0-9\x80-\U0010ffff])+", (text or "").lower())
 
 
 def brute(text, items):
@@ -22,6 +26,8 @@ def brute(text, items):
         t = toks(t)
         need = min(len(t), dec.MIN_OVERLAP)
         if len(t) < dec.SHORTEST_ITEM:
+            if t and any(doc[i:i + len(t)] == t for i in words.get(t[0], ())):
+                found.add(item)
             continue
         for shift in {p - j for j, w in enumerate(t) for p in words.get(w, ())}:
             agree = [0 <= j + shift < len(doc) and doc[j + shift] == w for j, w in enumerate(t)]
@@ -30,10 +36,10 @@ def brute(text, items):
     return found
 
 
-def test_masks_hit_every_stretch():
-    n, most = dec.MIN_OVERLAP, dec.MIN_OVERLAP - dec._needed(dec.MIN_OVERLAP)
-    for wrong in itertools.combinations(range(n), most):
-        assert any(not any(o + k in wrong for k in m) for m in dec.MASKS for o in range(n - m[-1]))
+@pytest.mark.parametrize("n", range(dec.SHORTEST_ITEM, dec.MIN_OVERLAP + 1))
+def test_masks_hit_every_stretch(n):
+    for wrong in itertools.combinations(range(n), n - dec._needed(n)):
+        assert any(not any(o + k in wrong for k in m) for m in dec.MASKS for o in range(n - m[-1])), wrong
 
 
 def test_query_equals_brute_force(spark):
@@ -66,9 +72,9 @@ def test_substitutions_and_odd_rows(spark, items):
         (None, " ".join(f"gamma{i}" for i in range(14)), {-1}), (14, " ".join(alpha) + " q " + " ".join(f"beta{i}" for i in range(9)), {1, 2}),
         (15, "w " * 400_000 + " ".join(alpha), {1}),
     ]
-    df = spark.createDataFrame([(i, t, "k", 0) for i, t, _ in texts] * 2, "doc_id long, text string, item_id string, hash int")
+    df = spark.createDataFrame([(i, t, "k", 0) for i, t, _ in texts] * 2, "doc_id long, text string, row string, stretches int")
     out = dec.find_leaks(df, items)
-    assert out.columns == ["doc_id", "text", "item_id", "hash", "contaminated", "bench_items"]
+    assert out.columns == ["doc_id", "text", "row", "stretches", "contaminated", "bench_items"]
     got = [(r["doc_id"], set(r["bench_items"])) for r in out.collect()]
     assert sorted(got, key=repr) == sorted([(i, w) for i, _, w in texts] * 2, key=repr)
 
@@ -84,7 +90,7 @@ def test_scan_keeps_few_rows(spark):
     _, seeds = dec.benchmark_seeds(common.table(spark, d, "benchmark"), "item_id", "text")
     docs = common.table(spark, d, "documents").select("doc_id", "text")
     scanned = dec.scan(docs, "text", dec.seed_bitmap(seeds), ["doc_id"])
-    assert scanned.where("__row IS NOT NULL").count() < 0.4 * docs.count()
+    assert scanned.where("row IS NOT NULL").count() < 0.4 * docs.count()
 
 
 def test_short_items_count_whole(spark):
@@ -94,3 +100,13 @@ def test_short_items_count_whole(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["bench_items"] for r in dec.find_leaks(df, bench, short=True).collect()}
     assert got == dict(enumerate([[1], [], [], [2], [], [3], [], [1, 2], [], [], [4]]))
+
+
+def test_passages_in_scripts_without_spaces_and_ten_token_items(spark):
+    rows = [(1, "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"), (2, "ประเทศไทยรวมเลือดเนื้อ"), (3, " ".join(f"w{i}" for i in range(10))), (4, "道可道")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    ten = " ".join("zz" if i in (4, 6) else f"w{i}" for i in range(10))
+    texts = ["他说春眠不觉晓处处闻啼鸟夜来风雨声花落知多少好诗", "春眠不觉晓处处", "春眠不觉晓人人闻啼鸟夜来风雨声", "กรุงเทพประเทศไทยรวมเลือดเนื้อชาติ", ten, "q " + ten + " q", "非道可道也", "道可非道", "春 眠"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: set(r["bench_items"]) for r in dec.find_leaks(df, bench, short=True).collect()}
+    assert got == {i: brute(t, dict(rows)) for i, t in enumerate(texts)} == dict(enumerate([{1}, set(), {1}, {2}, {3}, {3}, {4}, set(), set()]))

@@ -103,3 +103,10 @@ def test_iban_before_capitals_and_digits(spark, iban, after):
     spans = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first()["pii_spans"]
     found = [text[s["start"]:s["end"]] for s in spans if s["kind"] == "iban"]
     assert found == [iban] + ["GB82 WEST 1234 5698 7654 32"] * ("GB82" in after)
+
+
+def test_columns_with_the_operators_own_names(spark):
+    df = spark.createDataFrame([("mail a@b.c now", "m", "s", 1, 2)], "text string, pii_of_m_email string, PII_OF_s_ip string, pii_in_spans int, pii_in_cover int")
+    out = pii.find_pii(df)
+    assert out.columns == [*df.columns, "pii_spans"] and [tuple(x)[:3] for x in out.first()["pii_spans"]] == [("email", 5, 10)]
+    assert tuple(pii.redact(df).first()) == ("mail [EMAIL] now", "m", "s", 1, 2)

@@ -42,7 +42,7 @@ def test_pipeline_equals_brute_force(spark):
 
 
 def test_stages_on_odd_tables(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, ids int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, lang_rejected double, document_key string, text_before int"
     text = "that is the one of them and the other a@b.c is to be on for it "
     rows = [(1, text * 3, "en", "s", 5, 0.5, "k", 1), (2, text * 3, "en", "s", 5, 0.5, "k", 1), (2, text * 3, "en", "s", 5, 0.5, "k", 1),
             (None, text, None, None, None, None, None, None), (None, None, None, None, None, None, None, None), (7, "", "de", "s", 0, None, None, None)]
@@ -54,7 +54,12 @@ def test_stages_on_odd_tables(spark):
                 assert out.columns == df.columns, name
             assert out.count() <= df.count()
     df = spark.createDataFrame(rows, schema)
+    # Rows without an id: text differs, or is null and so like nothing.
     assert sorted((r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, d).collect()), key=repr) == [1, 7, None, None]
+    words = lambda k: " ".join(f"{k}{i}" for i in range(30))
+    again = [(5, words("a"), "z"), (5, words("b"), "y"), (5, words("b"), "x"), (2**63 - 1, words("c"), "w"), (-2**63, words("d"), "v"), (None, words("a"), "u"), (None, words("c"), "t")]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(again, "doc_id long, text string, lang string"), d).collect()
+    assert sorted(tuple(r) for r in out) == sorted([again[0], again[2], again[3], again[4]])
     texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.personal_data(spark, df, d).collect()}
     assert "[EMAIL]" in texts[1] and "@" not in texts[1] and texts[7] == ""
     assert pii.redact(df.select("text")).count() == len(rows)
