@@ -22,6 +22,8 @@ So every two classes with a common prefix in some tree are compared.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,18 +45,15 @@ BLOCK = 1000
 FEW = 4
 #: Shingles whose occurrences are multiplied at a time.
 COLUMNS = 4096
-SKETCH = 48
-#: Sketches of sets this similar agree in fewer bytes once in ten thousand.
-SKETCH_LEAST = 28
-#: Neighbours in a row whose sketches agree in so many are linked along the row only.
-SKETCH_SAME = 46
+#: A byte of every hash: sets of SIMILARITY agree in 128 on average, deviation 5.1.
+SKETCH = TREES * DEPTH
 FIRST_TREES = 2
 BITMAP_BITS = 26
 SLICE_BYTES = 2 << 20
 _rng = np.random.default_rng(20240607)
 MULTIPLIERS = _rng.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: The hashes whose low bytes are the sketch, the same number of each tree.
-SKETCHED = (np.arange(TREES)[:, None] * DEPTH + np.arange(SKETCH // TREES)).ravel()
+#: The hashes whose low bytes are the sketch: all.
+SKETCHED = np.arange(SKETCH)
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +96,11 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def sketch_least(similarity: float) -> int:
+    """Sketches of sets this similar agree in fewer bytes once in ten thousand."""
+    return math.floor(SKETCH * similarity - 3.72 * math.sqrt(SKETCH * similarity * (1 - similarity)))
+
+
 def _high(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(32)).astype(np.uint32)
 
@@ -133,24 +137,16 @@ _ROW = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("tree", pa.int32()),
 def _neighbours(tree, path, key, n, part, sketch, share: float, reach: int):
     """``(i, j)`` index arrays of the candidates among sorted rows."""
     found_i, found_j = [], []
-    same_so_far = None
+    least = sketch_least(share)
     for step in range(1, reach + 1):
         if len(tree) <= step:
             break
         i, j = np.arange(len(tree) - step), np.arange(step, len(tree))
         near = (tree[i] == tree[j]) & (path[i, :4 * LEAST_PREFIX] == path[j, :4 * LEAST_PREFIX]).all(1)
-        joined = part[i] == part[j]
-        ok = near & ~joined
+        ok = near & (part[i] != part[j])
         agree = np.zeros(len(i), np.int64)
         agree[ok] = (sketch[i[ok]] == sketch[j[ok]]).sum(1)
-        pick = ok & (agree >= SKETCH_LEAST) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]))
-        if step == 1:
-            link = near & (joined | (agree >= SKETCH_SAME))
-            same_so_far = link
-        else:
-            # Along a row of near-equal neighbours the links between neighbours do.
-            same_so_far = same_so_far[:len(i)] & link[step - 1:step - 1 + len(i)]
-            pick &= ~same_so_far
+        pick = ok & (agree >= least) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]))
         found_i.append(i[pick])
         found_j.append(j[pick])
     empty = np.zeros(0, np.int64)
@@ -290,7 +286,7 @@ def _alike(table: pa.Table, share: float):
         agree, left, right = np.zeros(ok.shape, np.uint8), sketch[x].T.copy(), sketch[y].T.copy()
         for a, b in zip(left, right, strict=True):
             agree += a[:, None] == b
-    i, j = np.nonzero(ok & (agree >= SKETCH_LEAST))
+    i, j = np.nonzero(ok & (agree >= sketch_least(share)))
     return x[i], y[j]
 
 
