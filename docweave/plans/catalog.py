@@ -9,6 +9,7 @@ sees the HTML — so the check is independent of the rendering.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 
@@ -1177,6 +1178,25 @@ def q_page_tree(spark, d):
     return read_pages(spark, cats, exclude=[" ES "]).select("category", "source_path", F.md5("html").alias("html_md5"))
 
 
+@register("page_tree_hidden", f"""
+SELECT category, CASE page_id % 4 WHEN 0 THEN '_internal/' WHEN 1 THEN '.draft/a b%20/' ELSE '' END || 'P' || page_id || '/index.html' AS source_path,
+       CASE WHEN page_id % 5 = 0 THEN '' ELSE html END AS html
+FROM (SELECT {URL_CATEGORY} AS category, page_id, html FROM pages) WHERE category IN ('en', 'fr')""")
+def q_page_tree_hidden(spark, d):
+    """Pages in folders that begin with ``_`` or ``.``, empty
+    pages, and roots given with and without a scheme."""
+    from docweave.sources.files import read_pages
+
+    root = _scratch(spark, "hidden")
+    folder = F.when(F.col("page_id") % 4 == 0, "_internal/").when(F.col("page_id") % 4 == 1, ".draft/a b%20/").otherwise("")
+    pages = url_pages(spark, d).filter(F.col("category").isin("en", "fr")).select(
+        "category", F.concat(folder, F.lit("P"), F.col("page_id").cast("string"), F.lit("/index.html")).alias("source_path"),
+        F.when(F.col("page_id") % 5 == 0, "").otherwise(F.col("html")).alias("html"))
+    K.write_page_tree(pages, root)
+    bare = re.sub(r"^file:/+", "/", root)
+    return read_pages(spark, {"en": f"{bare}/en", "fr": f"{root}/fr/"})
+
+
 @register("page_index_file", TREE_SQL.replace(", md5(html) AS html_md5", ""))
 def q_page_index_file(spark, d):
     """K1, S3: the page index written as JSON string lines and read back."""

@@ -2,6 +2,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from docweave.sources import files as S
@@ -116,3 +117,58 @@ def test_exclusion_list_normalised(spark):
     df = spark.createDataFrame([("Editor",), ("runtime",), ("plugins",)], "category string")
     got = sorted(r[0] for r in S.exclude_categories(df, [" EDITOR ", "", "Plugins"]).collect())
     assert got == ["runtime"]
+
+
+def test_hidden_folders_empty_pages_and_roots(spark, tmp_path):
+    from docweave.sources import page_source
+
+    base = tmp_path / "tree x%41"
+    for path in ("index.html", "_a/index.html", ".b/c d/index.html", "e/f/g/index.html", "e/other.html"):
+        (base / path).parent.mkdir(parents=True, exist_ok=True)
+        (base / path).write_text("" if "_a" in path else path)
+    want = {(p, "" if "_a" in p else p) for p in ("index.html", "_a/index.html", ".b/c d/index.html", "e/f/g/index.html")}
+    for root in (str(base), f"file:{base}", f"file://{base}", f"{base}/"):
+        assert {(r.source_path, r.html) for r in S.read_pages(spark, {"c": root}).collect()} == want
+    listing = S.scan_pages(spark, {"c": str(base)}).collect()
+    assert sorted(r.path for r in listing) == sorted(f"file:{base}/{p}" for p, _ in want)
+    for tasks in (1, 2, 5, 100):
+        parts = page_source.plan({"c": f"file:{base}", "d": f"file:{base}/e"}, tasks)
+        found = [(c, p) for part in parts for c, _, p, _ in page_source.pages(page_source.Folders(part), "index.html")]
+        assert len(parts) <= tasks and sorted(found) == sorted([("c", p) for p, _ in want] + [("d", "f/g/index.html")])
+    with pytest.raises(Exception, match="no such folder"):
+        S.scan_pages(spark, {"c": str(base / "none")}).count()
+
+
+def test_stream_of_pages(spark, tmp_path):
+    import time
+
+    base = tmp_path / "pages"
+
+    def put(name, text):
+        (base / name).mkdir(parents=True, exist_ok=True)
+        (base / name / "index.html").write_text(text)
+
+    def run():
+        time.sleep(1.2)
+        q = S.stream_pages(spark, {"c": str(base)}).writeStream.trigger(availableNow=True).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")).format("json").start(str(tmp_path / "out"))
+        q.awaitTermination()
+        return sorted(r.source_path for r in spark.read.json(str(tmp_path / "out")).collect())
+
+    put("_one", "1")
+    put("two", "")
+    assert run() == ["_one/index.html", "two/index.html"]
+    put("three", "3")
+    assert run() == ["_one/index.html", "three/index.html", "two/index.html"]
+    assert len(run()) == 3
+
+
+def test_relative_path_outside_its_root(spark):
+    from pyspark.sql import functions as F
+
+    from docweave.functions.text import relative_path
+
+    df = spark.createDataFrame([("/a/b/c",), (None,)], "p string")
+    assert [r[0] for r in df.select(relative_path(F.col("p"), "/a")).collect()] == ["b/c", None]
+    with pytest.raises(Exception, match="is not below"):
+        df.select(relative_path(F.col("p"), "/x")).collect()
