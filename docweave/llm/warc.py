@@ -73,7 +73,8 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     """
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    first = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"))
+    # Written: the join's sides then come straight from a shuffle, and Spark can split a hot payload's rows.
+    first = common.written(rows.groupBy("digest").agg(F.min("page_id").alias("first_id")), "firsts")
     revisit = (F.length("payload") >= min_bytes) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return rows.join(first, "digest").select(
         "page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
