@@ -8,13 +8,15 @@ Per id, the contexts of one and of two ids before each predict an id (the last
 one that followed it, with a confidence).  Whether the order-2 prediction, the
 order-1 prediction or neither comes true is coded with frequencies mixed from
 two adaptive statistics, by the predictions' confidence and by what came true of
-late.  Neither: the id is coded by its order-0 frequency among all sequences that
-are coded together, which precedes them as a table.
+late.  Neither: the id is coded by its adaptive order-0 frequency, how often the
+lane has come to this point with it before; an id that is new to it is announced
+by a frequency that grows with the number of different ids and then given in as
+many bits as the sequence's largest id has, which precede the sequence.
 """
 
 from __future__ import annotations
 
-import zlib
+import math
 
 import numpy as np
 
@@ -28,39 +30,8 @@ SLOT_BITS = 10
 MOST_CONFIDENCE = 3
 #: What an event adds to its frequency, and the sum at which frequencies are halved.
 STEP, LIMIT = 32, 8000
-#: Order-0 frequencies sum to 2^this at least; two bits more than the ids need.
-LEAST_SCALE = 16
-
-
-class Order0:
-    """Frequencies of ids, as shares of 2^bits."""
-
-    def __init__(self, ids: np.ndarray, freq: np.ndarray):
-        self.ids, self.freq = ids.astype(np.uint32), freq.astype(np.uint32)
-        self.bits = int(self.freq.sum(dtype=np.uint64)).bit_length() - 1
-        ends = np.cumsum(self.freq, dtype=np.uint64)
-        top = int(self.ids[-1]) + 1 if len(ids) else 0
-        self.start_of, self.freq_of = np.zeros(top, U), np.zeros(top, U)
-        self.start_of[self.ids], self.freq_of[self.ids] = ends - self.freq, self.freq
-        self.id_at = np.repeat(self.ids, self.freq)
-
-    @classmethod
-    def count(cls, ids: np.ndarray) -> Order0:
-        found, counts = np.unique(ids, return_counts=True)
-        if not len(found):
-            return cls(found, counts)
-        scale = 1 << max(LEAST_SCALE, len(found).bit_length() + 2)
-        freq = 1 + (counts * (scale - len(found))) // counts.sum()
-        freq[counts.argmax()] += scale - freq.sum()
-        return cls(found, freq)
-
-    def pack(self) -> bytes:
-        return zlib.compress(np.diff(self.ids, prepend=np.uint32(0)).astype("<u4").tobytes() + self.freq.astype("<u4").tobytes())
-
-    @classmethod
-    def unpack(cls, data: bytes) -> Order0:
-        both = np.frombuffer(zlib.decompress(data), "<u4").reshape(2, -1)
-        return cls(np.cumsum(both[0], dtype=np.uint32), both[1])
+#: Bits of the largest id.
+MOST_BITS = 30
 
 
 class _Coder:
@@ -156,11 +127,78 @@ class _Outcomes:
             self.total[big] = rows.sum(1)
 
 
+class _Order0:
+    """The ids that each lane has coded by order 0, numbered as they came, and
+    their counts as running sums in two levels, so that a count, a sum or a
+    search touches one row of each."""
+
+    def __init__(self, lanes: int, steps: int):
+        self.side = math.isqrt(max(steps, 1) - 1) + 1
+        counts = np.uint16 if steps < 1 << 16 else np.uint32
+        self.groups = np.zeros((lanes, self.side), counts)
+        self.within = np.zeros((lanes, self.side, self.side), counts)
+        self.ids = np.zeros((lanes, self.side * self.side), np.uint32)
+        self.known, self.total = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        #: Adding row k counts an event at place k.
+        self.from_place = np.tri(self.side, dtype=counts).T.copy()
+
+    def _below(self, at, number) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of the counts before each number, and its own count."""
+        group, place = np.divmod(number, self.side)
+        before = np.where(group > 0, self.groups[at, group - 1], 0).astype(np.int64)
+        left = np.where(place > 0, self.within[at, group, place - 1], 0).astype(np.int64)
+        return before + left, self.within[at, group, place] - left
+
+    def _at(self, at, target) -> np.ndarray:
+        """The number whose counts reach over each target."""
+        rows = self.groups[at]
+        group = (rows <= target[:, None]).sum(1)
+        target = target - np.where(group > 0, rows[np.arange(len(at)), group - 1], 0)
+        return group * self.side + (self.within[at, group] <= target[:, None]).sum(1)
+
+    def code(self, coder, at, bits, ids, number):
+        """Code the ids of the lanes ``at``, whose numbers are -1 where new; both
+        are None when decoding.  The ids and their numbers."""
+        known, total = self.known[at], self.total[at]
+        new_freq = np.maximum(known, 1)
+        part = coder.range[at] // (total + new_freq).astype(U)
+        if ids is None:
+            target = coder.target(at, part, (total + new_freq - 1).astype(U)).astype(np.int64)
+            number = np.full(len(at), -1, np.int64)
+            old = np.flatnonzero(target >= new_freq)
+            number[old] = self._at(at[old], target[old] - new_freq[old])
+        else:
+            old = np.flatnonzero(number >= 0)
+        start, freq = np.zeros(len(at), np.int64), new_freq.copy()
+        below, count = self._below(at[old], number[old])
+        start[old], freq[old] = new_freq[old] + below, count
+        coder.code(at, start.astype(U), freq.astype(U), part)
+        new = np.flatnonzero(number < 0)
+        lanes = at[new]
+        wide = bits[lanes]
+        part = coder.range[lanes] >> wide
+        if ids is None:
+            fresh = coder.target(lanes, part, (U(1) << wide) - U(1)).astype(np.uint32)
+        else:
+            fresh = ids[new]
+        coder.code(lanes, fresh.astype(U), U(1), part)
+        number = number.copy()
+        number[new] = known[new]
+        self.ids[lanes, known[new]] = fresh
+        self.known[lanes] += 1
+        self.total[at] += 1
+        group, place = np.divmod(number, self.side)
+        self.groups[at] += self.from_place[group]
+        self.within[at, group] += self.from_place[place]
+        return self.ids[at, number], number
+
+
 class _Model:
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, steps: int):
         self.slots = [np.zeros(lanes << SLOT_BITS, np.uint32) for _ in range(2)]
         #: By both confidences and agreement, and by the last outcomes.
         self.by_confidence, self.by_recent = _Outcomes(lanes * 32), _Outcomes(lanes * 27)
+        self.order0 = _Order0(lanes, steps)
 
 
 def _outcomes(coder, model, at, recent, ctx, wanted):
@@ -185,23 +223,16 @@ def _outcomes(coder, model, at, recent, ctx, wanted):
     return wanted
 
 
-def _plain(coder, order0: Order0, at, ids):
-    """Code the ids of the lanes ``at`` by their order-0 frequencies."""
-    part = coder.range[at] >> U(order0.bits)
-    if ids is None:
-        ids = order0.id_at.take(coder.target(at, part, U((1 << order0.bits) - 1)).astype(np.int64))
-    coder.code(at, order0.start_of.take(ids), order0.freq_of.take(ids), part)
-    return ids
-
-
 #: The last three outcomes after one more.
 _NEXT_RECENT = np.arange(81) % 27
 
 
-def _run(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) -> np.ndarray:
-    """Code all steps of lanes whose lengths fall; the ids, a row per step."""
+def _run(coder, lengths: np.ndarray, bits: np.ndarray, ids: np.ndarray | None, same: np.ndarray | None = None) -> np.ndarray:
+    """Code all steps of lanes whose lengths fall; the ids, a row per step.  To
+    encode, ``same`` numbers the different ids of all lanes."""
     lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
-    model = _Model(lanes)
+    model = _Model(lanes, steps)
+    numbers = None if same is None else np.full(int(same.max()) + 1, -1, np.int64)
     out = np.zeros((steps, lanes), np.uint32) if ids is None else ids
     one, two, recent = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
@@ -224,9 +255,11 @@ def _run(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) ->
         if ids is None:
             now = np.where(wanted == 0, id2, id1)
         if len(miss):
-            plain = _plain(coder, order0, miss, None if ids is None else now[miss])
             if ids is None:
-                now[miss] = plain
+                now[miss], _ = model.order0.code(coder, miss, bits, None, None)
+            else:
+                which = same[step, miss]
+                _, numbers[which] = model.order0.code(coder, miss, bits, now[miss], numbers[which])
         if ids is None:
             out[step, :n] = now
         for slots, h, e, guess, c in ((model.slots[0], h1, e1, id1, c1), (model.slots[1], h2, e2, id2, c2)):
@@ -239,33 +272,44 @@ def _run(coder, lengths: np.ndarray, order0: Order0, ids: np.ndarray | None) ->
     return out
 
 
-def encode(blocks: list[np.ndarray]) -> tuple[bytes, list[bytes]]:
-    """The order-0 table of the blocks of ids (below 2^30), and each block coded."""
+def encode(blocks: list[np.ndarray]) -> list[bytes]:
+    """Each block of ids (below 2^30) coded: u16 bits of its largest id, then the
+    coder's words."""
     lengths = np.array([len(b) for b in blocks], np.int64)
     order = np.argsort(-lengths, kind="stable")
-    order0 = Order0.count(np.concatenate([*blocks, np.zeros(0, np.uint32)]))
     if not len(blocks) or not lengths.max():
-        return order0.pack(), [b""] * len(blocks)
+        return [b""] * len(blocks)
     ids = np.zeros((int(lengths.max()), len(blocks)), np.uint32)
+    same, different = np.zeros(ids.shape, np.int32), 0
     for lane, i in enumerate(order):
-        ids[:lengths[i], lane] = blocks[i]
+        if lengths[i]:
+            ids[:lengths[i], lane] = blocks[i]
+            found, which = np.unique(blocks[i], return_inverse=True)
+            same[:lengths[i], lane] = which + different
+            different += len(found)
+    bits = np.array([int(m).bit_length() for m in ids.max(0)], U)
+    if bits.max() > MOST_BITS:
+        raise ValueError(f"an id has more than {MOST_BITS} bits")
     coder = Encoder(len(blocks))
-    _run(coder, lengths[order], order0, ids)
+    _run(coder, lengths[order], bits, ids, same)
     coded, out = coder.finish(), [b""] * len(blocks)
     for lane, i in enumerate(order):
-        out[i] = coded[lane] if lengths[i] else b""
-    return order0.pack(), out
+        out[i] = int(bits[lane]).to_bytes(2, "little") + coded[lane] if lengths[i] else b""
+    return out
 
 
-def decode(table: bytes, data: list[bytes], lengths: list[int]) -> list[np.ndarray]:
-    """The blocks of the given lengths, any of those coded with the table."""
+def decode(data: list[bytes], lengths: list[int]) -> list[np.ndarray]:
+    """The blocks of the given lengths."""
     out = [np.zeros(0, np.uint32)] * len(data)
     lengths = np.asarray(lengths, np.int64)
     if not len(data) or not lengths.max():
         return out
     order = np.argsort(-lengths, kind="stable")
+    bits = np.array([int.from_bytes(data[i][:2], "little") for i in order], U)
+    if bits.max() > MOST_BITS:
+        raise ValueError("a block is damaged")
     with np.errstate(divide="ignore"):
-        ids = _run(Decoder([data[i] for i in order]), lengths[order], Order0.unpack(table), None)
+        ids = _run(Decoder([data[i][2:] for i in order]), lengths[order], bits, None)
     columns = np.ascontiguousarray(ids.T)
     for lane, i in enumerate(order):
         out[i] = columns[lane, :lengths[i]]

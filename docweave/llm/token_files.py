@@ -3,10 +3,9 @@
 A file holds the documents of one range of ids, in order:
 
 * ``MAGIC``;
-* groups of up to LANES blocks: u32 blocks, u32 bytes of the order-0 table, the
-  table, then the blocks of BLOCK_IDS ids (the last has fewer), which run on
-  across documents: u32 ids, u32 bytes, u32 crc32 of the ids as little-endian
-  u32, coded bytes.  Each block starts its model and its coder anew;
+* blocks of BLOCK_IDS ids (the last has fewer), which run on across documents:
+  u32 ids, u32 bytes, u32 crc32 of the ids as little-endian u32, coded bytes.
+  Each block starts its model and its coder anew and decodes by its bytes alone;
 * the documents' table, zlib-packed: a byte per document that tells whether it
   has an id, the ids as i64, their lengths as i64;
 * u64 where the table begins, u32 its bytes, u32 its crc32, u32 documents,
@@ -33,7 +32,7 @@ from pyspark.sql.window import Window
 
 from docweave.llm import common, range_coder, textarrays
 
-MAGIC = b"DWTOKEN1"
+MAGIC = b"DWTOKEN2"
 BLOCK_IDS = 1024
 #: Blocks coded side by side; bounds a task's memory.
 LANES = 4096
@@ -131,9 +130,7 @@ class Writer:
         blocks = [now[a:a + BLOCK_IDS] for a in range(0, len(now), BLOCK_IDS)]
         if not blocks:
             return
-        table, coded = range_coder.encode(blocks)
-        self._put(struct.pack("<II", len(blocks), len(table)) + table)
-        for block, data in zip(blocks, coded, strict=True):
+        for block, data in zip(blocks, range_coder.encode(blocks), strict=True):
             self._put(struct.pack("<III", len(block), len(data), _crc(block)) + data)
 
     def close(self) -> None:
@@ -168,20 +165,15 @@ def read_file(file, size: int):
     doc, left = 0, int(lengths[0]) if n else 0
     while offset < at:
         data, counts, crcs, first = [], [], [], offset
-        blocks, table_size = struct.unpack("<II", file.read(8))
-        order0 = file.read(table_size)
-        offset += 8 + table_size
-        if blocks > LANES or offset > at:
-            raise ValueError(f"the group after byte {first} is damaged")
-        for _ in range(blocks):
+        while offset < at and len(data) < LANES:
             count, size_, crc = struct.unpack("<III", file.read(12))
-            if count > BLOCK_IDS or size_ > 8 * BLOCK_IDS + 64:
-                raise ValueError(f"the group after byte {first} is damaged")
+            if count > BLOCK_IDS or size_ > 8 * BLOCK_IDS + 64 or offset + 12 + size_ > at:
+                raise ValueError(f"block {len(data)} after byte {first} is damaged")
             data.append(file.read(size_))
             counts.append(count)
             crcs.append(crc)
             offset += 12 + size_
-        for i, (block, crc) in enumerate(zip(range_coder.decode(order0, data, counts), crcs, strict=True)):
+        for i, (block, crc) in enumerate(zip(range_coder.decode(data, counts), crcs, strict=True)):
             if _crc(block) != crc:
                 raise ValueError(f"block {i} after byte {first} is damaged")
             a = 0
