@@ -540,6 +540,34 @@ def q_index_detail_join(spark, d):
                     "module")
 
 
+def value_index_sql(name: str) -> str:
+    return VALUE_DETAIL_SQL.format(name="page_name").replace("\nSELECT source_path", ", v AS (SELECT source_path", 1) + f""")
+SELECT x3.n_name AS {name}, '../' || regexp_replace(source_path, '/index.html$', '') AS relative_url, source_path AS page_path,
+       short_description, navigation, v.module, header, include, syntax, n_values, remarks
+FROM v JOIN x3 USING (source_path) WHERE reg <> ''
+UNION ALL
+SELECT 'Ghost ' || r_name, '../Enums/missing-' || r_regionkey, 'Enums/missing-' || r_regionkey || '/index.html', NULL, '', NULL, NULL, NULL, NULL, 0, NULL
+FROM region WHERE r_name IN (SELECT reg FROM x3)"""
+
+
+def _value_index_detail(spark, d, name_col):
+    j = L.value_index_detail(parsed(spark, d, "x9_value_index_pages"), parsed(spark, d, "x3_enum_pages"), name_col)
+    return j.select(name_col, "relative_url", "page_path", "short_description", F.array_join("navigation", " > ").alias("navigation"), "module", "header",
+                    "include", "syntax", F.size("values").cast("long").alias("n_values"), "remarks")
+
+
+@register("enum_index_detail", value_index_sql("enum_name"))
+def q_enum_index_detail(spark, d):
+    """J1 (enums): index links ⋈ enum pages, left outer; the index's name wins."""
+    return _value_index_detail(spark, d, "enum_name")
+
+
+@register("constant_index_detail", value_index_sql("constant_name"))
+def q_constant_index_detail(spark, d):
+    """J1 (constants): the same join, keyed ``constant_name``."""
+    return _value_index_detail(spark, d, "constant_name")
+
+
 # ============================================================ S2, P1, U1, F5, J6 on pages
 SCAN_SQL = """
 SELECT regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]+)', 1) AS category,
@@ -1111,6 +1139,24 @@ def q_category_progress_stream(spark, d):
     return out.select("category", "count", "status", F.expr(HEARTBEAT_US).alias("heartbeat_us"))
 
 
+@register("category_progress_live", "WITH " + REPORTS_SQL.strip() + """,
+a AS (SELECT max(heartbeat) AS as_of FROM latest)
+SELECT c.category, coalesce(l.count, 0) AS count, coalesce(l.status, 'Idle') AS status, epoch_us(l.heartbeat) AS heartbeat_us,
+       coalesce(epoch_us(a.as_of) - epoch_us(l.heartbeat) > 30000000, false) AS stale,
+       coalesce(strftime(l.heartbeat, '%Y-%m-%d %H:%M:%S'), '-') AS last_update
+FROM cats c LEFT JOIN latest l USING (category), a""")
+def q_category_progress_live(spark, d):
+    """W1 (live form): the events read as a stream into keyed state whose timers
+    turn a category stale 30 s after its last report."""
+    from docweave.streaming.live import live_progress, start_live_progress
+
+    base = _scratch(spark, "progress_live")
+    stream = spark.readStream.schema(tbl(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+    start_live_progress(_reports(stream), f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    live = live_progress(spark, f"{base}/log", _categories(spark, d))
+    return live.select("category", "count", "status", F.expr(HEARTBEAT_US).alias("heartbeat_us"), "stale", "last_update")
+
+
 CYCLIC_EDGES_SQL = """
 e AS (
   SELECT r.r_name AS parent, n.n_name AS name FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
@@ -1271,3 +1317,51 @@ def q_run_pipeline_files(spark, d):
         raise RuntimeError(f"skipped: {report['skipped']}")
     rows = spark.read.schema("segment int, path array<string>, name string, source_path string").json(os.path.join(out, "hierarchical"))
     return rows.select("segment", F.array_join("path", "/").alias("path"), "name", "source_path")
+
+
+@register("run_pipeline_details", with_ctes(X2_CTE, X3_CTE, X4_CTE) + """
+SELECT 'classes' AS sink, l.name, '../Classes' || substr(l.relative_url, 3) AS place, CAST(CASE WHEN p.p_partkey IS NULL THEN 0 ELSE 3 END AS BIGINT) AS n_members, p.p_brand AS module
+FROM x4_links l LEFT JOIN part p ON p.p_partkey = l.p_partkey WHERE NOT l.no_first_href
+UNION ALL
+SELECT lower(f), name, '../' || f || '/' || place, n, reg
+FROM (SELECT 'Enums' AS f UNION ALL SELECT 'Constants') t, (
+  SELECT n_name AS name, substr(regexp_replace(source_path, '/index.html$', ''), 7) AS place, CAST(n AS BIGINT) AS n, reg FROM x3 WHERE reg <> ''
+  UNION ALL SELECT 'Ghost ' || r_name, 'missing-' || r_regionkey, 0, NULL FROM region WHERE r_name IN (SELECT reg FROM x3))
+UNION ALL
+SELECT 'functions', CASE WHEN o_orderkey % 2 = 0 THEN 'function Order' || o_orderkey ELSE 'Order' || o_orderkey || ' overloads' END, folder, CAST(n AS BIGINT), NULL
+FROM x2""")
+def q_run_pipeline_details(spark, d):
+    """The pipeline over a tree with class, enum, constant and
+    function folders; the four detail sinks read back."""
+    from docweave.plans.pipeline import PipelineConfig, run_pipeline
+
+    root, out = _scratch(spark, "api"), _scratch(spark, "out")
+
+    def under(pages: DataFrame, folder: str, path: str = "source_path", **moved: str) -> DataFrame:
+        html = F.col("html")
+        for old, new in moved.items():
+            html = F.replace(html, F.lit(f"../{old}/"), F.lit(f"../{new}/"))
+        return pages.select(F.lit(folder).alias("category"), F.expr(path).alias("source_path"), html.alias("html"))
+
+    values, index = X.x3_enum_pages(spark, d), X.x9_value_index_pages(spark, d)
+    parts = [under(X.x7_hierarchy_class_pages(spark, d), "Editor"),
+             under(X.x5_hierarchy_pages(spark, d), "ClassHierarchy", "substring(source_path, 16)"),
+             under(X.x4_index_pages(spark, d), "Classes", Part="Classes/Part"), under(X.x1c_class_detail_pages(spark, d), "Classes"),
+             under(X.x2_function_pages(spark, d), "Functions", "substring(source_path, 11)")]
+    for folder in ("Enums", "Constants"):
+        parts += [under(values, folder, "substring(source_path, 7)"), under(index, folder, Enums=folder)]
+    pages = parts[0]
+    for p in parts[1:]:
+        pages = pages.unionByName(p)
+    K.write_page_tree(pages, root)
+    report = run_pipeline(spark, PipelineConfig(api_root=root, out=out, exclude=("developer", "plugins", "runtime"), max_depth=None,
+                                                extra={"all_hierarchies": True, "all_indexes": True}))
+    if report["skipped"]:
+        raise RuntimeError(f"skipped: {report['skipped']}")
+
+    def sink(folder: str, name: str, at: str, members: str) -> DataFrame:
+        rows = spark.read.schema(f"{name} string, {at} string, {members} array<string>, module string").json(os.path.join(out, folder))
+        return rows.select(F.lit(folder).alias("sink"), F.col(name).alias("name"), F.col(at).alias("place"), F.size(members).cast("long").alias("n_members"), "module")
+
+    return (sink("classes", "class_name", "relative_url", "variables").unionByName(sink("enums", "enum_name", "relative_url", "values"))
+            .unionByName(sink("constants", "constant_name", "relative_url", "values")).unionByName(sink("functions", "function_name", "folder", "overloads")))

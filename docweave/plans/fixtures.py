@@ -280,6 +280,29 @@ def x4_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.select(*page_frame("classes", path, html))
 
 
+# --------------------------------------------------------------------------
+# Index pages of the enum pages (X3), one per region (+ chunks)
+# --------------------------------------------------------------------------
+def x9_value_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    named = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"]).select("n_nationkey", "n_name", "r_name", "r_regionkey")
+    listed = x3_enum_pages(spark, sf_dir).select("source_path")
+    key = F.regexp_extract("source_path", r"^Enums/(\d+)", 1).cast("long")
+    items = listed.withColumn("n_nationkey", key).join(F.broadcast(named.withColumn("n_nationkey", F.col("n_nationkey").cast("long"))), "n_nationkey")
+    # the anchor without an href comes first and is passed over
+    url = F.concat(F.lit("../"), F.regexp_replace("source_path", "/index.html$", ""))
+    frag = F.concat(F.lit('<div class="memberindexitem"><a id="content_link">no link</a><a id="content_link" href="'), url,
+                    F.lit('"><span>'), esc("n_name"), F.lit("</span></a></div>\n"))
+    bodies = paginate(items, "r_name", row_hash(F.col("source_path")), frag, [F.col("source_path")]).join(
+        F.broadcast(region.select("r_name", "r_regionkey")), "r_name")
+    ghost = F.when(F.col("chunk") == 0, F.concat(
+        F.lit('<div class="memberindexitem"><a id="content_link" href="../Enums/missing-'), F.col("r_regionkey").cast("string"), F.lit('"><span>Ghost '),
+        esc("r_name"), F.lit("</span></a></div>\n"))).otherwise(F.lit(""))
+    html = F.concat(F.lit('<html><body><div id="maincol">\n'), F.col("body"), ghost, F.lit("</div></body></html>"))
+    path = F.concat(F.lit("Index/"), F.col("r_name"), suffix(), F.lit("/index.html"))
+    return bodies.select(*page_frame("enums", path, html))
+
+
 # --------------------------------------------------------------------------
 # Class-hierarchy pages region → nation → supplier, one per nation chunk
 # --------------------------------------------------------------------------
