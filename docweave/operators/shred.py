@@ -29,6 +29,11 @@ Tree-building rules (those of a non-correcting stdlib tokenizer): void elements
 close at once; an end tag pops to its most recent match or is ignored when
 nothing matches; no end tag is ever implied; character references are decoded;
 whatever is still open closes at end of input.
+
+With ``implied_ends`` optional end tags are implied as HTML defines it: a start
+tag closes the open elements that can't hold it (``_IMPLIED``), up to the nearest
+element that bounds the search, and no end tag but a table's own reaches out of
+a cell.
 """
 
 from __future__ import annotations
@@ -74,6 +79,35 @@ VOID_ELEMENTS = frozenset(
 # Elements whose body is raw data, never document text.
 RAW_TEXT_ELEMENTS = frozenset(["script", "style"])
 
+# Elements that end an open paragraph when they begin.
+ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+# Elements that an open list item is not looked for beyond.
+BOUNDS_ITEM = frozenset(
+    "article aside blockquote body button caption center details dir dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hgroup html main menu nav object ol pre search section select summary table tbody td template tfoot th thead tr ul".split()
+)
+_BOUNDS_PARAGRAPH = frozenset("button caption html marquee object table td template th".split())
+_CELLS = frozenset(["td", "th"])
+_ROWS = _CELLS | {"tr"}
+_SECTIONS = frozenset(["tbody", "tfoot", "thead"])
+_BOUNDS_TABLE = frozenset(["table", "template", "html"])
+_TABLE_PARTS = _ROWS | _SECTIONS | {"table", "caption"}
+_BOUNDS_END = _CELLS | {"caption", "table", "template"}
+# Start tag → what it closes, and what bounds the search.
+_IMPLIED = {
+    "li": (frozenset(["li"]), BOUNDS_ITEM | {"dt", "dd"}),
+    **dict.fromkeys(["dt", "dd"], (frozenset(["dt", "dd"]), BOUNDS_ITEM | {"li"})),
+    **dict.fromkeys(["td", "th"], (_CELLS, _BOUNDS_TABLE | _SECTIONS | {"tr"})),
+    "tr": (_ROWS | {"caption"}, _BOUNDS_TABLE | _SECTIONS),
+    **dict.fromkeys(["tbody", "tfoot", "thead"], (_ROWS | _SECTIONS | {"caption"}, _BOUNDS_TABLE)),
+    "option": (frozenset(["option"]), frozenset(["select", "datalist", "optgroup"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
+}
+_PARAGRAPH = (frozenset(["p"]), _BOUNDS_PARAGRAPH)
+
 _ARROW_NODE = pa.struct(
     [
         ("pos", pa.int32()),
@@ -105,8 +139,9 @@ class _Shredder(HTMLParser):
     running sums, so an element's text length is known in O(1) at close.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, implied_ends: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.implied_ends = implied_ends
         self.rows: list[tuple] = []
         self.last: list[int] = []
         self.txt: list[str | None] = []
@@ -145,10 +180,26 @@ class _Shredder(HTMLParser):
         if self.tcum[-1] - self.tcum[start] <= TEXT_CACHE_CHARS:
             self.txt[p] = "".join(self.texts[start:]) if start < len(self.texts) else ""
 
+    def _close_up_to(self, closes: frozenset, bounds: frozenset) -> None:
+        """Close the outermost element of ``closes`` that is open within the bounds."""
+        tags, cut = self.stack_tags, None
+        for i in range(len(tags) - 1, -1, -1):
+            if tags[i] in closes:
+                cut = i
+            elif tags[i] in bounds:
+                break
+        while cut is not None and len(self.stack) > cut:
+            self._close_top()
+
     # -- tokenizer callbacks ---------------------------------------------
     def handle_starttag(self, tag, attrs):
         if self.buf:
             self._flush()
+        if self.implied_ends:
+            if tag in _IMPLIED:
+                self._close_up_to(*_IMPLIED[tag])
+            if tag in ENDS_PARAGRAPH:
+                self._close_up_to(*_PARAGRAPH)
         id_ = cls = href = None
         for k, v in attrs:
             if k == "class":
@@ -195,11 +246,13 @@ class _Shredder(HTMLParser):
         if tags and tags[-1] == tag:
             self._close_top()
             return
-        for i in range(len(tags) - 2, -1, -1):
+        for i in range(len(tags) - 1, -1, -1):
             if tags[i] == tag:
                 while len(self.stack) > i:
                     self._close_top()
                 return
+            if self.implied_ends and tags[i] in _BOUNDS_END and tag not in _TABLE_PARTS:
+                return
 
     def handle_data(self, data):
         self.buf.append(data)
@@ -223,24 +276,24 @@ class _Shredder(HTMLParser):
             self._close_top()
 
 
-def shred_page(html: str) -> tuple[list[tuple], list[int], list, dict[int, list]]:
+def shred_page(html: str, implied_ends: bool = False) -> tuple[list[tuple], list[int], list, dict[int, list]]:
     """Tokenise one page → (node tuples, last positions, texts, label cells)."""
-    s = _Shredder()
+    s = _Shredder(implied_ends)
     s.feed(html)
     s.finish()
     return s.rows, s.last, s.txt, s.labels
 
 
-def shred_html(html: str) -> dict:
+def shred_html(html: str, implied_ends: bool = False) -> dict:
     """Tokenise one page; returns the column lists of its node table."""
-    rows, last, txt, labels = shred_page(html)
+    rows, last, txt, labels = shred_page(html, implied_ends)
     cols = list(zip(*rows)) if rows else [()] * 6
     return {"pos": list(range(len(rows))), "last": last, "parent": list(cols[0]), "prev": list(cols[1]),
             "tag": list(cols[2]), "id": list(cols[3]), "cls": list(cols[4]), "href": list(cols[5]), "txt": txt,
             **{k: [labels[i][j] if i in labels else None for i in range(len(rows))] for j, k in enumerate(("up", "lvl", "lnk"))}}
 
 
-def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
+def _shred_batch(html_values: list, implied_ends: bool) -> tuple[pa.Array, pa.Array]:
     all_rows: list[tuple] = []
     pos: list[int] = []
     last: list[int] = []
@@ -256,7 +309,7 @@ def _shred_batch(html_values: list) -> tuple[pa.Array, pa.Array]:
             offsets.append(offsets[-1])
             continue
         try:
-            rows, lst, tx, labels = shred_page(h)
+            rows, lst, tx, labels = shred_page(h, implied_ends)
         except Exception as e:  # a page that cannot be tokenised goes to the dead letters
             valid.append(False)
             errors.append(f"{type(e).__name__}: {e}")
@@ -324,7 +377,8 @@ def _slices(batch: pa.RecordBatch, html_idx: int):
 TASKS_PER_CORE = 4
 
 
-def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None, spread: bool = False) -> DataFrame:
+def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None, spread: bool = False,
+          implied_ends: bool = False) -> DataFrame:
     """``df(keep..., html)`` → ``df(keep..., nodes, shred_error)``.
 
     Only the ``keep`` columns and the HTML cross into Python (column pruning
@@ -332,7 +386,8 @@ def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None,
     must also be applied *before* this call; Catalyst cannot push them through.
     The stage is narrow.  ``spread`` deals the pages anew first, for inputs that
     come in few partitions (one file, rendered fixtures); files at scale come
-    in enough splits.
+    in enough splits.  ``implied_ends`` closes elements whose end tag HTML lets
+    pages leave out; the specialised folders' parsers ask for it.
     """
     keep = [c for c in (keep if keep is not None else df.columns) if c != html_col]
     src = df.select(*keep, html_col)
@@ -351,7 +406,7 @@ def shred(df: DataFrame, html_col: str = "html", keep: list[str] | None = None,
             # Node arrays are several times larger than the HTML: emit one
             # output batch per slice of at most SLICE_BYTES of input.
             for part in _slices(b, html_idx):
-                nodes, errs = _shred_batch(part.column(html_idx).to_pylist())
+                nodes, errs = _shred_batch(part.column(html_idx).to_pylist(), implied_ends)
                 arrays = [part.column(i) for i in range(len(keep))] + [nodes, errs]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 

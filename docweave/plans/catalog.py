@@ -393,8 +393,19 @@ def q_enum_values(spark, d):
 
 
 # ============================================================ E12–E17 (specialised)
-def _x1c_detail(spark, d):
-    return D.class_detail(parsed(spark, d, "x1c_class_detail_pages"), keep=["source_path"])
+def _x1c_detail(spark, d, unclosed: bool = False):
+    pages = _unclosed_classes(spark, d) if unclosed else parsed(spark, d, "x1c_class_detail_pages")
+    return D.class_detail(pages, keep=["source_path"])
+
+
+def _unclosed_classes(spark, d) -> DataFrame:
+    """The class pages without the end tags of paragraphs, cells and rows."""
+
+    def build():
+        pages = X.x1c_class_detail_pages(spark, d).withColumn("html", F.regexp_replace("html", "</(p|td|tr)>", ""))
+        return shred(pages, keep=["category", "source_path"], spread=True, implied_ends=True)
+
+    return _materialized(spark, d, "x1c_unclosed", build)
 
 
 @register("class_detail", """
@@ -405,9 +416,9 @@ SELECT 'Part/' || p_partkey || '/index.html' AS source_path, p_name AS class_nam
        CASE WHEN p_partkey % 3 <> 0 THEN 'class ' || p_name || ' | ' || p_brand ELSE p_name || 'type' END AS syntax,
        p_brand AS module, p_type || '.h' AS header, CAST(NULL AS VARCHAR) AS include
 FROM part""")
-def q_class_detail(spark, d):
+def q_class_detail(spark, d, unclosed: bool = False):
     """Class-detail fields (summary / h1+p, breadcrumb, inheritance, list syntax)."""
-    return _x1c_detail(spark, d).select(
+    return _x1c_detail(spark, d, unclosed).select(
         "source_path", "class_name", "short_description", F.array_join("navigation", " > ").alias("navigation"),
         F.array_join("inheritance", " > ").alias("inheritance"), "remarks", F.array_join("syntax", " | ").alias("syntax"),
         "module", "header", "include",
@@ -423,7 +434,7 @@ SELECT 'Part/' || p_partkey || '/index.html' AS source_path, section, m_type, m_
   UNION ALL SELECT p_partkey, 'constructors', p_type, p_name, 'Makes a part', NULL FROM part
   UNION ALL SELECT p_partkey, 'functions', 'string', 'GetBrand', p_brand, NULL FROM part
   UNION ALL SELECT p_partkey, 'constants', NULL, 'SIZE', CAST(p_size AS VARCHAR), NULL FROM part)""")
-def q_class_members(spark, d):
+def q_class_members(spark, d, unclosed: bool = False):
     """Variables / constructors / functions / constants of class pages."""
     none = F.lit(None).cast("string")
 
@@ -434,7 +445,19 @@ def q_class_members(spark, d):
 
     members = F.concat(section("variables", specifiers="specifiers"), section("constructors"), section("functions"),
                        section("constants", m_type=None))
-    return N.explode_rows(_x1c_detail(spark, d), ["source_path"], members)
+    return N.explode_rows(_x1c_detail(spark, d, unclosed), ["source_path"], members)
+
+
+@register("class_detail_unclosed", ORACLES["class_detail"])
+def q_class_detail_unclosed(spark, d):
+    """The same fields from pages that leave optional end tags out."""
+    return q_class_detail(spark, d, unclosed=True)
+
+
+@register("class_members_unclosed", ORACLES["class_members"])
+def q_class_members_unclosed(spark, d):
+    """The same members from tables without the end tags of cells and rows."""
+    return q_class_members(spark, d, unclosed=True)
 
 
 @register("class_see_also", "SELECT 'Part/' || p_partkey || '/index.html' AS source_path, '../Part/' || (p_partkey + 1) AS href FROM part")

@@ -95,3 +95,27 @@ def test_label_cells_know_their_place():
     assert [(r["up"][i], r["lvl"][i]) for i in at] == [(-1, 0), (at[0], 1), (-1, 0)]
     link = r["href"].index("x")
     assert [r["lnk"][i] for i in at] == [link, link, None]
+
+
+CLOSED_AND_NOT = [
+    ("<ul><li>a</li><li>b<ul><li>c</li><li>d</li></ul></li><li>e</li></ul>", "<ul><li>a<li>b<ul><li>c<li>d</ul><li>e</ul>"),
+    ("<dl><dt>a</dt><dd>b</dd><dd>c<p>x</p></dd><dt>d</dt></dl>", "<dl><dt>a<dd>b<dd>c<p>x<dt>d</dl>"),
+    ("<div><p>a <b>b</b></p><p>c</p><table><tr><td>d</td></tr></table></div>", "<div><p>a <b>b</b><p>c<table><tr><td>d</table></div>"),
+    ("<p>a</p><h2>b</h2><p>c</p><ul><li><p>d</p></li><li>e</li></ul>", "<p>a<h2>b</h2><p>c<ul><li><p>d<li>e</ul>"),
+    ("<table><thead><tr><th>a</th><th>b</th></tr></thead><tbody><tr><td>c</td><td><p>d</p></td></tr><tr><td>e</td></tr></tbody></table><p>f</p>",
+     "<table><thead><tr><th>a<th>b<tbody><tr><td>c<td><p>d<tr><td>e</table><p>f"),
+    ("<table><tr><td>a<table><tr><td>b</td><td>c</td></tr></table></td><td>d</td></tr></table>", "<table><tr><td>a<table><tr><td>b<td>c</table><td>d</table>"),
+    ("<select><optgroup><option>a</option><option>b</option></optgroup><optgroup><option>c</option></optgroup></select>",
+     "<select><optgroup><option>a<option>b<optgroup><option>c</select>"),
+    # a list item inside a cell does not end the item around the table
+    ("<ul><li><table><tr><td><ul><li>x</li></ul></td></tr></table></li></ul>", "<ul><li><table><tr><td><ul><li>x</table></ul>"),
+    # an end tag does not reach out of its cell
+    ("<div><table><tr><td>a</td><td>b</td></tr></table></div>", "<div><table><tr><td>a</div><td>b</table></div>"),
+]
+
+
+def test_implied_ends():
+    for closed, unclosed in CLOSED_AND_NOT:
+        assert shred_html(unclosed, implied_ends=True) == shred_html(closed), unclosed
+        # pages that close everything are the same either way
+        assert shred_html(closed, implied_ends=True) == shred_html(closed), closed
