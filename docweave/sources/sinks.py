@@ -68,11 +68,11 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", re.sub(r"^(file:)?/+", "file:///", uri)))
 
 
-def write_sorted_ndjson(df: DataFrame, path: str, order: list[str], partition_by: list[str]) -> None:
+def write_sorted_ndjson(df: DataFrame, path: str, order: list[str], partition_by: list[str], mode: str = "overwrite") -> None:
     """NDJSON whose lines follow ``order`` inside each partition, over as
     many files as the range sort has tasks (their names sort in that order)."""
     by = [*partition_by, *order]
-    write_ndjson(df.repartitionByRange(*by).sortWithinPartitions(*by), path, partition_by)
+    write_ndjson(df.repartitionByRange(*by).sortWithinPartitions(*by), path, partition_by, mode)
 
 
 def written_positions(spark, path: str, group: str = "category", key: str = "source_path") -> DataFrame:
