@@ -1298,19 +1298,20 @@ def q_entity_files(spark, d):
 
 
 @register("seek_lines", with_ctes(X6_CTE) + """
-SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY line_no) - 1 AS BIGINT) AS line, source_path, name FROM x6 WHERE NOT bad""")
+SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY line_no) - 1 AS BIGINT) AS line, source_path, CAST(line_no AS BIGINT) AS line_no FROM x6 WHERE NOT bad""")
 def q_seek_lines(spark, d):
     """K6, K7: a run that stopped after 100 lines of each category goes on where
     the files end; then every record is looked up by its line number."""
     from docweave.sources import seekable
 
-    good = C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "source_path", "name")
-    numbered = materialize(K.line_numbers(good, "category", ["line_no"]).select("category", "line", "source_path", "name"))
+    good = C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "source_path")
+    numbered = materialize(K.line_numbers(good, "category", ["line_no"]).select("category", "line", "source_path", "line_no"))
     path = _scratch(spark, "seekable")
     K.write_sorted_ndjson(numbered.filter("line < 100"), path, ["line"], ["category"])
     seekable.append_lines(numbered, path)
     found = seekable.read_lines(numbered.select("category", "line"), path)
-    return found.select("category", "line", F.get_json_object("value", "$.source_path").alias("source_path"), F.get_json_object("value", "$.name").alias("name"))
+    return found.select("category", "line", F.get_json_object("value", "$.source_path").alias("source_path"),
+                        F.get_json_object("value", "$.line_no").cast("long").alias("line_no"))
 
 
 @register("hierarchy_file", with_ctes(X5_CTE) + """
