@@ -765,6 +765,30 @@ def q_run_metrics(spark, d):
     )
 
 
+@register("run_metrics_stream", with_ctes(X6_CTE) + """
+SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS n_errors,
+       CAST(count(*) FILTER (WHERE NOT bad AND source_path = '') AS BIGINT) AS n_empty_key FROM x6""")
+def q_run_metrics_stream(spark, d):
+    """A6 of a stream: the counters of each micro-batch, added up as it reports."""
+    from docweave.streaming.metrics import StreamMetrics, observed
+
+    src, base = _scratch(spark, "metric_lines"), _scratch(spark, "metric_stream")
+    X.x6_entity_lines(spark, d).repartition(6).write.parquet(src)
+    lines = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 2).parquet(src)
+    keyed = C.parse_entity_lines(lines).select("_bad", F.col("_e.source_path").alias("sp"))
+    counted = observed(keyed, "lines", n_lines=F.count(F.lit(1)), n_errors=F.count_if("_bad"), n_empty_key=F.count_if(~F.col("_bad") & (F.col("sp") == "")))
+    metrics = StreamMetrics("lines")
+    spark.streams.addListener(metrics)
+    try:
+        counted.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+        totals = metrics.totals()
+    finally:
+        spark.streams.removeListener(metrics)
+    # counters of the run, read from its reports: one row
+    return spark.createDataFrame([totals], "n_lines long, n_errors long, n_empty_key long")
+
+
 @register("class_last_wins", with_ctes(X1_CTE) + """
 SELECT name, max(source_path) AS source_path FROM (
   SELECT CASE WHEN p_partkey % 7 = 0 THEN p_name ELSE 'class ' || p_name END AS name, source_path FROM x1)

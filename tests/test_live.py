@@ -68,3 +68,22 @@ def test_nothing_arrived(spark):
     assert state(live_progress(spark, "/tmp/no-such-log", cats)) == {"a": (0, "Idle", False, "-")}
     with pytest.raises(ValueError):
         start_live_progress(reports(spark, []), "x", "y", clock="sundial")
+
+
+def test_metrics_of_every_micro_batch(spark):
+    from docweave.streaming.metrics import StreamMetrics, observed
+
+    base = tempfile.mkdtemp(prefix="dw-live-", dir="/tmp")
+    spark.range(100).repartition(5).write.parquet(f"{base}/in")
+    for n, run in enumerate(("first", "again")):
+        metrics = StreamMetrics("ids")
+        spark.streams.addListener(metrics)
+        stream = observed(spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{base}/in"), "ids",
+                          rows=F.count(F.lit(1)), odd=F.count_if(F.col("id") % 2 == 1))
+        stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination()
+        got = metrics.totals()
+        spark.streams.removeListener(metrics)
+        if run == "first":
+            assert got == {"rows": 100, "odd": 50} and metrics.batches >= 5
+        else:  # goes on where the checkpoint ends: nothing is counted twice
+            assert got.get("rows", 0) == 0
