@@ -1338,6 +1338,28 @@ def q_seek_lines(spark, d):
                         F.get_json_object("value", "$.line_no").cast("long").alias("line_no"))
 
 
+@register("published_files", with_ctes(X6_CTE) + """
+SELECT category, CAST(line_no AS BIGINT) AS line_no, source_path,
+       CAST(count(*) OVER (PARTITION BY category) AS BIGINT) AS n_published FROM x6 WHERE NOT bad""")
+def q_published_files(spark, d):
+    """Entities and their counts published together, run by run, as
+    JSON lines; a run repeats one that was published, another stops before its
+    manifest; then the small sets are merged."""
+    from docweave.sources.published import PublishedTables
+
+    good = materialize(C.good_entities(x6_parsed(spark, d)).select("category", "line_no", "source_path"))
+    tables = PublishedTables(spark, _scratch(spark, "published"))
+    for run in (0, 1, 1, 2, 3):
+        lines = good.filter(F.pmod("line_no", F.lit(4)) == run)
+        counts = lines.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+        tables.publish({"entities": lines, "counts": counts}, "runs", run, fmt="json")
+    tables.stage("entities", good, fmt="json")
+    for table in ("entities", "counts"):
+        tables.compact(table, fan=2)
+    n = tables.read("counts").groupBy("category").agg(F.sum("n").alias("n_published"))
+    return tables.read("entities").join(n, "category").select("category", "line_no", "source_path", "n_published")
+
+
 @register("hierarchy_file", with_ctes(X5_CTE) + """
 SELECT n.name, n.link, n.parent, CAST(n.depth AS BIGINT) AS depth,
        CAST(row_number() OVER (ORDER BY n.ord, n.name) - 1 AS BIGINT) AS nth FROM x5_all n""")

@@ -4,32 +4,55 @@ New page files (parquet ``(category, source_path, html)``) arriving in a
 folder are shredded and extracted per micro-batch and added to the entity
 table.  The checkpoint records which files were processed, so a stopped run
 resumes where it left off (the reference's resume offset, K7).  A page already
-extracted is skipped (J6) by a stateful dedupe on the exact ``(category,
-source_path)``: one rule within a micro-batch and across all of them, whatever
-their size, and the output is never read again.  The state holds the keys alone;
-at scale keep it in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
+extracted is skipped (J6) by its exact ``(category, source_path)``: one rule
+within a micro-batch (of equal keys the first by file and row stays) and across
+all of them, whatever their size.
+
+Keys seen so far lie in a ``KeyStore``, so the query itself has no state.  A
+micro-batch publishes its entities and its keys together (``PublishedTables``):
+readers see both or none, and one that runs again after that adds nothing.  Small
+sets are merged as they add up.
 ``trigger(availableNow=True)`` processes everything present and stops, which
 makes the incremental run comparable to one batch run.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.operators.extract import ENTITY_SCHEMA, extract_entities
 from docweave.operators.shred import shred
-from docweave.session import path_exists
+from docweave.sources.published import PublishedTables
+from docweave.streaming.keystore import KeyStore
 
 PAGE_SCHEMA = "category string, source_path string, html string"
 PAGE_KEY = ["category", "source_path"]
+_ROW = ["from_file", "from_row"]
 
 
-def _process(out_path: str):
+def _process(out_path: str, checkpoint: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        ents = extract_entities(shred(batch, keep=PAGE_KEY))
-        # A folder per micro-batch: a batch that runs again replaces its own rows.
-        ents.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        # A checkpoint's own id: the batches of a new one count from 0 again.
+        stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        tables = PublishedTables(batch.sparkSession, out_path)
+        store = KeyStore(tables, PAGE_KEY)
+        if tables.published(stream, batch_id):
+            return
+        first = batch.groupBy(*PAGE_KEY).agg(F.min(F.struct(*_ROW)).alias("at")).select(*PAGE_KEY, "at.*")
+        # A micro-batch is read whole each time, so its keys and places are written first.
+        arrived = tables.stage("arrived", first)
+        sets, new, notes = store.stage(store.new(tables.read_staged(arrived)))
+        # Whole pages meet only the places of the new ones; a place is unique.
+        pages = batch.join(new.select(*_ROW), _ROW, "left_semi").drop(*_ROW)
+        sets.append(tables.stage("entities", extract_entities(shred(pages, keep=PAGE_KEY))))
+        store.commit(sets, notes, stream, batch_id)
+        tables.compact("entities")
+        store.compact()
+        tables.discard(arrived)
 
     return run
 
@@ -40,9 +63,10 @@ def stream_extract(spark: SparkSession, source_dir: str, out_path: str, checkpoi
     reader = spark.readStream.schema(PAGE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    pages = reader.parquet(source_dir).dropDuplicates(PAGE_KEY)
+    pages = reader.parquet(source_dir).select(
+        "*", F.col("_metadata.file_path").alias(_ROW[0]), F.col("_metadata.row_index").alias(_ROW[1]))
     return (
-        pages.writeStream.foreachBatch(_process(out_path))
+        pages.writeStream.foreachBatch(_process(out_path, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -53,8 +77,12 @@ def run_incremental(spark: SparkSession, source_dir: str, out_path: str, checkpo
                     files_per_trigger: int | None = None) -> DataFrame:
     """Run to completion (``availableNow``) and return the accumulated output."""
     stream_extract(spark, source_dir, out_path, checkpoint, files_per_trigger).awaitTermination()
-    schema = T.StructType([T.StructField("category", T.StringType())] + ENTITY_SCHEMA.fields)
-    if path_exists(spark, out_path):
-        out = spark.read.option("basePath", out_path).parquet(f"{out_path}/batch=*")
-        return out.drop("batch")
-    return spark.createDataFrame([], schema)  # nothing arrived yet
+    return extracted(spark, out_path)
+
+
+def extracted(spark: SparkSession, out_path: str) -> DataFrame:
+    """The entities published so far."""
+    tables = PublishedTables(spark, out_path)
+    if "entities" in tables.manifest()["tables"]:
+        return tables.read("entities")
+    return spark.createDataFrame([], T.StructType([T.StructField("category", T.StringType())] + ENTITY_SCHEMA.fields))
