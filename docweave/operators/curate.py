@@ -3,7 +3,10 @@
 Both "keep one row per key" operators work in two passes: a narrow one over a
 digest of the key and the order fields (a partial and a final aggregate, so a
 key that holds a third of all rows is collapsed on every mapper), then a
-hash semi-join that keeps the winning rows.  Whole rows are never sorted.
+hash semi-join that keeps the winning rows.  Whole rows are never sorted, but
+the semi-join deals them by key.  With ``by_address`` they stay where they are:
+the first pass also finds the winner's address, and only the winners are read
+again (``sources/addressed.py``); choose it for wide rows and hot keys.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import types as T
 
 from docweave.functions.text import clean_text
 from docweave.operators.extract import ENTITY_SCHEMA
+from docweave.sources.addressed import FILE, ROW, fetch, with_addresses
 
 # Category precedence when the same key appears in several
 # categories (the order the four entity folders are read).
@@ -32,9 +36,24 @@ def non_empty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def _digest(key: list[str]) -> Column:
+    return F.md5(F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)])))
+
+
+def _winners_by_address(df: DataFrame, key: list[str], order: list[Column], best) -> DataFrame:
+    """As ``_winners``, without an exchange of whole rows.  Of rows that tie, the
+    first (min) or the last (max) by address stays."""
+    rows = with_addresses(df)
+    rank = order[0] if len(order) == 1 else F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    # A row without an order field comes after all others, either way.
+    last = rank.isNull() if best is F.min else rank.isNotNull()
+    ranked = rows.select(_digest(key).alias("__k"), F.struct(last.alias("n"), rank.alias("o"), F.col(FILE), F.col(ROW)).alias("__o"))
+    return fetch(ranked.groupBy("__k").agg(best("__o").alias("b")).select("b.*"), df)
+
+
 def _winners(df: DataFrame, key: list[str], order: list[Column], best, unique_order: bool) -> DataFrame:
     """The rows of ``df`` whose order fields are ``best`` (min or max) of their key."""
-    digest = F.md5(F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)])))
+    digest = _digest(key)
     # One plain field aggregates by hashing; a struct is sorted, but only these narrow rows.
     rank = order[0] if len(order) == 1 else F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     ranked = df.withColumn("__k", digest).withColumn("__o", rank)
@@ -44,7 +63,7 @@ def _winners(df: DataFrame, key: list[str], order: list[Column], best, unique_or
 
 
 def dedupe(df: DataFrame, key: list[str] | tuple[str, ...] = ("source_path",), order: list[Column] | None = None,
-           unique_order: bool = False) -> DataFrame:
+           unique_order: bool = False, by_address: bool = False) -> DataFrame:
     """A1: one row per key, the first in ``order`` wins; empty keys dropped.
 
     ``order`` defaults to ``(category precedence, line)`` when the frame has
@@ -61,14 +80,17 @@ def dedupe(df: DataFrame, key: list[str] | tuple[str, ...] = ("source_path",), o
     types = dict(df.dtypes)
     for k in key:
         df = df.filter(non_empty(F.col(k)) if types[k] == "string" else F.col(k).isNotNull())
+    if by_address:
+        return _winners_by_address(df, key, order or [F.lit(0)], F.min)
     if not order:
         return df.dropDuplicates(key)
     return _winners(df, key, order, F.min, unique_order)
 
 
-def last_wins(df: DataFrame, key: str, order: Column | str, unique_order: bool = False) -> DataFrame:
+def last_wins(df: DataFrame, key: str, order: Column | str, unique_order: bool = False, by_address: bool = False) -> DataFrame:
     """A2: dict-overwrite semantics — per key (null is a key), the row latest in ``order``."""
-    return _winners(df, [key], [F.col(order) if isinstance(order, str) else order], F.max, unique_order)
+    order = F.col(order) if isinstance(order, str) else order
+    return _winners_by_address(df, [key], [order], F.max) if by_address else _winners(df, [key], [order], F.max, unique_order)
 
 
 def parse_entity_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:

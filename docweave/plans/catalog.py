@@ -651,6 +651,24 @@ def q_dedupe_documents(spark, d):
     return C.dedupe(docs, key=["text_md5"], order=[F.col("doc_id")], unique_order=True).select("doc_id", "text_md5")
 
 
+@register("dedupe_records", """
+SELECT doc_id, source, lang, md5(text) AS text_md5, 'first' AS kept FROM documents WHERE source <> '' AND lang <> ''
+QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) = 1
+UNION ALL SELECT doc_id, source, lang, md5(text), 'last' FROM documents
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1
+UNION ALL SELECT min(doc_id), NULL, NULL, md5(text), 'text' FROM documents WHERE text <> '' GROUP BY text""")
+def q_dedupe_records(spark, d):
+    """A1, A2 on whole documents and hot keys: the first of each source and
+    language, the last of each source, the first of each text; the winners are
+    read at their address."""
+    docs = tbl(spark, d, "documents")
+    first = C.dedupe(docs, key=["source", "lang"], order=[F.col("doc_id")], by_address=True)
+    last = C.last_wins(docs, "source", "doc_id", by_address=True)
+    text = C.dedupe(docs, key=["text"], order=[F.col("doc_id")], by_address=True).withColumns({"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")})
+    out = [f.select("doc_id", "source", "lang", F.md5("text").alias("text_md5"), F.lit(n).alias("kept")) for f, n in ((first, "first"), (last, "last"), (text, "text"))]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 X6_CTE = """
 x6 AS (
   SELECT doc_id AS line_no, CASE WHEN lang IN ('en', 'de') THEN 'developer' ELSE 'runtime' END AS category,
