@@ -11,7 +11,8 @@ all of them, whatever their size.
 Keys seen so far lie in a ``KeyStore``, so the query itself has no state.  A
 micro-batch publishes its entities and its keys together (``PublishedTables``):
 readers see both or none, and one that runs again after that adds nothing.  Small
-sets are merged as they add up.
+sets are merged as they add up; ``PublishedTables(spark, out_path).vacuum()``
+deletes the merged ones and old manifests, when no reader needs them any more.
 ``trigger(availableNow=True)`` processes everything present and stops, which
 makes the incremental run comparable to one batch run.
 """
