@@ -119,3 +119,30 @@ def test_implied_ends():
         assert shred_html(unclosed, implied_ends=True) == shred_html(closed), unclosed
         # pages that close everything are the same either way
         assert shred_html(closed, implied_ends=True) == shred_html(closed), closed
+
+
+def test_plain_markup_is_cut_as_the_parser_does():
+    """Pages in plain markup are taken by one expression, others by HTMLParser: the nodes are the same."""
+    import random
+
+    from docweave.operators.shred import _Shredder
+
+    bits = ["<p>", "</p>", "<td>", "</TD>", "<tr class=' a  b '>", "<table>", "</table>", "<li>", '<a href="x&amp;y">', "<A HREF='q' id=i>", "</a>", "<br/>",
+            '<div id="r" class="x"/>', "<!-- c -->", "<!-->", "<!-- a--b -->", "<!DOCTYPE html>", "<script>", "</script>", "</script >", "<style>x</style>",
+            '<script src="a">if(a<b){"</td>"}</script>', "<script><!-- x --></script>", "<title>a &amp; b</title>", "&lt;", "&amp", " text ", "\n", "\x85", "<p a>",
+            "<?pi?>", '<td class="q hierarchy-label-cell">', '<p id="a"b="c">', '<p class="x" class="y">', "</p x>", "< p>", "<", ">", "</"]
+    rnd, plain = random.Random(7), 0
+    for _ in range(4000):
+        html = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 8)))
+        for implied in (False, True):
+            s = _Shredder(implied)
+            taken = s.feed_plain(html)
+            s.finish()
+            t = _Shredder(implied)
+            t.feed(html)
+            t.finish()
+            plain += taken
+            if taken:
+                assert (s.cols, s.last, s.txt, s.labels) == (t.cols, t.last, t.txt, t.labels), html
+    assert plain > 500
+    assert _Shredder().feed_plain('<!DOCTYPE html><html><body class="a"><!-- c --><h1 id=\'t\'>a &lt; b</h1><br/><script>"</td>"</script></body></html>')
