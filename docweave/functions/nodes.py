@@ -90,6 +90,7 @@ def matcher(tag: str | None = None, id: str | None = None, cls: str | None = Non
             conds.append(f"{v}.href IS NOT NULL")
         return "(" + " AND ".join(conds) + ")"
 
+    pred.tag = tag
     return pred
 
 

@@ -144,9 +144,15 @@ def values_expr(nodes: str, section: str) -> str:
 
 def with_anchors(df: DataFrame, anchors: dict) -> DataFrame:
     """Locate each anchor element once, each as its own column, so Catalyst
-    prunes the anchors a query does not use (a shared one-pass candidate list
-    measured faster only when every field is kept, and much slower otherwise)."""
-    return df.select("*", *[F.expr(N.find(NODES, pred)).alias(name) for name, pred in anchors.items()])
+    prunes the anchors a query does not use.  They are looked for among the
+    elements with an anchor's tag, found in one pass over the page."""
+    tags = {pred.tag for pred in anchors.values()}
+    if None in tags:
+        scope = df.withColumn("_scope", F.col(NODES))
+    else:
+        v = N.fresh()
+        scope = df.withColumn("_scope", F.expr(f"filter({NODES}, {v} -> {v}.tag IN ({', '.join(lit(t) for t in sorted(tags))}))"))
+    return scope.select(*df.columns, *[F.expr(N.find("_scope", pred)).alias(name) for name, pred in anchors.items()])
 
 
 GENERIC_ANCHORS = {

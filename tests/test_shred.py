@@ -1,4 +1,9 @@
-from docweave.operators.shred import shred_html
+import random
+import sys
+
+import pyarrow as pa
+
+from docweave.operators.shred import _plain_nodes, _shred_batch, _shred_pages, shred_html
 
 
 def nodes(html):
@@ -146,3 +151,50 @@ def test_plain_markup_is_cut_as_the_parser_does():
                 assert (s.cols, s.last, s.txt, s.labels) == (t.cols, t.last, t.txt, t.labels), html
     assert plain > 500
     assert _Shredder().feed_plain('<!DOCTYPE html><html><body class="a"><!-- c --><h1 id=\'t\'>a &lt; b</h1><br/><script>"</td>"</script></body></html>')
+
+
+def test_batch_equals_page_by_page():
+    rng = random.Random(5)
+    pieces = ["<div>", "</div>", "<p class=' a  b'>", "</p>", "<P ID=x>", "<td id='q' CLASS=\"z\">", "</td>", "</TD >", "<br>", "<br/>", "<i/>",
+              "<a href='../x?a=1&amp;b'>", "<a href>", "</a>", "a", " b ", "\n", "  \x1c", "&amp; c &nbsp;", "&copy", "é" * 100, "x" * 300, "",
+              "<script>var s=\"</td></tr>\";</script>", "<script>a</script >", "<style>p{}</style>", "<script>", "</script>", "<style><script></style>",
+              "<script></SCRIPT></script>", "<script>é</script>", "<SCRIPT>x</SCRIPT>", "<script src=x>", "<!-- c -->", "<!-- a > b -->", "<!-->",
+              "<!DOCTYPE html>", "<?pi?>", "a < b", "a > b", "<a title='>'>", "<a title='<script>'>", "</br>", "<td class='hierarchy-label-cell'>", "<"]
+    plain = [p for p in pieces if "<" not in p or p in ("<br>", "<br/>", "<i/>", "<style>p{}</style>", "<!-- c -->", "<!DOCTYPE html>", pieces[23])]
+
+    def page(depth=0):
+        inner = "".join(page(depth + 1) if rng.random() < 0.5 and depth < 5 else rng.choice(plain) for _ in range(rng.randint(0, 4)))
+        tag = rng.choice(["div", "td", "tr class=normal", "a href='../x'", "p id='k' class=\"u v\""])
+        return f"<{tag}>{inner}</{tag.split()[0]}>" if rng.random() < 0.9 else inner
+
+    left = 0
+    for _ in range(150):
+        html = [None if rng.random() < 0.03 else page() + page() if rng.random() < 0.6 else "".join(rng.choices(pieces, k=rng.randint(0, 12)))
+                for _ in range(rng.randint(0, 30))]
+        column = pa.array(["cut off", *html, "cut off"], pa.string()).slice(1, len(html))
+        nodes, errors = _shred_batch(column, False)
+        expected, expected_errors = _shred_pages(html, False)
+        nodes.validate(full=True)
+        for h, got, want in zip(html, nodes.to_pylist(), expected.to_pylist(), strict=True):
+            assert got == want, h
+        assert errors.to_pylist() == expected_errors.to_pylist()
+        left += _plain_nodes(column)[1].sum() if len(html) else 0
+    assert 300 < left < 1800  # both ways were taken
+
+
+def test_batch_of_members_costs_no_python_per_node():
+    rows = "".join(f'<tr class="normal-row"><td>R</td><td>{i}-1</td><td>1995-01-0{i % 9}</td></tr>\n' for i in range(20_000))
+    html = pa.array([f"<html><body><table>{rows}</table></body></html>"] * 2)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    try:
+        nodes, _ = _shred_batch(html, False)
+    finally:
+        sys.setprofile(None)
+    assert len(nodes[0]) == 3 + 7 * 20_000
+    assert calls < 5_000
