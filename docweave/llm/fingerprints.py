@@ -29,20 +29,35 @@ from docweave.llm import common, textarrays
 
 SAMPLES = 64
 #: Bytes of text fingerprinted at a time, or one text.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 _rng = np.random.default_rng(20250311)
 SEEDS = _rng.integers(1, 2**63, (SAMPLES, 3), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _HALF = np.float32(2.0**-32)
 
 
-def _uniforms(hashes: np.ndarray, seed: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers above 0 and below 1 for each hash."""
-    h = (hashes ^ seed) * np.uint64(0xFF51AFD7ED558CCD)
+def _uniforms(hashes: np.ndarray, seed: np.uint64, both: bool = True) -> tuple[np.ndarray, ...]:
+    """Two numbers above 0 and below 1 for each hash, or the first of them."""
+    h = hashes ^ seed
+    h *= np.uint64(0xFF51AFD7ED558CCD)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xC4CEB9FE1A85EC53)
     h ^= h >> np.uint64(29)
-    high, low = (h >> np.uint64(32)).astype(np.float32), (h & np.uint64(0xFFFFFFFF)).astype(np.float32)
-    return tuple(np.clip((x + np.float32(0.5)) * _HALF, np.float32(2.0**-33), np.float32(1 - 2.0**-24)) for x in (high, low))
+    found = []
+    for half in (h >> np.uint64(32), h & np.uint64(0xFFFFFFFF) if both else None):
+        if half is not None:
+            x = half.astype(np.float32)
+            x += np.float32(0.5)
+            x *= _HALF
+            # at least 2**-33 as it is
+            found.append(np.minimum(x, np.float32(1 - 2.0**-24), out=x))
+    return tuple(found)
+
+
+def _ordered(x: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of the floats, in the upper 32 bits."""
+    bits = x.view(np.uint32)
+    bits = bits ^ ((bits.view(np.int32) >> 31).view(np.uint32) | np.uint32(0x80000000))
+    return bits.astype(np.uint64) << np.uint64(32)
 
 
 def samples(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -53,20 +68,23 @@ def samples(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np.nd
         return out
     terms, at = np.unique(hashes, return_inverse=True)
     at = at.astype(np.int32)
-    log_weight = np.log(weights.astype(np.float32))
+    # A term that occurs once is on level 0 in every sample.
+    often = np.flatnonzero(weights != 1)
+    log_weight, at_often = np.log(weights[often].astype(np.float32)), at[often]
+    level = np.zeros(len(hashes), np.float32)
     number = np.arange(len(hashes), dtype=np.uint64)
     for k in range(SAMPLES):
         # Gamma(2, 1) is the sum of two exponential variables.
         r = -np.log(np.multiply(*_uniforms(terms, SEEDS[k, 0])))
         log_c = np.log(-np.log(np.multiply(*_uniforms(terms, SEEDS[k, 1]))))
-        beta = _uniforms(terms, SEEDS[k, 2])[0]
-        r_of = r[at]
-        level = np.floor(log_weight / r_of + beta[at])
-        log_a = (log_c - r + r * beta)[at] - r_of * level
-        bits = log_a.view(np.uint32)
-        # Unsigned numbers in the order of the floats.
-        bits = bits ^ ((bits.view(np.int32) >> 31).view(np.uint32) | np.uint32(0x80000000))
-        least = np.minimum.reduceat((bits.astype(np.uint64) << np.uint64(32)) | number, begin[:-1])
+        beta, = _uniforms(terms, SEEDS[k, 2], both=False)
+        log_a = log_c - r + r * beta
+        key = _ordered(log_a)[at]
+        r_of = r[at_often]
+        level[often] = np.floor(log_weight / r_of + beta[at_often])
+        key[often] = _ordered(log_a[at_often] - r_of * level[often])
+        key |= number
+        least = np.minimum.reduceat(key, begin[:-1])
         pick = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
         kept = hashes[pick] + level[pick].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         out[:, k] = (textarrays.mix(kept) >> np.uint64(48)).astype(np.uint16)
@@ -145,9 +163,11 @@ _DDL = "edge int, h long, text string, n_chars long, sha binary, mark binary, ed
 def _results(ids: pa.Array, texts: list[str], following: list[str]):
     """Record batch of finished rows: each text with the one that follows it."""
     changed = [edited(a, b) for a, b in zip(texts, following, strict=True)]
-    # The next text is the next row's own but for the last one.
-    own = fingerprints(pa.array([*texts, following[-1]], pa.large_string()))
-    new = fingerprints(pa.array(changed, pa.large_string()))
+    # The next text is the next row's own but for the last one.  A text and its
+    # edited one stand side by side: they share most terms, drawn for once.
+    pairs = [t for pair in zip(texts, changed, strict=True) for t in pair]
+    marks = fingerprints(pa.array([*pairs, following[-1]], pa.large_string()))
+    own, new = marks[0::2], marks[1::2]
     n = len(texts)
     columns = {"n_chars": pa.array(map(len, texts), pa.int64()), "sha": pa.array([hashlib.sha256(t.encode()).digest() for t in changed], pa.binary()),
                "mark": pa.array(own[:n], pa.binary()), "edited_mark": pa.array(new, pa.binary()),

@@ -84,3 +84,33 @@ def test_characters_of_scripts_without_spaces_are_words():
     s, e, first = textarrays.words(data, offsets, cut_scripts=True)
     found = [data[a:b].tobytes().decode() for a, b in zip(s, e, strict=True)]
     assert [found[a:b] for a, b in zip(first[:-1], first[1:], strict=True)] == [["ab", "漢", "字", "c", "๑", "ไ", "xé"], ["𠀀", "𠀁"], [], ["한국", "말"]]
+
+
+def test_terms_that_occur_once_and_often_follow_one_rule():
+    """Samples by the plain formula for every term, and one draw for a text and its edited one."""
+    rng = np.random.default_rng(3)
+    count = rng.choice([1, 1, 1, 2, 7, 300], 4000)
+    terms = rng.integers(1, 2**63, 900, dtype=np.uint64)[rng.integers(0, 900, 4000)]
+    begin = np.append(np.arange(0, 4000, 40), 4000)
+    got = fingerprints.samples(terms, count, begin)
+    for k in (0, 1, 63):
+        r = -np.log(np.multiply(*fingerprints._uniforms(terms, fingerprints.SEEDS[k, 0])))
+        log_c = np.log(-np.log(np.multiply(*fingerprints._uniforms(terms, fingerprints.SEEDS[k, 1]))))
+        beta = fingerprints._uniforms(terms, fingerprints.SEEDS[k, 2])[0]
+        level = np.floor(np.log(count.astype(np.float32)) / r + beta)
+        log_a = (log_c - r + r * beta) - r * level
+        pick = np.array([a + np.argmin(log_a[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)])
+        kept = terms[pick] + level[pick].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        assert (got[:, k] == (textarrays.mix(kept) >> np.uint64(48)).astype(np.uint16)).all()
+
+
+def test_a_text_and_its_edited_one_are_drawn_for_together(monkeypatch):
+    calls = []
+    plain = fingerprints.samples
+    monkeypatch.setattr(fingerprints, "samples", lambda *a: calls.append(len(a[0])) or plain(*a))
+    texts = [f"one two three four five w{i} x{i}" for i in range(20)]
+    rows = fingerprints._results(pa.array(range(20)), texts, [*texts[1:], texts[0]])
+    assert len(calls) == 1  # two before
+    assert rows.column("mark").to_pylist() == fingerprints.fingerprints(pa.array(texts))
+    changed = [fingerprints.edited(a, b) for a, b in zip(texts, [*texts[1:], texts[0]], strict=True)]
+    assert rows.column("edited_mark").to_pylist() == fingerprints.fingerprints(pa.array(changed))
