@@ -4,297 +4,298 @@ Sequences are coded side by side, one lane each: a step codes the next id of all
 lanes with array operations, and every lane has a model and a coder of its own
 that start anew, so each sequence decodes without the others.
 
-Per id, the contexts of one and of two ids before each predict an id (the last
-one that followed it, with a confidence).  Whether the order-2 prediction, the
-order-1 prediction or neither comes true is coded with frequencies mixed from
-two adaptive statistics, by the predictions' confidence and by what came true of
-late.  Neither: the id is coded by its adaptive order-0 frequency, how often the
-lane has come to this point with it before; an id that is new to it is announced
-by a frequency that grows with the number of different ids and then given in as
-many bits as the sequence's largest id has, which precede the sequence.
+A lane numbers its different ids as they come; the ids themselves, in as many
+bits as the largest has, precede the coder's words.  Per id, the contexts of one
+and of two numbers before each predict a number (the last one that followed it,
+with a confidence).  Whether the order-2 prediction, the order-1 prediction or
+neither comes true has frequencies mixed from two adaptive statistics, by the
+predictions' confidence and by what came true of late.  Neither: the number has
+its adaptive order-0 frequency, how often the lane has come to it before; the
+next new one has a frequency that grows with the number of different ids.  Both
+make one interval, so an id takes one step of the coder.
+
+The order-0 frequencies are places in the lane's past: its numbers so far, sorted
+up to a step that follows closely, then as they came.  A number has the places
+where the sorted part holds it, or the one where it came first.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 
 from docweave.llm import common
 
 U = np.uint64
-#: The coder emits words of 16 bits from a 64-bit interval that stays above 2^32.
-TOP, BOTTOM = U(1) << U(48), U(1) << U(32)
-#: Entries per order and lane of the prediction tables.
+#: The coder emits words of 32 bits and keeps its interval above that.
+WORD, BOTTOM, LOW = U(32), U(1) << U(32), U((1 << 32) - 1)
+#: Entries of the order-2 prediction table of a lane.
 SLOT_BITS = 10
 MOST_CONFIDENCE = 3
 #: What an event adds to its frequency, and the sum at which frequencies are halved.
 STEP, LIMIT = 32, 8000
-#: Bits of the largest id.
-MOST_BITS = 30
+#: Bits of the largest id, and ids in a sequence.
+MOST_BITS, MOST_IDS = 30, 1 << 15
 
 
-class _Coder:
+class Encoder:
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, ~U(0), U)
-
-    def _narrow(self, at, start, freq, part) -> np.ndarray:
-        """Narrow the intervals of the lanes ``at`` (indices or a slice from the
-        first); the lanes whose top word is settled."""
-        low, size = self.low[at] + start * part, part * freq
-        self.low[at], self.range[at] = low, size
-        ready = np.flatnonzero(((low ^ (low + size)) < TOP) | (size < BOTTOM))
-        return ready if isinstance(at, slice) else at[ready]
-
-    def _shift(self, at) -> tuple[np.ndarray, np.ndarray]:
-        """Drop the top word of the lanes ``at``; it, and which lanes have another."""
-        low, size = self.low[at], self.range[at]
-        # An interval that straddles a boundary and gets too small is cut at it.
-        size = np.where((low ^ (low + size)) < TOP, size, (U(0) - low) & (BOTTOM - U(1)))
-        word = (low >> U(48)).astype(np.uint16)
-        low, size = low << U(16), size << U(16)
-        self.low[at], self.range[at] = low, size
-        return word, ((low ^ (low + size)) < TOP) | (size < BOTTOM)
-
-
-class Encoder(_Coder):
-    def __init__(self, lanes: int):
-        super().__init__(lanes)
-        self.at, self.words = [], []
-
-    def code(self, at, start, freq, part) -> None:
-        ready = self._narrow(at, start, freq, part)
-        while len(ready):
-            word, more = self._shift(ready)
-            self.at.append(ready)
-            self.words.append(word)
-            ready = ready[more]
+        self.sent = np.zeros(lanes, np.int64)
+        self.at, self.words, self.carried = [], [], []
+
+    def code(self, start, freq, part) -> None:
+        """Narrow the intervals of the first lanes."""
+        n = len(part)
+        old = self.low[:n]
+        low, size = old + start * part, part * freq
+        over = np.flatnonzero(low < old)
+        if len(over):
+            self.carried.append((over, self.sent[over]))
+        self.low[:n], self.range[:n] = low, size
+        ready = np.flatnonzero(size < BOTTOM)
+        if len(ready):
+            self._put(ready, low[ready] >> WORD)
+            self.low[ready] = low[ready] << WORD
+            self.range[ready] = size[ready] << WORD
+
+    def _put(self, at, words) -> None:
+        self.at.append(at)
+        self.words.append(words)
+        self.sent[at] += 1
 
     def finish(self) -> list[bytes]:
         """The bytes of each lane."""
-        lanes = np.arange(len(self.low))
-        for shift in (48, 32, 16, 0):
-            self.at.append(lanes)
-            self.words.append(((self.low >> U(shift)) & U(0xFFFF)).astype(np.uint16))
+        # One more word says it where any word after it stays in the interval.
+        wide = self.range >= BOTTOM << U(1)
+        self._put(np.arange(len(wide)), (self.low >> WORD) + wide.astype(U))
+        narrow = np.flatnonzero(~wide)
+        self._put(narrow, self.low[narrow] & LOW)
         at, words = np.concatenate(self.at), np.concatenate(self.words)
-        words = words[np.argsort(at, kind="stable")].astype("<u2")
-        ends = np.cumsum(np.bincount(at, minlength=len(lanes)))
-        return [words[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
-
-
-class Decoder(_Coder):
+        words = words[np.argsort(at, kind="stable")]
+        ends = np.cumsum(self.sent)
+        starts = ends - self.sent
+        over = np.concatenate([np.zeros(0, np.int64)] + [starts[lanes] + sent - 1 for lanes, sent in self.carried])
+        while len(over):
+            np.add.at(words, over, U(1))
+            full = np.unique(over[words[over] > LOW])
+            words[full] &= LOW
+            over = full - 1
+        full = np.flatnonzero(words > LOW)
+        while len(full):
+            words[full] &= LOW
+            words[full - 1] += U(1)
+            full = full[words[full - 1] > LOW] - 1
+        words = words.astype("<u4")
+        return [words[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+class Decoder:
     def __init__(self, data: list[bytes]):
-        super().__init__(len(data))
-        sizes = np.array([len(d) // 2 for d in data], np.int64)
-        self.words = np.frombuffer(b"".join(data) + b"\0" * 16, "<u2").astype(U)
+        sizes = np.array([len(d) // 4 for d in data], np.int64)
+        self.words = np.frombuffer(b"".join(d[:len(d) // 4 * 4] for d in data) + b"\0" * 16, "<u4").astype(U)
         self.next = np.cumsum(sizes) - sizes
-        self.value = np.zeros(len(data), U)
-        for _ in range(4):
-            self._pull(np.arange(len(data)))
+        self.value, self.range = np.zeros(len(data), U), np.full(len(data), ~U(0), U)
+        for _ in range(2):
+            self.value = (self.value << WORD) | self._pull(slice(None))
 
-    def _pull(self, at) -> None:
+    def _pull(self, at) -> np.ndarray:
         # A damaged lane may run on; what it gets then does not matter.
-        where = np.minimum(self.next[at], len(self.words) - 1)
-        self.value[at] = (self.value[at] << U(16)) | self.words[where]
+        words = self.words.take(self.next[at], mode="clip")
         self.next[at] += 1
+        return words
 
-    def target(self, at, part, most) -> np.ndarray:
-        """The frequency into which each lane's value falls."""
-        return np.minimum((self.value[at] - self.low[at]) // part, most)
-
-    def code(self, at, start, freq, part) -> None:
-        ready = self._narrow(at, start, freq, part)
-        while len(ready):
-            _, more = self._shift(ready)
-            self._pull(ready)
-            ready = ready[more]
+    def code(self, start, freq, part) -> None:
+        n = len(part)
+        value, size = self.value[:n] - start * part, part * freq
+        ready = np.flatnonzero(size < BOTTOM)
+        if len(ready):
+            value[ready] = (value[ready] << WORD) | self._pull(ready)
+            size[ready] <<= WORD
+        self.value[:n], self.range[:n] = value, size
 
 
 class _Outcomes:
-    """Frequencies of the three outcomes in a number of contexts."""
+    """Frequencies of the three outcomes and their sum, in 16 bits each from the
+    lowest, for a number of contexts."""
+
+    #: What each outcome adds.
+    ADDS = np.array([STEP << 16 * k | STEP << 48 for k in range(3)], U)
+    MOST = U(LIMIT << 48 | (1 << 48) - 1)
 
     def __init__(self, contexts: int):
-        self.each, self.total = np.ones(contexts * 3, np.uint32), np.full(contexts, 3, np.uint32)
+        self.each = np.full(contexts, 1 | 1 << 16 | 1 << 32 | 3 << 48, U)
 
-    def add(self, ctx, wanted_at, old) -> None:
-        self.each[wanted_at] = old + np.uint32(STEP)
-        total = self.total[ctx] + np.uint32(STEP)
-        self.total[ctx] = total
-        if total.max() > LIMIT:
-            big = ctx[total > LIMIT]
-            rows = (self.each.reshape(-1, 3)[big] + 1) >> 1
-            self.each.reshape(-1, 3)[big] = rows
-            self.total[big] = rows.sum(1)
+    def add(self, ctx, old, adds) -> None:
+        new = old + adds
+        big = np.flatnonzero(new > self.MOST)
+        if len(big):
+            parts = [((new[big] >> U(16 * k) & U(0xFFFF)) + U(1)) >> U(1) for k in range(3)]
+            new[big] = parts[0] | parts[1] << U(16) | parts[2] << U(32) | sum(parts) << U(48)
+        self.each[ctx] = new
 
 
 class _Order0:
-    """The ids that each lane has coded by order 0, numbered as they came, and
-    their counts as running sums in two levels, so that a count, a sum or a
-    search touches one row of each."""
-
-    def __init__(self, lanes: int, steps: int):
-        self.side = math.isqrt(max(steps, 1) - 1) + 1
-        counts = np.uint16 if steps < 1 << 16 else np.uint32
-        self.groups = np.zeros((lanes, self.side), counts)
-        self.within = np.zeros((lanes, self.side, self.side), counts)
-        self.ids = np.zeros((lanes, self.side * self.side), np.uint32)
-        self.known, self.total = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        #: Adding row k counts an event at place k.
-        self.from_place = np.tri(self.side, dtype=counts).T.copy()
-
-    def _below(self, at, number) -> tuple[np.ndarray, np.ndarray]:
-        """The sum of the counts before each number, and its own count."""
-        group, place = np.divmod(number, self.side)
-        before = np.where(group > 0, self.groups[at, group - 1], 0).astype(np.int64)
-        left = np.where(place > 0, self.within[at, group, place - 1], 0).astype(np.int64)
-        return before + left, self.within[at, group, place] - left
-
-    def _at(self, at, target) -> np.ndarray:
-        """The number whose counts reach over each target."""
-        rows = self.groups[at]
-        group = (rows <= target[:, None]).sum(1)
-        target = target - np.where(group > 0, rows[np.arange(len(at)), group - 1], 0)
-        return group * self.side + (self.within[at, group] <= target[:, None]).sum(1)
-
-    def code(self, coder, at, bits, ids, number):
-        """Code the ids of the lanes ``at``, whose numbers are -1 where new; both
-        are None when decoding.  The ids and their numbers."""
-        known, total = self.known[at], self.total[at]
-        new_freq = np.maximum(known, 1)
-        part = coder.range[at] // (total + new_freq).astype(U)
-        if ids is None:
-            target = coder.target(at, part, (total + new_freq - 1).astype(U)).astype(np.int64)
-            number = np.full(len(at), -1, np.int64)
-            old = np.flatnonzero(target >= new_freq)
-            number[old] = self._at(at[old], target[old] - new_freq[old])
-        else:
-            old = np.flatnonzero(number >= 0)
-        start, freq = np.zeros(len(at), np.int64), new_freq.copy()
-        below, count = self._below(at[old], number[old])
-        start[old], freq[old] = new_freq[old] + below, count
-        coder.code(at, start.astype(U), freq.astype(U), part)
-        new = np.flatnonzero(number < 0)
-        lanes = at[new]
-        wide = bits[lanes]
-        part = coder.range[lanes] >> wide
-        if ids is None:
-            fresh = coder.target(lanes, part, (U(1) << wide) - U(1)).astype(np.uint32)
-        else:
-            fresh = ids[new]
-        coder.code(lanes, fresh.astype(U), U(1), part)
-        number = number.copy()
-        number[new] = known[new]
-        self.ids[lanes, known[new]] = fresh
-        self.known[lanes] += 1
-        self.total[at] += 1
-        group, place = np.divmod(number, self.side)
-        self.groups[at] += self.from_place[group]
-        self.within[at, group] += self.from_place[place]
-        return self.ids[at, number], number
-
-
-class _Model:
-    def __init__(self, lanes: int, steps: int):
-        self.slots = [np.zeros(lanes << SLOT_BITS, np.uint32) for _ in range(2)]
-        #: By both confidences and agreement, and by the last outcomes.
-        self.by_confidence, self.by_recent = _Outcomes(lanes * 32), _Outcomes(lanes * 27)
-        self.order0 = _Order0(lanes, steps)
-
-
-def _outcomes(coder, model, at, recent, ctx, wanted):
-    """Code which prediction comes true; ``wanted`` is None when decoding."""
-    a, b = model.by_confidence, model.by_recent
-    a3, b3 = ctx * 3, recent * 3
-    f0 = a.each.take(a3) + b.each.take(b3)
-    f01 = f0 + a.each.take(a3 + 1) + b.each.take(b3 + 1)
-    total = (a.total.take(ctx) + b.total.take(recent)).astype(U)
-    part = coder.range[at] // total
-    if wanted is None:
-        t = coder.target(at, part, total - U(1))
-        wanted = (t >= f0).astype(np.int64)
-        wanted += t >= f01
-    a3 += wanted
-    b3 += wanted
-    old_a, old_b = a.each.take(a3), b.each.take(b3)
-    start = np.where(wanted == 0, np.uint32(0), np.where(wanted == 1, f0, f01))
-    coder.code(at, start.astype(U), (old_a + old_b).astype(U), part)
-    a.add(ctx, a3, old_a)
-    b.add(recent, b3, old_b)
-    return wanted
+    """How often each lane has come to each of its numbers, and the places that
+    stand for them."""
+
+    def __init__(self, lanes: int, steps: int, kind, places: bool):
+        self.steps = steps
+        self.counts = np.zeros((lanes, steps), np.uint16)
+        #: First place and how many, in 16 bits each.
+        self.spans = np.zeros((lanes, steps), np.uint32)
+        self.past = np.zeros((lanes, steps), kind) if places else None
+        self.sorted, self.next = 0, 8
+
+    def sort(self, step: int, n: int, since: np.ndarray, known: int) -> None:
+        """Sort the first lanes' places up to a step; ``since`` has the numbers
+        from the last sorting on, a row per step."""
+        np.add.at(self.counts.reshape(-1), (since[:, :n] + np.arange(n) * self.steps).reshape(-1), np.uint16(1))
+        counts = self.counts[:n, :known]
+        ends = np.cumsum(counts, axis=1, dtype=np.uint32)
+        self.spans[:n, :known] = (ends - counts) << np.uint32(16) | counts
+        if self.past is not None:
+            numbers = np.broadcast_to(np.arange(known, dtype=self.past.dtype), (n, known))
+            self.past[:n, :step] = np.repeat(numbers.reshape(-1), counts.reshape(-1)).reshape(n, step)
+        self.sorted, self.next = step, step + max(4, step >> 3)
 
 
 #: The last three outcomes after one more.
 _NEXT_RECENT = np.arange(81) % 27
 
 
-def _run(coder, lengths: np.ndarray, bits: np.ndarray, ids: np.ndarray | None, same: np.ndarray | None = None) -> np.ndarray:
-    """Code all steps of lanes whose lengths fall; the ids, a row per step.  To
-    encode, ``same`` numbers the different ids of all lanes."""
-    lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
-    model = _Model(lanes, steps)
-    numbers = None if same is None else np.full(int(same.max()) + 1, -1, np.int64)
-    out = np.zeros((steps, lanes), np.uint32) if ids is None else ids
-    one, two, recent = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32), np.zeros(lanes, np.int64)
+def _run(coder, lengths: np.ndarray, numbers: np.ndarray | None) -> np.ndarray:
+    """Code all steps of lanes whose lengths fall; the numbers, a row per step
+    (None to decode)."""
+    lanes, steps = len(lengths), int(lengths[0])
+    kind = np.uint16 if steps <= 1 << 14 else np.uint32
+    decode = numbers is None
+    one_before, two_before = np.zeros(lanes * steps, kind), np.zeros(lanes << SLOT_BITS, kind)
+    by_confidence, by_recent = _Outcomes(lanes * 32), _Outcomes(lanes * 27)
+    order0 = _Order0(lanes, steps, kind, decode)
+    spans = order0.spans.reshape(-1)
+    past = order0.past.reshape(-1) if decode else None
+    out = np.zeros((steps, lanes), kind) if decode else numbers
+    p1, p2, recent, known = (np.zeros(lanes, np.int64) for _ in range(4))
     every = np.arange(lanes)
+    row, row2, row32, row27 = every * steps, every << SLOT_BITS, every * 32, every * 27
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    shift = np.uint32(32 - SLOT_BITS)
+    most = kind(MOST_CONFIDENCE)
+    last = lanes
     for step in range(steps):
         n = int(active[step])
-        at, p1, p2 = every[:n], one[:n], two[:n]
-        h1 = (((p1 + np.uint32(1)) * np.uint32(0x9E3779B1)) >> shift).astype(np.int64) + (at << SLOT_BITS)
-        h2 = (((p1 * np.uint32(0x85EBCA6B)) ^ ((p2 + np.uint32(7)) * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> shift).astype(np.int64) + (at << SLOT_BITS)
-        e1, e2 = model.slots[0][h1], model.slots[1][h2]
-        id1, id2, c1, c2 = e1 >> np.uint32(2), e2 >> np.uint32(2), e1 & np.uint32(3), e2 & np.uint32(3)
-        ctx = at * 32 + (c2 * np.uint32(8) + c1 * np.uint32(2) + (id1 == id2)).astype(np.int64)
-        wanted = None
-        if ids is not None:
-            now = ids[step, :n]
-            wanted = np.where((now == id2) & (c2 > 0), 0, np.where((now == id1) & (c1 > 0), 1, 2))
-        wanted = _outcomes(coder, model, slice(0, n), at * 27 + recent[:n], ctx, wanted)
-        miss = np.flatnonzero(wanted == 2)
-        if ids is None:
-            now = np.where(wanted == 0, id2, id1)
-        if len(miss):
-            if ids is None:
-                now[miss], _ = model.order0.code(coder, miss, bits, None, None)
-            else:
-                which = same[step, miss]
-                _, numbers[which] = model.order0.code(coder, miss, bits, now[miss], numbers[which])
-        if ids is None:
+        if n < last:
+            p1, p2, recent, known, row, row2, row32, row27 = (x[:n] for x in (p1, p2, recent, known, row, row2, row32, row27))
+            last = n
+        if step == order0.next:
+            order0.sort(step, n, out[order0.sorted:step], int(known.max()))
+        h1 = row + p1
+        h2 = (p1 * 0x9E3779B1 + p2 * 0x27D4EB2F) >> 18 & ((1 << SLOT_BITS) - 1)
+        h2 += row2
+        e1, e2 = one_before.take(h1), two_before.take(h2)
+        g1, g2, c1, c2 = e1 >> 2, e2 >> 2, e1 & 3, e2 & 3
+        ctx = row32 + (c2 << 3 | c1 << 1 | (g1 == g2))
+        ctx_recent = row27 + recent
+        old, old_recent = by_confidence.each.take(ctx), by_recent.each.take(ctx_recent)
+        mixed = old + old_recent
+        f0 = mixed & U(0xFFFF)
+        f01 = f0 + (mixed >> U(16) & U(0xFFFF))
+        sums = mixed >> U(48)
+        miss = sums - f01
+        new_freq = np.maximum(known, 1).astype(U)
+        events = new_freq + U(step)
+        f0 *= events
+        f01 *= events
+        total = sums * events
+        part = coder.range[:n] // total
+        if decode:
+            target = np.minimum(coder.value[:n] // part, total - U(1))
+            missed = target >= f01
+            second = target >= f0
+            # Meant for the lanes that missed; the others' is cut to the range.
+            place = np.minimum((target - f01) // miss, events - U(1))
+            fresh = place < new_freq
+            at = np.where(fresh, U(0), place - new_freq).astype(np.int64)
+            number = np.where(fresh, known, past.take(row + at))
+            now = np.where(missed, number, np.where(second, g1, g2))
             out[step, :n] = now
-        for slots, h, e, guess, c in ((model.slots[0], h1, e1, id1, c1), (model.slots[1], h2, e2, id2, c2)):
+            past[row + step] = now
+        else:
+            now = number = numbers[step, :n].astype(np.int64)
+            first = (now == g2) & (c2 > 0)
+            second = ~first
+            missed = second & ~((now == g1) & (c1 > 0))
+            fresh = number == known
+        span = spans.take(row + number)
+        start = np.where(fresh, U(0), new_freq + (span >> np.uint32(16)))
+        freq = np.where(fresh, new_freq, span & np.uint32(0xFFFF))
+        start = np.where(missed, f01 + miss * start, np.where(second, f0, U(0)))
+        freq = np.where(missed, miss * freq, np.where(second, f01 - f0, f0))
+        coder.code(start, freq, part)
+        fresh = np.flatnonzero(fresh & missed)
+        spans[row[fresh] + known[fresh]] = step << 16 | 1
+        known[fresh] += 1
+        wanted = second.astype(np.int64) + missed
+        adds = _Outcomes.ADDS.take(wanted)
+        by_confidence.add(ctx, old, adds)
+        by_recent.add(ctx_recent, old_recent, adds)
+        entry = now.astype(kind)
+        for slots, h, e, guess, c in ((one_before, h1, e1, g1, c1), (two_before, h2, e2, g2, c2)):
             # Right: surer, up to the most.  Wrong: less sure, and replaced at the least.
-            right = (guess == now) & (c > 0)
-            slots[h] = np.where(right, e + (c < MOST_CONFIDENCE), np.where(c > 1, e - np.uint32(1), (now << np.uint32(2)) | np.uint32(1)))
-        two[:n] = p1
-        one[:n] = now
-        recent[:n] = _NEXT_RECENT.take(recent[:n] * 3 + wanted)
+            right = (guess == entry) & (c > 0)
+            slots[h] = np.where(right, e + (c < most), np.where(c > 1, e - kind(1), entry << 2 | kind(1)))
+        p2, p1 = p1, now
+        recent = _NEXT_RECENT.take(recent * 3 + wanted)
     return out
 
 
+def _numbered(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids of a block as they come, and the number of each id."""
+    # Numpy sorts 16 bits by radix.
+    keys = block.astype(np.uint16) if block.max() < 1 << 16 else block
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    firsts = order[starts]
+    new = np.zeros(len(block), bool)
+    new[firsts] = True
+    number = np.empty(len(block), np.uint16)
+    number[order] = np.repeat((np.cumsum(new) - 1)[firsts], np.diff(starts, append=len(block)))
+    return block[new].astype(np.uint32), number
+
+
+def _pack(ids: np.ndarray, bits: int) -> bytes:
+    return np.packbits((ids[:, None] >> np.arange(bits, dtype=np.uint32)).astype(np.uint8) & 1).tobytes()
+
+
+def _unpack(data: bytes, bits: int, n: int) -> np.ndarray:
+    each = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits).reshape(n, bits)
+    return (each.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(1, dtype=np.uint32)
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of ids (below 2^30) coded: u16 bits of its largest id, then the
-    coder's words."""
+    """Each block of ids (below 2^30) coded: a u32 of the number of its different
+    ids and, in the top five bits, the bits of the largest; these ids as they
+    come; the coder's words."""
     lengths = np.array([len(b) for b in blocks], np.int64)
     order = np.argsort(-lengths, kind="stable")
     if not len(blocks) or not lengths.max():
         return [b""] * len(blocks)
-    ids = np.zeros((int(lengths.max()), len(blocks)), np.uint32)
-    same, different = np.zeros(ids.shape, np.int32), 0
+    if lengths.max() > MOST_IDS:
+        raise ValueError(f"a block has more than {MOST_IDS} ids")
+    numbers, heads = np.zeros((len(blocks), int(lengths.max())), np.uint16), []
     for lane, i in enumerate(order):
-        if lengths[i]:
-            ids[:lengths[i], lane] = blocks[i]
-            found, which = np.unique(blocks[i], return_inverse=True)
-            same[:lengths[i], lane] = which + different
-            different += len(found)
-    bits = np.array([int(m).bit_length() for m in ids.max(0)], U)
-    if bits.max() > MOST_BITS:
-        raise ValueError(f"an id has more than {MOST_BITS} bits")
+        if not lengths[i]:
+            break
+        ids, numbers[lane, :lengths[i]] = _numbered(blocks[i])
+        bits = int(ids.max()).bit_length()
+        if bits > MOST_BITS:
+            raise ValueError(f"an id has more than {MOST_BITS} bits")
+        heads.append((bits << 27 | len(ids)).to_bytes(4, "little") + _pack(ids, bits))
     coder = Encoder(len(blocks))
-    _run(coder, lengths[order], bits, ids, same)
-    coded, out = coder.finish(), [b""] * len(blocks)
-    for lane, i in enumerate(order):
-        out[i] = int(bits[lane]).to_bytes(2, "little") + coded[lane] if lengths[i] else b""
+    _run(coder, lengths[order], np.ascontiguousarray(numbers.T))
+    out = [b""] * len(blocks)
+    for i, head, words in zip(order, heads, coder.finish(), strict=False):
+        out[i] = head + words
     return out
 
 
@@ -305,14 +306,21 @@ def decode(data: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     if not len(data) or not lengths.max():
         return out
     order = np.argsort(-lengths, kind="stable")
-    bits = np.array([int.from_bytes(data[i][:2], "little") for i in order], U)
-    if bits.max() > MOST_BITS:
-        raise ValueError("a block is damaged")
+    order = order[lengths[order] > 0]
+    ids, words = [], []
+    for i in order:
+        head = int.from_bytes(data[i][:4], "little")
+        bits, known = head >> 27, head & (1 << 27) - 1
+        end = 4 + (known * bits + 7) // 8
+        if bits > MOST_BITS or not 0 < known <= lengths[i] <= MOST_IDS or end > len(data[i]):
+            raise ValueError("a block is damaged")
+        ids.append(_unpack(data[i][4:end], bits, known))
+        words.append(data[i][end:])
     with np.errstate(divide="ignore"):
-        ids = _run(Decoder([data[i][2:] for i in order]), lengths[order], bits, None)
-    columns = np.ascontiguousarray(ids.T)
+        numbers = np.ascontiguousarray(_run(Decoder(words), lengths[order], None).T)
     for lane, i in enumerate(order):
-        out[i] = columns[lane, :lengths[i]]
+        # A damaged block may come to more numbers than it has ids.
+        out[i] = ids[lane].take(numbers[lane, :lengths[i]], mode="clip")
     return out
 
 

@@ -16,6 +16,8 @@ All numbers are little-endian.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import sys
 import types
@@ -32,17 +34,39 @@ from pyspark.sql.window import Window
 
 from docweave.llm import common, range_coder, textarrays
 
-MAGIC = b"DWTOKEN2"
+MAGIC = b"DWTOKEN3"
 BLOCK_IDS = 1024
 #: Blocks coded side by side; bounds a task's memory.
 LANES = 4096
 #: Bytes of text tokenized at a time, and different words a worker remembers.
 SLICE_BYTES = 4 << 20
-LEARN_WORDS = 50_000
+LEARN_WORDS = 1000
 CACHE_WORDS = 600_000
 END_ID = 1
 
 
+#: A split that makes words of letters of their own, the letters (of one byte, and
+#: of two that begin with LEAD) and the marks that Words relies on with it.
+LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+LETTERS, MARKS, LEAD = "[A-Za-zÀ-ÖØ-öø-ÿ]", ".,;:!?", 0xC3
+_IS_LETTER = np.array([chr(i).isascii() and chr(i).isalpha() for i in range(256)])
+_IS_SECOND = np.array([0x80 <= i < 0xC0 and i not in (0x97, 0xB7) for i in range(256)])
+_IS_MARK = np.array([chr(i) in MARKS for i in range(256)])
+
+
+def _cut_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut where a mark follows a letter, and the first word of each text."""
+    marks = np.flatnonzero(_IS_MARK[data[1:]]) + 1
+    before = data[marks - 1]
+    cuts = marks[_IS_LETTER[before] | _IS_SECOND[before] & (data[marks - 2] == LEAD) & (marks > 1)]
+    # A letter's word goes on with the mark unless the mark is the next text's.
+    word = np.searchsorted(starts, cuts, side="right") - 1
+    inside = starts[word] < cuts
+    cuts, word = cuts[inside], word[inside]
+    added = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(starts)))])
+    return np.insert(starts, word + 1, cuts), np.insert(ends, word, cuts), first + added[first]
+
+
 class Words:
     """The tokenizer's ids of words, remembered.  The tokenizer drops white space
     and never looks across it, so a text's ids are those of the runs between."""
@@ -51,25 +75,57 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        config = json.loads(self.tokenizer.to_str())
+        splits = (config["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        contents = [t["content"] for t in config["added_tokens"]]
+        #: The library makes one word of letters, whatever white space or mark is beside them.
+        self.letters_apart = (splits[0].get("pattern") == {"Regex": LETTERS_APART} and splits[0]["behavior"] == "Removed" and splits[0]["invert"]
+                              and not any(re.search(f"{LETTERS}[{MARKS}]|^{LETTERS}+$", c) for c in contents))
+        vocab, suffix = self.tokenizer.get_vocab(), config["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
         self.known = pa.array([], pa.large_string())
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, words: pa.Array) -> None:
-        ids = []
-        for a in range(0, len(words), LEARN_WORDS):
-            ids += [e.ids for e in self.tokenizer.encode_batch(words.slice(a, LEARN_WORDS).to_pylist(), add_special_tokens=False)]
-        self.known = pa.concat_arrays([self.known, words])
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-        self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(counts.sum()))])
+    def _library(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of words, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)]
+        return np.array([x for i in ids for x in i], np.uint32), np.array([len(i) for i in ids], np.int64)
+
+    def _library_at_once(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of letters, given to the library as one text, which
+        costs less than a text a word: a word ends with the token that says so."""
+        text = " ".join(words.to_pylist())
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(self.ends[ids])
+        if len(at) != len(words) or at[-1] != len(ids) - 1:
+            return self._library(words)
+        return ids, np.diff(at, prepend=-1)
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Remember new words; their numbers among the known."""
+        letters = pc.match_substring_regex(words, f"^{LETTERS}+$") if self.letters_apart else pa.repeat(False, len(words))
+        plain, other = words.filter(letters), words.filter(pc.invert(letters))
+        found = [self._library_at_once(plain.slice(a, LEARN_WORDS)) for a in range(0, len(plain), LEARN_WORDS)]
+        found += [self._library(other.slice(a, LEARN_WORDS)) for a in range(0, len(other), LEARN_WORDS)]
+        ids, counts = zip(*found, strict=True)
+        is_plain = letters.to_numpy(zero_copy_only=False)
+        numbers = len(self.known) + np.where(is_plain, np.cumsum(is_plain) - 1, len(plain) + np.cumsum(~is_plain) - 1)
+        self.known = pa.concat_arrays([self.known, plain, other])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
+        self.flat = np.concatenate([self.flat, *ids])
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has; null is empty."""
         data, offsets = textarrays.text_bytes(texts)
         starts, ends, first = textarrays.words(data, offsets)
+        if self.letters_apart:
+            starts, ends, first = _cut_marks(data, starts, ends, first)
         n = ends - starts
         solid = data[~textarrays.SPACE[data]]
         words = pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n)])), pa.py_buffer(np.ascontiguousarray(solid))])
@@ -79,9 +135,12 @@ class Words:
             if len(self.known) + number.null_count > CACHE_WORDS:
                 self.forget()
                 number = pc.index_in(coded.dictionary, value_set=self.known)
-            self._learn(coded.dictionary.filter(pc.is_null(number)))
-            number = pc.index_in(coded.dictionary, value_set=self.known)
-        at = number.to_numpy().astype(np.int64)[coded.indices.to_numpy()] if len(n) else np.zeros(0, np.int64)
+            new = pc.is_null(number).to_numpy(zero_copy_only=False)
+            number = number.fill_null(0).to_numpy().copy()
+            number[new] = self._learn(coded.dictionary.filter(pa.array(new)))
+        else:
+            number = number.to_numpy()
+        at = number.astype(np.int64)[coded.indices.to_numpy()] if len(n) else np.zeros(0, np.int64)
         counts = self.starts[at + 1] - self.starts[at]
         sums = np.concatenate([[0], np.cumsum(counts)])
         ids = self.flat[np.arange(sums[-1]) + np.repeat(self.starts[at] - sums[:-1], counts)]

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -58,6 +59,39 @@ def test_rows_without_or_with_equal_ids(spark):
     assert [r["start"] for r in rows] == list(np.cumsum([0] + [r["n_tokens"] for r in rows])[:-1])
 
 
+def test_words_cut_at_marks_and_learnt_at_once(tok):
+    """Words of letters reach the library many to a text, without the mark after them."""
+    texts = ["Éa, éa. éa! a.b,c x.'s it's. WE'LL, É, e\u0301, H\u0331. ×, ÷. ÿ;ÿ", None, "a", ",a", ".", "<|endoftext|>, endoftext.<|startoftext|> a<|endoftext|>b.",
+             "ab12.5,c 3. ǅ, ﬁ. ſ! ß? Σας, ΣΑΣ.", "a,\u0338b.\u0301c a.", ", ,a ., .a"] + [f"wörd{'xyz'[i % 3] * (i % 7)}ñ{chr(97 + i % 26)}, " * 2 for i in range(3000)]
+    words, calls = token_files.Words(PATH), [0]
+    library = words._library
+    words._library = lambda w: calls.__setitem__(0, calls[0] + len(w)) or library(w)
+    for some in (texts, texts[::-1]):
+        ids, counts = words.encode(pa.array(some, pa.string()))
+        want = [tok.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert 0 < calls[0] < 60 and sum(w.as_py().endswith(",") for w in words.known) < 10
+
+
+def test_an_id_takes_one_step_of_the_coder(monkeypatch):
+    ids, steps = (np.random.default_rng(3).zipf(1.2, 5000) % 900).astype(np.uint32), [0]
+    for side in (range_coder.Encoder, range_coder.Decoder):
+        code = side.code
+        monkeypatch.setattr(side, "code", lambda self, *a, code=code: steps.__setitem__(0, steps[0] + 1) or code(self, *a))
+    coded = range_coder.encode([ids])
+    assert (range_coder.decode(coded, [len(ids)])[0] == ids).all() and steps[0] == 2 * len(ids)
+
+
+def test_carries_and_ends_of_the_coder():
+    """Many lanes of many lengths, so that words carry over and lanes end alike and apart."""
+    rng = np.random.default_rng(8)
+    blocks = [(rng.zipf(1.1 + rng.random(), n) % rng.integers(1, 2**20)).astype(np.uint32) for n in rng.integers(0, 700, 3000)]
+    coded = range_coder.encode(blocks)
+    back = range_coder.decode(coded, [len(b) for b in blocks])
+    assert all(len(a) == len(b) and (a == b).all() for a, b in zip(blocks, back, strict=True))
+
+
 @pytest.mark.parametrize("bits", [1, 4, 9, 16, 24])
 def test_coder_round_trip(bits):
     rng = np.random.default_rng(bits)
