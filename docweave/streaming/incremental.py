@@ -25,14 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.operators.extract import ENTITY_SCHEMA, extract_entities
+from docweave.operators.extract import ENTITY_SCHEMA, NODE_FIELDS, extract_entities
 from docweave.operators.shred import shred
 from docweave.sources.published import PublishedTables
-from docweave.streaming.keystore import KeyStore
+from docweave.streaming.keystore import PIECE_BITS, KeyStore, bit_at
 
 PAGE_SCHEMA = "category string, source_path string, html string"
 PAGE_KEY = ["category", "source_path"]
 _ROW = ["from_file", "from_row"]
+MOST_BITMAPS = 8192
 
 
 def _process(out_path: str, checkpoint: str):
@@ -47,17 +48,35 @@ def _process(out_path: str, checkpoint: str):
         # A micro-batch is read whole each time, so its keys and places are written first.
         arrived = tables.stage("arrived", first)
         sets, new, notes = store.stage(store.new(tables.read_staged(arrived)))
-        # Whole pages meet only the places of the new ones; a place is unique.
-        pages = batch.join(new.select(*_ROW), _ROW, "left_semi").drop(*_ROW)
-        sets.append(tables.stage("entities", extract_entities(shred(pages, keep=PAGE_KEY))))
+        places = tables.stage("places", _bitmaps(new))
+        pages = _at(batch, new, tables.read_staged(places))
+        sets.append(tables.stage("entities", extract_entities(shred(pages, keep=PAGE_KEY, fields=NODE_FIELDS))))
         store.commit(sets, notes, stream, batch_id)
         tables.compact("entities")
         store.compact()
         tables.discard(arrived)
+        tables.discard(places)
 
     return run
 
 
+def _bitmaps(rows: DataFrame) -> DataFrame:
+    """The rows' places as a bit each, by file and block of 32,768 rows."""
+    block, place = F.floor(F.col(_ROW[1]) / PIECE_BITS), F.pmod(F.col(_ROW[1]), F.lit(PIECE_BITS))
+    return rows.select(_ROW[0], block.alias("block"), place.alias("place")).groupBy(_ROW[0], "block").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def _at(batch: DataFrame, new: DataFrame, places: DataFrame) -> DataFrame:
+    """The whole pages at the places of the new ones; a place is unique.  Pages
+    stay where they are and meet bitmaps, a bit a page; where many small files
+    make more than ``MOST_BITMAPS`` (4 KB each), they meet the places by a join."""
+    if places.count() > MOST_BITMAPS:
+        return batch.join(new.select(*_ROW), _ROW, "left_semi").drop(*_ROW)
+    block = F.floor(F.col(_ROW[1]) / PIECE_BITS)
+    met = batch.withColumn("block", block).join(F.broadcast(places), [_ROW[0], "block"])
+    return met.filter(bit_at("bits", F.pmod(F.col(_ROW[1]), F.lit(PIECE_BITS)))).drop("block", "bits", *_ROW)
+
+
 def stream_extract(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, files_per_trigger: int | None = None):
     """Start the incremental extraction; returns the ``StreamingQuery``.
     ``files_per_trigger`` bounds a micro-batch and does not change the result."""

@@ -29,6 +29,12 @@ PIECE_BITS = 32768
 _HASH, _PART = "key_hash", "key_part"
 
 
+def bit_at(bits: str, place: Column) -> Column:
+    """Whether a bit of a bitmap (``bitmap_construct_agg``) is set."""
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 class KeyStore:
     """The keys ``key`` (columns; nulls are equal) in the tables ``keys`` and
     ``filters`` of ``tables``."""
@@ -67,11 +73,7 @@ class KeyStore:
         filters = self._merged(self.tables.read("filters", m["version"]))
         by_piece = hashed.withColumn("_piece", piece).join(filters, F.col("_piece") == F.col("piece"), "left")
 
-        def bit(place: Column) -> Column:
-            byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-            return F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-        maybe = F.col("piece").isNotNull() & reduce(Column.__and__, [bit(p) for p in places])
+        maybe = F.col("piece").isNotNull() & reduce(Column.__and__, [bit_at("bits", p) for p in places])
         marked = by_piece.withColumn("_maybe", maybe).drop("_piece", "piece", "bits")
         passed = marked.filter("_maybe").drop("_maybe")
         parts = [r[0] for r in passed.select(_PART).distinct().collect()]  # at most PARTS numbers

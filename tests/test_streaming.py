@@ -40,6 +40,28 @@ def test_incremental_result_does_not_depend_on_the_batch_size(spark):
     assert sorted((r.category, r.source_path) for r in out.collect()) == sorted([*want, ("d", "Z")])
 
 
+def test_new_pages_are_picked_without_dealing_pages(spark, monkeypatch):
+    from docweave.streaming import incremental as I
+
+    base = tempfile.mkdtemp(prefix="dw-stream-", dir="/tmp")
+    rows = [("t", f"P{i}", "x" * 50) for i in range(70_000)]    # three blocks of rows to a file
+    spark.createDataFrame(rows, "category string, source_path string, html string").coalesce(1).write.parquet(f"{base}/src")
+    spark.createDataFrame(rows[:10], "category string, source_path string, html string").coalesce(1).write.mode("append").parquet(f"{base}/src")
+    batch = spark.read.parquet(f"{base}/src").select("*", F.col("_metadata.file_path").alias("from_file"), F.col("_metadata.row_index").alias("from_row"))
+    new = batch.filter(F.pmod(F.xxhash64("from_file", "from_row"), F.lit(3)) == 0).select("from_file", "from_row")
+    want = sorted(r.source_path for r in batch.join(new, ["from_file", "from_row"], "left_semi").collect())
+    assert len(want) > 20_000
+    places = I._bitmaps(new)
+    assert places.count() <= 4
+    pages = I._at(batch, new, places)
+    assert pages.columns == ["category", "source_path", "html"]
+    assert sorted(r.source_path for r in pages.collect()) == want
+    plan = pages._jdf.queryExecution().optimizedPlan().toString() + pages._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(I, "MOST_BITMAPS", 0)
+    assert sorted(r.source_path for r in I._at(batch, new, places).collect()) == want
+
+
 def test_progress_semantics(spark):
     ev = spark.createDataFrame([("a", 1, 5, "Extracting", 0), ("a", 2, 9, None, 1), ("b", 40, None, None, 2), ("a", 2, 7, None, 0)],
                                "category string, t int, count long, status string, event_id long")
