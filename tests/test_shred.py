@@ -3,7 +3,7 @@ import sys
 
 import pyarrow as pa
 
-from docweave.operators.shred import _plain_nodes, _shred_batch, _shred_pages, shred_html
+from docweave.operators.shred import _plain_nodes, _shred_batch, _shred_pages, shred, shred_html
 
 
 def nodes(html):
@@ -198,3 +198,20 @@ def test_batch_of_members_costs_no_python_per_node():
         sys.setprofile(None)
     assert len(nodes[0]) == 3 + 7 * 20_000
     assert calls < 5_000
+
+
+def test_only_the_fields_asked_for(spark):
+    html = ['<a href="../A/1">x</a><p>&amp; y</p><a href="">e</a><a href="a&amp;b">z</a>', "<p>open", None, '<A HREF="U">u</A><a href=\'q\'>q</a>',
+            '<td class="hierarchy-label-cell"><a href="l">L</a></td>', '<div id="d" class="c d"><a href="../A/1">ü' + "t" * 300 + "</a></div>"]
+    column = pa.array(html)
+    full, errors = _shred_batch(column, False)
+    fields = ["pos", "last", "tag", "id", "cls", "href", "txt"]
+    for implied in (False, True):
+        full, errors = _shred_batch(column, implied)
+        some, some_errors = _shred_batch(column, implied, fields)
+        want = [None if p is None else [{k: n[k] for k in fields} for n in p] for p in full.to_pylist()]
+        assert some.to_pylist() == want and some_errors.equals(errors)
+    assert [n["href"] for n in full.to_pylist()[0] if n["tag"] == "a"] == ["../A/1", "", "a&b"]
+    df = shred(spark.createDataFrame([(h,) for h in html], "html string"), keep=[], fields=fields)
+    assert [f.name for f in df.schema["nodes"].dataType.elementType.fields] == fields
+    assert sorted(str(r.nodes and [n.href for n in r.nodes]) for r in df.collect()) == sorted(str(p and [n["href"] for n in p]) for p in want)
